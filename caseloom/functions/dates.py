@@ -12,7 +12,7 @@ def as_date(value) -> Column:
 
 def parse_date(col: Column, *formats: str) -> Column:
     """First format that fits, NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)).cast("date") for f in formats])
+    return F.coalesce(*[F.try_to_date(col, f) for f in formats])
 
 
 def epoch_millis_to_date(col: Column) -> Column:

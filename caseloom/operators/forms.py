@@ -14,6 +14,10 @@ from caseloom.functions.text import extract_or_null
 # Headings that open the free-text section of a note.
 NOTE_HEADINGS = ("OBSERVAÇÕES", "CONTEÚDO E DESCRIÇÃO")
 
+# Text up to ``<b>value</b>``. A field can only begin at the start, after ``<`` or
+# after the field before it, and never gives characters back: linear in the text.
+FIELD_PATTERN = r"(?:^|(?<=<)|(?<=</b>))[^<]++<b>[^<]*</b>"
+
 
 def html_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3") -> DataFrame:
     """One row per ``label: <b>value</b>`` in the first block of each note."""
@@ -25,7 +29,7 @@ def html_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "
         extract_or_null(source, f"</{block}>\\s*<{title}>(?:{headings})</{title}>\\s*([\\s\\S]*)$").alias("remarks"),
         extract_or_null(source, f"<{block}>(.*?)</{block}>").alias("_block"),
     )
-    pieces = F.regexp_extract_all(F.col("_block"), F.lit(r"[^<]+?:?\s*<b>[^<]*</b>"), F.lit(0))
+    pieces = F.regexp_extract_all(F.col("_block"), F.lit(FIELD_PATTERN), F.lit(0))
     fields = notes.filter(F.col("_block").isNotNull()).withColumn("_field", F.explode(pieces))
     label = F.regexp_replace(extract_or_null(F.col("_field"), r"^(.*?):?\s*<b>"), r"^.*?>", "")
     return fields.select(
@@ -50,7 +54,7 @@ class Field:
     type: str = "string"
     separator: str = ","
     true_value: str = "Sim"
-    format: str = "dd/MM/yyyy"
+    format: str = "d/M/yyyy"
     cast: str = "long"
 
     def gather(self) -> Column:

@@ -41,12 +41,10 @@ def partition_date(name: Column) -> Column:
     first six digits after ``A`` that form a possible YYMMDD date.
     """
     parts = F.split(name, r"\.")
-    months = F.filter(parts, lambda p: p.rlike(r"^C\d{4,}$"))
-    month_text = F.get(months, F.lit(0))
-    month = F.try_make_date(
-        (F.lit(2000) + F.substring(month_text, 2, 2).try_cast("int")),
-        F.substring(month_text, 4, 10).try_cast("int"),
-        F.lit(1),
+    month_text = F.get(F.filter(parts, lambda p: p.rlike(r"^C\d{4,}$")), F.lit(0))
+    month = F.try_to_date(
+        F.concat(F.lit("20"), F.substring(month_text, 2, 2), F.lpad(F.substring(month_text, 4, 10), 2, "0"), F.lit("01")),
+        "yyyyMMdd",
     )
     tails = F.filter(parts, lambda p: p.rlike(r"^A.{6,}"))
     windows = F.flatten(
@@ -55,16 +53,11 @@ def partition_date(name: Column) -> Column:
             lambda p: F.transform(F.sequence(F.lit(2), F.length(p) - 5), lambda i: p.substr(i, F.lit(6))),
         )
     )
+    # two-digit years up to 68 belong to the 2000s
+    century = lambda w: F.when(w.substr(1, 2).cast("int") <= 68, "20").otherwise("19")
     dates = F.transform(
         F.filter(windows, lambda w: w.rlike(r"^\d{6}$")),
-        lambda w: F.try_make_date(
-            # two-digit years up to 68 belong to the 2000s, as in the POSIX pivot
-            F.when(w.substr(1, 2).cast("int") <= 68, w.substr(1, 2).cast("int") + 2000).otherwise(
-                w.substr(1, 2).cast("int") + 1900
-            ),
-            w.substr(3, 2).cast("int"),
-            w.substr(5, 2).cast("int"),
-        ),
+        lambda w: F.try_to_date(F.concat(century(w), w), "yyyyMMdd"),
     )
     day = F.get(F.filter(dates, lambda d: d.isNotNull()), F.lit(0))
     return F.coalesce(month, day)
