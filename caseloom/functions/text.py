@@ -76,6 +76,14 @@ def contains_any(col: Column, *words: str) -> Column:
     return test
 
 
+# Blanks that count as white space at the ends of a value.
+WHITE_SPACE = " \t\n\r\x0b\x0c\x85\xa0\u2007\u202f\u3000"
+
+
+def trim_space(col: Column) -> Column:
+    return F.btrim(col, F.lit(WHITE_SPACE))
+
+
 def is_test_name(col: Column, words: Sequence[str] = ("teste",)) -> Column:
     """True when a name marks a test record; an unknown name is not a test record."""
     return F.coalesce(contains_any(col, *words), F.lit(False))

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.codes import Domain, map_domain
 from caseloom.functions.dates import as_date, day_range
+from caseloom.functions.text import trim_space
 from caseloom.operators.skew import attach_group
 
 
 def code_tokens(col: Column, separator: str = ",", none_mark: str = "N") -> Column:
     """Trimmed non-blank tokens; the marker for "none" gives no tokens."""
-    tokens = F.filter(F.transform(F.split(col, separator), lambda t: F.trim(t)), lambda t: t != "")
+    tokens = F.filter(F.transform(F.split(col, separator), lambda t: trim_space(t)), lambda t: t != "")
     empty = F.array().cast("array<string>")
-    return F.when(col.isNull() | (F.upper(F.trim(col)) == none_mark), empty).otherwise(tokens)
+    return F.when(col.isNull() | (F.upper(trim_space(col)) == none_mark), empty).otherwise(tokens)
 
 
 def explode_codes(df: DataFrame, id_cols: Sequence[str], col: str, domain: Domain) -> DataFrame:
@@ -28,7 +29,7 @@ def explode_codes(df: DataFrame, id_cols: Sequence[str], col: str, domain: Domai
 def explode_id_list(df: DataFrame, col: str, out: str) -> DataFrame:
     """Rows for a list such as ``(1,2,3)``: distinct integer ids, anything else dropped."""
     tokens = F.split(F.regexp_replace(F.col(col), "[()]", ""), ",")
-    ids = F.filter(F.transform(tokens, lambda t: F.trim(t).try_cast("long")), lambda i: i.isNotNull())
+    ids = F.filter(F.transform(tokens, lambda t: trim_space(t).try_cast("long")), lambda i: i.isNotNull())
     return df.withColumn(out, F.explode(F.array_distinct(ids)))
 
 
@@ -40,7 +41,7 @@ def explode_shared(df: DataFrame, main: str, shared: str, separator: str = ",")
     """
     own = F.col(main).cast("string").try_cast("long")
     tokens = F.transform(
-        F.split(F.coalesce(F.col(shared), F.lit("")), separator), lambda t: F.trim(t).try_cast("long")
+        F.split(F.coalesce(F.col(shared), F.lit("")), separator), lambda t: trim_space(t).try_cast("long")
     )
     others = F.filter(F.array_distinct(tokens), lambda p: p.isNotNull() & ~p.eqNullSafe(own))
     providers = F.concat(

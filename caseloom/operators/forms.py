@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.dates import parse_date
-from caseloom.functions.text import extract_or_null
+from caseloom.functions.text import WHITE_SPACE, extract_or_null, trim_space
 
 # Headings that open the free-text section of a note.
 NOTE_HEADINGS = ("OBSERVAÇÕES", "CONTEÚDO E DESCRIÇÃO")
@@ -19,8 +19,19 @@ NOTE_HEADINGS = ("OBSERVAÇÕES", "CONTEÚDO E DESCRIÇÃO")
 FIELD_PATTERN = r"(?:^|(?<=<)|(?<=</b>))[^<]++<b>[^<]*</b>"
 
 
-def html_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3") -> DataFrame:
-    """One row per ``label: <b>value</b>`` in the first block of each note."""
+def _label_and_value(piece: Column) -> Column:
+    """``label: <b>value</b>`` taken apart; remains of a tag before the label are dropped."""
+    head = F.substring_index(piece, "<b>", 1)
+    value = piece.substr(F.length(head) + 4, F.length(piece) - F.length(head) - 7)
+    bare = F.regexp_replace(F.rtrim(head, F.lit(WHITE_SPACE)), ":$", "")
+    closing = F.instr(bare, ">")
+    label = F.when(closing > 0, bare.substr(closing + 1, F.length(bare))).otherwise(bare)
+    one_line = ~F.contains(bare, F.lit("\n"))
+    return F.struct(F.when(one_line, trim_space(label)).alias("label"), trim_space(value).alias("value"))
+
+
+def note_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3") -> DataFrame:
+    """Notes with their title, remarks and the array of (label, value) of the first block."""
     source = F.col(html)
     headings = "|".join(NOTE_HEADINGS)
     notes = df.filter(source.contains("<b>")).select(
@@ -30,14 +41,14 @@ def html_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "
         extract_or_null(source, f"<{block}>(.*?)</{block}>").alias("_block"),
     )
     pieces = F.regexp_extract_all(F.col("_block"), F.lit(FIELD_PATTERN), F.lit(0))
-    fields = notes.filter(F.col("_block").isNotNull()).withColumn("_field", F.explode(pieces))
-    label = F.regexp_replace(extract_or_null(F.col("_field"), r"^(.*?):?\s*<b>"), r"^.*?>", "")
-    return fields.select(
-        *id_cols,
-        "form_title",
-        F.trim(label).alias("label"),
-        F.trim(extract_or_null(F.col("_field"), r"<b>([^<]*)</b>")).alias("value"),
-        "remarks",
+    return notes.withColumn("fields", F.transform(pieces, _label_and_value)).drop("_block")
+
+
+def html_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3") -> DataFrame:
+    """One row per ``label: <b>value</b>`` in the first block of each note."""
+    notes = note_fields(df, id_cols, html, block, title)
+    return notes.select(*id_cols, "form_title", "remarks", F.explode("fields").alias("_f")).select(
+        *id_cols, "form_title", "_f.label", "_f.value", "remarks"
     )
 
 
@@ -57,11 +68,18 @@ class Field:
     format: str = "d/M/yyyy"
     cast: str = "long"
 
-    def gather(self) -> Column:
-        value = F.when(F.col("label").like(self.label), F.col("value"))
+    def of_note(self) -> Column:
+        """Greatest value of the field in one note, or all its values."""
+        hits = F.transform(F.filter("fields", lambda f: f["label"].like(self.label)), lambda f: f["value"])
+        if self.type == "array_agg":
+            return F.array_distinct(F.filter(hits, lambda v: v != "undefined")).alias(self.name)
+        return F.array_max(hits).alias(self.name)
+
+    def of_notes(self) -> Column:
+        """The same over several notes."""
         if self.type == "array_agg":
-            return F.collect_set(F.when(F.col("value") != "undefined", value)).alias(self.name)
-        return F.max(value).alias(self.name)
+            return F.array_distinct(F.flatten(F.collect_set(self.name))).alias(self.name)
+        return F.max(self.name).alias(self.name)
 
     def typed(self, raw: Column) -> Column:
         if self.type == "array":
@@ -92,18 +110,20 @@ def extract_form(
     """One typed row per key from its form notes with the given title.
 
     With ``latest_by`` only the newest note counts; forms equal in every
-    ``latest_by`` column are merged by maximum. The pivot is done per note first,
-    so the choice of the newest note is a second small aggregate.
+    ``latest_by`` column are merged by maximum. Each note is pivoted in its own row,
+    so only the wanted values are shuffled, never the text.
     """
     keys, order = list(keys), list(latest_by)
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    entries = html_fields(df.filter(present), keys + order, html).filter(F.col("form_title") == title)
-    per_note = entries.groupBy(*keys, *order).agg(*[f.gather() for f in fields])
+    notes = note_fields(df.filter(present), keys + order, html)
+    notes = notes.filter((F.col("form_title") == title) & (F.size("fields") > 0))
+    pivoted = notes.select(*keys, *order, *[f.of_note() for f in fields])
+    per_key = pivoted.groupBy(*keys, *order).agg(*[f.of_notes() for f in fields])
     if order:
         values = F.struct(*[F.col(f.name) for f in fields])
-        newest = per_note.groupBy(*keys).agg(F.max_by(values, F.struct(*order)).alias("_v"))
-        per_note = newest.select(*keys, "_v.*")
+        newest = per_key.groupBy(*keys).agg(F.max_by(values, F.struct(*order)).alias("_v"))
+        per_key = newest.select(*keys, "_v.*")
     extra = [F.lit(True).alias(flag)] if flag else []
-    return per_note.select(*keys, *extra, *[f.typed(F.col(f.name)).alias(f.name) for f in fields])
+    return per_key.select(*keys, *extra, *[f.typed(F.col(f.name)).alias(f.name) for f in fields])

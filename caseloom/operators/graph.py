@@ -25,8 +25,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternating star contraction: neighbours above a node, then below it, are
     linked to the least neighbour until nothing changes. The number of rounds
     grows with the logarithm of the graph, not with its longest chain. Each round
-    is an aggregate and a join that splits hub nodes, and its result is written
-    out, so a lost executor costs one round at most.
+    is two aggregates and joins that split hub nodes, and each result is written
+    out, so a lost executor costs one step at most.
     """
     current = (
         edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
@@ -36,7 +36,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     current = cut_lineage(current, "edges")
     before = _fingerprint(current)
     for _ in range(MAX_ROUNDS):
-        current = cut_lineage(_small_star(_large_star(current)), "edges")
+        current = cut_lineage(_small_star(cut_lineage(_large_star(current), "stars")), "edges")
         after = _fingerprint(current)
         if after == before:
             labels = current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
@@ -52,11 +52,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     with_least = attach_group(both, ["u"], [F.min("v").alias("m")], ["v"])
-    return (
-        with_least.filter(F.col("v") > F.col("u"))
-        .select(F.col("v").alias("hi"), F.least("m", "u").alias("lo"))
-        .distinct()
-    )
+    # repeated links are dropped by the step after this one
+    return with_least.filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.least("m", "u").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

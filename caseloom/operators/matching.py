@@ -32,44 +32,48 @@ def containment(a: Column, b: Column) -> Column:
 
 
 def similar(a: Column, b: Column, edit_max: int, cont_min: float) -> Column:
-    return (F.levenshtein(a, b) <= edit_max) | (containment(a, b) >= cont_min)
-
-
-def _piece_signatures(value: str, edit_max: int) -> Column:
-    """Pieces of a name as the shorter side: (length, piece number, text)."""
-    n, k = F.length(value), edit_max + 1
-    pieces = [
-        F.struct(
-            n.alias("n"),
-            F.lit(i).alias("i"),
-            F.expr(f"substring(`{value}`, int({i} * length(`{value}`) div {k}) + 1, "
-                   f"int(({i} + 1) * length(`{value}`) div {k}) - int({i} * length(`{value}`) div {k}))").alias("s"),
-        )
-        for i in range(k)
+    return (F.levenshtein(a, b, edit_max) >= 0) | (containment(a, b) >= cont_min)
+
+
+def _piece(size: str, number: str, pieces: int) -> tuple[str, str]:
+    """SQL for the 0-based start and the width of a piece of a text of this size."""
+    start = f"int({number} * {size} div {pieces})"
+    return start, f"(int(({number} + 1) * {size} div {pieces}) - {start})"
+
+
+def _index_signatures(values: DataFrame, edit_max: int) -> DataFrame:
+    """Pieces of every name as the shorter side: length, piece number, text."""
+    pieces = edit_max + 1
+    start, width = _piece("length(v)", "i", pieces)
+    cut = values.filter(F.length("v") > edit_max).select("b", "v", F.explode(F.lit(list(range(pieces)))).alias("i"))
+    short = values.filter(F.length("v") <= edit_max)
+    return cut.select(
+        "b", "v", F.length("v").alias("n"), "i", F.expr(f"substring(v, {start} + 1, {width})").alias("s")
+    ).unionByName(short.select("b", "v", F.lit(0).alias("n"), F.lit(-1).alias("i"), F.lit("").alias("s")))
+
+
+def _probe_signatures(values: DataFrame, edit_max: int) -> DataFrame:
+    """Substrings of every name as the longer side that may equal a piece.
+
+    For a name longer by ``gap`` a piece can have moved by at most half of what
+    the remaining edits allow in either direction.
+    """
+    pieces = edit_max + 1
+    places = [
+        F.struct(F.lit(gap).alias("gap"), F.lit(i).alias("i"), F.lit(move).alias("move"))
+        for gap in range(edit_max + 1)
+        for i in range(pieces)
+        for move in range(-((edit_max - gap) // 2), (edit_max + gap) // 2 + 1)
     ]
-    short = F.array(F.struct(F.lit(0).alias("n"), F.lit(-1).alias("i"), F.lit("").alias("s")))
-    return F.when(n <= edit_max, short).otherwise(F.array(*pieces))
-
-
-def _probe_signatures(value: str, edit_max: int) -> Column:
-    """Substrings of a name as the longer side that may equal a piece."""
-    k = edit_max + 1
-    groups = []
-    for gap in range(edit_max + 1):  # this name is longer by ``gap``
-        size = f"(length(`{value}`) - {gap})"
-        low, high = (edit_max - gap) // 2, (edit_max + gap) // 2
-        for i in range(k):
-            start = f"int({i} * {size} div {k})"
-            width = f"int(({i} + 1) * {size} div {k}) - {start}"
-            for move in range(-low, high + 1):
-                groups.append(
-                    f"named_struct('n', int({size}), 'i', {i}, 's', "
-                    f"if({start} + {move} >= 0 and {start} + {move} + ({width}) <= length(`{value}`) "
-                    f"and {size} > {edit_max}, substring(`{value}`, {start} + {move} + 1, {width}), null))"
-                )
-    short = f"named_struct('n', 0, 'i', -1, 's', if(length(`{value}`) <= {2 * edit_max}, '', null))"
-    probes = F.expr("array(" + ", ".join([*groups, short]) + ")")
-    return F.array_distinct(F.filter(probes, lambda p: p["s"].isNotNull()))
+    at = values.select("b", "v", F.explode(F.array(*places)).alias("p")).select("b", "v", "p.*")
+    start, width = _piece("n", "i", pieces)
+    sized = at.withColumn("n", F.length("v") - F.col("gap")).filter(F.col("n") > edit_max)
+    placed = sized.withColumn("at", F.expr(f"{start} + move")).withColumn("width", F.expr(width))
+    inside = placed.filter("at >= 0 and at + width <= length(v)")
+    short = values.filter(F.length("v") <= 2 * edit_max)
+    return inside.select("b", "v", "n", "i", F.expr("substring(v, at + 1, width)").alias("s")).unionByName(
+        short.select("b", "v", F.lit(0).alias("n"), F.lit(-1).alias("i"), F.lit("").alias("s"))
+    )
 
 
 def similar_values(
@@ -84,23 +88,18 @@ def similar_values(
     by_rarity = ranked.groupBy("b", "v").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
     m = F.size("ts")
     prefix = F.slice("ts", F.lit(1), m - F.ceil(F.lit(cont_min) * m - F.lit(1e-9)).cast("int") + 1)
-    token_sig = lambda t: F.struct(F.lit(-1).alias("n"), F.lit(-2).alias("i"), t.alias("s"))
-    index = values.select("b", "v", F.explode(_piece_signatures("v", edit_max)).alias("sig")).unionByName(
-        by_rarity.select("b", "v", F.explode(F.transform(prefix, lambda p: token_sig(p["t"]))).alias("sig"))
-    )
-    probe = values.select("b", "v", F.explode(_probe_signatures("v", edit_max)).alias("sig")).unionByName(
-        tokens.select("b", "v", token_sig(F.col("t")).alias("sig"))
-    )
-    left = index.select("b", F.col("sig.n").alias("n"), F.col("sig.i").alias("i"), F.col("sig.s").alias("s"), F.col("v").alias("x"))
-    right = probe.select("b", F.col("sig.n").alias("n"), F.col("sig.i").alias("i"), F.col("sig.s").alias("s"), F.col("v").alias("y"))
-    pairs = (
-        left.join(right, ["b", "n", "i", "s"])
+    word = [F.lit(-1).alias("n"), F.lit(-2).alias("i")]
+    rare = by_rarity.select("b", "v", *word, F.explode(F.transform(prefix, lambda p: p["t"])).alias("s"))
+    index = _index_signatures(values, edit_max).unionByName(rare).withColumnRenamed("v", "x")
+    probe = _probe_signatures(values, edit_max).unionByName(tokens.select("b", "v", *word, F.col("t").alias("s")))
+    nominated = (
+        index.join(probe.withColumnRenamed("v", "y"), ["b", "n", "i", "s"])
         .filter(F.col("x") != F.col("y"))
-        .filter(similar(F.col("x"), F.col("y"), edit_max, cont_min))
-        .select(F.col("b").alias(block), F.least("x", "y").alias("value_a"), F.greatest("x", "y").alias("value_b"))
+        .select("b", F.least("x", "y").alias("value_a"), F.greatest("x", "y").alias("value_b"))
         .distinct()
     )
-    return pairs
+    accepted = nominated.filter(similar(F.col("value_a"), F.col("value_b"), edit_max, cont_min))
+    return accepted.withColumnRenamed("b", block)
 
 
 @dataclass(frozen=True)
@@ -210,6 +209,8 @@ def exact_rule_edges(df: DataFrame, id_col: str, rules: Sequence[KeyRule], withi
     long = df.select(
         F.col(id_col).alias("id"), *within, F.explode(F.filter(F.array(*keyed), lambda k: k.isNotNull())).alias("_k")
     ).select("id", *within, "_k.rule", "_k.key")
+    # read three times below: to count, to reduce and to join
+    long = cut_lineage(long, "keys")
     least = attach_group(long, [*within, "rule", "key"], [F.min("id").alias("least_id")], ["id", "rule"])
     edges = least.filter(F.col("id") != F.col("least_id"))
     return edges.select(F.col("id").alias("id_a"), F.col("least_id").alias("id_b")).distinct()

@@ -150,9 +150,10 @@ def first_struct_by_order(spark, sf):
     """,
 )
 def topk_ranking(spark, sf):
-    lines = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", F.col("l_partkey").alias("p_partkey")).distinct()
+    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
+    lines = returned.distinct()
     brands = table(spark, sf, "part").select("p_partkey", "p_brand")
-    pairs = skew_join(lines, brands, ["p_partkey"], ["l_orderkey"], how="inner").select("p_brand", "l_orderkey").distinct()
+    pairs = skew_join(lines, brands, ["p_partkey"], ["l_orderkey"], how="inner", count_on=returned).select("p_brand", "l_orderkey").distinct()
     return pairs.groupBy("p_brand").agg(count_rows("n_orders")).orderBy(F.desc("n_orders"), "p_brand").limit(3)
 
 

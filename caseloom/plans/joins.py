@@ -67,8 +67,8 @@ def star_left_join(spark, sf):
         F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
         F.sum("price").alias("amount"),
     )
-    facts = skew_join(facts, parts, ["l_partkey"], ["l_orderkey", "l_suppkey"])
-    facts = skew_join(facts, suppliers, ["l_suppkey"], ["l_orderkey", "l_partkey"])
+    facts = skew_join(facts, parts, ["l_partkey"], ["l_orderkey", "l_suppkey"], count_on=lines)
+    facts = skew_join(facts, suppliers, ["l_suppkey"], ["l_orderkey", "l_partkey"], count_on=lines)
     per_order = facts.groupBy("l_orderkey", "part_type", "big_supplier").agg(*measures)
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
     # a customer without orders is not wanted, an order without customer is

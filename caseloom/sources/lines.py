@@ -82,11 +82,15 @@ def _member_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             yield pd.DataFrame({"file_path": path, "member": member, "line": chunk})
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the data members of zip archives, one task per few archives.
+def unpack_archives(files: DataFrame) -> DataFrame:
+    """Lines of the data members of zip archives given as ``path`` and ``content``.
 
     Members are streamed line by line in bounded chunks; only the compressed
     archive is held in memory.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
     return files.select("path", "content").mapInPandas(_member_lines, "file_path string, member string, line string")
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of all zip files under a folder, one task per few archives."""
+    return unpack_archives(spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path))

@@ -9,18 +9,19 @@ from caseloom.operators.incremental import overwrite_partitions
 from caseloom.sources.lines import data_lines, partition_date
 
 
-def ingest_new_files(spark: SparkSession, landing: str, final: str, checkpoint: str) -> None:
+def ingest_new_files(spark: SparkSession, landing: str, final: str, checkpoint: str, name_part: int = -1) -> None:
     """Process the files that arrived since the last run, then stop.
 
     The stream's checkpoint remembers which files were done. A batch replaces the
     partitions named by its files, so a batch that is run again after a failure
-    leaves the same table.
+    leaves the same table. ``name_part`` is the place of the dated name in the
+    path, -1 for the file itself, -2 for its folder.
     """
     lines = (
         spark.readStream.format("text")
         .load(landing)
         .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"))
-        .withColumn("part_date", partition_date(F.element_at(F.split("file_path", "/"), -1)))
+        .withColumn("part_date", partition_date(F.element_at(F.split("file_path", "/"), name_part)))
     )
 
     def publish_batch(batch: DataFrame, _batch_id: int) -> None:
