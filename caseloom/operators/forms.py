@@ -19,29 +19,62 @@ NOTE_HEADINGS = ("OBSERVAÇÕES", "CONTEÚDO E DESCRIÇÃO")
 FIELD_PATTERN = r"(?:^|(?<=<)|(?<=</b>))[^<]++<b>[^<]*</b>"
 
 
-def _label_and_value(piece: Column) -> Column:
-    """``label: <b>value</b>`` taken apart; remains of a tag before the label are dropped."""
-    head = F.substring_index(piece, "<b>", 1)
-    value = piece.substr(F.length(head) + 4, F.length(piece) - F.length(head) - 7)
-    bare = F.regexp_replace(F.rtrim(head, F.lit(WHITE_SPACE)), ":$", "")
-    closing = F.instr(bare, ">")
-    label = F.when(closing > 0, bare.substr(closing + 1, F.length(bare))).otherwise(bare)
-    one_line = ~F.contains(bare, F.lit("\n"))
-    return F.struct(F.when(one_line, trim_space(label)).alias("label"), trim_space(value).alias("value"))
-
-
-def note_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3") -> DataFrame:
-    """Notes with their title, remarks and the array of (label, value) of the first block."""
+def _label_and_value(pieces: Column) -> Column:
+    """Each ``label: <b>value</b>`` taken apart; remains of a tag before the label are dropped.
+
+    Step by step, so that no part of a piece is computed twice.
+    """
+    halves = F.transform(
+        pieces,
+        lambda p: F.struct(
+            F.rtrim(F.substring_index(p, "<b>", 1), F.lit(WHITE_SPACE)).alias("head"),
+            F.substring_index(F.substring_index(p, "</b>", 1), "<b>", -1).alias("value"),
+        ),
+    )
+    without_colon = lambda h: F.when(h.endswith(":"), h.substr(F.lit(1), F.length(h) - 1)).otherwise(h)
+    bare = F.transform(halves, lambda f: F.struct(without_colon(f["head"]).alias("head"), f["value"].alias("value")))
+    return F.transform(
+        bare,
+        lambda f: F.struct(
+            F.when(
+                ~F.contains(f["head"], F.lit("\n")),
+                trim_space(f["head"].substr(F.instr(f["head"], F.lit(">")) + 1, F.length(f["head"]))),
+            ).alias("label"),
+            trim_space(f["value"]).alias("value"),
+        ),
+    )
+
+
+def _inside(source: Column, tag: str) -> Column:
+    """Content of the first element of a tag, NULL when there is none."""
+    element = F.regexp_substr(source, F.lit(f"<{tag}>(.*?)</{tag}>"))
+    return element.substr(F.lit(len(tag) + 3), F.length(element) - (2 * len(tag) + 5))
+
+
+def note_fields(
+    df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3", wanted: str | None = None
+) -> DataFrame:
+    """Notes with their title, remarks and the array of (label, value) of the first block.
+
+    With ``wanted`` only notes of that title that have fields. The text is searched
+    in one projection; the test is made on the exploded struct, because a filter
+    above would be pushed down and search the text again.
+    """
     source = F.col(html)
     headings = "|".join(NOTE_HEADINGS)
-    notes = df.filter(source.contains("<b>")).select(
+    remarks = extract_or_null(source, f"</{block}>\\s*<{title}>(?:{headings})</{title}>\\s*([\\s\\S]*)$")
+    found = df.filter(source.contains("<b>")).select(
         *id_cols,
-        extract_or_null(source, f"<{title}>(.*?)</{title}>").alias("form_title"),
-        extract_or_null(source, f"</{block}>\\s*<{title}>(?:{headings})</{title}>\\s*([\\s\\S]*)$").alias("remarks"),
-        extract_or_null(source, f"<{block}>(.*?)</{block}>").alias("_block"),
+        _inside(source, title).alias("form_title"),
+        *([] if wanted else [remarks.alias("remarks")]),
+        F.regexp_extract_all(_inside(source, block), F.lit(FIELD_PATTERN), F.lit(0)).alias("_pieces"),
     )
-    pieces = F.regexp_extract_all(F.col("_block"), F.lit(FIELD_PATTERN), F.lit(0))
-    return notes.withColumn("fields", F.transform(pieces, _label_and_value)).drop("_block")
+    pieces = F.col("_pieces")
+    if wanted is not None:
+        pieces = F.when((F.col("form_title") == wanted) & (F.size("_pieces") > 0), pieces)
+    parsed = F.filter(F.array(_label_and_value(pieces)), lambda f: f.isNotNull())
+    kept = [c for c in found.columns if c != "_pieces"]
+    return found.select(*kept, F.explode(parsed).alias("fields"))
 
 
 def html_fields(df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3") -> DataFrame:
@@ -117,8 +150,7 @@ def extract_form(
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    notes = note_fields(df.filter(present), keys + order, html)
-    notes = notes.filter((F.col("form_title") == title) & (F.size("fields") > 0))
+    notes = note_fields(df.filter(present), keys + order, html, wanted=title)
     pivoted = notes.select(*keys, *order, *[f.of_note() for f in fields])
     per_key = pivoted.groupBy(*keys, *order).agg(*[f.of_notes() for f in fields])
     if order:

@@ -10,9 +10,11 @@ from __future__ import annotations
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caseloom.functions.codes import Domain
 from caseloom.models import core
+from caseloom.session import cut_lineage
 from caseloom.sources.tables import table
 
 STAYS_AS_OF = "2001-08-01"
@@ -152,7 +154,11 @@ def raw_sql() -> str:
 
 
 class Casework:
-    """The derived sources and the star schema of one folder, built when first asked for."""
+    """The derived sources and the star schema of one folder, built when first asked for.
+
+    Dimensions and facts that several steps read are written once as tables of the
+    run, so a mart neither rebuilds them per use nor replays them after a loss.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -171,9 +177,10 @@ class Casework:
 
     @cached_property
     def providers(self) -> DataFrame:
-        return core.dim_providers(
+        providers = core.dim_providers(
             self.raw("providers"), self.raw("operators"), self.raw("occupations"), self.raw("operator_units"), self.units, LEVELS
         )
+        return cut_lineage(providers, "providers")
 
     @cached_property
     def family_projects(self) -> DataFrame:
@@ -185,27 +192,28 @@ class Casework:
         rights = core.coded_items(people, "person_id", "rights_codes", RIGHTS, "rights")
         benefits = core.coded_items(people, "person_id", "benefit_codes", BENEFITS, "benefits")
         projects = core.person_projects(self.raw("members"), self.family_projects)
-        return core.dim_persons(people, rights, benefits, projects, RACES)
+        return cut_lineage(core.dim_persons(people, rights, benefits, projects, RACES), "persons")
 
     @cached_property
     def families(self) -> DataFrame:
-        from pyspark.sql import functions as F
-
         heads = self.raw("members").groupBy("family_id").agg(F.min("person_id").alias("head_id"))
         vulnerabilities = core.family_items(self.raw("vulnerabilities"), ["vulnerability_id"], ["registered"], "vulnerabilities")
         services = core.family_items(self.raw("services"), ["service_id"], ["registered", "unit_id"], "services")
-        return core.dim_families(heads, self.persons, vulnerabilities, services, self.family_projects)
+        families = core.dim_families(heads, self.persons, vulnerabilities, services, self.family_projects)
+        return cut_lineage(families, "families")
 
     @cached_property
     def visits(self) -> DataFrame:
-        return core.fct_visits(self.raw("visits"), self.persons, self.providers, self.units)
+        visits = core.fct_visits(self.raw("visits"), self.persons, self.providers, self.units)
+        return cut_lineage(visits, "visits")
 
     @cached_property
     def notes(self) -> DataFrame:
-        return core.fct_notes(
+        notes = core.fct_notes(
             self.raw("notes_admin"), self.raw("notes_family"), self.raw("notes_person"), self.raw("notes_group"),
             self.persons, self.providers, self.units,
         )
+        return cut_lineage(notes, "notes")
 
     @cached_property
     def stays(self) -> DataFrame:

@@ -12,20 +12,29 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """A named check; ``failures`` returns the offending rows of the table."""
+    """A named check.
+
+    A row rule gives ``row_test``, true for an offending row; any other rule gives
+    ``failures``, which returns the offending rows of the table.
+    """
 
     name: str
-    failures: Callable[[DataFrame], DataFrame]
+    failures: Callable[[DataFrame], DataFrame] | None = None
+    row_test: Column | None = None
     severity: str = "error"
-    where: Column | str | None = None
+    where: str | None = None
 
     def run(self, df: DataFrame) -> DataFrame:
         scoped = df if self.where is None else df.filter(self.where)
-        return self.failures(scoped)
+        return scoped.filter(self.row_test) if self.failures is None else self.failures(scoped)
+
+    def offends(self) -> Column:
+        scope = F.lit(True) if self.where is None else F.expr(self.where)
+        return scope & self.row_test
 
 
 def not_null(col: str, **options) -> Rule:
-    return Rule(f"not_null_{col}", lambda df: df.filter(F.col(col).isNull()), **options)
+    return Rule(f"not_null_{col}", row_test=F.col(col).isNull(), **options)
 
 
 def unique(*cols: str, **options) -> Rule:
@@ -39,7 +48,7 @@ def unique(*cols: str, **options) -> Rule:
 
 
 def accepted(col: str, values: Sequence, **options) -> Rule:
-    return Rule(f"accepted_{col}", lambda df: df.filter(~F.col(col).isin(*values)), **options)
+    return Rule(f"accepted_{col}", row_test=~F.col(col).isin(*values), **options)
 
 
 def references(col: str, parent: DataFrame, parent_col: str, **options) -> Rule:
@@ -73,7 +82,7 @@ def covered_by(col: str, next_layer: DataFrame, next_col: str, **options) -> Rul
 
 def holds(name: str, test: Column, **options) -> Rule:
     """Business rule: rows for which the test is false fail; unknown passes."""
-    return Rule(name, lambda df: df.filter(~test), **options)
+    return Rule(name, row_test=~test, **options)
 
 
 def labelled(name: str, label: Column, **options) -> Rule:
@@ -93,20 +102,28 @@ def check_columns(df: DataFrame, cols: Sequence[str]) -> None:
 
 
 def run_rules(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``table, rule, severity, status, n_failed``: one row per rule."""
-
-    def result(rule: Rule) -> DataFrame:
-        failed = rule.run(df).agg(F.count(F.lit(1)).alias("n_failed"))
-        status = F.when(F.col("n_failed") == 0, "pass").when(F.lit(rule.severity) == "warn", "warn").otherwise("fail")
-        return failed.select(
-            F.lit(table).alias("table_name"),
-            F.lit(rule.name).alias("rule"),
-            F.lit(rule.severity).alias("severity"),
-            status.alias("status"),
-            "n_failed",
-        )
-
-    return reduce(DataFrame.unionByName, [result(r) for r in rules])
+    """``table_name, rule, severity, status, n_failed``: one row per rule.
+
+    All row rules share one scan; rules on groups or other tables run on their own.
+    """
+    severity = {rule.name: rule.severity for rule in rules}
+    row_rules = [rule for rule in rules if rule.row_test is not None]
+    counted = [
+        rule.run(df).agg(F.count(F.lit(1)).alias("n_failed")).select(F.lit(rule.name).alias("rule"), "n_failed")
+        for rule in rules
+        if rule.row_test is None
+    ]
+    if row_rules:
+        one_row = df.agg(*[F.count_if(rule.offends()).alias(f"r{n}") for n, rule in enumerate(row_rules)])
+        pairs = [F.struct(F.lit(rule.name).alias("rule"), F.col(f"r{n}").alias("n_failed")) for n, rule in enumerate(row_rules)]
+        counted.append(one_row.select(F.inline(F.array(*pairs))))
+    results = reduce(DataFrame.unionByName, counted)
+    level = F.lit(None).cast("string")
+    for name, value in severity.items():
+        level = F.when(F.col("rule") == name, value).otherwise(level)
+    leveled = results.withColumn("table_name", F.lit(table)).withColumn("severity", level)
+    status = F.when(F.col("n_failed") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return leveled.select("table_name", "rule", "severity", status.alias("status"), "n_failed")
 
 
 def summary(results: DataFrame) -> DataFrame:
