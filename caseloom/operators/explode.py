@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.codes import Domain, map_domain
 from caseloom.functions.dates import as_date, day_range
 from caseloom.functions.text import trim_space
-from caseloom.operators.skew import attach_group
+from caseloom.operators.skew import attach_group, heavy_keys
 
 
 def code_tokens(col: Column, separator: str = ",", none_mark: str = "N") -> Column:
@@ -74,9 +74,13 @@ def nest_children(
     identify a child within its key.
     """
     keys = list(keys)
-    sized = attach_group(df.select(*keys, *fields), keys, [F.count(F.lit(1)).alias("_size")], list(fields))
-    parts = F.ceil(F.col("_size") / part_rows)
-    parted = sized.withColumn("part", F.pmod(F.xxhash64(*order_by), parts).cast("int"))
+    children = df.select(*keys, *fields)
+    if heavy_keys(children, keys, part_rows).isEmpty():
+        parted = children.withColumn("part", F.lit(0))
+    else:
+        sized = attach_group(children, keys, {"_size": F.count(F.lit(1))}, list(fields))
+        parts = F.ceil(F.col("_size") / part_rows)
+        parted = sized.withColumn("part", F.pmod(F.xxhash64(*order_by), parts).cast("int"))
     ordered = [*order_by, *[f for f in fields if f not in order_by]]
     items = F.array_sort(F.collect_list(F.struct(*ordered)))
     return parted.groupBy(*keys, "part").agg(items.alias(out))

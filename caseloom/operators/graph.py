@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.operators.skew import attach_group, skew_join
+from caseloom.operators.skew import attach_group
 from caseloom.session import cut_lineage
 
 MAX_ROUNDS = 60
@@ -51,14 +51,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    with_least = attach_group(both, ["u"], [F.min("v").alias("m")], ["v"])
+    with_least = attach_group(both, ["u"], {"m": F.min("v")}, ["v"])
     # repeated links are dropped by the step after this one
     return with_least.filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.least("m", "u").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
-    with_least = attach_group(edges, ["hi"], [F.min("lo").alias("m")], ["lo"])
+    with_least = attach_group(edges, ["hi"], {"m": F.min("lo")}, ["lo"])
     linked = with_least.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
         with_least.select("hi", F.col("m").alias("lo"))
     )
@@ -68,7 +68,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def label_rows(df: DataFrame, id_col: str, components: DataFrame) -> DataFrame:
     """Rows with ``cluster_id`` (own id when unmatched), ``cluster_size``, ``is_duplicate``."""
     labels = components.select(F.col("node").alias(id_col), "component")
-    joined = skew_join(df, labels, [id_col], [id_col])
+    joined = df.join(labels, id_col, "left")  # ids are unique on both sides
     clustered = joined.withColumn("cluster_id", F.coalesce("component", F.col(id_col))).drop("component")
-    sized = attach_group(clustered, ["cluster_id"], [F.count(F.lit(1)).alias("cluster_size")], [id_col])
+    sized = attach_group(clustered, ["cluster_id"], {"cluster_size": F.count(F.lit(1))}, [id_col])
     return sized.withColumn("is_duplicate", F.col("cluster_id") != F.col(id_col))

@@ -83,7 +83,7 @@ def similar_values(
     values = df.select(F.col(block).alias("b"), F.col(value).alias("v")).filter("v <> ''").distinct()
     values = cut_lineage(values, "values")
     tokens = values.select("b", "v", F.explode(F.array_distinct(F.split("v", " "))).alias("t"))
-    ranked = attach_group(tokens, ["b", "t"], [F.count(F.lit(1)).alias("df")], ["v"])
+    ranked = attach_group(tokens, ["b", "t"], {"df": F.count(F.lit(1))}, ["v"])
     # the words of one value: bounded by its length
     by_rarity = ranked.groupBy("b", "v").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
     m = F.size("ts")
@@ -211,7 +211,7 @@ def exact_rule_edges(df: DataFrame, id_col: str, rules: Sequence[KeyRule], withi
     ).select("id", *within, "_k.rule", "_k.key")
     # read three times below: to count, to reduce and to join
     long = cut_lineage(long, "keys")
-    least = attach_group(long, [*within, "rule", "key"], [F.min("id").alias("least_id")], ["id", "rule"])
+    least = attach_group(long, [*within, "rule", "key"], {"least_id": F.min("id")}, ["id", "rule"])
     edges = least.filter(F.col("id") != F.col("least_id"))
     return edges.select(F.col("id").alias("id_a"), F.col("least_id").alias("id_b")).distinct()
 

@@ -1,14 +1,16 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
-
-The heaviest keys are found first. Their values travel by broadcast, and their
-rows are spread over many tasks in the shuffle join, where they match nothing.
-At most ``MAX_HEAVY`` keys are ever broadcast; any key outside that list holds
-less than ``1 / MAX_HEAVY`` of the rows, so the plain shuffle can carry it.
+"""Joins and group values that stay balanced when one key holds a large share of the rows.
+
+Keys are counted first, over the key columns alone. Without a key above
+``HEAVY_ROWS`` the plain join or window is used: one shuffle. Otherwise the values
+of the heaviest keys travel by broadcast and their rows are spread over many tasks
+in the shuffle join, where they match nothing. At most ``MAX_HEAVY`` keys are ever
+broadcast; any key outside that list holds less than ``1 / MAX_HEAVY`` of the rows,
+so the plain shuffle can carry it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,7 +85,10 @@ def skew_join(
     if how not in ("left", "inner"):
         raise ValueError("how is 'left' or 'inner'")
     keys = list(keys)
-    frequent = _renamed(heavy_keys(left if count_on is None else count_on, keys, heavy_rows).drop("_n"), keys, "_k_")
+    frequent = heavy_keys(left if count_on is None else count_on, keys, heavy_rows)
+    if frequent.isEmpty():
+        return left.join(right, keys, how).select(*left.columns, *[c for c in right.columns if c not in keys])
+    frequent = _renamed(frequent.drop("_n"), keys, "_k_")
     heavy_values = (
         F.broadcast(frequent)
         .join(right.withColumn("_found", F.lit(True)), _same_reversed(keys), "left")
@@ -102,17 +107,21 @@ def _same_reversed(keys: Sequence[str]) -> Column:
 def attach_group(
     df: DataFrame,
     keys: Sequence[str],
-    aggregates: Sequence[Column],
+    aggregates: Mapping[str, Column],
     spread_by: Sequence[str],
     heavy_rows: int = HEAVY_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Every row with the aggregates of its group, NULL keys forming one group.
 
-    Same result as aggregates over an unordered window, but the group is reduced
-    before the shuffle and never gathered in one task.
+    A window when every group fits a task; with heavy keys the groups are reduced
+    before the shuffle and joined back, so none is gathered in one task.
     """
     keys = list(keys)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *aggregates)
+    if heavy_keys(df if count_on is None else count_on, keys, heavy_rows).isEmpty():
+        group = Window.partitionBy(*keys)
+        return df.select("*", *[value.over(group).alias(name) for name, value in aggregates.items()])
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[v.alias(n) for n, v in aggregates.items()])
     heavy = (
         stats.filter(F.col("_n") > heavy_rows)
         .orderBy(F.desc("_n"), *keys)

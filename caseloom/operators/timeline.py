@@ -51,4 +51,4 @@ def track_interactions(df: DataFrame, keys: Sequence[str], kind: str, when: str,
 
 def group_total(df: DataFrame, keys: Sequence[str], value: Column, out: str, row_id: Sequence[str]) -> DataFrame:
     """Every row with the total of its group."""
-    return attach_group(df, keys, [F.sum(value).alias(out)], row_id)
+    return attach_group(df, keys, {out: F.sum(value)}, row_id)

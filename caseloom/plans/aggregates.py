@@ -357,8 +357,8 @@ def double_rank_dedup(spark, sf):
     lines = table(spark, sf, "lineitem").select(*LINE, *rest, "l_returnflag", "l_shipdate", F.to_date("l_shipdate").alias("day"))
     by_order = F.struct("l_shipdate", "l_linenumber", "l_partkey", *rest)
     by_part = F.struct("l_shipdate", "l_linenumber", "l_orderkey", "l_suppkey", *rest)
-    ranked = attach_group(lines, ["l_orderkey", "l_suppkey"], [F.min(by_order).alias("first_a")], LINE)
-    ranked = attach_group(ranked, ["l_partkey", "l_returnflag", "day"], [F.min(by_part).alias("first_b")], LINE)
+    ranked = attach_group(lines, ["l_orderkey", "l_suppkey"], {"first_a": F.min(by_order)}, LINE)
+    ranked = attach_group(ranked, ["l_partkey", "l_returnflag", "day"], {"first_b": F.min(by_part)}, LINE, count_on=lines)
     return ranked.filter((F.col("first_a") == by_order) & (F.col("first_b") == by_part)).select(*LINE)
 
 
@@ -372,7 +372,7 @@ def double_rank_dedup(spark, sf):
 )
 def duplicate_flag(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("day"), F.hour("ts").alias("h"))
-    first = attach_group(events, ["user_id", "event_type", "day", "h"], [F.min("event_id").alias("first_id")], ["event_id"])
+    first = attach_group(events, ["user_id", "event_type", "day", "h"], {"first_id": F.min("event_id")}, ["event_id"])
     mark = F.when(F.col("event_id") == F.col("first_id"), "first").otherwise("duplicate")
     return first.select("event_id", "user_id", mark.alias("mark"))
 

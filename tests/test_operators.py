@@ -30,7 +30,7 @@ def test_skew_join_equals_plain_join(spark, heavy):
 @pytest.mark.parametrize("heavy", [3, 1_000_000])
 def test_attach_group_treats_null_as_a_group(spark, heavy):
     df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(30)], "id int, k int")
-    got = skew.attach_group(df, ["k"], [F.min("id").alias("m"), F.count("*").alias("n")], ["id"], heavy_rows=heavy)
+    got = skew.attach_group(df, ["k"], {"m": F.min("id"), "n": F.count("*")}, ["id"], heavy_rows=heavy)
     expected = {None: (0, 10), 0: (2, 10), 1: (1, 10)}
     assert all((r["m"], r["n"]) == expected[r["k"]] for r in got.collect()) and got.count() == 30
 
