@@ -12,6 +12,7 @@ from caseloom.functions.text import is_test_name
 from caseloom.operators.capacity import code_flags, unify_capacity
 from caseloom.operators.explode import explode_codes, explode_days, explode_id_list, explode_shared
 from caseloom.operators.skew import best_row, skew_join
+from caseloom.session import cut_lineage
 
 
 def coded_items(df: DataFrame, key: str, codes: str, domain: Domain, out: str) -> DataFrame:
@@ -139,8 +140,9 @@ def fct_visits(visits: DataFrame, persons: DataFrame, providers: DataFrame, unit
     """Visit by provider: the main provider and every other one from the shared list."""
     rows = explode_shared(visits, "provider_id", "shared_providers")
     rows = rows.withColumn("visit_sk", surrogate_key(F.col("module"), F.col("visit_id"), F.col("provider_id")))
+    # read three times below; the base table holds the same persons in fewer rows
+    rows = cut_lineage(rows, "visit-rows")
     spread = ["visit_id", "provider_id"]
-    # the base table holds the same keys as the exploded rows, in fewer rows
     with_person = skew_join(rows, persons.select("person_id", "person_sk"), ["person_id"], spread, count_on=visits)
     with_provider = skew_join(with_person, providers.select("provider_id", "provider_sk"), ["provider_id"], ["visit_id"], count_on=rows)
     # units: size-checked broadcast by the optimizer, split by AQE beyond it

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.operators.skew import attach_group
+from caseloom.operators.skew import HEAVY_ROWS, attach_group
 from caseloom.session import cut_lineage
 
 MAX_ROUNDS = 60
@@ -25,8 +25,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternating star contraction: neighbours above a node, then below it, are
     linked to the least neighbour until nothing changes. The number of rounds
     grows with the logarithm of the graph, not with its longest chain. Each round
-    is two aggregates and joins that split hub nodes, and each result is written
-    out, so a lost executor costs one step at most.
+    is two group steps that split hub nodes, and its result is written out, so a
+    lost executor costs one round at most.
     """
     current = (
         edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
@@ -36,7 +36,11 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     current = cut_lineage(current, "edges")
     before = _fingerprint(current)
     for _ in range(MAX_ROUNDS):
-        current = cut_lineage(_small_star(cut_lineage(_large_star(current), "stars")), "edges")
+        size = 2 * before[0]
+        stars = _large_star(current, size)
+        if size > HEAVY_ROWS:  # read more than once below
+            stars = cut_lineage(stars, "stars")
+        current = cut_lineage(_small_star(stars, size), "edges")
         after = _fingerprint(current)
         if after == before:
             labels = current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
@@ -46,19 +50,19 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, size: int) -> DataFrame:
     """Link every larger neighbour of a node to the least of node and neighbours."""
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    with_least = attach_group(both, ["u"], {"m": F.min("v")}, ["v"])
+    with_least = attach_group(both, ["u"], {"m": F.min("v")}, ["v"], at_most=size)
     # repeated links are dropped by the step after this one
     return with_least.filter(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.least("m", "u").alias("lo"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, size: int) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
-    with_least = attach_group(edges, ["hi"], {"m": F.min("lo")}, ["lo"])
+    with_least = attach_group(edges, ["hi"], {"m": F.min("lo")}, ["lo"], at_most=size)
     linked = with_least.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
         with_least.select("hi", F.col("m").alias("lo"))
     )

@@ -111,14 +111,17 @@ def attach_group(
     spread_by: Sequence[str],
     heavy_rows: int = HEAVY_ROWS,
     count_on: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Every row with the aggregates of its group, NULL keys forming one group.
 
     A window when every group fits a task; with heavy keys the groups are reduced
-    before the shuffle and joined back, so none is gathered in one task.
+    before the shuffle and joined back, so none is gathered in one task. A caller
+    that knows ``df`` has ``at_most`` so many rows may save the counting.
     """
     keys = list(keys)
-    if heavy_keys(df if count_on is None else count_on, keys, heavy_rows).isEmpty():
+    small = at_most is not None and at_most <= heavy_rows
+    if small or heavy_keys(df if count_on is None else count_on, keys, heavy_rows).isEmpty():
         group = Window.partitionBy(*keys)
         return df.select("*", *[value.over(group).alias(name) for name, value in aggregates.items()])
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[v.alias(n) for n, v in aggregates.items()])
