@@ -37,7 +37,7 @@ HEADLINE = [
     "wap_publish",
     "dq_suite",
 ]
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 def main() -> None:

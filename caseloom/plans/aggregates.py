@@ -15,7 +15,7 @@ from caseloom.operators.timeline import group_total, track_interactions
 from caseloom.functions.keys import surrogate_key
 from caseloom.plans.joins import cents
 from caseloom.models.marts import provider_unit_mart
-from caseloom.plans.projections import EVENTS_AS_OF, ORDERS_AS_OF, event_cycles
+from caseloom.plans.projections import EVENTS_AS_OF, event_cycles
 from caseloom.plans.registry import query
 from caseloom.sources.tables import table
 
