@@ -224,7 +224,8 @@ def exact_rule_dedup(df: DataFrame, id_col: str, rules: Sequence[KeyRule], withi
 
 def similar_name_counts(df: DataFrame, block: str, value: str, rule: FuzzyRule = FuzzyRule()) -> DataFrame:
     """Similar names per block with their distance, containment and row counts."""
-    pairs = similar_values(df, block, value, rule.edit_max, rule.cont_min)
+    # read by both joins below and by their key counts
+    pairs = cut_lineage(similar_values(df, block, value, rule.edit_max, rule.cont_min), "pairs")
     sizes = df.groupBy(block, value).agg(F.count(F.lit(1)).alias("n"))
     a = sizes.select(block, F.col(value).alias("value_a"), F.col("n").alias("n_a"))
     b = sizes.select(block, F.col(value).alias("value_b"), F.col("n").alias("n_b"))
