@@ -6,6 +6,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from caseloom.plans import ORACLES, QUERIES
 
 FOLDER = entry.SMOKE_DIR
 
@@ -16,13 +17,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_flagship_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
-    assert oracle.differences(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER) == ""
+    assert oracle.differences(spark, con, QUERIES[name], ORACLES[name], FOLDER) == ""
