@@ -14,12 +14,17 @@ from collections.abc import Sequence
 
 import numpy as np
 
-from caseloom.llm.common import CACHE_CHARS, CACHE_WORDS
+from caseloom.llm.common import CACHE_CHARS
+
+#: Parts that a worker remembers, about 200 MB; the table is emptied when full.
+CACHE_PARTS = 1_000_000
 
 # fixed values: the characters with the Unicode property White_Space
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Parts that a byte-level tokenizer never joins: a word with the space before it, a run of white space.
 PARTS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Beyond these characters a text may change by NFC, and lower case may depend on more than the character.
+FAR = re.compile("[^\x00-\u024f]")
 #: str.split() takes these for white space, the tokenizers do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -47,7 +52,7 @@ class Encoder:
     library does by default. ``None`` counts as the empty text.
     """
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
+    def __init__(self, path: str, limit: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.limit, self.special = limit, []
         self.recent: dict[str, bytes] = {}
@@ -62,6 +67,9 @@ class Encoder:
             with open(path, encoding="utf-8") as f:
                 spec = json.load(f)
             self.how = cutting(spec)
+            if self.how == "words":  # for texts that the normaliser would leave as they are
+                spec["normalizer"] = None
+                self.bare = Tokenizer.from_str(json.dumps(spec))
             self.special = [t["content"] for t in spec.get("added_tokens", [])]
         else:
             raise ValueError("a .json or .model file is needed")
@@ -77,11 +85,15 @@ class Encoder:
             return None
         if self.how == "parts":
             return PARTS.findall(text)
-        return None if SEPARATORS.search(text) else text.split()
+        if SEPARATORS.search(text):
+            return None
+        # near characters: what the normaliser would do, so that fewer distinct parts remain
+        return (text.lower() if text.isascii() or not FAR.search(text) else text).split()
 
-    def encode_parts(self, parts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and how many of them each part has."""
-        got = self.model.encode(parts, is_pretokenized=True, add_special_tokens=False)
+    def encode_parts(self, parts: Sequence[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many of them each part has; ``plain`` parts need no normaliser."""
+        model = self.bare if plain else self.model
+        got = model.encode(parts, is_pretokenized=True, add_special_tokens=False)
         counts = np.bincount(np.array(got.word_ids, np.int64), minlength=len(parts)) if got.ids else np.zeros(len(parts), int)
         return np.array(got.ids, "<u4"), counts
 
@@ -95,7 +107,7 @@ class Encoder:
         for parts, got in zip(cuts, found, strict=True):
             if got and None in got:
                 need.update([p for p, g in zip(parts, got, strict=True) if g is None])
-        new = self._encode_new(list(need))
+        new = self._encode_new(need) if need else {}
         out = []
         for text, parts, got in zip(texts, cuts, found, strict=True):
             if got is None:
@@ -106,17 +118,30 @@ class Encoder:
             out.append(b"".join(got))
         return out
 
-    def _encode_new(self, need: list[str]) -> dict[str, bytes]:
-        """Ids of parts seen for the first time; all but long ones are remembered."""
+    def _encode_new(self, need: set[str]) -> dict[str, bytes]:
+        """Ids of parts seen for the first time; all but long ones are remembered.
+
+        A full stop or comma behind a letter or digit is a pre-token of its own where
+        parts are words, so only what is before it is encoded.
+        """
+        known, stems = self.recent, dict.fromkeys(need, "")
+        if self.how == "words":
+            stems = {p: p[:-1] if len(p) > 1 and p[-1] in ".," and p[-2].lower()[-1].isalnum() else "" for p in need}
+        todo = {s or p for p, s in stems.items() if not s or s not in known} | {s for s in (".", ",") if self.how == "words" and s not in known}
+        far = {p for p in todo if not p.isascii() and FAR.search(p) or p != p.lower()} if self.how == "words" else todo
         new: dict[str, bytes] = {}
-        for start in range(0, len(need), 4096):
-            some = need[start : start + 4096]
-            ids, counts = self.encode_parts(some)
-            raw, at = ids.tobytes(), 0
-            for part, end in zip(some, (np.cumsum(counts) * 4).tolist(), strict=True):
-                new[part] = raw[at:end]
-                at = end
-        self.recent.update((p, i) for p, i in new.items() if len(p) <= CACHE_CHARS)
+        for plain, chosen in ((False, list(far)), (True, list(todo - far))):
+            for start in range(0, len(chosen), 4096):
+                some = chosen[start : start + 4096]
+                ids, counts = self.encode_parts(some, plain)
+                raw, at = ids.tobytes(), 0
+                for part, end in zip(some, (np.cumsum(counts) * 4).tolist(), strict=True):
+                    new[part] = raw[at:end]
+                    at = end
+        for part, stem in stems.items():
+            if stem:
+                new[part] = (new[stem] if stem in new else known[stem]) + (new[part[-1]] if part[-1] in new else known[part[-1]])
+        known.update((p, i) for p, i in new.items() if len(p) <= CACHE_CHARS)
         return new
 
 
