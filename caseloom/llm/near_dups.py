@@ -1,24 +1,29 @@
 """Near-duplicates: an inverted join on MinHash coordinates with prefix and skip merging.
 
 A signature has ``COORDINATES`` minima of the shingle set. Two documents are compared
-if their signatures agree in at least ``MATCHES`` coordinates:
+if their signatures agree in a least number of coordinates, the match threshold:
 
 * post: a text's signature is posted under each (coordinate, value) pair;
 * skip: a value that only one text has matches nothing and is left out. Each text may
-  also skip its ``MATCHES - 1`` most frequent pairs (a passage many texts share): two
-  texts with ``MATCHES`` common pairs have one in both of the remaining prefixes, as
+  also skip one pair fewer than the threshold, its most frequent ones (a passage many
+  texts share): two texts with that many common pairs have one in both of the remaining prefixes, as
   all texts order their pairs alike;
 * count: texts that meet under a prefix pair have their collisions counted over the
   whole signatures, and the survivors are confirmed on the full shingle sets.
 
 Only the grouping is asked for, so a posting list of n texts is not expanded into its
-pairs: each text is first compared with a few pivots of the list, and afterwards only
-pairs that are still in different groups are compared. Every pair of different texts
-that meets under a prefix pair is thus either compared or already in one group.
+pairs. Each text is first compared with a few pivots of the list, the most typical text
+among them. In lists that still hold several groups, texts of different groups are then
+compared block by block through longer signatures, inside tasks; only pairs that agree
+in nearly as much as linked texts do are put out, each under one list, and confirmed.
+Every pair of different texts that meets under a prefix pair is thus either compared
+or already in one group.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,9 +33,13 @@ from caseloom.llm.common import WordHashes, column, first_column, matching, mixe
 from caseloom.operators.graph import connected_components
 from caseloom.session import cut_lineage
 
-#: With 32 coordinates, a pair at similarity 0.85 agrees in fewer than 16 with probability 6e-7.
+#: Coordinates of a signature, and of the longer one, which has a byte for each.
 COORDINATES = 32
-MATCHES = 16
+SKETCH = 512
+#: Chance that two texts just similar enough agree in fewer coordinates than are asked for.
+MISS = 1e-6
+#: Texts of a list that meet in one task, once with themselves and once with each other block.
+BLOCK = 1_024
 #: Shingles whose minima are taken at a time.
 CHUNK = 8_192
 
@@ -43,7 +52,19 @@ SIGNATURES = pa.schema(
         ("signature", pa.list_(pa.int32())),
     ]
 )
-SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64())), ("sketch", pa.binary())])
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def least_matches(coordinates: int, percent: int, miss: float = MISS) -> int:
+    """Coordinates in which a pair of that similarity agrees with a chance of at least ``1 - miss``."""
+    p, below, n = percent / 100, 0.0, 0
+    while n < coordinates and p < 1:
+        below += math.comb(coordinates, n) * p**n * (1 - p) ** (coordinates - n)
+        if below > miss:
+            return max(n, 1)
+        n += 1
+    return coordinates
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -91,20 +112,36 @@ def signatures(docs: DataFrame, coordinates: int = COORDINATES, width: int = 5)
     )
 
 
+def sketch_of(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> bytes:
+    """A byte of each of ``SKETCH`` minima, in 32-bit arithmetic."""
+    least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(short), 1_024):
+        part = short[start : start + 1_024, None] * factors + offsets
+        np.minimum(least, part.min(axis=0), out=least)
+    return (mixed(least.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
 def shingle_sets(docs: DataFrame, width: int = 5) -> DataFrame:
-    """Per row the full shingle set."""
+    """Per row the full shingle set and the longer signature."""
 
     def collect(batches):
         hashes = WordHashes()
+        factors, offsets = ((odd_numbers(SKETCH, seed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1) for seed in (7, 9))
         for batch in slices(batches):
-            sets = [shingle_set(words_of(t), hashes, width).view(np.int64) for t in column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([pa.array(column(batch, "doc_id"), pa.int64()), pa.array(sets, SETS.field(1).type)], schema=SETS)
+            sets = [shingle_set(words_of(t), hashes, width) for t in column(batch, "text")]
+            sketches = [sketch_of(s, factors, offsets) for s in sets]
+            arrays = [column(batch, "doc_id"), [s.view(np.int64) for s in sets], sketches]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(arrays, SETS, strict=True)], schema=SETS)
 
-    return first_column(docs, "doc_id", "text").mapInArrow(collect, "doc_id long, shingles array<long>")
+    return first_column(docs, "doc_id", "text").mapInArrow(collect, "doc_id long, shingles array<long>, sketch binary")
 
 
 def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
-    """``(key, rep, size, signature)``: each text under the pairs that it may not skip."""
+    """``(key, rep, weight, keys)``: each text under the pairs that it may not skip.
+
+    ``weight`` grows with the texts that share the text's pairs, ``keys`` are its pairs in order.
+    """
     pairs = classes.select(
         "rep", F.posexplode("signature").alias("place", "value")
     ).select("rep", (F.shiftleft(F.col("place").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)).alias("key"))
@@ -114,7 +151,9 @@ def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     own = own.filter(F.size("own") >= matches)
     # pairs that nobody shares come first in the order: they use up the prefix and match nothing
     kept = F.slice("own", F.lit(1), F.size("own") - (matches - 1))
-    return own.select("rep", F.explode(F.transform(kept, lambda p: p["key"])).alias("key"))
+    weight = F.aggregate("own", F.lit(0).cast("long"), lambda total, p: total + p["n"])
+    rows = own.select("rep", weight.alias("weight"), F.transform(kept, lambda p: p["key"]).alias("keys"))
+    return rows.select("rep", "weight", "keys", F.explode("keys").alias("key"))
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -135,7 +174,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: in
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, width: int = 5, coordinates: int = COORDINATES, matches: int = MATCHES
+    docs: DataFrame, percent: int = 80, width: int = 5, coordinates: int = COORDINATES, miss: float = MISS
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs (doc_id, text)``.
 
@@ -146,6 +185,7 @@ def near_duplicates(
     with nothing and have no component; repeated rows of an id share its result; an
     empty table gives no rows; further columns are not looked at.
     """
+    matches = least_matches(coordinates, percent, miss)
     signed = cut_lineage(signatures(docs, coordinates, width), "signatures")
     prints = ["print_a", "print_b", "n_shingles"]
     classes = cut_lineage(
@@ -160,17 +200,17 @@ def near_duplicates(
     texts = matching(first_column(docs, "doc_id", "text"), candidates, "doc_id", "left_semi")
     sets = cut_lineage(shingle_sets(texts, width).dropDuplicates(["doc_id"]), "sets")
 
-    pivots = postings.groupBy("key").agg(
-        F.min("rep").alias("p0"), F.max("rep").alias("p1"), F.min_by("rep", F.xxhash64("rep")).alias("p2")
-    )
-    starred = postings.join(pivots, "key").select("rep", F.explode(F.array("p0", "p1", "p2")).alias("pivot"))
+    typical = F.max_by("rep", F.struct("weight", "rep"))
+    pivots = postings.groupBy("key").agg(typical.alias("p0"), F.min("rep").alias("p1"), F.min_by("rep", F.xxhash64("rep")).alias("p2"))
+    starred = postings.select("rep", "key").join(pivots, "key").select("rep", F.explode(F.array("p0", "p1", "p2")).alias("pivot"))
     stars = _ordered(starred, "rep", "pivot").distinct()
     linked = cut_lineage(confirmed(stars, classes, sets, matches, percent), "links")
-    first = connected_components(linked, "a", "b")
+    components = connected_components(linked, "a", "b")
 
-    rest = cut_lineage(open_pairs(postings, first, classes, percent), "open")
-    more = confirmed(rest, classes, sets, matches, percent)
-    components = connected_components(linked.unionByName(more), "a", "b")
+    rest = open_pairs(postings, components, classes, sets, percent, least_matches(SKETCH, percent, miss))
+    more = cut_lineage(confirmed(rest, classes, sets, matches, percent), "links")
+    if not more.isEmpty():
+        components = _joined(components, more)
 
     grouped = classes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
         *prints, F.coalesce("component", "rep").alias("component_id")
@@ -186,33 +226,67 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def open_pairs(postings: DataFrame, components: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that meet under a key but are not in one group yet.
+def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links, which join groups or single texts."""
+    components = cut_lineage(components, "components")
+    for side in ("a", "b"):
+        named = components.select(F.col("node").alias(side), F.col("component").alias(f"group_{side}"))
+        links = links.join(named, side, "left").withColumn(f"group_{side}", F.coalesce(f"group_{side}", side))
+    merged = connected_components(links.select("group_a", "group_b"), "group_a", "group_b")
+    merged = cut_lineage(merged.toDF("component", "merged"), "merged")
+    moved = components.join(merged, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
+    single = merged.join(components.select(F.col("node").alias("component")), "component", "left_anti")
+    return moved.unionByName(single.select(F.col("component").alias("node"), F.col("merged").alias("component")))
+
 
-    Groups of a key are paired first and their members looked up afterwards, so
-    members of one group, however large, are never paired with each other.
+def open_pairs(postings: DataFrame, components: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Pairs ``(a, b)`` that meet under a key, are in different groups and may be linked.
+
+    A list is dealt into blocks of about ``BLOCK`` texts, and every two blocks meet in
+    a task of their own. A pair is put out under the first key that both texts have.
     """
     member = (
-        postings.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(classes.select("rep", "n_shingles"), "rep")
-        .select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
+        postings.select("key", "rep", "keys")
+        .join(components.withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
     )
     member = cut_lineage(member, "members")
-    mixed_keys = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    member = member.join(mixed_keys.select("key"), "key")
-    groups = member.groupBy("key", "component").agg(
-        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
+    mixed_keys = member.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")
     )
-
-    def side(df, name):
-        return df.toDF(*[c if c == "key" else f"{c}_{name}" for c in df.columns])
-
-    met = side(groups, "a").join(side(groups, "b"), "key").filter("component_a < component_b")
-    met = met.filter((100 * F.col("most_a") >= percent * F.col("least_b")) & (100 * F.col("most_b") >= percent * F.col("least_a")))
-    pairs = (
-        met.select("key", "component_a", "component_b")
-        .join(side(member, "a"), ["key", "component_a"])
-        .join(side(member, "b"), ["key", "component_b"])
-        .filter(100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b"))
+    mixed_keys = mixed_keys.filter("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    open_members = cut_lineage(member.join(mixed_keys, "key"), "open")
+    needed = open_members.select("rep").distinct()
+    known = needed.join(classes.select("rep", "n_shingles"), "rep").join(
+        sets.select(F.col("doc_id").alias("rep"), "sketch"), "rep"
     )
-    return _ordered(pairs, "rep_a", "rep_b").distinct()
+    rows = open_members.join(known, "rep").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
+
+    def meet(key, table):
+        rep, group, size = (np.array(table.column(c).to_pylist()) for c in ("rep", "component", "n_shingles"))
+        own, keys = np.array(table.column("own").to_pylist()), table.column("keys").to_pylist()
+        bytes_ = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(rep), SKETCH)
+        here, first, second = (k.as_py() for k in key)
+        names, counts = np.unique(group, return_counts=True)
+        a, b = [], []
+        if len(names) > 1:
+            most = names[counts.argmax()]  # its members need not be held against each other
+            for i in np.flatnonzero(group != most).tolist():
+                # of two texts outside the largest group, the later one looks for the earlier
+                test = (group != group[i]) & ((group == most) | (np.arange(len(rep)) < i))
+                if first != second:
+                    test &= own != own[i]
+                test &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
+                at = np.flatnonzero(test)
+                alike = np.count_nonzero(bytes_[at] == bytes_[i], axis=1)
+                for j in at[alike >= matches].tolist():
+                    mine = set(keys[i])
+                    if next(k for k in keys[j] if k in mine) == here:
+                        a.append(min(rep[i], rep[j]))
+                        b.append(max(rep[i], rep[j]))
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=PAIRS)
+
+    columns = ["key", "first", "second", "rep", "component", "n_shingles", "own", "keys", "sketch"]
+    return rows.select(*columns).groupBy("key", "first", "second").applyInArrow(meet, "a long, b long").distinct()
