@@ -24,14 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage
 
-from caseloom.llm.common import column, first_column, on_workers
-from caseloom.session import run_path
+from caseloom.llm.common import bounded, column, first_column, on_workers
+from caseloom.session import cut_lineage, run_path
 
 MANIFEST = "manifest.json"
 #: Bytes after which a task begins another file.
 FILE_BYTES = 256 << 20
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1_000
+#: Repeated payloads whose digests may be broadcast, below 30 MB; with more, pages are shuffled by digest.
+BROADCAST_PAYLOADS = 200_000
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 # fixed values of the format
@@ -259,7 +261,8 @@ def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFra
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
     groups = rows.filter(F.col("size") >= least_bytes).groupBy(F.col("digest"), F.col("size"))
     first = groups.agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    joined = rows.join(first, ["digest", "size"], "left")
+    first = cut_lineage(first, "first")  # a row per payload that is there more than once
+    joined = rows.join(F.broadcast(first) if bounded(first, BROADCAST_PAYLOADS) else first, ["digest", "size"], "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
         "page_id",
