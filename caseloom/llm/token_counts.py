@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +15,9 @@ from pyspark.sql import functions as F
 from caseloom.llm.common import CACHE_CHARS, CACHE_WORDS, column, first_column, slices
 from caseloom.llm.tokens import Encoder
 
-#: Documents that the table of frequent pre-tokens is fitted on.
-SAMPLE_DOCS = 4_000
+#: Documents that the table of frequent pre-tokens is fitted on, and their greatest length: below 40 MB.
+SAMPLE_DOCS = 2_000
+SAMPLE_CHARS = 20_000
 #: Entries of that table, each of at most 64 characters: below 20 MB when broadcast.
 FREQUENT = 50_000
 
@@ -56,29 +56,22 @@ class TwoTierCounts:
         return out
 
 
-def frequent_lengths(docs: DataFrame, path: str, text: str, sample_docs: int, size: int) -> tuple[str, bytes]:
-    """The ``size`` most frequent pre-tokens of ``sample_docs`` documents with their token counts.
+def frequent_lengths(docs: DataFrame, path: str, sample_docs: int, sample_chars: int, size: int) -> tuple[str, bytes]:
+    """The ``size`` most frequent pre-tokens of some documents with their token counts.
 
-    One blob of parts and one byte per length; parts with more than 255 tokens,
-    long ones and ones with a zero character are left to the second tier.
+    At most ``sample_docs`` texts of at most ``sample_chars`` characters are taken,
+    from as few partitions as hold them. One blob of parts and one byte per length;
+    parts with more than 255 tokens, long ones and ones with a zero character are
+    left to the second tier.
     """
-
-    def count(batches):
-        model, seen = Encoder(path), Counter()
-        for batch in slices(batches):
-            for value in column(batch, text, ""):
-                seen.update(model.cut(value) or ())
-        top = [p for p, _ in seen.most_common(size) if len(p) <= CACHE_CHARS and "\0" not in p]
-        counts = model.encode_parts(top)[1] if top else np.zeros(0, int)
-        kept = [(p, n) for p, n in zip(top, counts.tolist(), strict=True) if n < 256]
-        yield pa.RecordBatch.from_pydict(
-            {"parts": ["\0".join(p for p, _ in kept)], "lengths": [bytes(n for _, n in kept)]},
-            pa.schema([("parts", pa.string()), ("lengths", pa.binary())]),
-        )
-
-    sample = first_column(docs, text).limit(sample_docs).coalesce(1)
-    rows = sample.mapInArrow(count, "parts string, lengths binary").collect()  # one bounded row
-    return (rows[0]["parts"], bytes(rows[0]["lengths"])) if rows else ("", b"")
+    texts = first_column(docs, "text").filter(F.length("text") <= sample_chars).take(sample_docs)
+    model, seen = Encoder(path), Counter()
+    for row in texts:
+        seen.update(model.cut(row["text"]) or ())
+    top = [p for p, _ in seen.most_common(size) if len(p) <= CACHE_CHARS and "\0" not in p]
+    counts = model.encode_parts(top)[1].tolist() if top else []
+    kept = [(p, n) for p, n in zip(top, counts, strict=True) if n < 256]
+    return "\0".join(p for p, _ in kept), bytes(n for _, n in kept)
 
 
 def count_tokens(
@@ -90,7 +83,7 @@ def count_tokens(
     no bytes and no tokens; repeated rows and missing ids give a row each; an empty
     table gives none; further columns are not looked at.
     """
-    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, "text", sample_docs, frequent))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, sample_docs, SAMPLE_CHARS, frequent))
 
     def count(batches):
         counts = TwoTierCounts(path, table.value)
