@@ -35,7 +35,7 @@ from caseloom.session import cut_lineage
 
 #: Coordinates of a signature, and of the longer one, which has a byte for each.
 COORDINATES = 32
-SKETCH = 512
+SKETCH = 1_024
 #: Chance that two texts just similar enough agree in fewer coordinates than are asked for.
 MISS = 1e-6
 #: Texts of a list that meet in one task, once with themselves and once with each other block.
@@ -116,8 +116,8 @@ def sketch_of(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) ->
     """A byte of each of ``SKETCH`` minima, in 32-bit arithmetic."""
     least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    for start in range(0, len(short), 1_024):
-        part = short[start : start + 1_024, None] * factors + offsets
+    for start in range(0, len(short), 512):
+        part = short[start : start + 512, None] * factors + offsets
         np.minimum(least, part.min(axis=0), out=least)
     return (mixed(least.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8).tobytes()
 
@@ -201,8 +201,8 @@ def near_duplicates(
     sets = cut_lineage(shingle_sets(texts, width).dropDuplicates(["doc_id"]), "sets")
 
     typical = F.max_by("rep", F.struct("weight", "rep"))
-    pivots = postings.groupBy("key").agg(typical.alias("p0"), F.min("rep").alias("p1"), F.min_by("rep", F.xxhash64("rep")).alias("p2"))
-    starred = postings.select("rep", "key").join(pivots, "key").select("rep", F.explode(F.array("p0", "p1", "p2")).alias("pivot"))
+    pivots = postings.groupBy("key").agg(typical.alias("p0"), F.min_by("rep", F.xxhash64("rep")).alias("p1"))
+    starred = postings.select("rep", "key").join(pivots, "key").select("rep", F.explode(F.array("p0", "p1")).alias("pivot"))
     stars = _ordered(starred, "rep", "pivot").distinct()
     linked = cut_lineage(confirmed(stars, classes, sets, matches, percent), "links")
     components = connected_components(linked, "a", "b")
