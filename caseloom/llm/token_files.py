@@ -183,7 +183,8 @@ class RangeDecoder:
     def consume(self, at, start: np.ndarray, size: np.ndarray) -> None:
         code, rng = self.code[at] - self.step * start.astype(U), self.step * size.astype(U)
         short = rng < LOWEST
-        used = self.used[at]
+        # a damaged block may ask for more words than it has; its checksum tells
+        used = np.minimum(self.used[at], self.words.shape[1] - 1)
         following = self.words[self.lane[at], used]
         self.code[at] = np.where(short, code << U(24) | following, code)
         self.range[at] = np.where(short, rng << U(24), rng)
