@@ -13,12 +13,12 @@ STOP_WORDS = ("de", "da", "do", "das", "dos", "e", "a", "o", "os", "as")
 
 
 def _accent_table() -> tuple[str, str]:
-    """Every composed character up to U+1FFF paired with its base letter."""
+    """Every composed character of the basic plane paired with its base letter."""
     composed, base = [], []
-    for point in range(0x00C0, 0x2000):
+    for point in (*range(0x00C0, 0xD800), *range(0xE000, 0x10000)):
         char = chr(point)
         decomposed = unicodedata.normalize("NFD", char)
-        if len(decomposed) > 1 and all(unicodedata.combining(c) for c in decomposed[1:]):
+        if decomposed != char and all(unicodedata.combining(c) for c in decomposed[1:]):
             composed.append(char)
             base.append(decomposed[0])
     return "".join(composed), "".join(base)

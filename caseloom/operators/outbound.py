@@ -27,9 +27,10 @@ def outbound_value(col: Column, as_millis: bool) -> Column:
 def update_batches(
     df: DataFrame, key: str, cols: Sequence[str], millis_cols: Sequence[str] = (), batch_rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """Payload JSON per row with a batch number, ``batch_rows`` rows to a batch."""
+    """Payload JSON per row with a batch number, ``batch_rows`` rows to a batch; a row without key is an error."""
     cleaned = df.select(
-        F.col(key).cast("long").alias(key), *[outbound_value(F.col(c), c in millis_cols).alias(c) for c in cols]
+        F.coalesce(F.col(key).cast("long"), F.raise_error(F.lit(f"an update row has no {key}")).cast("long")).alias(key),
+        *[outbound_value(F.col(c), c in millis_cols).alias(c) for c in cols]
     )
     numbered = number_rows(cleaned, key, "_no")
     return (

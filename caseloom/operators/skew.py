@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseloom.session import cut_lineage
+
 MAX_HEAVY = 50_000
 HEAVY_ROWS = 1_000_000
 SPREAD = 65_536
@@ -85,13 +87,14 @@ def skew_join(
     if how not in ("left", "inner"):
         raise ValueError("how is 'left' or 'inner'")
     keys = list(keys)
-    frequent = heavy_keys(left if count_on is None else count_on, keys, heavy_rows)
+    frequent = cut_lineage(heavy_keys(left if count_on is None else count_on, keys, heavy_rows), "heavy")
     if frequent.isEmpty():
         return left.join(right, keys, how).select(*left.columns, *[c for c in right.columns if c not in keys])
     frequent = _renamed(frequent.drop("_n"), keys, "_k_")
+    # right has a row per key: no more rows are left of it than there are frequent keys
+    of_frequent = right.join(F.broadcast(frequent), _same_reversed(keys), "left_semi").withColumn("_found", F.lit(True))
     heavy_values = (
-        F.broadcast(frequent)
-        .join(right.withColumn("_found", F.lit(True)), _same_reversed(keys), "left")
+        frequent.join(F.broadcast(of_frequent), _same_reversed(keys), "left")
         .select(*[F.col(f"_k_{k}").alias(k) for k in keys], *[c for c in right.columns if c not in keys], "_found")
     )
     return _two_way_join(left, heavy_values, right, keys, spread_by, False, how)

@@ -244,14 +244,14 @@ def mart_person_rights(spark, sf):
 @query(
     "mart_person_tracking",
     f"""
-    WITH {STAR_SQL}, i AS (SELECT person_id, unit_id, 'visit' AS kind, visit_day AS d FROM f_visits WHERE coalesce(is_cancelled, 'N') <> 'S'
-      UNION ALL SELECT CASE WHEN person_sk IS NOT NULL THEN person_id ELSE member_id END, unit_id, 'note', note_day FROM f_notes WHERE has_unit AND coalesce(note, '') <> ''),
+    WITH {STAR_SQL}, i AS (SELECT person_id, unit_id, 'visit' AS kind, visit_day AS d FROM f_visits WHERE coalesce(is_cancelled, 'N') <> 'S' AND person_id IS NOT NULL
+      UNION ALL SELECT CASE WHEN person_sk IS NOT NULL THEN person_id ELSE member_id END AS p, unit_id, 'note', note_day FROM f_notes WHERE has_unit AND coalesce(note, '') <> '' AND p IN (SELECT person_id FROM d_persons)),
     fam AS (SELECT person_id, family_id FROM members QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY CASE WHEN left_on IS NULL THEN 0 ELSE 1 END, entered_on DESC, family_id DESC) = 1),
     ri AS (SELECT person_id, string_agg(label, '; ' ORDER BY code) FILTER (WHERE label IS NOT NULL) AS t, count(*) AS n FROM person_right GROUP BY 1)
     SELECT i.person_id, i.unit_id, bool_or(kind = 'visit') AS has_visit, bool_or(kind = 'note') AS has_note, count(*) FILTER (WHERE kind = 'visit') AS n_visit, count(*) FILTER (WHERE kind = 'note') AS n_note,
            min(d) AS first_date, max(d) AS last_date, p.name, p.sex, CAST(2024 - year(p.birth) AS INTEGER) AS age, CASE WHEN ri.n IS NOT NULL THEN coalesce(ri.t, '') END AS violations,
            fam.family_id, u.unit_name, u.type_name
-    FROM i JOIN d_persons p ON i.person_id = p.person_id LEFT JOIN fam ON fam.person_id = i.person_id LEFT JOIN ri ON ri.person_id = i.person_id LEFT JOIN d_units u ON u.unit_id = i.unit_id
+    FROM i LEFT JOIN d_persons p ON i.person_id = p.person_id LEFT JOIN fam ON fam.person_id = i.person_id LEFT JOIN ri ON ri.person_id = i.person_id LEFT JOIN d_units u ON u.unit_id = i.unit_id
     GROUP BY ALL
     """,
 )

@@ -36,16 +36,21 @@ def audit(df: DataFrame, partition: str, line: str, expected: DataFrame | None =
     return counts.withColumn("status", verdict)
 
 
-def publish(spark: SparkSession, staged: str, final: str, partition: str, line: str) -> None:
+def publish(
+    spark: SparkSession, staged: str | DataFrame, final: str, partition: str | list[str], line: str, expected: DataFrame | None = None
+) -> None:
     """Audit the staged table, then replace its partitions in the final one.
 
-    Publishing the same staged data twice leaves the same final table.
+    ``partition`` is a column or several, the first of which is audited. ``expected``
+    names the partitions that were promised; one without rows fails. Publishing the
+    same staged data twice leaves the same final table.
     """
-    rows = spark.read.parquet(staged)
-    bad = audit(rows, partition, line).filter("status = 'fail'").limit(1).count()
+    rows = spark.read.parquet(staged) if isinstance(staged, str) else staged
+    columns = [partition] if isinstance(partition, str) else partition
+    bad = audit(rows, columns[0], line, expected).filter("status = 'fail'").limit(1).count()
     if bad:
-        raise RuntimeError(f"audit failed for {staged}")
-    overwrite_partitions(rows, final, [partition])
+        raise RuntimeError(f"audit failed: a partition of {final} is missing or empty")
+    overwrite_partitions(rows, final, columns)
 
 
 def clear_staged(spark: SparkSession, staged: str) -> None:

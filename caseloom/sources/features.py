@@ -34,16 +34,16 @@ def _ring(points: Column) -> Column:
 
 
 def geometry_wkt(geometry: Column) -> Column:
-    """Well-known text: rings as polygon, x/y as point, the first path as line."""
+    """Well-known text: rings as polygon, x/y as point, the first path as line; without parts none."""
     point = F.concat(
         F.lit("POINT ("), geometry["x"].cast("string"), F.lit(" "), geometry["y"].cast("string"), F.lit(")")
     )
     polygon = F.concat(F.lit("POLYGON ("), F.array_join(F.transform(geometry["rings"], _ring), ", "), F.lit(")"))
-    line = F.concat(F.lit("LINESTRING "), _ring(geometry["paths"][0]))
+    line = F.concat(F.lit("LINESTRING "), _ring(F.get(geometry["paths"], F.lit(0))))
     return (
-        F.when(geometry["rings"].isNotNull(), polygon)
+        F.when(F.size(F.coalesce(geometry["rings"], F.array())) > 0, polygon)
         .when(geometry["x"].isNotNull() & geometry["y"].isNotNull(), point)
-        .when(geometry["paths"].isNotNull(), line)
+        .when(F.size(F.coalesce(geometry["paths"], F.array())) > 0, line)
     )
 
 

@@ -1,4 +1,4 @@
-"""Incremental file ingest: each landed file once, each partition replaced as a whole."""
+"""Incremental file ingest: each landed file once, staged, audited, then published."""
 
 from __future__ import annotations
 
@@ -6,26 +6,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.operators.incremental import overwrite_partitions
+from caseloom.sinks.wap import publish, write_staged
+from caseloom.session import run_path
 from caseloom.sources.lines import data_lines, partition_date
 
 
-def ingest_new_files(spark: SparkSession, landing: str, final: str, checkpoint: str, name_part: int = -1) -> None:
+def ingest_new_files(
+    spark: SparkSession, landing: str, final: str, checkpoint: str, name_part: int = -1, rejected: str | None = None
+) -> None:
     """Process the files that arrived since the last run, then stop.
 
-    The stream's checkpoint remembers which files were done. A batch replaces the
-    partitions named by its files, so a batch that is run again after a failure
-    leaves the same table. ``name_part`` is the place of the dated name in the
-    path, -1 for the file itself, -2 for its folder.
+    The stream's checkpoint remembers which files were done. Files of a batch are
+    staged, audited against the partitions that their names promise, and published:
+    ``part_date`` and, inside it, ``file``, so a partition that arrives in several files
+    keeps them all, and a batch that is run again after a failure leaves the same
+    table. A promised partition without data lines stops the run. Lines of files
+    without a date in their name go to the table ``rejected`` (by default beside
+    ``final``). ``name_part`` is the place of the dated name in the path, -1 for the
+    file itself, -2 for its folder.
     """
+    rejected = rejected or f"{final}-rejected"
     lines = (
         spark.readStream.format("text")
         .load(landing)
         .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"))
         .withColumn("part_date", partition_date(F.element_at(F.split("file_path", "/"), name_part)))
+        .withColumn("file", F.md5("file_path"))
     )
 
     def publish_batch(batch: DataFrame, _batch_id: int) -> None:
-        overwrite_partitions(data_lines(batch), final, ["part_date"])
+        undated = batch.filter("part_date IS NULL").drop("part_date")
+        if not undated.isEmpty():
+            overwrite_partitions(undated, rejected, ["file"])
+        dated = batch.filter("part_date IS NOT NULL")
+        if dated.isEmpty():
+            return
+        staged = run_path(spark, "staged")
+        write_staged(data_lines(dated), staged, "part_date")
+        rows = spark.read.schema(dated.schema).parquet(staged)
+        audited = dated.select("part_date").distinct()
+        publish(spark, rows, final, ["part_date", "file"], "line", audited)
 
     query = (
         lines.writeStream.foreachBatch(publish_batch)

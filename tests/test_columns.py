@@ -121,3 +121,8 @@ def test_surrogate_key_marks_null(spark):
 def test_row_hash_sees_null_fields(spark):
     df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
     assert df.select(keys.row_hash(F.col("x"), F.col("y")).alias("h")).distinct().count() == 2
+
+
+def test_accents_beyond_latin_blocks(spark):
+    df = spark.createDataFrame([("\u212b\u212a \u1ebe",)], "s string")
+    assert df.select(text.strip_accents(F.col("s"))).first()[0] == "AK E"

@@ -161,13 +161,11 @@ def test_similar_values_equal_brute_force(spark):
     rng = random.Random(3)
     words = ["ana", "ane", "maria", "mario", "jo", "joao", "silva", "silvia", "souza", "li", "a"]
     names = {" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) for _ in range(160)}
-    names |= {n[:-1] for n in list(names)[:40] if len(n) > 2} | {"x", "xy", "xyz", "zzzz"}
-    names = sorted(n.strip() for n in names if n.strip())
-    df = spark.createDataFrame([(rng.choice("pq"), n) for n in names], "blk string, v string")
-    by_block = {r["v"]: r["blk"] for r in df.collect()}
-    expected = sorted(
-        (by_block[a], a, b) for a in set(names) for b in set(names) if a < b and by_block[a] == by_block[b] and alike(a, b)
-    )
+    names |= {n[:-1] for n in sorted(names)[:40] if len(n) > 2} | {"x", "xy", "xyz", "zzzz"}
+    names = sorted({n.strip() for n in names} - {""})
+    blocked = [(rng.choice("pq"), n) for n in names]
+    df = spark.createDataFrame(blocked, "blk string, v string")
+    expected = sorted((p, a, b) for p, a in blocked for q, b in blocked if a < b and p == q and alike(a, b))
     assert rows(matching.similar_values(df, "blk", "v")) == expected and len(expected) > 50
 
 

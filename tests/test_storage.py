@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from caseloom.models.registry import Model, Warehouse
 from caseloom.operators.incremental import latest_partition, overwrite_partitions, partitions_missing
+from caseloom.operators.outbound import update_batches
 from caseloom.quality import rules
 from caseloom.sinks import tables, wap
 from caseloom.sources import features, lines
@@ -123,6 +124,29 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert rows(got) == [("1;a", "2025-01-01"), ("2;b", "2025-01-01"), ("3;c", "2025-02-01")]
 
 
+def test_stream_keeps_earlier_files_of_a_partition_and_sets_undated_ones_apart(spark, tmp_path):
+    landing, final, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    landing.mkdir()
+    (landing / "P1.C2501.TXT").write_text("1;a\n2;b\n")
+    ingest_new_files(spark, str(landing), final, checkpoint)
+    (landing / "P2.C2501.TXT").write_text("3;c\n")
+    (landing / "NAMELESS.TXT").write_text("4;d\n")
+    ingest_new_files(spark, str(landing), final, checkpoint)
+    assert rows(spark.read.parquet(final).select("line")) == [("1;a",), ("2;b",), ("3;c",)]
+    assert rows(spark.read.parquet(f"{final}-rejected").select("line")) == [("4;d",)]
+    (landing / "P3.C2503.TXT").write_text("HEADER\n")
+    with pytest.raises(Exception, match="missing or empty"):
+        ingest_new_files(spark, str(landing), final, checkpoint)
+
+
+def test_geometry_without_parts_and_rows_without_key(spark):
+    shape = "x double, y double, rings array<array<array<double>>>, paths array<array<array<double>>>"
+    df = spark.createDataFrame([((None, None, None, []),), ((None, None, [], None),), ((1.0, 2.0, [], []),)], f"geometry struct<{shape}>")
+    assert [r.geometry for r in features.with_geometry(df).collect()] == [None, None, "POINT (1.0 2.0)"]
+    with pytest.raises(Exception, match="without|no k"):
+        update_batches(spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string"), "k", ["v"]).collect()
+
+
 def test_rules(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 5), (1, None, -1), (2, "z", None)], "id int, s string, n int")
     checks = [
