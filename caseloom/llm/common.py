@@ -17,7 +17,7 @@ BROADCAST_ROWS = 500_000
 #: Rows turned into Python objects at a time.
 SLICE_ROWS = 128
 #: Entries of a worker's word table; it is emptied when full.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: Longer words are computed each time and never kept.
 CACHE_CHARS = 64
 

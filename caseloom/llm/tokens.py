@@ -16,8 +16,8 @@ import numpy as np
 
 from caseloom.llm.common import CACHE_CHARS
 
-#: Parts that a worker remembers, about 200 MB; the table is emptied when full.
-CACHE_PARTS = 1_000_000
+#: Parts that a worker remembers, about 140 MB; the table is emptied when full.
+CACHE_PARTS = 700_000
 
 # fixed values: the characters with the Unicode property White_Space
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
