@@ -168,6 +168,8 @@ def fct_notes(
     for df in tagged[1:]:
         notes = notes.unionByName(df, allowMissingColumns=True)
     notes = notes.withColumn("note_sk", surrogate_key(F.col("module"), F.col("note_id"), F.col("person_id")))
+    # read by the joins below and by their key counts
+    notes = cut_lineage(notes, "note-rows")
     with_person = skew_join(notes, persons.select("person_id", "person_sk"), ["person_id"], ["note_id"])
     with_provider = skew_join(with_person, providers.select("provider_id", "provider_sk"), ["provider_id"], ["note_id"], count_on=notes)
     return with_provider.join(units.select("unit_id", "unit_sk"), "unit_id", "left")

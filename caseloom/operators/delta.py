@@ -73,10 +73,13 @@ def new_entrants(latest: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return latest.join(known.select(key).distinct(), key, "left_anti")
 
 
-def leavers(known: DataFrame, history: DataFrame, key: str, partition: str) -> DataFrame:
-    """Known keys missing from the last partition, with the last one they were seen in."""
+def leavers(known: DataFrame, history: DataFrame, key: str, partition: str, newest: Column | None = None) -> DataFrame:
+    """Known keys missing from the last partition, with the last one they were seen in.
+
+    A caller that knows the last partition passes it and saves a scan.
+    """
     last = history.groupBy(key).agg(F.max(partition).alias("last_seen"))
-    newest = history.agg(F.max(partition).alias("m"))
+    newest = history.agg(F.max(partition).alias("m")).scalar() if newest is None else newest
     seen = known.select(key).distinct().join(last, key, "left")
-    absent = F.col("last_seen").isNull() | (F.col("last_seen") < newest.scalar())
+    absent = F.col("last_seen").isNull() | (F.col("last_seen") < newest)
     return seen.filter(absent)

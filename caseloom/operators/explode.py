@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.codes import Domain, map_domain
 from caseloom.functions.dates import as_date, day_range
 from caseloom.functions.text import trim_space
-from caseloom.operators.skew import attach_group, heavy_keys
+from caseloom.operators.skew import attach_group
 
 
 def code_tokens(col: Column, separator: str = ",", none_mark: str = "N") -> Column:
@@ -67,20 +67,17 @@ def nest_children(
     out: str = "items",
     part_rows: int = 100_000,
 ) -> DataFrame:
-    """Children as an ordered array of structs per key.
+    """Children as ordered arrays of structs, one row per (key, part).
 
-    A key with more than ``part_rows`` children is spread over several rows told
-    apart by ``part``, so no array outgrows a task. ``order_by`` fields must
-    identify a child within its key.
+    A key has one part per ``part_rows`` children, rounded up, and its children go to
+    parts by the hash of ``order_by``, so no array outgrows a task. Values per key are
+    aggregated over the parts. ``order_by`` fields must identify a child within its key.
     """
     keys = list(keys)
     children = df.select(*keys, *fields)
-    if heavy_keys(children, keys, part_rows).isEmpty():
-        parted = children.withColumn("part", F.lit(0))
-    else:
-        sized = attach_group(children, keys, {"_size": F.count(F.lit(1))}, list(fields))
-        parts = F.ceil(F.col("_size") / part_rows)
-        parted = sized.withColumn("part", F.pmod(F.xxhash64(*order_by), parts).cast("int"))
+    sized = attach_group(children, keys, {"_size": F.count(F.lit(1))}, list(fields))
+    parts = F.ceil(F.col("_size") / part_rows)
+    parted = sized.withColumn("part", F.pmod(F.xxhash64(*order_by), parts).cast("int"))
     ordered = [*order_by, *[f for f in fields if f not in order_by]]
     items = F.array_sort(F.collect_list(F.struct(*ordered)))
     return parted.groupBy(*keys, "part").agg(items.alias(out))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,11 +52,11 @@ def _inside(source: Column, tag: str) -> Column:
 
 
 def note_fields(
-    df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3", wanted: str | None = None
+    df: DataFrame, id_cols: Sequence[str], html: str, block: str = "p", title: str = "h3", wanted: Sequence[str] = ()
 ) -> DataFrame:
     """Notes with their title, remarks and the array of (label, value) of the first block.
 
-    With ``wanted`` only notes of that title that have fields. The text is searched
+    With ``wanted`` only notes of those titles that have fields. The text is searched
     in one projection; the test is made on the exploded struct, because a filter
     above would be pushed down and search the text again.
     """
@@ -70,8 +70,8 @@ def note_fields(
         F.regexp_extract_all(_inside(source, block), F.lit(FIELD_PATTERN), F.lit(0)).alias("_pieces"),
     )
     pieces = F.col("_pieces")
-    if wanted is not None:
-        pieces = F.when((F.col("form_title") == wanted) & (F.size("_pieces") > 0), pieces)
+    if wanted:
+        pieces = F.when(F.col("form_title").isin(*wanted) & (F.size("_pieces") > 0), pieces)
     parsed = F.filter(F.array(_label_and_value(pieces)), lambda f: f.isNotNull())
     kept = [c for c in found.columns if c != "_pieces"]
     return found.select(*kept, F.explode(parsed).alias("fields"))
@@ -150,7 +150,7 @@ def extract_form(
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    notes = note_fields(df.filter(present), keys + order, html, wanted=title)
+    notes = note_fields(df.filter(present), keys + order, html, wanted=[title])
     pivoted = notes.select(*keys, *order, *[f.of_note() for f in fields])
     per_key = pivoted.groupBy(*keys, *order).agg(*[f.of_notes() for f in fields])
     if order:
@@ -159,3 +159,29 @@ def extract_form(
         per_key = newest.select(*keys, "_v.*")
     extra = [F.lit(True).alias(flag)] if flag else []
     return per_key.select(*keys, *extra, *[f.typed(F.col(f.name)).alias(f.name) for f in fields])
+
+
+def extract_forms(
+    df: DataFrame, keys: Sequence[str], html: str, forms: Mapping[str, Sequence[Field]]
+) -> DataFrame:
+    """One typed row per key from its notes of several titles, read in one pass.
+
+    ``forms`` maps a title to the fields taken from its notes; field names are unique
+    over all titles. A key without notes of a title has NULL in that title's fields.
+    """
+    keys = list(keys)
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    notes = note_fields(df.filter(present), keys, html, wanted=list(forms))
+    fields = [f for listed in forms.values() for f in listed]
+    own = [
+        F.when(F.col("form_title") == title, f.of_note()).alias(f.name) for title, listed in forms.items() for f in listed
+    ]
+    per_key = notes.select(*keys, "form_title", *own).groupBy(*keys).agg(
+        *[f.of_notes() for f in fields], *[F.bool_or(F.col("form_title") == t).alias(f"_has_{i}") for i, t in enumerate(forms)]
+    )
+    typed = [
+        F.when(F.col(f"_has_{i}"), f.typed(F.col(f.name))).alias(f.name) for i, listed in enumerate(forms.values()) for f in listed
+    ]
+    return per_key.select(*keys, *typed)

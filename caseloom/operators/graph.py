@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseloom.operators.skew import HEAVY_ROWS, attach_group
-from caseloom.session import cut_lineage
+from caseloom.session import cut_lineage, remove_folder, run_path
 
 MAX_ROUNDS = 60
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h"),
-    ).first()
-    return (row["n"], row["h"])
+def _written(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
+    """The round's edges, their folder, and a fingerprint taken while they were written."""
+    seen = Observation()
+    counted = edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")
+    )
+    path = run_path(edges.sparkSession, "edges")
+    counted.write.parquet(path)
+    return edges.sparkSession.read.schema(edges.schema).parquet(path), path, (seen.get["n"], seen.get["h"])
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -33,15 +36,15 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         .filter(F.col("hi") != F.col("lo"))
         .distinct()
     )
-    current = cut_lineage(current, "edges")
-    before = _fingerprint(current)
+    current, folder, before = _written(current)
     for _ in range(MAX_ROUNDS):
         size = 2 * before[0]
         stars = _large_star(current, size)
         if size > HEAVY_ROWS:  # read more than once below
             stars = cut_lineage(stars, "stars")
-        current = cut_lineage(_small_star(stars, size), "edges")
-        after = _fingerprint(current)
+        last = folder
+        current, folder, after = _written(_small_star(stars, size))
+        remove_folder(edges.sparkSession, last)
         if after == before:
             labels = current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
             roots = labels.select(F.col("component").alias("node"), "component").distinct()

@@ -50,9 +50,10 @@ def parse_layout(
     ``inserted`` maps a field count to the place from which fields sit one to the
     right, e.g. ``{35: 25}``: lines of 35 fields carry one extra field before 25.
     """
-    rows = df.filter(F.trim(line) != "").withColumn(
-        "_f", F.split(F.replace(F.col(line), F.lit('"'), F.lit("")), separator)
-    )
+    # blank lines are dropped by the explosion: a filter on the line would be pushed
+    # below the projection that makes it, and compute it twice
+    fields = F.when(F.trim(line) != "", F.split(F.replace(F.col(line), F.lit('"'), F.lit("")), separator))
+    rows = df.withColumn("_f", F.explode(F.filter(F.array(fields), lambda f: f.isNotNull())))
     rows = rows.withColumn("field_count", F.size("_f"))
 
     def raw(p: Position) -> Column:

@@ -123,11 +123,10 @@ def _name_links(
     ).filter("a <> '' and b <> ''")
     named = cut_lineage(named, "names")
     nodes = cut_lineage(named.groupBy("k", "a", "b").agg(F.min("id").alias("id")), "nodes")
-    whole = nodes.withColumn("all", F.lit(0))
     sim_a = _both_ways(similar_values(nodes, "k", "a", rule.edit_max, rule.cont_min), nodes, "k", "a")
-    sim_b = _both_ways(similar_values(whole, "all", "b", rule.edit_max, rule.cont_min), whole, "all", "b").drop("all")
+    sim_b = _both_ways(similar_values(nodes, "k", "b", rule.edit_max, rule.cont_min), nodes, "k", "b")
     step_a = nodes.join(sim_a.withColumnsRenamed({"value": "a", "other": "a2"}), ["k", "a"])
-    step_b = step_a.join(sim_b.withColumnsRenamed({"value": "b", "other": "b2"}), "b")
+    step_b = step_a.join(sim_b.withColumnsRenamed({"value": "b", "other": "b2"}), ["k", "b"])
     targets = nodes.select("k", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("id").alias("id2"))
     links = step_b.join(targets, ["k", "a2", "b2"]).select("k", "a", "b", "id", "id2")
     return named, cut_lineage(links, "links")

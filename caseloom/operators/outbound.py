@@ -14,27 +14,34 @@ from caseloom.operators.skew import number_rows
 BATCH_ROWS = 100
 
 
+def iso_day_millis(text: Column) -> Column:
+    """UTC epoch millis of an ISO date, NULL for any other text."""
+    is_date = F.trim(text).rlike(r"^\d{4}-\d{2}-\d{2}$")
+    return date_to_epoch_millis(F.when(is_date, F.trim(text).try_cast("date")))
+
+
 def outbound_value(col: Column, as_millis: bool) -> Column:
-    """Null words dropped; an ISO date becomes UTC epoch millis where asked for."""
-    clean = null_words(col.cast("string"))
+    """Text as it is, or where asked for an ISO date as a number: a variant holds either."""
     if not as_millis:
-        return clean
-    is_date = F.trim(clean).rlike(r"^\d{4}-\d{2}-\d{2}$")
-    day = F.when(is_date, F.trim(clean).try_cast("date"))
-    return F.coalesce(date_to_epoch_millis(day).cast("string"), clean)
+        return col
+    return F.coalesce(iso_day_millis(col).cast("variant"), col.cast("variant"))
 
 
 def update_batches(
     df: DataFrame, key: str, cols: Sequence[str], millis_cols: Sequence[str] = (), batch_rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """Payload JSON per row with a batch number, ``batch_rows`` rows to a batch; a row without key is an error."""
+    """Payload JSON per row with a batch number, ``batch_rows`` rows to a batch; a row without key is an error.
+
+    Null words are dropped. In the payload, dates of ``millis_cols`` are numbers.
+    """
     cleaned = df.select(
         F.coalesce(F.col(key).cast("long"), F.raise_error(F.lit(f"an update row has no {key}")).cast("long")).alias(key),
-        *[outbound_value(F.col(c), c in millis_cols).alias(c) for c in cols]
+        *[null_words(F.col(c).cast("string")).alias(c) for c in cols],
     )
     numbered = number_rows(cleaned, key, "_no")
+    attributes = F.struct(key, *[outbound_value(F.col(c), c in millis_cols).alias(c) for c in cols])
     return (
         numbered.withColumn("batch", F.floor((F.col("_no") - 1) / batch_rows).cast("long"))
-        .withColumn("payload", F.to_json(F.struct(key, *cols), {"ignoreNullFields": "false"}))
+        .withColumn("payload", F.to_json(F.struct(attributes.alias("attributes")), {"ignoreNullFields": "false"}))
         .drop("_no")
     )

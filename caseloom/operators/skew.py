@@ -155,15 +155,16 @@ def distinct_right(right: DataFrame, *keys: str) -> DataFrame:
     return right.select(*keys).distinct()
 
 
-def number_rows(df: DataFrame, id_col: str, out: str, width: int = 100_000) -> DataFrame:
+def number_rows(df: DataFrame, id_col: str, out: str, ranges: int | None = None) -> DataFrame:
     """Dense numbers 1..n in the order of a unique integer id, without one global sort.
 
-    Ids are cut into ranges of ``width``; each range is numbered on its own and
-    shifted by the row count of the ranges before it.
+    Rows are dealt out by sampled quantiles of the ids, so sparse or uneven ids give
+    ranges of like size. The ranges are written once; each is numbered on its own and
+    shifted by the row count of those before it, one row per range.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(id_col) / width))
+    dealt = df.repartitionByRange(id_col) if ranges is None else df.repartitionByRange(ranges, id_col)
+    ranged = cut_lineage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    # one row per range of ids: n / width rows in all
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
     inside = Window.partitionBy("_range").orderBy(id_col)

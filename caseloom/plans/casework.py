@@ -118,6 +118,7 @@ RAW: dict[str, list[tuple[str, str, dict[str, str]]]] = {
     "visits": [("orders", "true", {
         "module": "CASE WHEN o_orderkey % 2 = 0 THEN 'family' ELSE 'person' END", "visit_id": "o_orderkey", "unit_id": "CAST(o_orderkey % 25 AS INT)",
         "person_id": "o_custkey", "provider_id": "CASE WHEN o_orderkey % 6 <> 0 THEN o_orderkey % 90 END", "visit_day": "CAST(o_orderdate AS DATE)",
+        "visit_hour": "concat('0', CAST(o_orderkey % 10 AS STRING), ':30')",
         "visit_name": "CASE o_orderkey % 4 WHEN 0 THEN 'Recepção inicial' WHEN 1 THEN 'Ação CadÚnico' WHEN 2 THEN 'Visita domiciliar' ELSE 'Escuta' END",
         "is_cancelled": "CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderstatus = 'P' THEN 'S' ELSE 'N' END",
         "shared_providers": "CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN concat('00', CAST(o_orderkey % 50 AS STRING), ',12,,x') ELSE '7, 007' END",

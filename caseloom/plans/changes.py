@@ -238,7 +238,7 @@ def staging_gap(spark, sf):
     WITH {STATES_SQL}, d AS (SELECT n.objectid, n.segment, n.nation FROM n JOIN o ON CAST(n.objectid AS VARCHAR) = o.objectid WHERE {DIFFERS_SQL}),
     b AS (SELECT (row_number() OVER (ORDER BY objectid) - 1) // 100 AS batch, * FROM d)
     SELECT batch, count(*) AS n_rows, min(objectid) AS first_id, max(objectid) AS last_id, count(segment) AS n_segment,
-           min('{{"objectid":' || objectid || ',"segment":' || coalesce('"' || segment || '"', 'null') || ',"entered":"' || (788918400000 + objectid * 86400000) || '"}}') AS first_payload
+           min('{{"attributes":{{"objectid":' || objectid || ',"segment":' || coalesce('"' || segment || '"', 'null') || ',"entered":' || (788918400000 + objectid * 86400000) || '}}}}') AS first_payload
     FROM b GROUP BY 1
     """,
 )

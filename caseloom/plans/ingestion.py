@@ -104,7 +104,8 @@ def landed_pages(spark, sf):
     )
     # a page holds PAGE_ROWS consecutive ids at most
     pages = features.groupBy("page").agg(F.collect_list("f").alias("features"))
-    body = F.to_json(F.struct("features", F.lit(True).alias("exceededTransferLimit")))
+    last = features.agg(F.max("page")).scalar()
+    body = F.to_json(F.struct("features", (F.col("page") < last).alias("exceededTransferLimit")))
     folder = run_path(spark, "pages")
     pages.select(body.alias("value"), "page").write.partitionBy("page").text(folder)
     return read_feature_pages(spark, folder, FEATURE_FIELDS)

@@ -283,12 +283,14 @@ def suggested_status(spark, sf):
 
 
 def _presence(spark, sf):
-    """Member keys (user and type) by day, and the keys known after the first day."""
-    seen = table(spark, sf, "events").select(
+    """Member keys (user and type) by day, the keys known after the first day, and the last day."""
+    events = table(spark, sf, "events")
+    # both days from one aggregate of the stored column
+    span = events.agg(F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last")).first()
+    seen = events.select(
         F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("member"), F.to_date("ts").alias("day")
     ).distinct()
-    first = seen.agg(F.min("day")).scalar()
-    return seen, seen.filter(F.col("day") == first).select("member")
+    return seen, seen.filter(F.col("day") == F.lit(span["first"])).select("member"), F.lit(span["last"])
 
 
 PRESENCE_SQL = """
@@ -306,9 +308,8 @@ PRESENCE_SQL = """
     """,
 )
 def new_entrants_anti_join(spark, sf):
-    seen, known = _presence(spark, sf)
-    latest = seen.filter(F.col("day") == seen.agg(F.max("day")).scalar())
-    return new_entrants(latest, known, "member")
+    seen, known, last = _presence(spark, sf)
+    return new_entrants(seen.filter(F.col("day") == last), known, "member")
 
 
 @query(
@@ -320,8 +321,8 @@ def new_entrants_anti_join(spark, sf):
     """,
 )
 def leavers_last_seen(spark, sf):
-    seen, known = _presence(spark, sf)
-    return leavers(known, seen, "member", "day")
+    seen, known, last = _presence(spark, sf)
+    return leavers(known, seen, "member", "day", last)
 
 
 @query(

@@ -151,23 +151,44 @@ def mart_stay_goal_snapshot(spark, sf):
 @query(
     "mart_visits_report",
     f"""
-    WITH {STAR_SQL}, v AS (SELECT f.*, 'occ ' || (f.provider_id % 5) AS occupation, visit_day AS registered FROM f_visits f),
+    WITH {STAR_SQL}, s AS (SELECT * FROM f_visits UNION ALL SELECT * REPLACE (visit_id + 100000000 AS visit_id, md5(visit_sk || 'again') AS visit_sk,
+                                 CASE WHEN visit_id % 3 = 0 THEN '23:00' ELSE visit_hour END AS visit_hour) FROM f_visits WHERE visit_id % 4 = 1),
+    v AS (SELECT s.*, 'occ ' || (s.provider_id % 5) AS occupation, p.provider_name, u.type_name, s.visit_day AS registered
+          FROM s LEFT JOIN d_providers p ON s.provider_id = p.provider_id LEFT JOIN d_units u ON s.unit_id = u.unit_id),
     k AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY registered, visit_sk) = 1
-          AND row_number() OVER (PARTITION BY provider_id, visit_day, visit_name, person_id, unit_id ORDER BY registered, visit_sk) = 1),
+          AND row_number() OVER (PARTITION BY provider_id, visit_hour, visit_day, visit_name, person_id, unit_id ORDER BY registered, visit_sk) = 1),
     x AS (SELECT k.*, {age_sql('p.birth', STAYS_AS_OF)} AS age FROM k LEFT JOIN d_persons p ON k.person_id = p.person_id)
-    SELECT CASE WHEN visit_name LIKE '%Recepção%' OR (visit_name LIKE '%CadÚnico%' AND occupation NOT IN ('occ 1', 'occ 2')) THEN 'Atendimento Recepção'
+    SELECT CASE WHEN visit_name LIKE '%Recepção%' THEN 'Atendimento Recepção' WHEN provider_name = 'Supplier#000000007' THEN 'Atendimento Recepção'
+                WHEN occupation IN ('occ 3', 'occ 4') AND visit_name LIKE '%CadÚnico%' THEN 'Atendimento Recepção'
                 WHEN occupation IN ('occ 1', 'occ 2') THEN 'Atendimento Técnico' ELSE 'Outros Atendimentos' END AS visit_kind,
            CASE WHEN age <= 17 THEN 'Até 17 anos' WHEN age <= 29 THEN 'De 18 a 29 anos' WHEN age <= 44 THEN 'De 30 a 44 anos' WHEN age <= 59 THEN 'De 45 a 59 anos'
-                WHEN age <= 74 THEN 'De 60 a 74 anos' WHEN age > 74 THEN 'Mais de 75 anos' ELSE 'Não Informado' END AS age_band, count(*) AS n_visits, min(visit_sk) AS first_key
-    FROM x GROUP BY 1, 2
+                WHEN age <= 74 THEN 'De 60 a 74 anos' WHEN age > 74 THEN 'Mais de 75 anos' ELSE 'Não Informado' END AS age_band,
+           CASE WHEN occupation IN ('occ 3', 'occ 4') AND visit_name LIKE '%CadÚnico%' AND type_name = 'ASIA' THEN 'ASIA - Recepção - Ação CadÚnico'
+                WHEN occupation IN ('occ 3', 'occ 4') AND visit_name LIKE '%CadÚnico%' AND type_name = 'EUROPE' THEN 'EUROPE - Recepção - Ação CadÚnico'
+                ELSE visit_name END AS visit_label, count(*) AS n_visits, min(visit_sk) AS first_key
+    FROM x GROUP BY 1, 2, 3
     """,
 )
 def mart_visits_report(spark, sf):
     case = Casework(spark, sf)
     occupation = F.concat(F.lit("occ "), (F.col("provider_id") % 5).cast("string"))
-    visits = case.visits.withColumn("occupation", occupation).withColumn("registered", F.col("visit_day"))
-    report = marts.visits_report(visits, case.persons, ["occ 1", "occ 2"], STAYS_AS_OF)
-    return report.groupBy("visit_kind", "age_band").agg(F.count(F.lit(1)).alias("n_visits"), F.min("visit_sk").alias("first_key"))
+    # every fourth visit is reported again, some of them for another hour
+    again = case.visits.filter("visit_id % 4 = 1").withColumns({
+        "visit_id": F.col("visit_id") + 100000000,
+        "visit_sk": F.md5(F.concat("visit_sk", F.lit("again"))),
+        "visit_hour": F.when(F.col("visit_id") % 3 == 0, "23:00").otherwise(F.col("visit_hour")),
+    })
+    visits = (
+        case.visits.unionByName(again)
+        .join(case.providers.select("provider_id", "provider_name"), "provider_id", "left")
+        .join(case.units.select("unit_id", "type_name"), "unit_id", "left")
+        .withColumns({"occupation": occupation, "registered": F.col("visit_day")})
+    )
+    renamed = {"ASIA": "ASIA - Recepção - Ação CadÚnico", "EUROPE": "EUROPE - Recepção - Ação CadÚnico"}
+    report = marts.visits_report(
+        visits, case.persons, ["occ 3", "occ 4"], ["occ 1", "occ 2"], "Supplier#000000007", renamed, STAYS_AS_OF
+    )
+    return report.groupBy("visit_kind", "age_band", "visit_label").agg(F.count(F.lit(1)).alias("n_visits"), F.min("visit_sk").alias("first_key"))
 
 
 @query(

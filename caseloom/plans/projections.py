@@ -502,10 +502,8 @@ def heartbeat_scalar(spark, sf):
     """,
 )
 def latest_partition_scan(spark, sf):
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("part_month")
-    )
-    return latest_partition(orders, "part_month")
+    latest = latest_partition(table(spark, sf, "orders"), "o_orderdate", unit="month")
+    return latest.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("part_month"))
 
 
 @query(

@@ -11,29 +11,36 @@ from caseloom.plans.registry import query
 from caseloom.sources.tables import table
 
 
+def follow_up_notes(spark, sf):
+    """Notes with a repeated label, a tag that is not closed, an empty first block, a second block and remarks."""
+    key = F.col("o_orderkey")
+    block = F.concat(
+        F.lit("Day: <b>"), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("</b><br>Reason :<b> "), F.col("o_orderstatus"), F.lit(" </b>"),
+        F.when(key % 3 == 0, F.concat(F.lit("<br/>Reason: <b>"), F.col("o_orderpriority"), F.lit("</b>"))).otherwise(""),
+        F.when(key % 7 == 0, "<br>Open: <b>not closed<br>").otherwise("<i>"),
+        F.lit("Clerk <b></b>"),
+    )
+    note = F.concat(
+        F.lit("<h3>Follow-up "), (key % 4).cast("string"), F.lit("</h3><p>"), F.when(key % 11 == 0, "").otherwise(block),
+        F.lit("</p><p>Second: <b>not read</b></p>"),
+        F.when(key % 2 == 0, F.concat(F.lit("\n<h3>OBSERVAÇÕES</h3> seen by\n"), F.col("o_custkey").cast("string"))).otherwise(""),
+    )
+    return table(spark, sf, "orders").select("o_orderkey", note.alias("note"))
+
+
 @query(
     "html_fields",
-    r"""
-    WITH n AS (SELECT page_id, CASE WHEN regexp_matches(html, '<h1>(.*?)</h1>') THEN regexp_extract(html, '<h1>(.*?)</h1>', 1) END AS form_title,
-                      CASE WHEN regexp_matches(html, '<article>(.*?)</article>') THEN regexp_extract(html, '<article>(.*?)</article>', 1) END AS block
-               FROM pages WHERE html LIKE '%<b>%'),
-    f AS (SELECT page_id, form_title, u.field FROM n, unnest(regexp_extract_all(block, '[^<]+?:?\s*<b>[^<]*</b>')) AS u(field) WHERE block IS NOT NULL),
-    v AS (SELECT page_id, form_title, trim(regexp_replace(regexp_extract(field, '^(.*?):?\s*<b>', 1), '^.*?>', '')) AS label,
-                 trim(regexp_extract(field, '<b>([^<]*)</b>', 1)) AS value FROM f)
-    SELECT page_id, max(md5(form_title)) AS title_key, count(*) AS n_fields, count(DISTINCT value) AS n_values, min(length(label)) AS shortest_label,
-           max(md5(label || value)) AS field_key
-    FROM v GROUP BY 1
+    """
+    WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS day, o_orderstatus, o_orderpriority, 'Follow-up ' || (o_orderkey % 4) AS form_title,
+                      CASE WHEN o_orderkey % 2 = 0 THEN 'seen by' || chr(10) || o_custkey END AS remarks
+               FROM orders WHERE o_orderkey % 11 <> 0),
+    f AS (SELECT o_orderkey, 'Day' AS label, day AS value FROM o UNION ALL SELECT o_orderkey, 'Reason', o_orderstatus FROM o
+          UNION ALL SELECT o_orderkey, 'Reason', o_orderpriority FROM o WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'Clerk', '' FROM o)
+    SELECT o_orderkey, form_title, label, value, remarks FROM f JOIN o USING (o_orderkey)
     """,
 )
-def page_fields(spark, sf):
-    fields = html_fields(table(spark, sf, "pages"), ["page_id"], "html", block="article", title="h1")
-    return fields.groupBy("page_id").agg(
-        F.max(F.md5("form_title")).alias("title_key"),
-        F.count(F.lit(1)).alias("n_fields"),
-        F.count_distinct("value").alias("n_values"),
-        F.min(F.length("label")).cast("long").alias("shortest_label"),
-        F.max(F.md5(F.concat("label", "value"))).alias("field_key"),
-    )
+def labelled_fields(spark, sf):
+    return html_fields(follow_up_notes(spark, sf), ["o_orderkey"], "note")
 
 
 FORM_TITLE = "Order follow-up"

@@ -6,23 +6,32 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseloom.session import remove_folder
+
 
 def swap_table(df: DataFrame, name: str, base: str) -> str:
     """Replace a table at one stroke and return the folder of its new version.
 
     The rows are written to a folder of their own and read back once; only then
     is the catalog entry pointed at them. Readers see the old or the new version,
-    and a failed load leaves the old one in place.
+    and a failed load leaves the old one in place and its own folder is removed. A table
+    whose columns change is defined anew; its rows are outside the catalog and stay.
     """
     spark = df.sparkSession
     path = f"{base}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.read.schema(df.schema).parquet(path).limit(1).count()
-    if spark.catalog.tableExists(name):
+    try:
+        df.write.parquet(path)
+        spark.read.schema(df.schema).parquet(path).limit(1).count()
+    except Exception:
+        remove_folder(spark, path)
+        raise
+    columns = lambda schema: [(f.name, f.dataType) for f in schema.fields]
+    if spark.catalog.tableExists(name) and columns(spark.table(name).schema) == columns(df.schema):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+        return path
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
     return path
 
 

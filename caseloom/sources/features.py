@@ -15,8 +15,24 @@ def attribute_schema(fields: list[dict]) -> T.StructType:
     return T.StructType([T.StructField(f["name"], T.StringType()) for f in fields])
 
 
+def require_complete(spark: SparkSession, path: str) -> None:
+    """Raise when an extract was cut short: no page says that it is the last, or a page that
+    promises more is empty. Pages are judged by their flag and the number of their features.
+    """
+    pages = spark.read.schema("features array<string>, exceededTransferLimit boolean").json(path, multiLine=True)
+    more = F.coalesce("exceededTransferLimit", F.lit(False))
+    seen = pages.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~more).alias("n_last"),
+        F.count_if(more & (F.size(F.coalesce("features", F.array())) == 0)).alias("n_empty"),
+    ).first()
+    if seen["n"] and (not seen["n_last"] or seen["n_empty"]):
+        raise RuntimeError(f"extract in {path} is truncated: {seen['n_last']} last pages, {seen['n_empty']} empty ones")
+
+
 def read_feature_pages(spark: SparkSession, path: str, fields: list[dict]) -> DataFrame:
-    """One row per feature of every landed JSON page."""
+    """One row per feature of every landed JSON page; a truncated extract is an error."""
+    require_complete(spark, path)
     attributes = attribute_schema(fields)
     features = T.ArrayType(
         T.StructType(

@@ -48,6 +48,8 @@ def differences(spark, con, fn, sql: str, folder: str) -> str:
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     theirs = _table(names, cursor.fetchall())
+    if not theirs[1]:
+        return "no rows: nothing is compared"
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} != {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):

@@ -38,9 +38,10 @@ def test_attach_group_treats_null_as_a_group(spark, heavy):
 def test_best_row_and_numbers(spark):
     df = spark.createDataFrame([(1, None, "n"), (1, 5, "a"), (2, 3, "b"), (2, 3, "c")], "k int, d int, v string")
     assert rows(skew.best_row(df, ["k"], [F.col("d"), F.col("v")])) == [(1, 5, "a"), (2, 3, "c")]
-    ids = spark.createDataFrame([(i * 7,) for i in range(100)], "id long")
-    numbered = skew.number_rows(ids, "id", "no", width=50)
-    assert rows(numbered) == [(i * 7, i + 1) for i in range(100)]
+    sparse = [i * 7 for i in range(50)] + [10**12 * i for i in range(1, 51)]
+    for ranges in (None, 7):
+        numbered = skew.number_rows(spark.createDataFrame([(i,) for i in sparse], "id long"), "id", "no", ranges)
+        assert rows(numbered) == [(x, i + 1) for i, x in enumerate(sparse)]
 
 
 def test_explode_codes(spark):
@@ -118,6 +119,14 @@ def test_extract_form_latest_and_ties(spark):
     assert [tuple(r) for r in got] == [(1, True, day(2024, 1, 7), ["a", "b"], True, 12, False, ["05/01/2024", "07/01/2024"])]
 
 
+def test_extract_forms_in_one_pass(spark):
+    data = [(1, NOTE.format(t="T", d="a")), (1, NOTE.format(t="U", d="b")), (2, NOTE.format(t="U", d="c")), (3, NOTE.format(t="V", d="d"))]
+    df = spark.createDataFrame(data, "k int, n string")
+    wanted = {"T": [forms.Field("%Day%", "t_day"), forms.Field("%Missing%", "t_missing", "exists")], "U": [forms.Field("%Day%", "u_day")]}
+    got = forms.extract_forms(df, ["k"], "n", wanted)
+    assert sorted(map(tuple, got.collect())) == [(1, "a", False, "b"), (2, None, None, "c")]
+
+
 def union_find(nodes, edges):
     parent = {n: n for n in nodes}
 
@@ -246,6 +255,13 @@ def test_merge_matches_null_keys(spark):
     assert sorted((r["a"], r["v"]) for r in got.collect()) == [(1, "new"), (2, "old"), (3, "new")]
 
 
+def test_merge_rejects_repeated_keys(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    for old in (spark.createDataFrame([(2, "x")], "k int, v string"), incremental.empty_like(spark, twice)):
+        with pytest.raises(Exception, match="repeat a key"):
+            incremental.merge_by_key(old, twice, ["k"]).collect()
+
+
 def test_snapshot_is_not_repeated(spark):
     day = dt.date(2024, 1, 1)
     snap = spark.createDataFrame([(day, "a"), (day, None)], "s date, k string")
@@ -277,4 +293,10 @@ def test_outbound_batches(spark):
     df = spark.createDataFrame([(i, "None" if i == 0 else "x", "2024-01-02") for i in range(250)], "objectid int, a string, d string")
     got = outbound.update_batches(df, "objectid", ["a", "d"], ["d"])
     assert rows(got.groupBy("batch").count()) == [(0, 100), (1, 100), (2, 50)]
-    assert got.filter("objectid = 0").first()["payload"] == '{"objectid":0,"a":null,"d":"1704153600000"}'
+    assert got.filter("objectid = 0").first()["payload"] == '{"attributes":{"objectid":0,"a":null,"d":1704153600000}}'
+    texts = spark.createDataFrame([(1, "nan", " 2024-01-02 "), (2, "2024-01-02", "soon"), (3, "y", None)], "k int, a string, d string")
+    assert [r["payload"] for r in outbound.update_batches(texts, "k", ["a", "d"], ["d"]).orderBy("k").collect()] == [
+        '{"attributes":{"k":1,"a":null,"d":1704153600000}}',
+        '{"attributes":{"k":2,"a":"2024-01-02","d":"soon"}}',
+        '{"attributes":{"k":3,"a":"y","d":null}}',
+    ]

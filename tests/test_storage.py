@@ -73,6 +73,18 @@ def test_feature_pages(spark, tmp_path):
     assert by_id["4"]["geometry"] is None
 
 
+def test_truncated_extract_is_an_error(spark, tmp_path):
+    feature = {"attributes": {"id": 1}, "geometry": None}
+    (tmp_path / "p0.json").write_text(json.dumps({"features": [feature], "exceededTransferLimit": True}))
+    with pytest.raises(RuntimeError, match="truncated"):
+        features.read_feature_pages(spark, str(tmp_path), [{"name": "id"}])
+    (tmp_path / "p1.json").write_text(json.dumps({"features": [feature]}))
+    assert features.read_feature_pages(spark, str(tmp_path), [{"name": "id"}]).count() == 2
+    (tmp_path / "p2.json").write_text(json.dumps({"features": [], "exceededTransferLimit": True}))
+    with pytest.raises(RuntimeError, match="truncated"):
+        features.read_feature_pages(spark, str(tmp_path), [{"name": "id"}])
+
+
 def test_publish_twice_equals_once(spark, tmp_path):
     staged, final = str(tmp_path / "s"), str(tmp_path / "f")
     load = lambda data: spark.createDataFrame(data, "line string, p string")
@@ -97,6 +109,12 @@ def test_swap_append_and_empty(spark, tmp_path):
     tables.swap_table(df, "swapped", str(tmp_path / "t"))
     tables.swap_table(spark.range(5), "swapped", str(tmp_path / "t"))
     assert spark.table("swapped").count() == 5
+    tables.swap_table(spark.range(2).select(F.col("id").alias("b"), F.lit("x").alias("t")), "swapped", str(tmp_path / "t"))
+    assert rows(spark.table("swapped")) == [(0, "x"), (1, "x")]
+    kept = sorted(p.name for p in (tmp_path / "t").iterdir())
+    with pytest.raises(Exception, match="bad row"):
+        tables.swap_table(spark.range(2).select("id", F.raise_error(F.lit("bad row")).alias("t")), "swapped", str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == kept and spark.table("swapped").count() == 2
     path = str(tmp_path / "a")
     tables.write_or_empty(spark, None, df.schema, path)
     assert spark.read.parquet(path).count() == 0
