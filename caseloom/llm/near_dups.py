@@ -156,8 +156,8 @@ def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     return rows.select("rep", "weight", "keys", F.explode("keys").alias("key"))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` with enough collisions and ``100 * common >= percent * union``."""
+def collided(pairs: DataFrame, classes: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` whose signatures agree in enough coordinates and whose sizes allow a link."""
 
     def side(name):
         return classes.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("signature").alias(f"s_{name}"))
@@ -165,12 +165,17 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: in
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     alike = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x == y), lambda same: same))
     long_enough = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    near = sized.filter(long_enough & (alike >= matches)).select("a", "b", "n_a", "n_b")
-    full = near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+    return sized.filter(long_enough & (alike >= matches)).select("a", "b")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` with ``100 * common >= percent * union`` of their full sets."""
+    full = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b"
     )
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return full.filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    union = F.size("set_a") + F.size("set_b") - common
+    return full.filter(100 * common.cast("long") >= percent * union).select("a", "b")
 
 
 def near_duplicates(
@@ -204,11 +209,12 @@ def near_duplicates(
     pivots = postings.groupBy("key").agg(typical.alias("p0"), F.min_by("rep", F.xxhash64("rep")).alias("p1"))
     starred = postings.select("rep", "key").join(pivots, "key").select("rep", F.explode(F.array("p0", "p1")).alias("pivot"))
     stars = _ordered(starred, "rep", "pivot").distinct()
-    linked = cut_lineage(confirmed(stars, classes, sets, matches, percent), "links")
+    linked = cut_lineage(confirmed(collided(stars, classes, matches, percent), sets, percent), "links")
     components = connected_components(linked, "a", "b")
 
     rest = open_pairs(postings, components, classes, sets, percent, least_matches(SKETCH, percent, miss))
-    more = cut_lineage(confirmed(rest, classes, sets, matches, percent), "links")
+    # collisions of these were counted over the longer signatures, sizes compared
+    more = cut_lineage(confirmed(rest, sets, percent), "links")
     if not more.isEmpty():
         components = _joined(components, more)
 
