@@ -36,6 +36,10 @@ HEADLINE = [
     "scd2_snapshot",
     "wap_publish",
     "dq_suite",
+    "fct_visits",
+    "mart_person_tracking",
+    "mart_visits_report",
+    "mart_provider_units",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
