@@ -86,6 +86,7 @@ def dim_providers(
         F.array_join(
             F.transform(F.array_sort(F.collect_set(F.struct("occupation_code", "occupation"))), lambda o: o["occupation"]), " | "
         ).alias("occupations"),
+        F.array_join(F.array_sort(F.collect_set("occupation_code")), " | ").alias("occupation_codes"),
     )
     linked = operator_units.join(units.select("unit_id", "unit_name"), "unit_id").distinct()
     working = linked.groupBy("login_id").agg(F.array_sort(F.collect_list(F.struct("unit_name", "unit_id"))).alias("_u"))
@@ -196,3 +197,16 @@ def fct_attendance(presences: DataFrame, persons: DataFrame) -> DataFrame:
     """Presences of known persons."""
     known = skew_join(presences, persons.select("person_id", "person_sk"), ["person_id"], ["presence_id"], how="inner")
     return known.withColumn("presence_sk", surrogate_key(F.col("presence_id")))
+
+
+def dim_activities(activities: DataFrame, types: DataFrame, units: DataFrame) -> DataFrame:
+    """Group activities with the name of their type and, unless it is a test unit, of their unit."""
+    known = units.select("unit_id", "unit_name")
+    return activities.join(types, "activity_type_id", "left").join(known, "unit_id", "left")
+
+
+def fct_provider_attendance(presences: DataFrame, providers: DataFrame) -> DataFrame:
+    """Presences of known providers at group activities."""
+    parts = ("activity_id", "provider_id", "presence_day", "clock")
+    keyed = presences.withColumn("presence_sk", surrogate_key(*[F.col(c) for c in parts]))
+    return skew_join(keyed, providers.select("provider_id", "provider_sk"), ["provider_id"], ["presence_sk"], how="inner", count_on=presences)

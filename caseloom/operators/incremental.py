@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.keys import row_hash
+from caseloom.session import cut_lineage, make_folder
 
 
 def merge_by_key(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -38,6 +39,27 @@ def append_snapshot(existing: DataFrame, incoming: DataFrame, stamp: str, key: S
     return merge_by_key(existing, fresh, key)
 
 
+def merge_stored(incoming: DataFrame, path: str, key: Sequence[str], partition: str) -> None:
+    """Merge rows by key into a table stored by partition; other partitions are neither read nor written.
+
+    The partition is part of the key, so a row never moves to another one; a row without
+    partition is an error. The first merge creates the table. Merged rows are written
+    aside before they replace the partitions, so running it again changes nothing.
+    """
+    if partition not in key:
+        raise ValueError(f"{partition} must be part of the key {list(key)}")
+    spark = incoming.sparkSession
+    make_folder(spark, path)
+    incoming = cut_lineage(incoming, "incoming")
+    # a folder each in the table, which the driver lists anyway
+    touched = [r[0] for r in incoming.select(partition).distinct().collect()]
+    if None in touched:
+        raise ValueError(f"incoming rows without {partition}")
+    if touched:
+        stored = spark.read.schema(incoming.schema).parquet(path).filter(F.col(partition).isin(touched))
+        overwrite_partitions(cut_lineage(merge_by_key(stored, incoming, key), "merged"), path, [partition])
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``; running it twice changes nothing."""
     (

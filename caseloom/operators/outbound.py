@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.dates import date_to_epoch_millis
 from caseloom.functions.text import null_words
 from caseloom.operators.skew import number_rows
+from caseloom.session import cut_lineage, make_folder
+from caseloom.sinks.tables import append_rows
 
 BATCH_ROWS = 100
 
@@ -45,3 +47,21 @@ def update_batches(
         .withColumn("payload", F.to_json(F.struct(attributes.alias("attributes")), {"ignoreNullFields": "false"}))
         .drop("_no")
     )
+
+
+def read_crosswalk(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """``(key, external_id, synced_at)`` of all rows that the external system holds; empty at first."""
+    make_folder(spark, path)
+    return spark.read.schema(f"{key} long, external_id long, synced_at timestamp").parquet(path)
+
+
+def pending_adds(df: DataFrame, crosswalk: DataFrame, key: str) -> DataFrame:
+    """Rows that the external system does not hold yet; a row without key is never held."""
+    return df.join(crosswalk.select(key).distinct(), key, "left_anti")
+
+
+def record_adds(accepted: DataFrame, path: str, key: str, at: Column) -> None:
+    """Append accepted rows ``(key, external_id)`` with their sync time; known keys keep their entry."""
+    known = read_crosswalk(accepted.sparkSession, path, key)
+    entries = accepted.select(F.col(key).cast("long").alias(key), F.col("external_id").cast("long").alias("external_id"), at.alias("synced_at"))
+    append_rows(cut_lineage(pending_adds(entries, known, key), "adds"), path)

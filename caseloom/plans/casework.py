@@ -135,6 +135,15 @@ RAW: dict[str, list[tuple[str, str, dict[str, str]]]] = {
         "left_on": "CASE WHEN o_orderdate >= TIMESTAMP '2001-06-01 00:00:00' AND o_orderkey % 3 = 0 THEN NULL "
         "WHEN o_orderkey % 10 = 0 THEN CAST(o_orderdate AS DATE) - 3 ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) END",
     })],
+    "activities": [("part", "true", {
+        "activity_id": "p_partkey", "activity_name": "p_name", "activity_type_id": "p_partkey % 7", "unit_id": "CAST(p_partkey % 27 AS INT)",
+        "starts_on": "DATE '2020-01-01' + CAST(p_size AS INT)", "place_id": "CASE WHEN p_partkey % 4 <> 0 THEN p_size END",
+    })],
+    "activity_types": [("region", "true", {"activity_type_id": "r_regionkey", "type_name": "r_name"})],
+    "provider_presences": [("lineitem", "true", {
+        "activity_id": "l_partkey", "provider_id": "l_suppkey", "presence_day": "CAST(l_shipdate AS DATE)",
+        "clock": "CASE WHEN l_orderkey % 11 = 0 THEN '08:15:00' WHEN l_orderkey % 13 <> 0 THEN CAST((l_orderkey % 24) * 100 + l_linenumber AS STRING) END",
+    })],
     "presences": [("events", "event_type = 'view'", {
         "presence_id": "event_id", "person_id": "user_id", "activity_id": "event_id % 40", "presence_day": "CAST(ts AS DATE)",
         "clock": "CAST(hour(ts) * 100 + minute(ts) AS STRING)",
@@ -224,6 +233,14 @@ class Casework:
     def attendance(self) -> DataFrame:
         return core.fct_attendance(self.raw("presences"), self.persons)
 
+    @cached_property
+    def activities(self) -> DataFrame:
+        return core.dim_activities(self.raw("activities"), self.raw("activity_types"), self.units)
+
+    @cached_property
+    def provider_attendance(self) -> DataFrame:
+        return cut_lineage(core.fct_provider_attendance(self.raw("provider_presences"), self.providers), "provider-attendance")
+
 
 # The same star schema for the reference SQL.
 STAR_SQL = f"""
@@ -266,6 +283,11 @@ n_all AS (
 f_notes AS (
   SELECT n.*, md5(module || '-' || note_id || '-' || coalesce(CAST(n.person_id AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS note_sk, p.person_sk, r.provider_sk, u.unit_id IS NOT NULL AS has_unit
   FROM n_all n LEFT JOIN d_persons p ON n.person_id = p.person_id LEFT JOIN d_providers r ON n.provider_id = r.provider_id LEFT JOIN d_units u ON n.unit_id = u.unit_id),
+d_activities AS (
+  SELECT a.*, t.type_name, u.unit_name FROM activities a LEFT JOIN activity_types t USING (activity_type_id) LEFT JOIN d_units u ON u.unit_id = a.unit_id),
+f_provider_presences AS (
+  SELECT a.*, p.provider_sk, md5(activity_id || '-' || a.provider_id || '-' || presence_day || '-' || coalesce(clock, '_dbt_utils_surrogate_key_null_')) AS presence_sk
+  FROM provider_presences a JOIN d_providers p ON a.provider_id = p.provider_id),
 f_stay_days AS (
   SELECT s.*, p.person_sk, p.doc, u.audiences, CAST(x.d AS DATE) AS ref_date
   FROM stays s LEFT JOIN d_persons p ON s.person_id = p.person_id LEFT JOIN d_units u ON s.unit_id = u.unit_id,

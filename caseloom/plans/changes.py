@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from caseloom.operators.delta import change_log, changed_rows, with_change_id
 from caseloom.operators.incremental import (
     empty_like,
+    latest_partition,
     merge_by_key,
+    merge_stored,
     overwrite_partitions,
     partitions_missing,
     scd2_next,
 )
-from caseloom.operators.outbound import update_batches
+from caseloom.operators.outbound import pending_adds, read_crosswalk, record_adds, update_batches
 from caseloom.plans.registry import query
-from caseloom.session import run_path
+from caseloom.session import cut_lineage, run_path
+from caseloom.sinks.tables import swap_table, write_or_empty
 from caseloom.sinks.wap import audit, clear_staged, publish, write_staged
-from caseloom.sources.tables import table
+from caseloom.sources.tables import table, with_capture_time
 
 COMPARED = ["name", "segment", "nation", "balance"]
 
@@ -257,3 +262,99 @@ def outbound_update_batches(spark, sf):
         F.count("segment").alias("n_segment"),
         F.min("payload").alias("first_payload"),
     )
+
+
+@query(
+    "stored_merge",
+    """
+    WITH m AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(date_trunc('year', o_orderdate) AS DATE) AS part_date,
+                      count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM orders GROUP BY ALL)
+    SELECT *, CASE WHEN part_date >= DATE '2000-01-01' AND o_custkey % 3 = 0 THEN 'second' ELSE 'first' END AS load_no FROM m
+    """,
+)
+def stored_merge(spark, sf):
+    """A stored table of monthly totals: a second load, delivered twice, replaces and adds rows in recent years."""
+    path, key = run_path(spark, "merge"), ["o_custkey", "month", "part_date"]
+    months = table(spark, sf, "orders").groupBy(
+        "o_custkey",
+        F.trunc(F.to_date("o_orderdate"), "month").alias("month"),
+        F.trunc(F.to_date("o_orderdate"), "year").alias("part_date"),
+    ).agg(F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("amount"))
+    recent = F.col("part_date") >= F.lit("2000-01-01").cast("date")
+    merge_stored(months.filter(~recent | (F.col("o_custkey") % 6 != 0)).withColumn("load_no", F.lit("first")), path, key, "part_date")
+    for _ in range(2):
+        merge_stored(months.filter(recent & (F.col("o_custkey") % 3 == 0)).withColumn("load_no", F.lit("second")), path, key, "part_date")
+    return spark.read.parquet(path)
+
+
+@query(
+    "outbound_adds_crosswalk",
+    """
+    WITH a AS (SELECT c_custkey, c_name, 0 AS run FROM customer WHERE c_custkey % 3 <> 0
+               UNION ALL SELECT c_custkey, c_name, 1 FROM customer WHERE c_custkey % 3 = 0 AND c_acctbal >= 0),
+    b AS (SELECT *, (row_number() OVER (PARTITION BY run ORDER BY c_custkey) - 1) // 100 AS batch FROM a)
+    SELECT c_custkey, batch, '{"attributes":{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}}' AS payload,
+           CAST(c_custkey + 1000000 AS BIGINT) AS external_id, DATE '2024-01-01' + run AS synced_on
+    FROM b
+    """,
+)
+def outbound_adds_crosswalk(spark, sf):
+    """Three daily runs: each sends the rows of the newest day that the crosswalk lacks and records the answers."""
+    path, day = run_path(spark, "crosswalk"), lambda n: F.lit(f"2024-01-0{n}").cast("date")
+    people = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    first = people.filter("c_custkey % 3 <> 0").withColumn("day", day(1))
+    second = people.filter("c_acctbal >= 0").withColumn("day", day(2))
+    sent = []
+    for run, landed in enumerate([first, first.unionByName(second), first.unionByName(second.withColumn("day", day(3)))], 1):
+        adds = pending_adds(latest_partition(landed, "day"), read_crosswalk(spark, path, "c_custkey"), "c_custkey")
+        batches = cut_lineage(update_batches(adds, "c_custkey", ["c_name"]), "batches")
+        # the external system answers with an object id per row
+        record_adds(batches.withColumn("external_id", F.col("c_custkey") + 1_000_000), path, "c_custkey", day(run).cast("timestamp"))
+        sent.append(batches.select("c_custkey", "batch", "payload"))
+    crosswalk = read_crosswalk(spark, path, "c_custkey").select("c_custkey", "external_id", F.to_date("synced_at").alias("synced_on"))
+    return sent[0].unionByName(sent[1]).unionByName(sent[2]).join(crosswalk, "c_custkey")
+
+
+@query(
+    "table_swap",
+    """
+    SELECT 1 AS version, c_nationkey, count(*) AS n_rows, NULL AS captured FROM customer WHERE c_custkey % 2 = 0 GROUP BY 2
+    UNION ALL SELECT 2, c_nationkey, count(*), '2024-01-30 12:00:00' FROM customer WHERE c_custkey % 2 = 0 GROUP BY 2
+    UNION ALL SELECT 3, c_nationkey, count(*), '2024-01-31 12:00:00' FROM customer GROUP BY 2
+    """,
+)
+def table_swap(spark, sf):
+    """What readers of a table see after each replacement; the second one adds a capture time."""
+    name, base = f"swap_{uuid.uuid4().hex}", run_path(spark, "swap")
+    people = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    even, at = people.filter("c_custkey % 2 = 0"), lambda day: F.lit(f"2024-01-{day} 12:00:00").cast("timestamp")
+    seen = None
+    for version, load in enumerate([even, with_capture_time(even, at(30)), with_capture_time(people, at(31))], 1):
+        swap_table(load, name, base)
+        now = spark.table(name)
+        stamp = F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss") if "captured_at" in now.columns else F.lit(None).cast("string")
+        counted = now.groupBy("c_nationkey", stamp.alias("captured")).agg(F.count(F.lit(1)).alias("n_rows"))
+        counted = cut_lineage(counted.withColumn("version", F.lit(version)), "version")
+        seen = counted if seen is None else seen.unionByName(counted)
+    spark.sql(f"DROP TABLE {name}")
+    return seen
+
+
+@query(
+    "empty_source_tables",
+    """
+    SELECT s.status, count(o_orderkey) AS n_rows, 'o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string' AS columns
+    FROM (VALUES ('F'), ('O'), ('P'), ('X')) s(status) LEFT JOIN orders ON o_orderstatus = s.status GROUP BY 1
+    """,
+)
+def empty_source_tables(spark, sf):
+    """A load per status: a status without rows still leaves a table with the columns of the source."""
+    orders, counted = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), None
+    for status in ("F", "O", "P", "X"):
+        path, rows = run_path(spark, "load"), orders.filter(F.col("o_orderstatus") == status)
+        write_or_empty(spark, None if rows.isEmpty() else rows, orders.schema, path)
+        stored = spark.read.parquet(path)  # columns as the table has them
+        columns = ",".join(f"{n}:{t}" for n, t in stored.dtypes)
+        one = stored.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(status).alias("status"), "n_rows", F.lit(columns).alias("columns"))
+        counted = one if counted is None else counted.unionByName(one)
+    return counted

@@ -73,13 +73,16 @@ def dim_persons(spark, sf):
     "fct_visits",
     f"""
     WITH {STAR_SQL} SELECT module, unit_id, count(*) AS n_rows, count(DISTINCT visit_sk) AS n_keys, count(person_sk) AS n_persons, count(provider_sk) AS n_providers,
-           count(*) FILTER (WHERE has_unit) AS n_units, count(DISTINCT provider_id) AS n_provider_ids FROM f_visits GROUP BY 1, 2
+           count(*) FILTER (WHERE has_unit) AS n_units, count(DISTINCT provider_id) AS n_provider_ids, min(visit_sk) AS first_key, max(visit_sk) AS last_key,
+           max(person_sk) AS last_person, max(provider_sk) AS last_provider, max(CASE WHEN has_unit THEN md5(CAST(unit_id AS VARCHAR)) END) AS last_unit FROM f_visits GROUP BY 1, 2
     """,
 )
 def fct_visits(spark, sf):
     return Casework(spark, sf).visits.groupBy("module", "unit_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("visit_sk").alias("n_keys"), F.count("person_sk").alias("n_persons"),
         F.count("provider_sk").alias("n_providers"), F.count("unit_sk").alias("n_units"), F.count_distinct("provider_id").alias("n_provider_ids"),
+        F.min("visit_sk").alias("first_key"), F.max("visit_sk").alias("last_key"), F.max("person_sk").alias("last_person"),
+        F.max("provider_sk").alias("last_provider"), F.max("unit_sk").alias("last_unit"),
     )
 
 
@@ -87,14 +90,16 @@ def fct_visits(spark, sf):
     "fct_notes",
     f"""
     WITH {STAR_SQL} SELECT module, scope_code, count(*) AS n_rows, count(DISTINCT note_sk) AS n_keys, count(person_sk) AS n_persons, count(provider_sk) AS n_providers,
-           count(*) FILTER (WHERE has_unit) AS n_units, count(family_id) AS n_families, count(activity_id) AS n_activities FROM f_notes GROUP BY 1, 2
+           count(*) FILTER (WHERE has_unit) AS n_units, count(family_id) AS n_families, count(activity_id) AS n_activities, min(note_sk) AS first_key, max(note_sk) AS last_key,
+           max(person_sk) AS last_person, max(provider_sk) AS last_provider, max(CASE WHEN has_unit THEN md5(CAST(unit_id AS VARCHAR)) END) AS last_unit FROM f_notes GROUP BY 1, 2
     """,
 )
 def fct_notes(spark, sf):
     return Casework(spark, sf).notes.groupBy("module", "scope_code").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("note_sk").alias("n_keys"), F.count("person_sk").alias("n_persons"),
         F.count("provider_sk").alias("n_providers"), F.count("unit_sk").alias("n_units"), F.count("family_id").alias("n_families"),
-        F.count("activity_id").alias("n_activities"),
+        F.count("activity_id").alias("n_activities"), F.min("note_sk").alias("first_key"), F.max("note_sk").alias("last_key"),
+        F.max("person_sk").alias("last_person"), F.max("provider_sk").alias("last_provider"), F.max("unit_sk").alias("last_unit"),
     )
 
 
@@ -241,6 +246,68 @@ def mart_person_attendance(spark, sf):
     )
 
 
+@query(
+    "dim_activities",
+    f"WITH {STAR_SQL} SELECT activity_id, activity_name, activity_type_id, type_name, unit_id, unit_name, starts_on, place_id FROM d_activities",
+)
+def dim_activities(spark, sf):
+    return Casework(spark, sf).activities.select(
+        "activity_id", "activity_name", "activity_type_id", "type_name", "unit_id", "unit_name", "starts_on", "place_id"
+    )
+
+
+@query(
+    "fct_provider_attendance",
+    f"WITH {STAR_SQL} SELECT presence_sk, provider_sk, activity_id, provider_id, presence_day, clock FROM f_provider_presences",
+)
+def fct_provider_attendance(spark, sf):
+    return Casework(spark, sf).provider_attendance.select("presence_sk", "provider_sk", "activity_id", "provider_id", "presence_day", "clock")
+
+
+@query(
+    "mart_provider_attendance",
+    f"""
+    WITH {STAR_SQL}, sheet AS (SELECT upper(trim(unit_name)) AS unit, string_agg(DISTINCT email, ', ' ORDER BY email) AS unit_email FROM unit_emails GROUP BY 1),
+    oc AS (SELECT provider_id, string_agg(occupation, ' | ' ORDER BY occupation_code) AS occupations, string_agg(CAST(occupation_code AS VARCHAR), ' | ' ORDER BY occupation_code) AS occupation_codes
+           FROM occupations GROUP BY 1)
+    SELECT presence_sk, f.provider_id, upper(trim(provider_name)) AS provider_name, occupation_codes, occupations, f.activity_id, upper(activity_name) AS activity_name,
+           upper(a.type_name) AS type_name, upper(a.unit_name) AS unit_name, presence_day, unit_email,
+           CASE WHEN length(clock) BETWEEN 1 AND 4 THEN substr(lpad(clock, 4, '0'), 1, 2) || ':' || substr(lpad(clock, 4, '0'), 3, 2) ELSE clock END AS clock,
+           (SELECT CAST(max(ts) AS DATE) FROM events) AS updated_at
+    FROM f_provider_presences f JOIN d_activities a ON a.activity_id = f.activity_id JOIN d_providers p ON p.provider_id = f.provider_id
+    LEFT JOIN oc ON oc.provider_id = f.provider_id LEFT JOIN sheet ON unit = upper(a.unit_name) WHERE a.unit_name IS NOT NULL
+    """,
+)
+def mart_provider_attendance(spark, sf):
+    case = Casework(spark, sf)
+    updated = table(spark, sf, "events").agg(F.max("ts").cast("date"))
+    report = marts.provider_attendance(case.provider_attendance, case.providers, case.activities, case.raw("unit_emails"), updated)
+    return report.select(
+        "presence_sk", "provider_id", "provider_name", "occupation_codes", "occupations", "activity_id", "activity_name", "type_name", "unit_name",
+        "presence_day", "unit_email", "clock", "updated_at",
+    )
+
+
+@query(
+    "dim_families",
+    f"""
+    WITH {STAR_SQL}, v AS (SELECT family_id, count(DISTINCT vulnerability_id) AS n FROM vulnerabilities GROUP BY 1),
+    s AS (SELECT family_id, count(DISTINCT service_id) AS n, max(registered) AS d FROM services GROUP BY 1),
+    p AS (SELECT family_id, count(*) AS n, string_agg(CAST(project_id AS VARCHAR), ',' ORDER BY project_id) AS t FROM (SELECT DISTINCT family_id, project_id, is_active FROM projects) GROUP BY 1)
+    SELECT md5(CAST(f.family_id AS VARCHAR)) AS family_sk, f.family_id, head_id, head_name, CAST(coalesce(v.n, 0) AS INTEGER) AS n_vulnerabilities, CAST(coalesce(s.n, 0) AS INTEGER) AS n_services,
+           s.d AS last_service, CAST(coalesce(p.n, 0) AS INTEGER) AS n_projects, p.t AS projects
+    FROM d_families f LEFT JOIN v ON v.family_id = f.family_id LEFT JOIN s ON s.family_id = f.family_id LEFT JOIN p ON p.family_id = f.family_id
+    """,
+)
+def dim_families(spark, sf):
+    size = lambda items: F.coalesce(F.array_size(items), F.lit(0))
+    return Casework(spark, sf).families.select(
+        "family_sk", "family_id", "head_id", "head_name", size("vulnerabilities").alias("n_vulnerabilities"), size("services").alias("n_services"),
+        F.array_max(F.transform("services", lambda s: s["registered"])).alias("last_service"), size("projects").alias("n_projects"),
+        F.array_join(F.transform("projects", lambda p: p["project_id"].cast("string")), ",").alias("projects"),
+    )
+
+
 @query(
     "mart_family_indicators",
     f"""

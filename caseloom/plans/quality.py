@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from caseloom.plans.casework import Casework, raw_sql
 from caseloom.plans.nested import unit_capacity
 from caseloom.plans.registry import query
 from caseloom.quality.rules import (
     accepted,
+    consistent,
     covered_by,
     disjoint,
     holds,
@@ -16,8 +18,11 @@ from caseloom.quality.rules import (
     reconcile,
     references,
     run_rules,
+    store_failures,
+    summary,
     unique,
 )
+from caseloom.session import run_path
 from caseloom.sources.tables import table
 
 
@@ -88,3 +93,50 @@ def dq_reconcile_totals(spark, sf):
     matched = lines.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     totals = [F.count("l_orderkey").alias("n_orders"), F.sum("q").alias("quantity")]
     return reconcile("lines to orders", lines.agg(*totals), matched.agg(*totals))
+
+
+FLAGGED_SQL = f"""
+    {raw_sql()}, v AS (SELECT visit_id, person_id, provider_id, shared_providers, CASE WHEN visit_id % 4 <> 0 AND visit_id % 50 <> 3 OR visit_id % 60 = 0 THEN 'Sim' ELSE 'Não' END AS shared FROM visits),
+    bad AS (SELECT visit_id, 'shared_flag' AS rule FROM v WHERE (shared = 'Sim') <> (trim(coalesce(shared_providers, '')) <> '')
+            UNION ALL SELECT visit_id, 'not_null_provider_id' FROM v WHERE provider_id IS NULL)
+"""
+
+
+def flagged_visits(spark, sf):
+    """Visits with a yes/no flag for shared ones, some of them wrong."""
+    key = F.col("visit_id")
+    said = ((key % 4 != 0) & (key % 50 != 3)) | (key % 60 == 0)
+    visits = Casework(spark, sf).raw("visits").select("visit_id", "person_id", "provider_id", "shared_providers")
+    rules = [
+        consistent("shared_flag", F.col("shared"), F.col("shared_providers")),
+        not_null("provider_id", severity="warn"),
+        not_null("person_id"),
+        unique("visit_id"),
+    ]
+    return visits.withColumn("shared", F.when(said, "Sim").otherwise("Não")), rules
+
+
+@query(
+    "dq_run_summary",
+    f"""
+    WITH {FLAGGED_SQL}, r AS (
+      SELECT 'shared_flag' AS rule, 'fail' AS otherwise, count(*) FILTER (WHERE rule = 'shared_flag') AS n FROM bad
+      UNION ALL SELECT 'not_null_provider_id', 'warn', count(*) FILTER (WHERE rule = 'not_null_provider_id') FROM bad
+      UNION ALL SELECT 'not_null_person_id', 'fail', count(*) FROM v WHERE person_id IS NULL
+      UNION ALL SELECT 'unique_visit_id', 'fail', count(*) FROM (SELECT visit_id FROM v GROUP BY 1 HAVING count(*) > 1))
+    SELECT CASE WHEN n = 0 THEN 'pass' ELSE otherwise END AS status, count(*) AS n_rules, CAST(sum(n) AS BIGINT) AS n_failed, string_agg(rule, ', ' ORDER BY rule) AS rules FROM r GROUP BY 1
+    """,
+)
+def dq_run_summary(spark, sf):
+    visits, rules = flagged_visits(spark, sf)
+    return summary(run_rules("visits", visits, rules))
+
+
+@query("dq_stored_failures", f"WITH {FLAGGED_SQL} SELECT rule, visit_id, shared_providers, shared FROM bad JOIN v USING (visit_id)")
+def dq_stored_failures(spark, sf):
+    """Offending rows of two rules, stored per rule and read back."""
+    visits, rules = flagged_visits(spark, sf)
+    folder = run_path(spark, "failures")
+    for rule in rules[:2]:
+        store_failures(visits, rule, f"{folder}/rule={rule.name}")
+    return spark.read.parquet(folder).select("rule", "visit_id", "shared_providers", "shared")

@@ -85,6 +85,12 @@ def holds(name: str, test: Column, **options) -> Rule:
     return Rule(name, row_test=~test, **options)
 
 
+def consistent(name: str, flag: Column, listed: Column, **options) -> Rule:
+    """A yes/no flag agrees with whether the text it speaks of is filled; a missing flag means no."""
+    empty = F.trim(F.coalesce(listed, F.lit(""))) == ""
+    return Rule(name, row_test=F.coalesce(flag == "Sim", F.lit(False)) == empty, **options)
+
+
 def labelled(name: str, label: Column, **options) -> Rule:
     """Business rule whose failures carry the label of what went wrong."""
 
@@ -127,7 +133,9 @@ def run_rules(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def summary(results: DataFrame) -> DataFrame:
-    return results.groupBy("status").agg(F.count(F.lit(1)).alias("n_rules"))
+    """Rules and offending rows per status, with the names of the rules."""
+    names = F.array_join(F.array_sort(F.collect_list("rule")), ", ")
+    return results.groupBy("status").agg(F.count(F.lit(1)).alias("n_rules"), F.sum("n_failed").alias("n_failed"), names.alias("rules"))
 
 
 def raise_on_failure(results: DataFrame) -> None:

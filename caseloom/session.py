@@ -64,3 +64,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder of the shared store, if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.models.registry import Model, Warehouse
+from caseloom.operators import incremental, outbound
 from caseloom.operators.incremental import latest_partition, overwrite_partitions, partitions_missing
 from caseloom.operators.outbound import update_batches
 from caseloom.quality import rules
@@ -214,3 +215,39 @@ def test_registry_selects_and_runs(spark):
 def test_undeclared_source_is_refused(spark):
     with pytest.raises(KeyError):
         source_tables.table(spark, "/nowhere", "secret")
+
+
+def test_merge_stored_rewrites_only_touched_partitions(spark, tmp_path):
+    path, key = str(tmp_path / "t"), ["id", "part"]
+    files = lambda part: sorted(p.name for p in (tmp_path / "t" / f"part={part}").glob("*.parquet"))
+    incremental.merge_stored(spark.createDataFrame([(1, "a", 1), (2, "a", 1), (1, "b", 1), (None, "b", 1)], "id int, part string, v int"), path, key, "part")
+    before = files("a"), files("b")
+    more = spark.createDataFrame([(None, "b", 2), (3, "b", 2), (1, "c", 2)], "id int, part string, v int")
+    for _ in range(2):
+        incremental.merge_stored(more, path, key, "part")
+        got = {(r["id"], r["part"], r["v"]) for r in spark.read.parquet(path).collect()}
+        assert got == {(1, "a", 1), (2, "a", 1), (1, "b", 1), (None, "b", 2), (3, "b", 2), (1, "c", 2)}
+    assert files("a") == before[0] and files("b") != before[1]
+    incremental.merge_stored(more.limit(0), path, key, "part")
+    assert spark.read.parquet(path).count() == 6
+    with pytest.raises(ValueError, match="without part"):
+        incremental.merge_stored(more.withColumn("part", F.lit(None).cast("string")), path, key, "part")
+    with pytest.raises(ValueError, match="part of the key"):
+        incremental.merge_stored(more, path, ["id"], "part")
+
+
+def test_crosswalk_keeps_first_entries(spark, tmp_path):
+    path, at = str(tmp_path / "crosswalk"), lambda d: F.lit(f"2024-01-0{d}").cast("timestamp")
+    assert outbound.read_crosswalk(spark, path, "k").count() == 0
+    outbound.record_adds(spark.createDataFrame([(1, 11), (2, 12)], "k int, external_id long"), path, "k", at(1))
+    outbound.record_adds(spark.createDataFrame([(2, 99), (3, 13)], "k int, external_id long"), path, "k", at(2))
+    entries = {(r["k"], r["external_id"], r["synced_at"].day) for r in outbound.read_crosswalk(spark, path, "k").collect()}
+    assert entries == {(1, 11, 1), (2, 12, 1), (3, 13, 2)}
+    df = spark.createDataFrame([(3, "x"), (4, "y"), (None, "z")], "k int, t string")
+    assert {r["t"] for r in outbound.pending_adds(df, outbound.read_crosswalk(spark, path, "k"), "k").collect()} == {"y", "z"}
+
+
+def test_consistent_flag(spark):
+    df = spark.createDataFrame([(1, "Sim", "7"), (2, "Sim", " "), (3, "Sim", None), (4, "Não", ""), (5, None, None), (6, None, "7")], "id int, f string, t string")
+    rule = rules.consistent("c", F.col("f"), F.col("t"))
+    assert {r["id"] for r in rule.run(df).collect()} == {2, 3, 6}
