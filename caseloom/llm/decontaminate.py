@@ -12,6 +12,7 @@ n-grams, each block broadcast and held against all documents.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -33,7 +34,10 @@ LEAST_SCORE = 0.5
 LEAST_WORDS = 8
 
 PASSAGES = pa.schema(
-    [("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("words", pa.list_(pa.string())), ("grams", pa.list_(pa.int64()))]
+    [
+        ("doc_id", pa.int64()), ("item_id", pa.int64()), ("piece", pa.int64()), ("first_word", pa.int64()),
+        ("words", pa.list_(pa.string())), ("grams", pa.list_(pa.int64())),
+    ]
 )
 SCORES = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("matched", pa.int64()), ("score", pa.float64())]
@@ -61,8 +65,11 @@ class Seeds:
         self.places = [places[g] for g in self.grams.tolist()]
         self.lengths = {number: len(words) for number, words in items}
 
-    def passages(self, words: list[str], h: np.ndarray) -> list[tuple[int, int, list[str], list[int]]]:
-        """(item, first word, words, n-grams found) of each stretch that shares n-grams with an item."""
+    def passages(self, words: list[str], h: np.ndarray) -> list[tuple[int, int, int, list[str], list[int]]]:
+        """(item, number, first word, words, n-grams found) of each stretch that shares n-grams with an item.
+
+        A stretch is at most three lengths of its item and a few words, however often the text repeats it.
+        """
         if not len(self.grams) or len(h) < GRAM:
             return []
         got = window_hashes(h, GRAM)
@@ -75,15 +82,17 @@ class Seeds:
         out = []
         for number, found in by_item.items():
             found.sort()
+            offsets = [offset for offset, _ in found]
             length = self.lengths[number]
             slack = length // 2 + 2
-            start = 0
-            for i in range(1, len(found) + 1):  # hits far apart belong to different copies
-                if i == len(found) or found[i][0] - found[i - 1][0] > length:
-                    first = max(0, found[start][0] - slack)
-                    end = found[i - 1][0] + length + slack
-                    out.append((number, first, words[first:end], sorted({g for _, g in found[start:i]})))
-                    start = i
+            start = piece = 0
+            while start < len(found):  # hits farther apart belong to different copies
+                end = bisect_right(offsets, offsets[start] + length)
+                # n-grams of a copy that begins or ends in the next stretch lie in the words of this one, too
+                near = found[bisect_left(offsets, offsets[start] - slack) : bisect_right(offsets, offsets[end - 1] + slack)]
+                first = max(0, offsets[start] - slack)
+                out.append((number, piece, first, words[first : offsets[end - 1] + length + slack], sorted({g for _, g in near})))
+                start, piece = end, piece + 1
         return out
 
 
@@ -165,7 +174,7 @@ def _in_block(docs: DataFrame, block: list[tuple[int, list[str]]], least_score:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PASSAGES, strict=True)], schema=PASSAGES)
 
     passages = cut_lineage(
-        docs.mapInArrow(search, "doc_id long, item_id long, first_word long, words array<string>, grams array<long>"), "passages"
+        docs.mapInArrow(search, "doc_id long, item_id long, piece long, first_word long, words array<string>, grams array<long>"), "passages"
     )
     counts = passages.select("item_id", F.explode("grams").alias("gram")).groupBy("item_id", "gram").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("item_id").orderBy("n", "gram")  # an item's own n-grams: as many as it has words
@@ -177,11 +186,11 @@ def _in_block(docs: DataFrame, block: list[tuple[int, list[str]]], least_score:
     chosen = spark.sparkContext.broadcast(dict(rare))
 
     def score(batches):
-        items, seeds, numbers = dict(given.value), chosen.value, {}
+        items, seeds, numbers, last = dict(given.value), chosen.value, {}, None
         for batch in slices(batches):
             rows = []
-            names = ("doc_id", "item_id", "first_word", "words", "grams")
-            for doc, item, first, words, grams in zip(*(column(batch, n) for n in names), strict=True):
+            names = ("doc_id", "item_id", "piece", "first_word", "words", "grams")
+            for doc, item, piece, first, words, grams in zip(*(column(batch, n) for n in names), strict=True):
                 if seeds.get(item, set()).isdisjoint(grams):
                     continue
                 numbers.clear()
@@ -189,7 +198,10 @@ def _in_block(docs: DataFrame, block: list[tuple[int, list[str]]], least_score:
                 total, a, b, matched = align(wanted, [numbers.get(w, -1) for w in words])
                 share = total / (MATCH * len(wanted))
                 if share >= least_score and matched >= min(least_words, len(wanted)):
-                    rows.append((doc, item, first + a, first + b, matched, share))
+                    row = (doc, item, first + a, first + b, matched, share)
+                    if not piece or row != last:  # two stretches may show the same copy
+                        rows.append(row)
+                    last = row
             columns = zip(*rows, strict=True) if rows else [[]] * len(SCORES)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES)
 

@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: The classifiers, alignment and tokenizer cannot be stated in SQL; see tests/llm/test_pipeline.py.
+#: The classifiers, alignment and tokenizer cannot be stated in SQL; see tests/llm/test_llm_queries.py.
 ORACLE_SQL = None
 
 

@@ -5,6 +5,7 @@ import random
 from llm_frames import awkward, empty
 
 from caseloom.llm import decontaminate
+from caseloom.llm.common import WordHashes
 
 
 def score(a, b):
@@ -58,3 +59,26 @@ def test_awkward_and_empty_tables(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward(spark), bench).collect()} == {(1, 2)}
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
     assert decontaminate.contaminated(awkward(spark), empty(spark, "item_id long, text string")).count() == 0
+
+
+def test_stretches_stay_short_however_often_a_text_repeats_an_item():
+    item = [f"w{i}" for i in range(40)]
+    text = ["before"] * 100 + item * 500 + item[:20] + ["cut"] * 9 + item[20:] + ["after"] * 100
+    hashes = WordHashes()
+    found = decontaminate.Seeds([(7, item)]).passages(text, hashes([w.encode() for w in text]))
+    assert all(len(words) <= 3 * len(item) + 10 for *_, words, _ in found) and len(found) > 200
+    assert [piece for _, piece, *_ in found] == list(range(len(found)))
+    covered = set()
+    for _, _, first, words, grams in found:
+        assert words == text[first : first + len(words)] and grams
+        covered.update(range(first, first + len(words)))
+    assert covered >= set(range(100, len(text) - 100))
+
+
+def test_repeated_copies_are_reported_once_each(spark):
+    item = [f"w{i}" for i in range(30)]
+    text = " ".join(["x"] * 50 + item + ["y"] * 200 + item + item)
+    docs = spark.createDataFrame([(1, text), (1, text), (2, " ".join(["z"] * 90))], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.end_word) for r in got} >= {(1, 50, 80)} and len(got) == 2 * len(set(got))
+    assert all(r.score == 1.0 and r.matched == 30 for r in got if r.first_word in (50, 280, 310))
