@@ -1,30 +1,39 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds with an exact bound, then Smith-Waterman alignment.
 
-Every document is searched for the word n-grams of the test items. The seeds of an
-item are its n-grams that the fewest passages of the corpus contain. A passage with a
-seed is aligned with the item word by word, so copies with words changed, left out or
-put in are scored by what remains.
+Every document is searched for the seeds of the test items: pairs of words that are
+neighbours or one word apart, in the item as in the text. A copy that reaches the score
+leaves at least ``LEAST_SCORE`` times the item's words, less one, of its pairs of
+successive equal words with at most one word changed, left out or put in between; a
+text with fewer seeds of an item within its reach holds no copy of it. All others are
+aligned with the item word by word, so copies with words changed, left out or put in
+are scored by what remains. How many documents hold a seed plays no part.
 
 The test items are a given query set. They are taken in blocks of a bounded number of
-n-grams, each block broadcast and held against all documents.
+seeds, each block broadcast and held against all documents.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from bisect import bisect_left, bisect_right
 from collections import defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import WordHashes, column, first_column, matching, slices, window_hashes
+from caseloom.llm.common import WordHashes, column, first_column, matching, mixed, odd_numbers, slices
 from caseloom.session import cut_lineage
 
 WORD = re.compile(r"\w+")
-GRAM = 4
+#: Distances of the words of a seed.
+APART = (1, 2)
+#: Words of a text that are searched at a time.
+PART_WORDS = 4_096
+#: Bits of a seed's hash that the first look-up goes by.
+LOOK_BITS = 20
 #: Test items broadcast at a time; with a hundred words each, below 10 MB.
 BLOCK_ITEMS = 2_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -33,12 +42,6 @@ LEAST_SCORE = 0.5
 #: Words that must be aligned, or all of a shorter item.
 LEAST_WORDS = 8
 
-PASSAGES = pa.schema(
-    [
-        ("doc_id", pa.int64()), ("item_id", pa.int64()), ("piece", pa.int64()), ("first_word", pa.int64()),
-        ("words", pa.list_(pa.string())), ("grams", pa.list_(pa.int64())),
-    ]
-)
 SCORES = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("matched", pa.int64()), ("score", pa.float64())]
 )
@@ -48,51 +51,93 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def item_grams(words: list[str], hashes: WordHashes) -> np.ndarray:
-    """Hashes of an item's n-grams; of an item with fewer words, none."""
-    return window_hashes(hashes([w.encode() for w in words]), GRAM) if len(words) >= GRAM else np.empty(0, np.uint64)
+def pair_hashes(h: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of every two word hashes that lie ``apart`` words from each other, in order."""
+    first, second = odd_numbers(2, 17)
+    return mixed(h[: len(h) - apart] * first + h[apart:] * second) if len(h) > apart else np.empty(0, np.uint64)
 
 
 class Seeds:
-    """Sorted n-gram hashes of a block of items, with the items and places they come from."""
-
-    def __init__(self, items: list[tuple[int, list[str]]]):
-        hashes, places = WordHashes(), defaultdict(list)
-        for number, words in items:
-            for place, g in enumerate(item_grams(words, hashes).tolist()):
-                places[g].append((number, place))
-        self.grams = np.array(sorted(places), np.uint64)
-        self.places = [places[g] for g in self.grams.tolist()]
-        self.lengths = {number: len(words) for number, words in items}
-
-    def passages(self, words: list[str], h: np.ndarray) -> list[tuple[int, int, int, list[str], list[int]]]:
-        """(item, number, first word, words, n-grams found) of each stretch that shares n-grams with an item.
-
-        A stretch is at most three lengths of its item and a few words, however often the text repeats it.
+    """Sorted hashes of the word pairs of a block of items, with the items and places they come from."""
+
+    def __init__(self, items: list[tuple[int, list[str]]], least_score: float = LEAST_SCORE):
+        hashes, found = WordHashes(), []
+        self.items = [(number, words) for number, words in items if words]
+        for at, (_, words) in enumerate(self.items):
+            h = hashes([w.encode() for w in words])
+            found += [(g, at, place) for apart in APART for place, g in enumerate(pair_hashes(h, apart).tolist())]
+        found.sort()
+        grams = np.array([g for g, _, _ in found], np.uint64)
+        self.grams, self.begin, self.count = np.unique(grams, return_index=True, return_counts=True)
+        self.item = np.array([at for _, at, _ in found], np.int64)
+        self.place = np.array([place for _, _, place in found], np.int64)
+        self.look = np.zeros(1 << LOOK_BITS, bool)
+        self.look[self.grams >> np.uint64(64 - LOOK_BITS)] = True
+        self.least_score = least_score
+        self.lengths = np.array([len(words) for _, words in self.items], np.int64)
+        # equal words w and errors e of a copy: 2w - e >= 2 * least_score * length, and pairs with two errors use them up
+        self.need = np.array([max(1, math.ceil(n * least_score - 1 - 1e-9)) for n in self.lengths.tolist()], np.int64)
+        # no more errors than that, so no words farther from where they would be
+        self.shift = np.array([int(2 * n * (1 - least_score) + 1e-9) for n in self.lengths.tolist()], np.int64)
+
+    def _hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place in it and word of every seed."""
+        items, places, words = [], [], []
+        for apart in APART:
+            got = pair_hashes(h, apart)
+            where = np.flatnonzero(self.look[got >> np.uint64(64 - LOOK_BITS)])
+            at = np.minimum(np.searchsorted(self.grams, got[where]), len(self.grams) - 1)
+            equal = self.grams[at] == got[where]
+            where, at = where[equal], at[equal]
+            count = self.count[at]
+            row = np.repeat(self.begin[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            items.append(self.item[row])
+            places.append(self.place[row])
+            words.append(np.repeat(where, count))
+        return np.concatenate(items), np.concatenate(places), np.concatenate(words)
+
+    def _offsets(self, h: np.ndarray, first: int, found: dict[int, list[int]]) -> None:
+        """Adds, per item, where a copy may begin: offsets followed closely by as many seeds as a copy has."""
+        item, place, word = self._hits(h)
+        enough = np.bincount(item, minlength=len(self.items)) >= self.need
+        if not enough[item].any():
+            return
+        item, place, word = (x[enough[item]] for x in (item, place, word))
+        places = np.unique(item << 32 | place) >> 32  # a copy has each place of the item once
+        enough = np.bincount(places, minlength=len(self.items)) >= self.need
+        item, place, word = (x[enough[item]] for x in (item, place, word))
+        order = np.sort((item << 32) + (1 << 30) + word - place)
+        item = order >> 32
+        near = np.searchsorted(order, order + self.shift[item], "right") - np.arange(len(order))
+        for x in np.unique(order[near >= self.need[item]]).tolist():
+            found[x >> 32].append(first + (x & ((1 << 32) - 1)) - (1 << 30))
+
+    def passages(self, words: list[str], h: np.ndarray) -> list[tuple[int, int, int, list[str], int]]:
+        """(item, number, first word, words, offsets) of the stretches that may hold a copy of an item.
+
+        A stretch is at most as long as the longest copy and the item, three lengths of
+        it, and begins a length behind the one before, so each copy lies in one of them.
         """
-        if not len(self.grams) or len(h) < GRAM:
+        if not len(self.grams):
             return []
-        got = window_hashes(h, GRAM)
-        at = np.minimum(np.searchsorted(self.grams, got), len(self.grams) - 1)
-        where = np.flatnonzero(self.grams[at] == got)
-        by_item = defaultdict(list)
-        for pos in where.tolist():
-            for number, place in self.places[at[pos]]:
-                by_item[number].append((pos - place, int(got[pos].view(np.int64))))
+        found, overlap = defaultdict(list), int((2 * self.lengths + self.shift).max())
+        for first in range(0, len(h), PART_WORDS):
+            self._offsets(h[first : first + PART_WORDS + overlap], first, found)
         out = []
-        for number, found in by_item.items():
-            found.sort()
-            offsets = [offset for offset, _ in found]
-            length = self.lengths[number]
-            slack = length // 2 + 2
-            start = piece = 0
-            while start < len(found):  # hits farther apart belong to different copies
-                end = bisect_right(offsets, offsets[start] + length)
-                # n-grams of a copy that begins or ends in the next stretch lie in the words of this one, too
-                near = found[bisect_left(offsets, offsets[start] - slack) : bisect_right(offsets, offsets[end - 1] + slack)]
-                first = max(0, offsets[start] - slack)
-                out.append((number, piece, first, words[first : offsets[end - 1] + length + slack], sorted({g for _, g in near})))
-                start, piece = end, piece + 1
+        for at in sorted(found):
+            length, shift = int(self.lengths[at]), int(self.shift[at])
+            runs: list[list[int]] = []
+            for offset in sorted(set(found[at])):
+                start, end = max(0, offset - shift), min(len(words), offset + length + shift)
+                if runs and start <= runs[-1][1]:
+                    runs[-1][1:] = [max(end, runs[-1][1]), runs[-1][2] + 1]
+                elif start < end:
+                    runs.append([start, end, 1])
+            piece, reach = 0, 2 * length + shift
+            for start, end, offsets in runs:
+                for first in range(start, max(start + 1, end - reach + length), length):
+                    out.append((self.items[at][0], piece, first, words[first : min(first + reach, end)], offsets))
+                    piece += 1
         return out
 
 
@@ -126,6 +171,34 @@ def align(item: list[int], passage: list[int]) -> tuple[int, int, int, int]:
     return score, int(j), end, matched
 
 
+def copies(item: list[str], stretches: list[tuple[int, list[str]]], least_score: float, least_words: int) -> list[tuple[int, int, int, float]]:
+    """(first word, end, equal words, score) of the copies of an item in stretches of a text, none over another.
+
+    Of alignments that overlap the best counts.
+    """
+    numbers: dict[str, int] = {}
+    wanted = [numbers.setdefault(w, len(numbers)) for w in item]
+    most = np.bincount(wanted)
+    aligned = []
+
+    def best(start: int, p: np.ndarray) -> None:
+        """Keeps the best alignment of a part, if the words it shares with the item allow the score."""
+        shared = int(np.minimum(np.bincount(p[p >= 0], minlength=len(most)), most).sum())
+        if shared < least_score * len(item) or shared < min(least_words, len(item)):
+            return
+        total, a, b, matched = align(wanted, p)
+        if b > a and total >= least_score * MATCH * len(item):
+            aligned.append((-total, start + a, start + b, matched))
+
+    for first, words in stretches:
+        best(first, np.array([numbers.get(w, -1) for w in words], np.int64))
+    taken: list[tuple[int, int, int, float]] = []
+    for total, a, b, matched in sorted(aligned):
+        if matched >= min(least_words, len(item)) and all(b <= x or y <= a for x, y, *_ in taken):
+            taken.append((a, b, matched, -total / (MATCH * len(item))))
+    return sorted(taken)
+
+
 def _blocks(benchmark: DataFrame, size: int):
     """The items in blocks of at most ``size``, by ascending id, each block as a list."""
     items = first_column(benchmark, "item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
@@ -145,7 +218,7 @@ def contaminated(
     """``(doc_id, item_id, first_word, end_word, matched, score)``: passages that copy a test item.
 
     ``score`` is the alignment's share of a verbatim copy's. Null and empty texts and
-    items copy nothing, nor do items below four words; repeated rows give their
+    items copy nothing, nor do items below two words; repeated rows give their
     passages again; rows without id keep none; empty tables give no rows; further
     columns are not looked at.
     """
@@ -159,53 +232,24 @@ def contaminated(
 
 
 def _in_block(docs: DataFrame, block: list[tuple[int, list[str]]], least_score: float, least_words: int) -> DataFrame:
-    spark = docs.sparkSession
-    given = spark.sparkContext.broadcast(block)
+    given = docs.sparkSession.sparkContext.broadcast(block)
 
     def search(batches):
-        seeds, hashes = Seeds(given.value), WordHashes()
+        items, seeds, hashes = dict(given.value), Seeds(given.value, least_score), WordHashes()
         for batch in slices(batches):
             rows = []
             for doc, text in zip(column(batch, "doc_id"), column(batch, "text"), strict=True):
-                words = words_of(text)
-                if doc is not None and len(words) >= GRAM:
-                    rows += [(doc, *p) for p in seeds.passages(words, hashes([w.encode() for w in words]))]
-            columns = zip(*rows, strict=True) if rows else [[]] * len(PASSAGES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PASSAGES, strict=True)], schema=PASSAGES)
-
-    passages = cut_lineage(
-        docs.mapInArrow(search, "doc_id long, item_id long, piece long, first_word long, words array<string>, grams array<long>"), "passages"
-    )
-    counts = passages.select("item_id", F.explode("grams").alias("gram")).groupBy("item_id", "gram").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("item_id").orderBy("n", "gram")  # an item's own n-grams: as many as it has words
-    rank = F.row_number().over(order)
-    rarest = counts.select("item_id", "gram", rank.alias("rank"), F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("of"))
-    rare = defaultdict(set)
-    for r in rarest.filter("2 * rank <= of + 8").collect():  # at most the block's n-grams
-        rare[r["item_id"]].add(r["gram"])
-    chosen = spark.sparkContext.broadcast(dict(rare))
-
-    def score(batches):
-        items, seeds, numbers, last = dict(given.value), chosen.value, {}, None
-        for batch in slices(batches):
-            rows = []
-            names = ("doc_id", "item_id", "piece", "first_word", "words", "grams")
-            for doc, item, piece, first, words, grams in zip(*(column(batch, n) for n in names), strict=True):
-                if seeds.get(item, set()).isdisjoint(grams):
+                if doc is None or not text:
                     continue
-                numbers.clear()
-                wanted = [numbers.setdefault(w, len(numbers)) for w in items[item]]
-                total, a, b, matched = align(wanted, [numbers.get(w, -1) for w in words])
-                share = total / (MATCH * len(wanted))
-                if share >= least_score and matched >= min(least_words, len(wanted)):
-                    row = (doc, item, first + a, first + b, matched, share)
-                    if not piece or row != last:  # two stretches may show the same copy
-                        rows.append(row)
-                    last = row
+                words = words_of(text)
+                found = seeds.passages(words, hashes([w.encode() for w in words]))
+                for item, stretches in groupby(found, lambda p: p[0]):
+                    parts = [(first, part) for _, _, first, part, _ in stretches]
+                    rows += [(doc, item, *copy) for copy in copies(items[item], parts, least_score, least_words)]
             columns = zip(*rows, strict=True) if rows else [[]] * len(SCORES)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES)
 
-    return passages.mapInArrow(score, "doc_id long, item_id long, first_word long, end_word long, matched long, score double")
+    return docs.mapInArrow(search, "doc_id long, item_id long, first_word long, end_word long, matched long, score double")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

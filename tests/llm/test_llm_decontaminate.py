@@ -82,3 +82,42 @@ def test_repeated_copies_are_reported_once_each(spark):
     got = decontaminate.contaminated(docs, spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")).collect()
     assert {(r.doc_id, r.first_word, r.end_word) for r in got} >= {(1, 50, 80)} and len(got) == 2 * len(set(got))
     assert all(r.score == 1.0 and r.matched == 30 for r in got if r.first_word in (50, 280, 310))
+
+
+def test_edited_copies_beside_verbatim_ones_are_found(spark):
+    rng = random.Random(5)
+    items = {i: [f"i{i}w{j}" for j in range(40)] for i in range(4)}
+    docs, planted = [], set()
+    for i, item in items.items():
+        for step in (None, None, 10, 8, 6, 5, 4):  # two verbatim copies, then 10 to 25% of the words changed
+            copy = [f"new{j}" if step and j % step == step - 1 else w for j, w in enumerate(item)]
+            planted.add((len(docs), i))
+            docs.append((len(docs), " ".join(["x"] * rng.randint(0, 60) + copy + ["y"] * 30)))
+        for share in (0.1, 0.2, 0.3):
+            gone = set(rng.sample(range(40), int(40 * share)))
+            copy = [f"new{j}" if j in gone else w for j, w in enumerate(item)]
+            if score(item, copy) >= 40:
+                planted.add((len(docs), i))
+            docs.append((len(docs), " ".join(copy)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == planted and len(got) == len(planted)
+    sixth = [r.score for r in got if r.doc_id == 4]
+    assert sixth == [score(items[0], docs[4][1].split()) / 80]
+
+
+def test_every_text_that_reaches_the_score_is_found():
+    rng, hashes = random.Random(6), WordHashes()
+    reached = 0
+    for _ in range(1500):
+        item = [rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(rng.randint(3, 24))]
+        copy = list(item)
+        for _ in range(rng.randint(0, len(item))):
+            k = rng.randrange(len(copy)) if copy else 0
+            copy[k : k + 1] = rng.choice([[], ["new"], copy[k : k + 1] + ["more"]])
+        text = ["x"] * rng.randint(0, 9) + copy + ["y"] * rng.randint(0, 9)
+        if score(item, text) >= len(item):
+            reached += 1
+            found = decontaminate.Seeds([(1, item)]).passages(text, hashes([w.encode() for w in text]))
+            assert max(score(item, part) for *_, part, _ in found) == score(item, text)
+    assert reached > 500
