@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
+from heapq import heappop, heappush
 from itertools import groupby
 
 import numpy as np
@@ -174,12 +176,13 @@ def align(item: list[int], passage: list[int]) -> tuple[int, int, int, int]:
 def copies(item: list[str], stretches: list[tuple[int, list[str]]], least_score: float, least_words: int) -> list[tuple[int, int, int, float]]:
     """(first word, end, equal words, score) of the copies of an item in stretches of a text, none over another.
 
-    Of alignments that overlap the best counts.
+    The best alignment of all stretches comes first; what lies left and right of it is
+    aligned again, until no part reaches the score.
     """
     numbers: dict[str, int] = {}
     wanted = [numbers.setdefault(w, len(numbers)) for w in item]
     most = np.bincount(wanted)
-    aligned = []
+    aligned: list[tuple] = []
 
     def best(start: int, p: np.ndarray) -> None:
         """Keeps the best alignment of a part, if the words it shares with the item allow the score."""
@@ -188,15 +191,28 @@ def copies(item: list[str], stretches: list[tuple[int, list[str]]], least_score:
             return
         total, a, b, matched = align(wanted, p)
         if b > a and total >= least_score * MATCH * len(item):
-            aligned.append((-total, start + a, start + b, matched))
+            heappush(aligned, (-total, start + a, start + b, matched, start, len(p), p.tobytes()))
 
     for first, words in stretches:
         best(first, np.array([numbers.get(w, -1) for w in words], np.int64))
-    taken: list[tuple[int, int, int, float]] = []
-    for total, a, b, matched in sorted(aligned):
-        if matched >= min(least_words, len(item)) and all(b <= x or y <= a for x, y, *_ in taken):
-            taken.append((a, b, matched, -total / (MATCH * len(item))))
-    return sorted(taken)
+    starts, ends, rows = [], [], []  # spans that are settled, in order
+    while aligned:
+        total, a, b, matched, start, n, part = heappop(aligned)
+        p = np.frombuffer(part, np.int64)
+        low, high = bisect_right(ends, start), bisect_left(starts, start + n)  # settled spans that reach into the part
+        if bisect_right(ends, a) == bisect_left(starts, b):
+            at = bisect_left(starts, b)
+            starts.insert(at, a)
+            ends.insert(at, b)
+            high += 1
+            if matched >= min(least_words, len(item)):
+                rows.append((a, b, matched, -total / (MATCH * len(item))))
+        free = start
+        for x, y in [*zip(starts[low:high], ends[low:high], strict=True), (start + n, start + n)]:
+            if x > free:
+                best(free, p[free - start : x - start])
+            free = max(free, y)
+    return sorted(rows)
 
 
 def _blocks(benchmark: DataFrame, size: int):

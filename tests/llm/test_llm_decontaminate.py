@@ -121,3 +121,15 @@ def test_every_text_that_reaches_the_score_is_found():
             found = decontaminate.Seeds([(1, item)]).passages(text, hashes([w.encode() for w in text]))
             assert max(score(item, part) for *_, part, _ in found) == score(item, text)
     assert reached > 500
+
+
+def test_each_of_several_copies_is_reported(spark):
+    item = [f"w{i}" for i in range(30)]
+    edited = [f"new{i}" if i % 5 == 4 else w for i, w in enumerate(item)]
+    texts = [["x"] * 50 + item + ["y"] * 200 + item + item, item * 60, ["x"] * 7 + item + edited + item + ["y", "z"] + edited]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")).collect()
+    spans = lambda doc: sorted((r.first_word, r.end_word) for r in got if r.doc_id == doc)
+    assert spans(0) == [(50, 80), (280, 310), (310, 340)]
+    assert spans(1) == [(30 * i, 30 * i + 30) for i in range(60)]
+    assert spans(2) == [(7, 37), (37, 66), (67, 97), (99, 128)]  # a changed word at the end is no part of a copy
