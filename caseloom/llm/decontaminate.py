@@ -1,7 +1,7 @@
 """Benchmark decontamination: n-gram seeds with an exact bound, then Smith-Waterman alignment.
 
 Every document is searched for the seeds of the test items: pairs of words that are
-neighbours or one word apart, in the item as in the text. A copy that reaches the score
+neighbours or one word apart, in the item as in the text; of a one-word item, the word. A copy that reaches the score
 leaves at least ``LEAST_SCORE`` times the item's words, less one, of its pairs of
 successive equal words with at most one word changed, left out or put in between; a
 text with fewer seeds of an item within its reach holds no copy of it. All others are
@@ -67,7 +67,8 @@ class Seeds:
         self.items = [(number, words) for number, words in items if words]
         for at, (_, words) in enumerate(self.items):
             h = hashes([w.encode() for w in words])
-            found += [(g, at, place) for apart in APART for place, g in enumerate(pair_hashes(h, apart).tolist())]
+            found += [(g, at, place) for apart in (APART if len(words) > 1 else (0,)) for place, g in enumerate(pair_hashes(h, apart).tolist())]
+        self.apart = APART if all(len(words) > 1 for _, words in self.items) else (0, *APART)
         found.sort()
         grams = np.array([g for g, _, _ in found], np.uint64)
         self.grams, self.begin, self.count = np.unique(grams, return_index=True, return_counts=True)
@@ -85,7 +86,7 @@ class Seeds:
     def _hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, place in it and word of every seed."""
         items, places, words = [], [], []
-        for apart in APART:
+        for apart in self.apart:
             got = pair_hashes(h, apart)
             where = np.flatnonzero(self.look[got >> np.uint64(64 - LOOK_BITS)])
             at = np.minimum(np.searchsorted(self.grams, got[where]), len(self.grams) - 1)
@@ -234,7 +235,7 @@ def contaminated(
     """``(doc_id, item_id, first_word, end_word, matched, score)``: passages that copy a test item.
 
     ``score`` is the alignment's share of a verbatim copy's. Null and empty texts and
-    items copy nothing, nor do items below two words; repeated rows give their
+    items copy nothing; an item of a few words needs all of them; repeated rows give their
     passages again; rows without id keep none; empty tables give no rows; further
     columns are not looked at.
     """

@@ -133,3 +133,22 @@ def test_each_of_several_copies_is_reported(spark):
     assert spans(0) == [(50, 80), (280, 310), (310, 340)]
     assert spans(1) == [(30 * i, 30 * i + 30) for i in range(60)]
     assert spans(2) == [(7, 37), (37, 66), (67, 97), (99, 128)]  # a changed word at the end is no part of a copy
+
+
+def test_the_smallest_copies_and_items_are_found(spark):
+    item = [f"w{i}" for i in range(24)]
+    edits = [
+        [w if i % 4 else f"new{i}" for i, w in enumerate(item)],  # every fourth word changed
+        [w if i % 3 else f"new{i}" for i, w in enumerate(item)],  # every third
+        [w for i, w in enumerate(item) if i % 3],  # every third left out
+        [x for i, w in enumerate(item) for x in ([w, f"new{i}"] if i % 2 else [w])],  # one put in after every second word
+        [x for i, w in enumerate(item) for x in (w, f"new{i}")],  # after every word
+    ]
+    short = {1: "Solo", 2: "two words", 3: "three words here", 4: ""}
+    texts = edits + ["x solo y solo".split(), "two words x".split(), "x three words here".split(), ["nothing"], ["two", "a", "b", "here"]]
+    bench = spark.createDataFrame([(0, " ".join(item)), *short.items()], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (5, 1), (6, 2), (7, 3)]
+    assert all(r.score == score(item, texts[r.doc_id]) / 48 >= 0.5 for r in got if r.item_id == 0)
+    assert {(r.doc_id, r.first_word, r.end_word) for r in got if r.item_id} == {(5, 1, 2), (5, 3, 4), (6, 0, 2), (7, 1, 4)}
