@@ -96,8 +96,12 @@ def measured(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def frequent_lines(stored: DataFrame, host_docs: int = HOST_DOCS) -> DataFrame:
-    """``(host, line, n_docs)`` of lines in more than ``host_docs`` distinct documents of a host."""
-    lines = stored.select("host", F.explode("lines.line").alias("line"))
+    """``(host, line, n_docs)`` of lines in more than ``host_docs`` distinct documents of a host.
+
+    All rows of an id are one document, each row without id is one of its own.
+    """
+    alone = F.when(F.col("doc_id").isNull(), F.col("row")).alias("alone")
+    lines = stored.select("host", F.explode("lines.line").alias("line"), "doc_id", alone).distinct()
     return lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > host_docs)
 
 
@@ -105,8 +109,8 @@ def rule_verdicts(docs: DataFrame, host: str = "source", host_docs: int = HOST_D
     """Base counts, ``base_failed``, words and lines lost to frequent lines, and ``kept`` per row.
 
     ``docs`` is ``(doc_id, text, host)``. Null and empty texts have no words and fail;
-    a missing host is a host of its own; repeated rows count as documents and give a
-    row each; an empty table gives none; further columns are not looked at.
+    a missing host is a host of its own; repeated rows of an id count as one document
+    and give a row each; an empty table gives none; further columns are not looked at.
     """
     stored = cut_lineage(measured(docs, host), "measured")
     frequent = frequent_lines(stored, host_docs).select("host", "line")

@@ -51,3 +51,16 @@ def test_awkward_and_empty_tables(spark):
     got = quality_rules.rule_verdicts(awkward(spark)).collect()
     assert len(got) == len(AWKWARD) and {r.n_repeat_words for r in got if r.doc_id == 7} == {60_000}
     assert quality_rules.rule_verdicts(empty(spark)).count() == 0
+
+
+def test_repeated_rows_of_an_id_are_one_document(spark):
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits are equal in lines
+    own = lambda i: " ".join(f"{i}x{j}" for j in range(60)).translate(letters)
+    shared = " ".join(f"s{j}" for j in range(20))
+    rows = [(7, f"{own(7)}\n{shared}", "h")] * 25 + [(100 + i, f"{own(100 + i)}\n{shared}", "h") for i in range(19)]
+    rows += [(None, own(900), "h")] * 25  # rows without id are documents each
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality_rules.rule_verdicts(df).collect()
+    assert len(got) == len(rows) and all((r.lost_words, r.kept) == ((60, False) if r.doc_id is None else (0, True)) for r in got)
+    more = df.union(spark.createDataFrame([(200, f"{own(200)}\n{shared}", "h")], df.schema))
+    assert {r.lost_words for r in quality_rules.rule_verdicts(more).collect() if r.doc_id is not None} == {20}  # now 21 documents
