@@ -9,6 +9,7 @@ from __future__ import annotations
 import zlib
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from caseloom.session import cut_lineage
 GROUP_PIECES = 8_192
 
 PIECES = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
+    [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "row")]
 )
 
 
@@ -68,10 +69,11 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[tuple[int, int
 
 
 def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
-    """Pieces of every document's ids with ``end_id`` appended: full ones and the rest."""
+    """Pieces of every document's ids with ``end_id`` appended: full ones and the rest, with a row number."""
 
     def cut(batches):
         model, end = encoder(path), end_id.to_bytes(4, "little")
+        row = TaskContext.get().partitionId() << 40
         for batch in slices(batches):
             rows = []
             for doc, ids in zip(column(batch, "doc_id"), model.ids(column(batch, "text", "")), strict=True):
@@ -79,11 +81,12 @@ def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int) -> Dat
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n))
+                    row += 1
+                    rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, row))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PIECES, strict=True)], schema=PIECES)
 
     return first_column(docs, "doc_id", "text").mapInArrow(
-        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
     )
 
 
@@ -92,12 +95,13 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 4096, grou
 
     Every id lies in exactly one piece; offsets of a sequence are gapless from 0 and
     its length is at most ``capacity``. A null or empty text is the end id alone.
-    Repeated rows are packed each on its own, missing ids stay missing, an empty
-    table gives no rows, further columns are not looked at.
+    Repeated rows are packed each on its own and dealt to groups by their row numbers,
+    missing ids stay missing, an empty table gives no rows, further columns are not
+    looked at.
     """
     pieces = cut_lineage(cut_documents(docs, path, end_id, capacity), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
-    spread = F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "length")
+    spread = F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "length", "row")
 
     def place(key, rows):
         rows = rows.drop_columns("_group").sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])
@@ -108,6 +112,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 4096, grou
 
     return (
         pieces.withColumn("_group", F.pmod(spread, F.lit(groups)))
+        .drop("row")
         .groupBy("_group")
         .applyInArrow(
             place,

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -111,3 +112,11 @@ def test_packing(spark):
             end += length
         assert end <= capacity
     assert packing.pack(empty(spark), WORDS).count() == 0
+
+
+def test_equal_rows_spread_over_the_groups(spark):
+    rows = [(None, "one text without id")] * 2_000 + [(5, "one text of one id")] * 2_000 + [(10 + i, f"text {i}") for i in range(2_000)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), WORDS, capacity=64, group_pieces=300).collect()
+    groups = Counter(r.sequence_id >> 32 for r in got)
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    assert len(groups) == 20 and max(groups.values()) < 2 * 300
