@@ -1,5 +1,7 @@
 """Quality classifier: a factorisation machine over hashed words, structure and metadata.
 
+The metadata is the stated length, ``n_chars``, and how far it is from the text's real one.
+
 score = w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2): all pairwise
 interactions in time linear in the number of features of a text.
 """
@@ -7,6 +9,7 @@ interactions in time linear in the number of features of a text.
 from __future__ import annotations
 
 import io
+import math
 import re
 from dataclasses import dataclass
 
@@ -30,7 +33,8 @@ EPOCHS = 12
 BATCH = 128
 
 LINES = re.compile(r"[^\n]+")
-STATS = 18
+#: Statistics, the last ``META`` of them from metadata; a missing one has a feature of its own.
+STATS, META = 20, 2
 
 SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
@@ -55,7 +59,7 @@ class Features:
                         known[words[i]] = v
         return np.array(values, np.int64)
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, text: str | None, n_chars=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct buckets, their weights (of length 1 together), the statistics."""
         text = text or ""
         words = text.split()
@@ -64,7 +68,8 @@ class Features:
         weights = np.log1p(counts)
         if len(weights):
             weights /= np.sqrt((weights**2).sum())
-        return places, weights.astype(np.float32), self.statistics(text, words, ids, counts)
+        stats = np.concatenate([self.statistics(text, words, ids, counts), self.metadata(text, n_chars)])
+        return places, weights.astype(np.float32), stats
 
     @staticmethod
     def statistics(text: str, words: list[str], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -92,10 +97,17 @@ class Features:
         ]
         return np.array(stats, np.float32)
 
+    @staticmethod
+    def metadata(text: str, n_chars) -> np.ndarray:
+        """Stated length and its difference from the real one; not a number where none is stated."""
+        if not isinstance(n_chars, int | float) or not math.isfinite(n_chars):
+            return np.full(META, np.nan, np.float32)
+        return np.array([np.log2(1 + max(n_chars, 0)), (n_chars - len(text)) / max(len(text), 1)], np.float32)
+
 
 @dataclass
 class Model:
-    """``edges`` cut the statistics into bins; features are words first, then bins."""
+    """``edges`` cut the statistics into bins; features are words first, then bins, then missing metadata."""
 
     edges: np.ndarray
     bias: float
@@ -103,7 +115,7 @@ class Model:
     factors: np.ndarray
 
     def rows(self, places: np.ndarray, weights: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return with_bins(self.edges, places, weights, stats, len(self.linear) - STATS * BINS)
+        return with_bins(self.edges, places, weights, stats, len(self.linear) - STATS * BINS - META)
 
     def score(self, places: np.ndarray, weights: np.ndarray, stats: np.ndarray) -> float:
         if not len(self.linear):
@@ -127,18 +139,21 @@ class Model:
 
 def with_bins(edges, places, weights, stats, buckets):
     bins = (stats[:, None] > edges).sum(axis=1) + np.arange(STATS) * BINS + buckets
+    missing = np.flatnonzero(np.isnan(stats))
+    bins[missing] = buckets + STATS * BINS + missing - (STATS - META)
     return np.concatenate([places, bins]), np.concatenate([weights, np.full(STATS, 0.5, np.float32)])
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarray, buckets: int = BUCKETS, seed: int = 5) -> Model:
     """Logistic loss, AdaGrad steps over shuffled mini-batches; the same for the same rows."""
     stats = np.array([s for *_, s in rows])
-    edges = np.quantile(stats, np.arange(1, BINS) / BINS, axis=0).T.astype(np.float32)
+    known = np.where(np.isnan(stats).all(axis=0), 0, stats)
+    edges = np.nanquantile(known, np.arange(1, BINS) / BINS, axis=0).T.astype(np.float32)
     # junk is rare: also tell apart the far ends of each statistic
-    edges[:, 0], edges[:, -1] = np.quantile(stats, 0.03, axis=0), np.quantile(stats, 0.97, axis=0)
+    edges[:, 0], edges[:, -1] = np.nanquantile(known, 0.03, axis=0), np.nanquantile(known, 0.97, axis=0)
     edges.sort(axis=1)
     cells = [with_bins(edges, p, w, s, buckets) for p, w, s in rows]
-    size = buckets + STATS * BINS
+    size = buckets + STATS * BINS + META
     rng = np.random.default_rng(seed)
     linear, factors = np.zeros(size), rng.normal(0, 0.05, (size, RANK))
     share = labels.mean()
@@ -172,6 +187,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     return Model(edges, bias, linear.astype(np.float32), factors.astype(np.float32))
 
 
+def _given(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, n_chars)``, the last null where the table has none."""
+    stated = ["n_chars"] if "n_chars" in docs.columns else []
+    rows = first_column(docs, "doc_id", "text", *stated)
+    return rows if stated else rows.withColumn("n_chars", F.lit(None).cast("long"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``sample_rows`` labelled documents that are not held out.
 
@@ -180,13 +202,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     """
     ids = labelled_for_training(labels, label)
     chosen = cut_lineage(ids.orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(sample_rows), "sample")
-    texts = first_column(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most sample_rows ids
-    texts = cut_lineage(texts.dropDuplicates(["doc_id"]).select("doc_id", "text", "label"), "sample")
+    texts = _given(docs).join(F.broadcast(chosen), "doc_id")  # at most sample_rows ids
+    texts = cut_lineage(texts.dropDuplicates(["doc_id"]).select("doc_id", "text", "n_chars", "label"), "sample")
 
     def learn(batches):
         features, rows, kinds = Features(), [], []
         for batch in slices(batches):
-            rows += [features(t) for t in column(batch, "text")]
+            rows += map(features, column(batch, "text"), column(batch, "n_chars"))
             kinds += column(batch, "label")
         y = np.array([float(k == 1) for k in kinds])
         model = fit(rows, y) if 0 < y.sum() < len(y) else Model(np.zeros(0), float(y.mean()) if len(y) else 1.0, np.zeros(0), np.zeros((0, RANK)))
@@ -198,9 +220,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, score)`` for every row of ``docs (doc_id, text)``, each from the whole text.
+    """``(doc_id, score)`` for every row of ``docs (doc_id, text, n_chars)``, each from the whole text.
 
-    Null and empty texts have no words and the statistics of an empty text; repeated
+    Null and empty texts have no words and the statistics of an empty text; ``n_chars``
+    may be null or not there, as in the rows the model was fitted on; repeated
     rows and missing ids give a row each; an empty table gives none; further columns
     are not looked at.
     """
@@ -209,22 +232,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rate(batches):
         m, features = Model.unpacked(given.value), Features()
         for batch in slices(batches):
-            scores = [m.score(*features(t)) for t in column(batch, "text")]
+            scores = [m.score(*features(t, n)) for t, n in zip(column(batch, "text"), column(batch, "n_chars"), strict=True)]
             yield pa.RecordBatch.from_pydict({"doc_id": column(batch, "doc_id"), "score": scores}, SCORES)
 
-    return first_column(docs, "doc_id", "text").mapInArrow(rate, "doc_id long, score double")
+    return _given(docs).mapInArrow(rate, "doc_id long, score double")
 
 
 def with_quality(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that reach the threshold, all columns as they are; nothing is shuffled."""
     on_workers(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(model.packed())
-    place = docs.columns.index("text")
+    place, stated = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def keep(batches):
         m, features = Model.unpacked(given.value), Features()
         for batch in slices(batches):
-            good = [m.score(*features(t)) >= threshold for t in batch.column(place).to_pylist()]
+            lengths = [None] * batch.num_rows if stated is None else batch.column(stated).to_pylist()
+            good = [m.score(*features(t, n)) >= threshold for t, n in zip(batch.column(place).to_pylist(), lengths, strict=True)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

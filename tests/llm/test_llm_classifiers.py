@@ -105,3 +105,19 @@ def test_awkward_empty_and_unlabelled(spark):
         assert module.score(empty(spark), module.train(empty(spark), nothing)).count() == 0
         one = labels.selectExpr("doc_id", "1 AS quality", "1 AS toxic")
         assert all(r.score > 0.9 for r in module.score(docs, module.train(docs, one)).collect()), column
+
+
+def test_metadata_tells_texts_apart(spark):
+    rng = random.Random(12)
+    rows, docs = [], []
+    for i in range(900):
+        text = " ".join(rng.choice(["some", "words", "that", "say", "nothing"]) for _ in range(rng.randint(20, 60)))
+        rows.append((text, int(i % 3 == 0)))
+        docs.append((i, text, [len(text), len(text) // 3, None][i % 3]))  # cut off or not stated: of low quality
+    given = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
+    _, labels = corpus(spark, rows)
+    model = quality_fm.train(given, labels)
+    scores = quality_fm.score(given, model)
+    assert accuracy(scores, rows, 0.7) > 0.97
+    assert {r.doc_id for r in quality_fm.with_quality(given, model).collect()} == {r.doc_id for r in scores.collect() if r.score >= 0.7}
+    assert quality_fm.score(given.drop("n_chars"), model).filter("score >= 0.7").count() == 0
