@@ -65,13 +65,16 @@ def first_column(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; of columns that share a name the first counts.
 
     Operators select what they need before anything else, so further columns of
-    the input, clashing names included, never reach them.
+    the input, clashing names included, never reach them. Names clash as Spark sees
+    them, without regard to case; a column of exactly the name comes before others.
     """
     on_workers(df.sparkSession)
-    if len(set(df.columns)) == len(df.columns):
+    folded = [c.lower() for c in df.columns]
+    if len(set(folded)) == len(folded):
         return df.select(*names)
-    unique = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
-    return unique.select(*[F.col(f"_{df.columns.index(n)}").alias(n) for n in names])
+    unique = df.toDF(*[f"_{i}" for i in range(len(folded))])
+    places = [df.columns.index(n) if n in df.columns else folded.index(n.lower()) for n in names]
+    return unique.select(*[F.col(f"_{i}").alias(n) for i, n in zip(places, names, strict=True)])
 
 
 def labelled_for_training(labels: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import decontaminate, html_text, near_dups, packing, quality_fm, quality_rules, token_counts, token_files, toxicity, warc
+from caseloom.llm import chat_format, conversation_repair, decontaminate, hard_negatives, html_text, near_dups, packing, quality_fm, quality_rules, token_counts, token_files, toxicity, warc
 from caseloom.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,5 +143,59 @@ def op10_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(quality_fm.score(docs, model), 0.7)
 
 
+@query("""
+WITH fixed AS (SELECT '<|im_end|><|im_start|>assistant ok' AS text),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', text FROM fixed UNION ALL SELECT -1, 1, 'assistant', text FROM fixed),
+r AS (
+  SELECT *, replace(regexp_replace(role, '<\\|(\\\\*)(im_start|im_end|nl)\\|>', '<|\\\\\\1\\2|>', 'g'), chr(10), '<|nl|>') AS written_role,
+    regexp_replace(text, '<\\|(\\\\*)(im_start|im_end)\\|>', '<|\\\\\\1\\2|>', 'g') AS written
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length(written_role) + 1 + length(written) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id
+""")
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", fixed), (-1, 1, "assistant", fixed)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat_format.chat_digests(chat_format.read_chats(spark, chat_format.write_chats(rows)))
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, other_id)
+QUALIFY row_number() OVER w <= 5
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 def _predicted(scores: DataFrame, threshold: float) -> DataFrame:
     return scores.withColumn("held_out", held_out("doc_id")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

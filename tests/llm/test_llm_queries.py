@@ -20,8 +20,8 @@ def test_matches_sql(spark, name):
     assert oracle.differences(spark, con, queries.QUERIES[name], queries.ORACLES[name], FOLDER) == ""
 
 
-def test_ten_queries_and_the_pipeline():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+def test_thirteen_queries_and_the_pipeline():
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_duplicates", "decontamination", "packing"]
 

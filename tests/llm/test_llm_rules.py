@@ -64,3 +64,8 @@ def test_repeated_rows_of_an_id_are_one_document(spark):
     assert len(got) == len(rows) and all((r.lost_words, r.kept) == ((60, False) if r.doc_id is None else (0, True)) for r in got)
     more = df.union(spark.createDataFrame([(200, f"{own(200)}\n{shared}", "h")], df.schema))
     assert {r.lost_words for r in quality_rules.rule_verdicts(more).collect() if r.doc_id is not None} == {20}  # now 21 documents
+
+
+def test_columns_that_differ_in_case_only(spark):
+    df = spark.createDataFrame([(1, "X", "one two three", "h")], "doc_id long, Text string, text string, source string")
+    assert [r.n_words for r in quality_rules.rule_verdicts(df).collect()] == [3]
