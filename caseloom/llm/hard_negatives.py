@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from caseloom.llm.common import column, first_column, on_workers
 from caseloom.session import cut_lineage
 
-#: Segments per refinement; each level halves or quarters the segments of the one before.
+#: Segments per refinement; each level cuts the segments of the one before into equal parts.
 LEVELS = (4, 16, 32)
 #: Rows and anchors of a block: the least and the most, whatever the tables' size.
 ROW_BLOCK, ANCHOR_BLOCK = (2_048, 65_536), 4_096
-#: Pairs whose bounds are held at a time.
-PAIRS = 1 << 20
+#: Pairs whose bounds are held at a time, and pairs whose vectors are gathered at a time.
+PAIRS, GATHERED = 1 << 18, 1 << 14
+#: One pair in so many is left: from there on pairs are gathered one by one, before all are multiplied as blocks.
+SPARSE = 24
 #: Relative room for rounding in the bounds.
 ROOM = 1e-9
 
@@ -49,11 +51,9 @@ def _floor(x: Column) -> Column:
 
 def segments(dims: int, level: int) -> list[tuple[int, int]]:
     """Bounds of the segments of a level; those of a finer level lie inside those of a coarser one."""
-    cuts = [0, dims]
-    for finer in LEVELS[: LEVELS.index(level) + 1]:
-        parts = finer // (len(cuts) - 1) if finer >= len(cuts) - 1 else 1
-        cuts = sorted({a + (b - a) * k // parts for a, b in zip(cuts, cuts[1:], strict=False) for k in range(parts)} | {dims})
-    return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+    parts = LEVELS[level]
+    cuts = sorted({dims * k // parts for k in range(parts + 1)})
+    return list(zip(cuts, cuts[1:], strict=False))
 
 
 def summaries(vectors: np.ndarray, level: int) -> np.ndarray:
@@ -75,7 +75,7 @@ def _summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary: list = [None] * len(lists)
         for rows in by_width.values():
             vectors = np.array([lists[i] for i in rows], np.float64).reshape(len(rows), -1)
-            found = np.concatenate([summaries(vectors, level) for level in LEVELS], axis=1)
+            found = np.concatenate([summaries(vectors, level) for level in range(len(LEVELS))], axis=1)
             for i, s in zip(rows, found, strict=True):
                 summary[i] = s
         arrays = [batch.column(batch.schema.get_field_index(n)) for n in ("vec_id", "label", "vector")]
@@ -100,21 +100,23 @@ def stored_vectors(vectors: DataFrame) -> DataFrame:
 class Block:
     """Rows of a block as arrays, by ascending id: ids, labels, vectors and the summaries of each level."""
 
-    def __init__(self, ids: list, labels: list, vectors: list, stored: list, dims: int):
-        order = np.argsort(np.array(ids, np.int64), kind="stable")
-        self.ids, self.labels = np.array(ids, np.int64)[order], np.array(labels, np.int64)[order]
-        self.vectors = np.zeros((len(ids), dims))
-        for k, i in enumerate(order):
-            self.vectors[k, : len(vectors[i])] = vectors[i]
-        if all(len(v) == dims for v in vectors):
-            flat, at = np.array([stored[i] for i in order], np.float64).reshape(len(ids), -1), 0
+    def __init__(self, table: pa.Table, dims: int):
+        ids = table.column("vec_id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.labels = ids[order], table.column("label").to_numpy()[order]
+        values, lengths = _ragged(table, "vector")
+        vectors = np.zeros((len(ids), dims))
+        vectors[np.arange(dims) < lengths[:, None]] = values
+        self.vectors = vectors[order]
+        if (lengths == dims).all():
+            flat, at = _ragged(table, "summary")[0].reshape(len(ids), -1)[order], 0
             self.levels = []
-            for level in LEVELS:
+            for level in range(len(LEVELS)):
                 width = 2 * len(segments(dims, level))
                 self.levels.append(flat[:, at : at + width])
                 at += width
         else:  # shorter vectors end in zeros here, so their segments lie elsewhere
-            self.levels = [summaries(self.vectors, level) for level in LEVELS]
+            self.levels = [summaries(self.vectors, level) for level in range(len(LEVELS))]
         self.norms = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors))
 
     def part(self, rows: slice | np.ndarray) -> Block:
@@ -124,30 +126,37 @@ class Block:
         return out
 
 
+def _products(a: np.ndarray, b: np.ndarray, pairs: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """Inner products of all rows of ``a`` and ``b``, or of the given pairs, a bounded number of them at a time."""
+    if pairs is None:
+        return a @ b.T
+    out = np.empty(len(pairs[0]))
+    for s in range(0, len(out), GATHERED):
+        i, j = pairs[0][s : s + GATHERED], pairs[1][s : s + GATHERED]
+        out[s : s + GATHERED] = np.einsum("ij,ij->i", a[i], b[j])
+    return out
+
+
 def bounds(anchors: Block, rows: Block, level: int, pairs: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bound of the scores, of all pairs or of the given ones."""
     a, b = anchors.levels[level], rows.levels[level]
     half = a.shape[1] // 2
-    if pairs is None:
-        means, deviations = a[:, :half] @ b[:, :half].T, a[:, half:] @ b[:, half:].T
-        room = np.outer(anchors.norms, rows.norms)
-    else:
-        i, j = pairs
-        means = np.einsum("ij,ij->i", a[i, :half], b[j, :half])
-        deviations = np.einsum("ij,ij->i", a[i, half:], b[j, half:])
-        room = anchors.norms[i] * rows.norms[j]
-    deviations += ROOM * room
+    means, deviations = _products(a[:, :half], b[:, :half], pairs), _products(a[:, half:], b[:, half:], pairs)
+    deviations += ROOM * (np.outer(anchors.norms, rows.norms) if pairs is None else anchors.norms[pairs[0]] * rows.norms[pairs[1]])
     return means - deviations, means + deviations
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whole-number inner products of matching rows; such as no long can hold stay at its ends."""
-    if not a.size:
-        return np.zeros(len(a), np.int64)
+def exact(anchors: Block, rows: Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whole-number scores of pairs; such as no long can hold stay at its ends."""
+    a, b = anchors.vectors, rows.vectors
+    if not len(i) or not a.shape[1]:
+        return np.zeros(len(i), np.int64)
     if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0**53:
-        return np.einsum("ij,ij->i", a, b).astype(np.int64)
+        if len(i) * SPARSE > len(a) * len(b):
+            return (a @ b.T)[i, j].astype(np.int64)
+        return _products(a, b, (i, j)).astype(np.int64)
     least, most = -(2**63), 2**63 - 1
-    return np.array([min(max(sum(int(x) * int(y) for x, y in zip(p, q, strict=True)), least), most) for p, q in zip(a, b, strict=True)], np.int64)
+    return np.array([min(max(sum(int(x) * int(y) for x, y in zip(a[p], b[q], strict=True)), least), most) for p, q in zip(i, j, strict=True)], np.int64)
 
 
 def best(groups: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -183,19 +192,19 @@ def nearest(anchors: Block, rows: Block, k: int) -> tuple[np.ndarray, np.ndarray
                 top, enough = _kth(upper, alive, k)
                 if enough.any():
                     who = np.flatnonzero(enough)
-                    first = exact(anchors.vectors[np.repeat(who, top.shape[1])], rows.vectors[top[who].ravel()])
+                    first = exact(anchors, rows, np.repeat(who, top.shape[1]), top[who].ravel())
                     least = first.reshape(len(who), -1).min(axis=1).astype(np.float64)
                     least = np.where(least > -(2.0**63), least - np.abs(least) * ROOM, -np.inf)
                     floor[who] = np.maximum(floor[who], least)
             alive &= upper >= floor[:, None]
-            if alive.sum() * 4 < alive.size:
+            if alive.sum() * SPARSE < alive.size:
                 pairs = np.nonzero(alive)
         else:
             upper = bounds(anchors, rows, level, pairs)[1]
             keep = upper >= floor[pairs[0]]
             pairs = pairs[0][keep], pairs[1][keep]
     i, j = np.nonzero(alive) if pairs is None else pairs
-    scores = exact(anchors.vectors[i], rows.vectors[j])
+    scores = exact(anchors, rows, i, j)
     first = best(i, scores, rows.ids[j], k)
     return i[first], j[first], scores[first]
 
@@ -208,27 +217,27 @@ def within(anchors: Block, least: np.ndarray, most: np.ndarray, rows: Block) ->
         if pairs is None:
             lower, upper = bounds(anchors, rows, level)
             alive &= (upper >= least[:, None]) & (lower <= most[:, None])
-            if alive.sum() * 4 < alive.size:
+            if alive.sum() * SPARSE < alive.size:
                 pairs = np.nonzero(alive)
         else:
             lower, upper = bounds(anchors, rows, level, pairs)
             keep = (upper >= least[pairs[0]]) & (lower <= most[pairs[0]])
             pairs = pairs[0][keep], pairs[1][keep]
     i, j = np.nonzero(alive) if pairs is None else pairs
-    return i, j, exact(anchors.vectors[i], rows.vectors[j])
+    return i, j, exact(anchors, rows, i, j)
 
 
-def _lists(batches: list[pa.RecordBatch] | pa.Table, name: str) -> list:
-    return batches.column(name).to_pylist()
+def _ragged(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column one after another, and the length of each list."""
+    lists = table.column(name).combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
+    return lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
 
 
 def _blocks(left: pa.Table, right: pa.Table) -> tuple[Block, Block]:
     """Anchors and rows of a pair of blocks, brought to one number of components."""
-    vectors = [_lists(t, "vector") for t in (left, right)]
-    dims = max(len(v) for side in vectors for v in side)
-    return tuple(
-        Block(_lists(t, "vec_id"), _lists(t, "label"), v, _lists(t, "summary"), dims) for t, v in zip((left, right), vectors, strict=True)
-    )
+    dims = max(int(_ragged(t, "vector")[1].max()) for t in (left, right))
+    return Block(left, dims), Block(right, dims)
 
 
 def _chunks(anchors: int, rows: int) -> Iterator[slice]:
@@ -270,12 +279,13 @@ def _negatives_of(k: int, percent: int):
         if not left.num_rows or not right.num_rows:
             return _scored([])
         anchors, rows = _blocks(left, right)
-        wanted = dict(zip(_lists(left, "vec_id"), _lists(left, "positives"), strict=True))
+        wanted = dict(zip(left.column("vec_id").to_pylist(), left.column("positives").to_pylist(), strict=True))
         ranges = [[(p["positive_id"], least_score(p["score"], percent), p["score"]) for p in wanted[i]] for i in anchors.ids.tolist()]
         # doubles, a little wider: the ranges are compared once more as whole numbers below
         least = np.array([min(r[1] for r in own) for own in ranges], np.float64)
         most = np.array([max(r[2] for r in own) for own in ranges], np.float64)
         least, most = least - np.abs(least) * ROOM, most + np.abs(most) * ROOM
+        most[most >= 2.0**63] = np.inf  # a score at the end of a long may stand for any larger one
         found = []
         for chunk in _chunks(len(anchors.ids), len(rows.ids)):
             part = anchors.part(chunk)
