@@ -93,9 +93,9 @@ def _written(turns: DataFrame) -> DataFrame:
 def format_chats(conversations: DataFrame, assistant: str = "assistant") -> DataFrame:
     """``(conv_id, formatted, n_turns, loss)``: a rendered text per conversation and its loss mask.
 
-    ``loss`` has the spans of the texts of ``assistant`` turns, in order: ``begin`` and
-    ``length`` in code points of ``formatted``, and the same place as ``turn`` (from 1) and
-    ``start`` behind that turn's start mark.
+    ``loss`` has the spans of the texts of ``assistant`` turns, in order: ``begin`` (from 0)
+    and ``length`` in code points of ``formatted``, and the same place as ``turn`` and ``start``
+    behind that turn's start mark (both from 1).
 
     Turns stand by ``turn`` (missing ones first), equal ones by role and text; repeated rows
     are turns each. Null roles and texts are empty; rows without conv_id are one conversation.
@@ -110,7 +110,7 @@ def format_chats(conversations: DataFrame, assistant: str = "assistant") -> Data
     before = F.sum(F.length("piece")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     start = F.length("_role") + 2
     span = F.struct(
-        (F.coalesce(before, F.lit(0)) + len(START) + start).cast("long").alias("begin"),
+        (F.coalesce(before, F.lit(0)) + len(START) + start - 1).cast("long").alias("begin"),
         F.length("_text").cast("long").alias("length"),
         F.row_number().over(order).alias("turn"),
         start.alias("start"),
