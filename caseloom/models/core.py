@@ -11,8 +11,7 @@ from caseloom.functions.keys import surrogate_key
 from caseloom.functions.text import is_test_name
 from caseloom.operators.capacity import code_flags, unify_capacity
 from caseloom.operators.explode import explode_codes, explode_days, explode_id_list, explode_shared
-from caseloom.operators.skew import best_row, skew_join
-from caseloom.session import cut_lineage
+from caseloom.operators.skew import best_row, skew_join, stored_with_statistics
 
 
 def coded_items(df: DataFrame, key: str, codes: str, domain: Domain, out: str) -> DataFrame:
@@ -137,15 +136,30 @@ def dim_families(
     return wide.withColumn("family_sk", surrogate_key(F.col("family_id")))
 
 
+def person_keys(persons: DataFrame) -> DataFrame:
+    """Keys of ``dim_persons`` alone, for facts that need no more of it."""
+    return persons.filter(~is_test_name(F.col("name"))).select("person_id", "doc", surrogate_key(F.col("person_id")).alias("person_sk"))
+
+
+def provider_keys(providers: DataFrame) -> DataFrame:
+    """Keys of ``dim_providers`` alone."""
+    known = providers.filter(~is_test_name(F.col("provider_name")))
+    return known.select("provider_id", "login_id", surrogate_key(F.col("provider_id")).alias("provider_sk"))
+
+
+def unit_keys(units: DataFrame) -> DataFrame:
+    """Keys of ``dim_units`` alone."""
+    return units.filter(~is_test_name(F.col("unit_name"))).select("unit_id", surrogate_key(F.col("unit_id")).alias("unit_sk"))
+
+
 def fct_visits(visits: DataFrame, persons: DataFrame, providers: DataFrame, units: DataFrame) -> DataFrame:
     """Visit by provider: the main provider and every other one from the shared list."""
     rows = explode_shared(visits, "provider_id", "shared_providers")
     rows = rows.withColumn("visit_sk", surrogate_key(F.col("module"), F.col("visit_id"), F.col("provider_id")))
-    # read three times below; the base table holds the same persons in fewer rows
-    rows = cut_lineage(rows, "visit-rows")
+    rows, known = stored_with_statistics(rows, "visit-rows", ["person_id"], ["provider_id"])
     spread = ["visit_id", "provider_id"]
-    with_person = skew_join(rows, persons.select("person_id", "person_sk"), ["person_id"], spread, count_on=visits)
-    with_provider = skew_join(with_person, providers.select("provider_id", "provider_sk"), ["provider_id"], ["visit_id"], count_on=rows)
+    with_person = skew_join(rows, persons.select("person_id", "person_sk"), ["person_id"], spread, count_on=known)
+    with_provider = skew_join(with_person, providers.select("provider_id", "provider_sk"), ["provider_id"], ["visit_id"], count_on=known)
     # units: size-checked broadcast by the optimizer, split by AQE beyond it
     return with_provider.join(units.select("unit_id", "unit_sk"), "unit_id", "left")
 
@@ -169,10 +183,9 @@ def fct_notes(
     for df in tagged[1:]:
         notes = notes.unionByName(df, allowMissingColumns=True)
     notes = notes.withColumn("note_sk", surrogate_key(F.col("module"), F.col("note_id"), F.col("person_id")))
-    # read by the joins below and by their key counts
-    notes = cut_lineage(notes, "note-rows")
-    with_person = skew_join(notes, persons.select("person_id", "person_sk"), ["person_id"], ["note_id"])
-    with_provider = skew_join(with_person, providers.select("provider_id", "provider_sk"), ["provider_id"], ["note_id"], count_on=notes)
+    notes, known = stored_with_statistics(notes, "note-rows", ["person_id"], ["provider_id"])
+    with_person = skew_join(notes, persons.select("person_id", "person_sk"), ["person_id"], ["note_id"], count_on=known)
+    with_provider = skew_join(with_person, providers.select("provider_id", "provider_sk"), ["provider_id"], ["note_id"], count_on=known)
     return with_provider.join(units.select("unit_id", "unit_sk"), "unit_id", "left")
 
 

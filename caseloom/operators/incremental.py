@@ -15,16 +15,17 @@ from caseloom.functions.keys import row_hash
 from caseloom.session import cut_lineage, make_folder
 
 
-def merge_by_key(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+def merge_by_key(existing: DataFrame, incoming: DataFrame, key: Sequence[str], unique: bool = True) -> DataFrame:
     """Incoming rows replace existing rows with the same key; NULL equals NULL.
 
-    Two incoming rows with one key are an error when the result is computed.
+    Two incoming rows with one key are an error when the result is computed, unless ``unique`` is off.
     """
-    repeats = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    message = F.lit(f"incoming rows repeat a key of {list(key)}")
-    checked = incoming.withColumn("_repeats", repeats)
-    single = F.when(F.col("_repeats") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    incoming = checked.filter(single).drop("_repeats")
+    if unique:
+        repeats = F.count(F.lit(1)).over(Window.partitionBy(*key))
+        message = F.lit(f"incoming rows repeat a key of {list(key)}")
+        checked = incoming.withColumn("_repeats", repeats)
+        single = F.when(F.col("_repeats") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+        incoming = checked.filter(single).drop("_repeats")
     new_keys = incoming.select(*[F.col(k).alias(f"_n_{k}") for k in key]).distinct()
     same = F.lit(True)
     for k in key:
@@ -73,16 +74,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 def latest_partition(
     df: DataFrame, partition: str, control: DataFrame | None = None, unit: str | None = None
 ) -> DataFrame:
-    """Rows of the newest partition, found first so the scan prunes by a literal.
+    """Rows of the newest partition, which a subquery of the same plan finds.
 
-    With ``unit`` the partition is that calendar unit (``month``, ``year``) of a stored
-    timestamp, and the filter is a range of the stored column.
+    On a stored partition the subquery is a partition filter: it runs first, and the scan opens
+    the files of its answer alone. With ``unit`` the partition is that calendar unit
+    (``month``, ``year``) of a stored timestamp, and the filter is a range of the stored column.
     """
     top = F.max(partition)
-    newest = (control if control is not None else df).agg((F.date_trunc(unit, top) if unit else top).alias("m")).first()["m"]
-    if newest is None:
-        return df.limit(0)
-    return df.filter(F.col(partition) >= F.lit(newest)) if unit else df.filter(F.col(partition) == F.lit(newest))
+    newest = (control if control is not None else df).agg(F.date_trunc(unit, top) if unit else top).scalar()
+    return df.filter(F.col(partition) >= newest if unit else F.col(partition) == newest)
 
 
 def partitions_missing(landed: DataFrame, *done: DataFrame, partition: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators.graph import connected_components, label_rows
-from caseloom.operators.skew import attach_group, skew_join
+from caseloom.operators.skew import attach_group, block_join, skew_join
 from caseloom.session import cut_lineage
 
 
@@ -92,8 +92,9 @@ def similar_values(
     rare = by_rarity.select("b", "v", *word, F.explode(F.transform(prefix, lambda p: p["t"])).alias("s"))
     index = _index_signatures(values, edit_max).unionByName(rare).withColumnRenamed("v", "x")
     probe = _probe_signatures(values, edit_max).unionByName(tokens.select("b", "v", *word, F.col("t").alias("s")))
+    # a word of very many names, or the empty piece of short ones, is met block by block
     nominated = (
-        index.join(probe.withColumnRenamed("v", "y"), ["b", "n", "i", "s"])
+        block_join(index, probe.withColumnRenamed("v", "y"), ["b", "n", "i", "s"], "x", "y")
         .filter(F.col("x") != F.col("y"))
         .select("b", F.least("x", "y").alias("value_a"), F.greatest("x", "y").alias("value_b"))
         .distinct()

@@ -1,18 +1,21 @@
 """Joins and group values that stay balanced when one key holds a large share of the rows.
 
-Keys are counted first, over the key columns alone. Without a key above
-``HEAVY_ROWS`` the plain join or window is used: one shuffle. Otherwise the values
-of the heaviest keys travel by broadcast and their rows are spread over many tasks
-in the shuffle join, where they match nothing. At most ``MAX_HEAVY`` keys are ever
-broadcast; any key outside that list holds less than ``1 / MAX_HEAVY`` of the rows,
-so the plain shuffle can carry it.
+Frequent keys come from the statistics of a table: one pass over its key columns with a
+sketch of frequent items per key, taken while the table is written or, for a table that lies
+there already, in a job of its own. Without a key above ``HEAVY_ROWS`` the plain join or window is
+used: one shuffle. Otherwise the values of the heaviest keys travel by broadcast and their rows
+are spread over many tasks in the shuffle join, where they match nothing. At most
+``MAX_HEAVY`` keys are ever broadcast; a key that the sketch loses track of holds a share of
+the rows so small that the plain shuffle can carry it. The result is the same whatever the
+statistics say.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from caseloom.session import cut_lineage
@@ -20,12 +23,45 @@ from caseloom.session import cut_lineage
 MAX_HEAVY = 50_000
 HEAVY_ROWS = 1_000_000
 SPREAD = 65_536
+#: Rows of a key that meet in one group of a many-to-many join.
+BLOCK_ROWS = 16_384
+#: Items a sketch keeps track of in a task.
+TRACKED = 200_000
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows, the most frequent first, bounded."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > heavy_rows).orderBy(F.desc("_n"), *keys).limit(MAX_HEAVY)
+@dataclass(frozen=True)
+class KeyStatistics:
+    """Per set of key columns the hashes of the keys with more than a given number of rows."""
+
+    heavy: Mapping[tuple[str, ...], Sequence[int]]
+
+
+def key_hash(*keys: str) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def _sketches(key_sets: Sequence[Sequence[str]], above: int | None = None) -> list[Column]:
+    """An aggregate per set of keys, with a map-side step; hardly any key reaches the driver."""
+    above = HEAVY_ROWS if above is None else above
+    hashes = [f"xxhash64({', '.join(f'`{k}`' for k in keys)})" for keys in key_sets]
+    top = [F.expr(f"approx_top_k({h}, {MAX_HEAVY}, {TRACKED})") for h in hashes]
+    return [F.filter(t, lambda x: x["count"] > above).alias(f"k{i}") for i, t in enumerate(top)]
+
+
+def _statistics(found: Mapping, key_sets: Sequence[Sequence[str]]) -> KeyStatistics:
+    return KeyStatistics({tuple(keys): [r["item"] for r in found[f"k{i}"] or []] for i, keys in enumerate(key_sets)})
+
+
+def key_statistics(df: DataFrame, *key_sets: Sequence[str], above: int | None = None) -> KeyStatistics:
+    """Statistics of several sets of key columns in one pass over the table; ``above`` stands in for HEAVY_ROWS."""
+    return _statistics(df.agg(*_sketches(key_sets, above)).first().asDict(), key_sets)
+
+
+def stored_with_statistics(df: DataFrame, label: str, *key_sets: Sequence[str]) -> tuple[DataFrame, KeyStatistics]:
+    """The table written to the shared folder, and its statistics taken while it was written."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, *_sketches(key_sets)), label)
+    return stored, _statistics(seen.get, key_sets)
 
 
 def _renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
@@ -50,61 +86,61 @@ def _two_way_join(
     null_safe: bool,
     how: str,
 ) -> DataFrame:
+    """``heavy`` has ``_hash``, the keys and values of frequent keys; ``_found`` is false for a hash without a right row."""
     values = [c for c in right.columns if c not in keys and c != "_n"]
-    heavy = _renamed(heavy.withColumn("_hit", F.lit(True)), keys, "_h_")
+    heavy = _renamed(heavy, keys, "_h_")
     light = _renamed(right.withColumn("_found", F.lit(True)), keys, "_l_")
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(SPREAD)).cast("int") + 1
+    # a hash alone proves nothing: the keys are compared, too, where there is a right row
+    hit = (key_hash(*keys) == F.col("_h__hash")) & (~F.col("_h__found") | _same(keys, "_h_", null_safe=True))
+    marked = left.join(F.broadcast(heavy), hit, "left")
     # the place is part of the join key, so heavy rows are hashed to many tasks
-    place = F.when(F.col("_h__hit"), spread.cast("long")).otherwise(F.xxhash64(*keys))
-    marked = left.join(F.broadcast(heavy), _same(keys, "_h_", null_safe=True), "left").withColumn("_place", place)
+    place = F.when(F.col("_h__hash").isNotNull(), spread.cast("long")).otherwise(F.xxhash64(*keys))
+    marked = marked.withColumn("_place", place)
     light = light.withColumn("_l_place", F.xxhash64(*[F.col(f"_l_{k}") for k in keys]))
     joined = marked.join(
         light, _same(keys, "_l_", null_safe) & (F.col("_place") == F.col("_l_place")), "left"
     )
     if how == "inner":
-        joined = joined.filter(F.coalesce(F.col("_h__found"), F.col("_l__found"), F.lit(False)))
+        joined = joined.filter(F.coalesce("_h__found", "_l__found", F.lit(False)))
     # a heavy row takes the broadcast value, any other row the shuffled one
     picked = [
-        F.when(F.col("_h__hit"), F.col(f"_h_{v}")).otherwise(F.col(f"_l_{v}")).alias(v) for v in values
+        F.when(F.col("_h__hash").isNotNull(), F.col(f"_h_{v}")).otherwise(F.col(f"_l_{v}")).alias(v) for v in values
     ]
     return joined.select(*[F.col(c) for c in left.columns], *picked)
 
 
+def _heavy(known: DataFrame | KeyStatistics, keys: Sequence[str]) -> Sequence[int]:
+    statistics = known if isinstance(known, KeyStatistics) else key_statistics(known, keys)
+    return statistics.heavy[tuple(keys)]
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    heavy_rows: int = HEAVY_ROWS,
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | KeyStatistics | None = None,
 ) -> DataFrame:
     """Left or inner join to a ``right`` that has one row per key.
 
-    ``spread_by`` names left columns that tell rows of one key apart. Frequent
-    keys are counted on ``count_on`` where a cheaper table holds the same keys.
+    ``spread_by`` names left columns that tell rows of one key apart. ``count_on`` are the
+    statistics of the keys, or a cheaper table with the same keys to take them from; without it
+    ``left`` is read for them.
     """
     if how not in ("left", "inner"):
         raise ValueError("how is 'left' or 'inner'")
     keys = list(keys)
-    frequent = cut_lineage(heavy_keys(left if count_on is None else count_on, keys, heavy_rows), "heavy")
-    if frequent.isEmpty():
+    frequent = _heavy(left if count_on is None else count_on, keys)
+    if not frequent:
         return left.join(right, keys, how).select(*left.columns, *[c for c in right.columns if c not in keys])
-    frequent = _renamed(frequent.drop("_n"), keys, "_k_")
+    hashes = left.sparkSession.createDataFrame([(h,) for h in frequent], "_hash long")
+    complete = right.dropna(subset=keys).withColumn("_r_hash", key_hash(*keys)).withColumn("_found", F.lit(True))
     # right has a row per key: no more rows are left of it than there are frequent keys
-    of_frequent = right.join(F.broadcast(frequent), _same_reversed(keys), "left_semi").withColumn("_found", F.lit(True))
-    heavy_values = (
-        frequent.join(F.broadcast(of_frequent), _same_reversed(keys), "left")
-        .select(*[F.col(f"_k_{k}").alias(k) for k in keys], *[c for c in right.columns if c not in keys], "_found")
-    )
-    return _two_way_join(left, heavy_values, right, keys, spread_by, False, how)
-
-
-def _same_reversed(keys: Sequence[str]) -> Column:
-    test = F.lit(True)
-    for k in keys:
-        test = test & (F.col(f"_k_{k}") == F.col(k))
-    return test
+    heavy = hashes.join(complete, F.col("_hash") == F.col("_r_hash"), "left").drop("_r_hash")
+    heavy = heavy.withColumn("_found", F.coalesce("_found", F.lit(False)))
+    return _two_way_join(left, heavy, right, keys, spread_by, False, how)
 
 
 def attach_group(
@@ -112,8 +148,7 @@ def attach_group(
     keys: Sequence[str],
     aggregates: Mapping[str, Column],
     spread_by: Sequence[str],
-    heavy_rows: int = HEAVY_ROWS,
-    count_on: DataFrame | None = None,
+    count_on: DataFrame | KeyStatistics | None = None,
     at_most: int | None = None,
 ) -> DataFrame:
     """Every row with the aggregates of its group, NULL keys forming one group.
@@ -123,18 +158,47 @@ def attach_group(
     that knows ``df`` has ``at_most`` so many rows may save the counting.
     """
     keys = list(keys)
-    small = at_most is not None and at_most <= heavy_rows
-    if small or heavy_keys(df if count_on is None else count_on, keys, heavy_rows).isEmpty():
+    small = at_most is not None and at_most <= HEAVY_ROWS
+    frequent = [] if small else _heavy(df if count_on is None else count_on, keys)
+    if not frequent:
         group = Window.partitionBy(*keys)
         return df.select("*", *[value.over(group).alias(name) for name, value in aggregates.items()])
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[v.alias(n) for n, v in aggregates.items()])
-    heavy = (
-        stats.filter(F.col("_n") > heavy_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HEAVY)
-        .withColumn("_found", F.lit(True))
-    )
-    return _two_way_join(df, heavy, stats.filter("_n > 0"), keys, spread_by, True, "left")
+    stats = df.groupBy(*keys).agg(*[v.alias(n) for n, v in aggregates.items()])
+    hashes = df.sparkSession.createDataFrame([(h,) for h in frequent], "_r_hash long")
+    heavy = stats.withColumn("_hash", key_hash(*keys)).withColumn("_found", F.lit(True))
+    heavy = heavy.join(F.broadcast(hashes), F.col("_hash") == F.col("_r_hash"), "left_semi")
+    return _two_way_join(df, heavy, stats, keys, spread_by, True, "left")
+
+
+def block_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_by: str, right_by: str, block_rows: int | None = None) -> DataFrame:
+    """Inner join of many rows to many, the rows of a frequent key dealt into blocks on both sides.
+
+    A key that has more than ``block_rows`` rows on a side is cut into blocks of about that many,
+    by the hash of ``left_by`` and ``right_by``. Each block of one side meets each
+    block of the other in a group of its own, so a key's pairs are spread over as many
+    groups as it has pairs of blocks and no row is held with more than a block of others. Other
+    keys move once.
+    """
+    keys, block_rows, spark = list(keys), block_rows or BLOCK_ROWS, left.sparkSession
+    frequent = {h for side in (left, right) for h in key_statistics(side, keys, above=block_rows).heavy[tuple(keys)]}
+    if not frequent:
+        return left.join(right, keys)
+    hashes = spark.createDataFrame([(h,) for h in sorted(frequent)], "_h long")
+
+    def blocks(side: DataFrame, name: str) -> DataFrame:
+        of_frequent = side.select(key_hash(*keys).alias("_h")).join(F.broadcast(hashes), "_h", "left_semi")
+        return of_frequent.groupBy("_h").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    # a row for each frequent key
+    sizes = hashes.join(blocks(left, "_l"), "_h", "left").join(blocks(right, "_r"), "_h", "left").fillna(1, ["_l", "_r"])
+
+    def dealt(side: DataFrame, by: str, own: str, other: str) -> DataFrame:
+        sized = side.withColumn("_h", key_hash(*keys)).join(F.broadcast(sizes), "_h", "left").fillna(1, ["_l", "_r"])
+        mine = F.pmod(F.xxhash64(by), F.col(own)).alias(f"_b{own}")
+        return sized.select(*side.columns, mine, F.explode(F.sequence(F.lit(0).cast("long"), (F.col(other) - 1).cast("long"))).alias(f"_b{other}"))
+
+    met = dealt(left, left_by, "_l", "_r").join(dealt(right, right_by, "_r", "_l"), [*keys, "_b_l", "_b_r"])
+    return met.drop("_b_l", "_b_r")
 
 
 def best_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:

@@ -10,7 +10,7 @@ from caseloom.functions.documents import doc_digits, doc_status
 from caseloom.operators.capacity import occupancy
 from caseloom.operators.explode import bounded_text_list, explode_days
 from caseloom.operators.incremental import append_snapshot
-from caseloom.operators.skew import attach_group, best_row, skew_join
+from caseloom.operators.skew import attach_group, best_row, key_statistics, skew_join
 from caseloom.operators.timeline import group_total, track_interactions
 from caseloom.functions.keys import surrogate_key
 from caseloom.plans.joins import cents
@@ -357,8 +357,10 @@ def double_rank_dedup(spark, sf):
     lines = table(spark, sf, "lineitem").select(*LINE, *rest, "l_returnflag", "l_shipdate", F.to_date("l_shipdate").alias("day"))
     by_order = F.struct("l_shipdate", "l_linenumber", "l_partkey", *rest)
     by_part = F.struct("l_shipdate", "l_linenumber", "l_orderkey", "l_suppkey", *rest)
-    ranked = attach_group(lines, ["l_orderkey", "l_suppkey"], {"first_a": F.min(by_order)}, LINE)
-    ranked = attach_group(ranked, ["l_partkey", "l_returnflag", "day"], {"first_b": F.min(by_part)}, LINE, count_on=lines)
+    by_supplier, by_day = ["l_orderkey", "l_suppkey"], ["l_partkey", "l_returnflag", "day"]
+    known = key_statistics(lines, by_supplier, by_day)
+    ranked = attach_group(lines, by_supplier, {"first_a": F.min(by_order)}, LINE, count_on=known)
+    ranked = attach_group(ranked, by_day, {"first_b": F.min(by_part)}, LINE, count_on=known)
     return ranked.filter((F.col("first_a") == by_order) & (F.col("first_b") == by_part)).select(*LINE)
 
 

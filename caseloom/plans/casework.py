@@ -212,16 +212,28 @@ class Casework:
         families = core.dim_families(heads, self.persons, vulnerabilities, services, self.family_projects)
         return cut_lineage(families, "families")
 
+    @cached_property
+    def person_keys(self) -> DataFrame:
+        return core.person_keys(self.raw("persons"))
+
+    @cached_property
+    def provider_keys(self) -> DataFrame:
+        return core.provider_keys(self.raw("providers"))
+
+    @cached_property
+    def unit_keys(self) -> DataFrame:
+        return core.unit_keys(self.raw("units"))
+
     @cached_property
     def visits(self) -> DataFrame:
-        visits = core.fct_visits(self.raw("visits"), self.persons, self.providers, self.units)
+        visits = core.fct_visits(self.raw("visits"), self.person_keys, self.provider_keys, self.unit_keys)
         return cut_lineage(visits, "visits")
 
     @cached_property
     def notes(self) -> DataFrame:
         notes = core.fct_notes(
             self.raw("notes_admin"), self.raw("notes_family"), self.raw("notes_person"), self.raw("notes_group"),
-            self.persons, self.providers, self.units,
+            self.person_keys, self.provider_keys, self.unit_keys,
         )
         return cut_lineage(notes, "notes")
 
@@ -231,7 +243,7 @@ class Casework:
 
     @cached_property
     def attendance(self) -> DataFrame:
-        return core.fct_attendance(self.raw("presences"), self.persons)
+        return core.fct_attendance(self.raw("presences"), self.person_keys)
 
     @cached_property
     def activities(self) -> DataFrame:
@@ -239,7 +251,7 @@ class Casework:
 
     @cached_property
     def provider_attendance(self) -> DataFrame:
-        return cut_lineage(core.fct_provider_attendance(self.raw("provider_presences"), self.providers), "provider-attendance")
+        return cut_lineage(core.fct_provider_attendance(self.raw("provider_presences"), self.provider_keys), "provider-attendance")
 
 
 # The same star schema for the reference SQL.

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 
 from caseloom.operators.delta import change_log, changed_rows, with_change_id
 from caseloom.operators.incremental import (
-    empty_like,
     latest_partition,
     merge_by_key,
     merge_stored,
     overwrite_partitions,
     partitions_missing,
-    scd2_next,
 )
 from caseloom.operators.outbound import pending_adds, read_crosswalk, record_adds, update_batches
+from caseloom.operators.stored import merge_buckets, read_history, read_store, scd2_update
 from caseloom.plans.registry import query
 from caseloom.session import cut_lineage, run_path
 from caseloom.sinks.tables import swap_table, write_or_empty
@@ -89,8 +88,11 @@ def unpivot_changes(spark, sf):
 )
 def change_history(spark, sf):
     log = with_change_id(change_log(computed_state(spark, sf), current_state(spark, sf), "objectid", COMPARED, "customer"))
-    # a second run logs the same changes again: the hashed key lets it replace, not repeat
-    history = merge_by_key(merge_by_key(empty_like(spark, log), log, ["change_id"]), log, ["change_id"])
+    path = run_path(spark, "changes")
+    # a second run logs some changes again: the hashed key lets it replace, not repeat
+    merge_buckets(log, path, ["change_id"])
+    merge_buckets(log.filter("column_name <> 'segment'"), path, ["change_id"])
+    history = read_store(spark, path)
     return history.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n_changes"),
         F.count_distinct("change_id").alias("n_ids"),
@@ -166,12 +168,12 @@ def scd2_snapshot(spark, sf):
     after = people.filter("c_custkey % 10 <> 8").withColumn(
         "segment", F.when(F.col("c_custkey") % 5 == 0, "MOVED").otherwise(F.col("segment"))
     )
-    columns = ["segment", "nation"]
-    none = empty_like(spark, before.select("*", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to")))
+    path, columns = run_path(spark, "history"), ["segment", "nation"]
     day = lambda text: F.lit(text).cast("date")
-    history = scd2_next(none, before, "c_custkey", columns, day("2024-01-01"))
-    history = scd2_next(history, before, "c_custkey", columns, day("2024-01-15"))  # nothing changed
-    return scd2_next(history, after, "c_custkey", columns, day("2024-02-01"))
+    for load, as_of in ((before, "2024-01-01"), (before, "2024-01-15"), (after, "2024-02-01")):  # nothing changed in the second
+        scd2_update(load, path, "c_custkey", columns, day(as_of))
+    version = before.select("*", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    return read_history(spark, path, version.schema)
 
 
 def staged_lines(spark, sf):
@@ -203,9 +205,10 @@ def wap_audit(spark, sf):
 )
 def wap_publish(spark, sf):
     staged, final = run_path(spark, "staged"), run_path(spark, "final")
+    promised = table(spark, sf, "orders").select(F.trunc(F.to_date("o_orderdate"), "year").alias("part_date"))
     for _ in range(2):  # publishing twice equals publishing once
         write_staged(staged_lines(spark, sf), staged, "part_date")
-        publish(spark, staged, final, "part_date", "line")
+        publish(spark, staged, final, "part_date", "line", promised)
     clear_staged(spark, staged)
     left = spark.read.parquet(staged).agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
     published = spark.read.parquet(final)
@@ -336,7 +339,7 @@ def table_swap(spark, sf):
         counted = now.groupBy("c_nationkey", stamp.alias("captured")).agg(F.count(F.lit(1)).alias("n_rows"))
         counted = cut_lineage(counted.withColumn("version", F.lit(version)), "version")
         seen = counted if seen is None else seen.unionByName(counted)
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
     return seen
 
 

@@ -8,12 +8,13 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from caseloom.operators.stored import read_store
 from caseloom.plans.registry import query
 from caseloom.session import cut_lineage, run_path
 from caseloom.sources.features import collect_geometries, read_feature_pages, with_geometry
 from caseloom.sources.lines import line_kind, partition_date, read_lines, unpack_archives
 from caseloom.sources.tables import table
-from caseloom.streaming.ingest import ingest_new_files
+from caseloom.streaming.ingest import ingest_new_files, ingested_lines, quarantined_files
 
 
 @query(
@@ -140,23 +141,54 @@ def geometry_collect(spark, sf):
     return collected.select("segment", "n_shapes", F.md5("geometry").alias("geometry_key"))
 
 
+def land(spark, lines, path):
+    """Deliver lines as one file of this name, in place of an earlier delivery."""
+    folder, jvm_path = run_path(spark, "delivery"), spark._jvm.org.apache.hadoop.fs.Path
+    lines.coalesce(1).write.text(folder)
+    fs = jvm_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    target = jvm_path(path)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    fs.rename(fs.globStatus(jvm_path(f"{folder}/part-*"))[0].getPath(), target)
+
+
 @query(
     "incremental_file_ingest",
     """
-    WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) + CASE WHEN year(o_orderdate) < 2000 THEN INTERVAL 100 YEAR ELSE INTERVAL 0 YEAR END AS DATE) AS part_date FROM orders)
-    SELECT part_date, count(*) AS n_lines FROM o GROUP BY 1
+    WITH o AS (SELECT o_orderkey AS k, CAST(date_trunc('month', o_orderdate) + CASE WHEN year(o_orderdate) < 2000 THEN INTERVAL 100 YEAR ELSE INTERVAL 0 YEAR END AS DATE) AS part_date FROM orders)
+    SELECT 'published' AS status, part_date, NULL AS reason, count(*) AS n_lines
+    FROM (SELECT part_date FROM o UNION ALL SELECT DATE '2001-03-01' FROM o WHERE k % 89 = 0) GROUP BY 2
+    UNION ALL SELECT 'rejected', NULL, NULL, count(*) FROM o WHERE k % 97 = 0
+    UNION ALL SELECT 'quarantined', DATE '2000-01-01', 'empty file', 0 UNION ALL SELECT 'quarantined', DATE '2000-02-01', 'no data lines', 0
     """,
 )
 def incremental_file_ingest(spark, sf):
-    """Every month is delivered in two files, by even and odd keys, and the ingest runs after each and once more."""
+    """Every month is delivered in two files, by even and odd keys, and the ingest runs after each and once more.
+
+    The first delivery also holds a file without content, one without data lines, one without a
+    date and half a file, which the second delivers again in full under its name.
+    """
     landing, final, checkpoint = (run_path(spark, n) for n in ("landing", "ingested", "checkpoint"))
-    lines = table(spark, sf, "orders").select(
-        F.concat_ws(";", "o_orderkey", "o_custkey").alias("value"),
-        F.concat(F.lit("BEC.C"), F.date_format("o_orderdate", "yyMM"), F.lit(".TXT")).alias("delivery"),
-        (F.col("o_orderkey") % 2).alias("odd"),
+    orders = table(spark, sf, "orders")
+    line = F.concat_ws(";", "o_orderkey", "o_custkey").alias("value")
+    lines = orders.select(
+        line, F.concat(F.lit("BEC.C"), F.date_format("o_orderdate", "yyMM"), F.lit(".TXT")).alias("delivery"), (F.col("o_orderkey") % 2).alias("odd")
     )
+    land(spark, orders.limit(0).select(line), f"{landing}/EMPTY.C0001.TXT/lines")
+    land(spark, table(spark, sf, "region").select(F.concat(F.lit("HEADER;"), "r_name")), f"{landing}/HEAD.C0002.TXT/lines")
+    land(spark, orders.filter("o_orderkey % 97 = 0").select(line), f"{landing}/UNDATED.TXT/lines")
+    land(spark, orders.filter("o_orderkey % 178 = 0").select(line), f"{landing}/HALF.C0103.TXT/lines")
     for part in ("odd = 0", "odd = 1", None):
         if part:
             lines.filter(part).drop("odd").write.mode("append").partitionBy("delivery").text(landing)
         ingest_new_files(spark, landing + "/*", final, checkpoint, name_part=-2)
-    return spark.read.parquet(final).groupBy("part_date").agg(F.count(F.lit(1)).alias("n_lines"))
+        land(spark, orders.filter("o_orderkey % 89 = 0").select(line), f"{landing}/HALF.C0103.TXT/lines")
+    none = F.lit(None).cast("string")
+    published = ingested_lines(spark, final).groupBy("part_date").agg(F.count(F.lit(1)).alias("n_lines"))
+    rejected = read_store(spark, f"{final}-rejected").agg(F.count(F.lit(1)).alias("n_lines"))
+    refused = quarantined_files(spark, f"{final}-quarantine")
+    return (
+        published.select(F.lit("published").alias("status"), "part_date", none.alias("reason"), "n_lines")
+        .unionByName(rejected.select(F.lit("rejected").alias("status"), F.lit(None).cast("date").alias("part_date"), none.alias("reason"), "n_lines"))
+        .unionByName(refused.select(F.lit("quarantined").alias("status"), "part_date", "reason", F.col("n_rows").alias("n_lines")))
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.text import contains_any, strip_accents
 from caseloom.operators.delta import leavers, new_entrants
-from caseloom.operators.skew import best_row, skew_join
+from caseloom.operators.skew import best_row, key_statistics, skew_join
 from caseloom.operators.timeline import first_where, propagate_forward
 from caseloom.plans.registry import query
 from caseloom.sources.tables import table
@@ -67,8 +67,9 @@ def star_left_join(spark, sf):
         F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
         F.sum("price").alias("amount"),
     )
-    facts = skew_join(facts, parts, ["l_partkey"], ["l_orderkey", "l_suppkey"], count_on=lines)
-    facts = skew_join(facts, suppliers, ["l_suppkey"], ["l_orderkey", "l_partkey"], count_on=lines)
+    known = key_statistics(lines, ["l_partkey"], ["l_suppkey"])
+    facts = skew_join(facts, parts, ["l_partkey"], ["l_orderkey", "l_suppkey"], count_on=known)
+    facts = skew_join(facts, suppliers, ["l_suppkey"], ["l_orderkey", "l_partkey"], count_on=known)
     per_order = facts.groupBy("l_orderkey", "part_type", "big_supplier").agg(*measures)
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
     # a customer without orders is not wanted, an order without customer is

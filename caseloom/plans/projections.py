@@ -502,8 +502,12 @@ def heartbeat_scalar(spark, sf):
     """,
 )
 def latest_partition_scan(spark, sf):
-    latest = latest_partition(table(spark, sf, "orders"), "o_orderdate", unit="month")
-    return latest.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("part_month"))
+    """Orders stored by month, of which the newest folder alone is read."""
+    path = run_path(spark, "months")
+    months = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("part_month"))
+    months.write.partitionBy("part_month").parquet(path)
+    stored = spark.read.schema(months.schema).parquet(path)
+    return latest_partition(stored, "part_month").select("o_orderkey", "o_custkey", "part_month")
 
 
 @query(

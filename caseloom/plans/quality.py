@@ -98,7 +98,7 @@ def dq_reconcile_totals(spark, sf):
 FLAGGED_SQL = f"""
     {raw_sql()}, v AS (SELECT visit_id, person_id, provider_id, shared_providers, CASE WHEN visit_id % 4 <> 0 AND visit_id % 50 <> 3 OR visit_id % 60 = 0 THEN 'Sim' ELSE 'Não' END AS shared FROM visits),
     bad AS (SELECT visit_id, 'shared_flag' AS rule FROM v WHERE (shared = 'Sim') <> (trim(coalesce(shared_providers, '')) <> '')
-            UNION ALL SELECT visit_id, 'not_null_provider_id' FROM v WHERE provider_id IS NULL)
+            UNION ALL SELECT visit_id, 'not_null_provider_id' FROM v WHERE provider_id IS NULL UNION ALL SELECT visit_id, 'not_null_person_id' FROM v WHERE person_id IS NULL)
 """
 
 
@@ -134,9 +134,8 @@ def dq_run_summary(spark, sf):
 
 @query("dq_stored_failures", f"WITH {FLAGGED_SQL} SELECT rule, visit_id, shared_providers, shared FROM bad JOIN v USING (visit_id)")
 def dq_stored_failures(spark, sf):
-    """Offending rows of two rules, stored per rule and read back."""
+    """Offending rows of the row rules, stored in one scan and read back."""
     visits, rules = flagged_visits(spark, sf)
     folder = run_path(spark, "failures")
-    for rule in rules[:2]:
-        store_failures(visits, rule, f"{folder}/rule={rule.name}")
+    store_failures("visits", visits, rules[:3], folder)
     return spark.read.parquet(folder).select("rule", "visit_id", "shared_providers", "shared")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -128,8 +128,11 @@ def run_rules(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for name, value in severity.items():
         level = F.when(F.col("rule") == name, value).otherwise(level)
     leveled = results.withColumn("table_name", F.lit(table)).withColumn("severity", level)
-    status = F.when(F.col("n_failed") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
-    return leveled.select("table_name", "rule", "severity", status.alias("status"), "n_failed")
+    return leveled.select("table_name", "rule", "severity", _status().alias("status"), "n_failed")
+
+
+def _status() -> Column:
+    return F.when(F.col("n_failed") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
 
 
 def summary(results: DataFrame) -> DataFrame:
@@ -145,8 +148,24 @@ def raise_on_failure(results: DataFrame) -> None:
         raise RuntimeError("data-quality rules failed: " + ", ".join(failed))
 
 
-def store_failures(df: DataFrame, rule: Rule, path: str) -> None:
-    rule.run(df).write.mode("overwrite").parquet(path)
+def store_failures(table: str, df: DataFrame, rules: Sequence[Rule], path: str) -> DataFrame:
+    """Store the offending rows of all row rules below ``path``, a folder per rule, and return ``run_rules`` of them.
+
+    One scan: each row is tagged with the rules it breaks and written once per rule, and the
+    counts are taken while they are written. Rules on groups or other tables have rows of
+    another shape and are not taken.
+    """
+    if other := [rule.name for rule in rules if rule.row_test is None]:
+        raise ValueError(f"no rules on single rows: {other}")
+    seen = Observation()
+    counted = df.observe(seen, *[F.count_if(rule.offends()).alias(rule.name) for rule in rules])
+    broken = F.array_compact(F.array(*[F.when(rule.offends(), F.lit(rule.name)) for rule in rules]))
+    tagged = counted.withColumn("_broken", broken).filter(F.size("_broken") > 0)
+    tagged = tagged.select("*", F.explode("_broken").alias("rule")).drop("_broken")
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rule").parquet(path)
+    counts = [(rule.name, rule.severity, seen.get[rule.name]) for rule in rules]
+    results = df.sparkSession.createDataFrame(counts, "rule string, severity string, n_failed long").withColumn("table_name", F.lit(table))
+    return results.select("table_name", "rule", "severity", _status().alias("status"), "n_failed")
 
 
 def reconcile(name: str, left: DataFrame, right: DataFrame) -> DataFrame:

@@ -70,3 +70,10 @@ def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder of the shared store, if it is not there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly inside a folder of the shared store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [e.getPath().getName() for e in entries]

@@ -1,37 +1,39 @@
-"""Tables of a catalog: create or replace, append, empty."""
+"""Tables of a catalog: replace by a new version, append, empty."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.session import remove_folder
+from caseloom.session import folder_names, remove_folder
 
 
-def swap_table(df: DataFrame, name: str, base: str) -> str:
-    """Replace a table at one stroke and return the folder of its new version.
+#: Versions of a table that stay for readers that began before the last replacements.
+KEPT_VERSIONS = 2
 
-    The rows are written to a folder of their own and read back once; only then
-    is the catalog entry pointed at them. Readers see the old or the new version,
-    and a failed load leaves the old one in place and its own folder is removed. A table
-    whose columns change is defined anew; its rows are outside the catalog and stay.
+
+def swap_table(df: DataFrame, name: str, base: str, keep: int = KEPT_VERSIONS) -> str:
+    """Replace a table at one stroke, whatever its columns, and return the folder of its new version.
+
+    Readers go through a view over the folder of one version. The rows are written to a new
+    folder of ``base`` and read back once; only then the view is replaced, in one statement, so a
+    reader meets the old version or the new one and never none. A failed load leaves the old
+    one in place and its own folder is removed. Of older versions the last ``keep`` stay for
+    readers that are under way.
     """
     spark = df.sparkSession
-    path = f"{base}/{uuid.uuid4().hex}"
+    path = f"{base}/{time.time_ns():020d}-{uuid.uuid4().hex}"
     try:
         df.write.parquet(path)
         spark.read.schema(df.schema).parquet(path).limit(1).count()
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
     except Exception:
         remove_folder(spark, path)
         raise
-    columns = lambda schema: [(f.name, f.dataType) for f in schema.fields]
-    if spark.catalog.tableExists(name) and columns(spark.table(name).schema) == columns(df.schema):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-        return path
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+    for old in sorted(folder_names(spark, base))[: -keep - 1]:
+        remove_folder(spark, f"{base}/{old}")
     return path
 
 

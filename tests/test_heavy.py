@@ -10,15 +10,14 @@ from caseloom.operators import explode, graph, skew
 
 FOLDER = entry.SMOKE_DIR
 NAMES = [
-    "bridge_dedup_nested", "double_rank_dedup", "duplicate_flag", "exact_rule_dedup", "family_total_window", "fct_notes",
-    "fuzzy_dedup", "mart_daily_stays", "nest_children", "star_left_join",
+    "bridge_dedup_nested", "double_rank_dedup", "duplicate_flag", "exact_rule_dedup", "family_total_window", "fct_notes", "fct_visits",
+    "fuzzy_dedup", "mart_daily_stays", "mart_visits_report", "nest_children", "star_left_join",
 ]
 
 
 @pytest.fixture
 def everything_heavy(monkeypatch):
-    monkeypatch.setattr(skew.skew_join, "__defaults__", ("left", 2, None))
-    monkeypatch.setattr(skew.attach_group, "__defaults__", (2, None, None))
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 2)
     monkeypatch.setattr(explode.nest_children, "__defaults__", ("items", 2))
     monkeypatch.setattr(graph, "HEAVY_ROWS", 2)
 

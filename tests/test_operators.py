@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,29 +13,83 @@ from caseloom.functions.codes import Domain
 from caseloom.operators import capacity, delta, explode, forms, graph, incremental, layout, matching, outbound, skew, timeline
 
 
+@contextmanager
+def settings(spark, values):
+    """SQL settings for a while."""
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+
+
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
 @pytest.mark.parametrize("heavy", [3, 1_000_000])
-def test_skew_join_equals_plain_join(spark, heavy):
+def test_skew_join_equals_plain_join(spark, heavy, monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy)
     rng = random.Random(1)
     left = spark.createDataFrame([(i, rng.choice([1, 1, 1, 2, 3, None, None])) for i in range(200)], "id int, k int")
     right = spark.createDataFrame([(1, "a"), (2, None), (9, "z")], "k int, v string")
     for how in ("left", "inner"):
-        ours = skew.skew_join(left, right, ["k"], ["id"], how=how, heavy_rows=heavy)
+        ours = skew.skew_join(left, right, ["k"], ["id"], how=how)
         plain = left.join(right, "k", how).select(ours.columns)
         assert ours.exceptAll(plain).isEmpty() and plain.exceptAll(ours).isEmpty()
 
 
 @pytest.mark.parametrize("heavy", [3, 1_000_000])
-def test_attach_group_treats_null_as_a_group(spark, heavy):
+def test_attach_group_treats_null_as_a_group(spark, heavy, monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy)
     df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(30)], "id int, k int")
-    got = skew.attach_group(df, ["k"], {"m": F.min("id"), "n": F.count("*")}, ["id"], heavy_rows=heavy)
+    got = skew.attach_group(df, ["k"], {"m": F.min("id"), "n": F.count("*")}, ["id"])
     expected = {None: (0, 10), 0: (2, 10), 1: (1, 10)}
     assert all((r["m"], r["n"]) == expected[r["k"]] for r in got.collect()) and got.count() == 30
 
 
+def test_key_statistics_of_a_table_while_it_is_written(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 20)
+    df = spark.range(200).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("k"), (F.col("id") % 50).alias("v"))
+    stored, known = skew.stored_with_statistics(df, "counted", ["k"], ["v"], ["k", "v"])
+    assert known == skew.key_statistics(df, ["k"], ["v"], ["k", "v"]) and stored.count() == 200
+    every = {r[0] for r in df.select(skew.key_hash("k")).distinct().collect()}
+    assert set(known.heavy[("k",)]) == every and len(every) == 4 and not known.heavy[("v",)] and not known.heavy[("k", "v")]
+    right = spark.createDataFrame([(1, "a"), (None, "n"), (3, "c")], "k long, w string")
+    ours = skew.skew_join(stored, right, ["k"], ["id"], count_on=known)
+    plain = df.join(right, "k", "left").select(ours.columns)
+    assert ours.exceptAll(plain).isEmpty() and plain.exceptAll(ours).isEmpty()
+    assert skew.key_statistics(df.limit(0), ["k"]).heavy == {("k",): []}
+
+
+def test_block_join_splits_a_hot_key(spark, monkeypatch):
+    left = spark.range(3_000).select(F.when(F.col("id") < 2_000, 0).otherwise(F.col("id") % 90).alias("k"), F.col("id").alias("x"))
+    right = spark.range(2_000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id") % 90).alias("k"), F.col("id").alias("y"))
+    plain = left.join(right, "k")
+    whole = lambda df: tuple(df.agg(F.count("*"), F.sum(F.hash("k", "x", "y").cast("decimal(38,0)"))).first())
+    assert whole(skew.block_join(left, right, ["k"], "x", "y")) == whole(plain)
+    met = skew.block_join(left, right, ["k"], "x", "y", block_rows=100)
+    assert whole(met) == whole(plain) and met.columns == ["k", "x", "y"]
+    plainly = {"adaptive.coalescePartitions.enabled": "false", "adaptive.skewJoin.enabled": "false", "shuffle.partitions": "32", "autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, plainly):
+        tasks = skew.block_join(left, right, ["k"], "x", "y", block_rows=100).groupBy(F.spark_partition_id()).count().collect()
+    shares = [r["count"] for r in tasks]
+    assert max(shares) < 0.15 * sum(shares) and len(shares) == 32
+    nulls = spark.createDataFrame([(None, 1), (1, 2)], "k long, x long")
+    assert skew.block_join(nulls, nulls.toDF("k", "y"), ["k"], "x", "y", block_rows=1).count() == 1
+
+
+def test_similar_names_with_one_word_in_a_hundred_thousand_of_them(spark):
+    names = spark.range(100_000).select(F.lit("k").alias("b"), F.concat(F.lit("silva "), F.conv((F.col("id") * 7919 % 1_000_003 * 1_000_003).cast("string"), 10, 36)).alias("v"))
+    names = names.union(spark.createDataFrame([("k", "silva"), ("k", "silva silva")], names.schema))
+    found = matching.similar_values(names, "b", "v", edit_max=0, cont_min=0.8)
+    # the lone word is contained in every name
+    assert found.filter("value_a = 'silva' or value_b = 'silva'").count() == 100_001
+
+
 def test_best_row_and_numbers(spark):
     df = spark.createDataFrame([(1, None, "n"), (1, 5, "a"), (2, 3, "b"), (2, 3, "c")], "k int, d int, v string")
     assert rows(skew.best_row(df, ["k"], [F.col("d"), F.col("v")])) == [(1, 5, "a"), (2, 3, "c")]

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from caseloom.models.registry import Model, Warehouse
-from caseloom.operators import incremental, outbound
+from caseloom.operators import incremental, outbound, stored
 from caseloom.operators.incremental import latest_partition, overwrite_partitions, partitions_missing
 from caseloom.operators.outbound import update_batches
 from caseloom.quality import rules
 from caseloom.sinks import tables, wap
 from caseloom.sources import features, lines
 from caseloom.sources import tables as source_tables
-from caseloom.streaming.ingest import ingest_new_files
+from caseloom.streaming import manifest
+from caseloom.streaming.ingest import SLOTS, ingest_new_files, ingested_lines, quarantined_files
 
 
 def rows(df):
@@ -122,13 +124,49 @@ def test_swap_append_and_empty(spark, tmp_path):
     tables.append_rows(df, path)
     tables.append_rows(df, path)
     assert spark.read.parquet(path).count() == 6
-    spark.sql("DROP TABLE swapped")
+    spark.sql("DROP VIEW swapped")
+
+
+def test_swapped_table_is_never_missing_and_keeps_versions_for_running_readers(spark, tmp_path):
+    base = tmp_path / "versions"
+    tables.swap_table(spark.range(3), "versioned", str(base))
+    begun = spark.table("versioned")  # a reader that goes on after two replacements, one with other columns
+    seen = []
+
+    def watch():
+        while not done.is_set():
+            seen.append((spark.catalog.tableExists("versioned"), len(spark.table("versioned").columns)))
+
+    done = threading.Event()
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    for n in range(2):
+        tables.swap_table(spark.range(10 + n).withColumn("n", F.lit(n)), "versioned", str(base))
+    done.set()
+    watcher.join()
+    assert begun.count() == 3 and spark.table("versioned").count() == 11
+    assert {s for s in seen} <= {(True, 1), (True, 2)}
+    for n in range(3):
+        tables.swap_table(spark.range(n), "versioned", str(base), keep=1)
+    assert len(list(base.iterdir())) == 2 and spark.table("versioned").count() == 2
+    spark.sql("DROP VIEW versioned")
 
 
 def test_partitions(spark):
     landed = spark.createDataFrame([(1,), (2,), (3,), (3,)], "p int")
     assert rows(partitions_missing(landed, landed.filter("p = 1"), landed.filter("p = 2"), partition="p")) == [(3,)]
     assert latest_partition(landed, "p").count() == 2
+    assert latest_partition(landed.filter("p > 9"), "p").count() == 0
+
+
+def test_latest_partition_is_pruned_by_a_subquery(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(40).select("id", (F.col("id") % 8).alias("p")).write.partitionBy("p").parquet(path)
+    newest = latest_partition(spark.read.parquet(path), "p")
+    scan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p#" in scan and "Subquery" in scan.split("PartitionFilters")[1].split("\n")[0]
+    assert newest.select("id").distinct().count() == 5
+    assert {f.split("p=")[1][0] for f in newest.select("_metadata.file_path").distinct().toPandas()["file_path"]} == {"7"}
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -153,9 +191,136 @@ def test_stream_keeps_earlier_files_of_a_partition_and_sets_undated_ones_apart(s
     ingest_new_files(spark, str(landing), final, checkpoint)
     assert rows(spark.read.parquet(final).select("line")) == [("1;a",), ("2;b",), ("3;c",)]
     assert rows(spark.read.parquet(f"{final}-rejected").select("line")) == [("4;d",)]
-    (landing / "P3.C2503.TXT").write_text("HEADER\n")
-    with pytest.raises(Exception, match="missing or empty"):
-        ingest_new_files(spark, str(landing), final, checkpoint)
+    assert quarantined_files(spark, f"{final}-quarantine").count() == 0
+
+
+def test_ingest_keeps_bad_files_apart_and_replaces_redelivered_ones(spark, tmp_path):
+    landing, final, checkpoint = tmp_path / "landing", str(tmp_path / "final"), str(tmp_path / "checkpoint")
+    refused = lambda: rows(quarantined_files(spark, f"{final}-quarantine").select(F.element_at(F.split("file_path", "/"), -1), "reason"))
+    lines = lambda: rows(ingested_lines(spark, final).select("line"))
+    ingest_new_files(spark, str(landing / "*"), final, checkpoint)  # nothing has landed yet
+    landing.mkdir()
+    ingest_new_files(spark, str(landing / "*"), final, checkpoint)
+    assert lines() == refused() == []
+    (landing / "X.C2402.TXT").write_text("")
+    (landing / "H.C2402.TXT").write_text("HEADER\n\n")
+    (landing / "A [1] b.C2401.TXT").write_text("1;a\n2;b\n")
+    (landing / "B.C2401.TXT").write_text("3;c\n")
+    ingest_new_files(spark, str(landing / "*"), final, checkpoint)
+    assert lines() == [("1;a",), ("2;b",), ("3;c",)]
+    assert refused() == [("H.C2402.TXT", "no data lines"), ("X.C2402.TXT", "empty file")]
+    # later runs go on; a new delivery replaces the lines of its file, an unsound one does not
+    (landing / "X.C2402.TXT").write_text("4;d\n")
+    (landing / "A [1] b.C2401.TXT").write_text("1;A\n2;B\n5;E\n")
+    (landing / "B.C2401.TXT").write_text("END\n")
+    ingest_new_files(spark, str(landing / "*"), final, checkpoint)
+    assert lines() == [("1;A",), ("2;B",), ("3;c",), ("4;d",), ("5;E",)]
+    assert refused() == [("B.C2401.TXT", "no data lines"), ("H.C2402.TXT", "no data lines"), ("X.C2402.TXT", "empty file")]
+    ingest_new_files(spark, str(landing / "*"), final, checkpoint)
+    assert len(lines()) == 5 and len(refused()) == 3
+    days = {str(r[0]) for r in ingested_lines(spark, final).select("part_date").distinct().collect()}
+    assert days == {"2024-01-01", "2024-02-01"}
+
+
+def test_ingest_folders_do_not_grow_with_the_number_of_files(spark, tmp_path):
+    landing, final, checkpoint = tmp_path / "landing", tmp_path / "final", str(tmp_path / "checkpoint")
+    landing.mkdir()
+    for run in range(3):
+        for n in range(30):
+            (landing / f"F{run}x{n}.C2401.TXT").write_text(f"{run}{n};a\n")
+        ingest_new_files(spark, str(landing / "*"), str(final), checkpoint)
+    assert ingested_lines(spark, str(final)).count() == 90
+    assert len(list(final.glob("part_date=*/bucket=*"))) <= SLOTS and len(list(final.glob("*/*/*.parquet"))) <= 2 * SLOTS
+
+
+def test_a_file_that_vanishes_before_its_batch_is_refused(spark, tmp_path):
+    landing, final, checkpoint = tmp_path / "landing", str(tmp_path / "final"), str(tmp_path / "checkpoint")
+    landing.mkdir()
+    (landing / "G.C2401.TXT").write_text("1;a\n")
+    manifest.record_arrivals(spark, str(landing / "*"), f"{checkpoint}-manifest")
+    (landing / "G.C2401.TXT").unlink()
+    ingest_new_files(spark, str(landing / "*"), final, checkpoint)
+    assert ingested_lines(spark, final).count() == 0
+    assert [r["reason"] for r in quarantined_files(spark, f"{final}-quarantine").collect()] == ["no data lines"]
+
+
+def contents(path):
+    """Bytes of every data file of a store, by folder."""
+    return {p.relative_to(path): p.read_bytes() for p in path.rglob("*.parquet")}
+
+
+def test_merge_buckets_leaves_other_buckets_as_they_are(spark, tmp_path):
+    path, schema = tmp_path / "t", "k long, d string, v int"
+    load = lambda values: spark.createDataFrame(values, schema)
+    stored.merge_buckets(load([(i, "x", 1) for i in range(200)] + [(None, "x", 1)]), str(path), ["k", "d"], 16)
+    before = contents(path)
+    assert len({p.parent for p in before}) == 16
+    more = load([(3, "x", 2), (None, "x", 2), (900, None, 2)])
+    for _ in range(2):
+        stored.merge_buckets(more, str(path), ["k", "d"], 16)
+        got = {tuple(r) for r in stored.read_store(spark, str(path)).select("k", "d", "v").collect()}
+        assert got == {(i, "x", 2 if i == 3 else 1) for i in range(200)} | {(None, "x", 2), (900, None, 2)}
+    after = contents(path)
+    touched = {r[0] for r in more.select(stored.bucket_of(["k", "d"], 16)).collect()}
+    kept = {p for p in before if p.parent.name not in {f"bucket={b}" for b in touched}}
+    assert len(kept) >= 13 and all(after.get(p) == before[p] for p in kept)
+    stored.merge_buckets(more.limit(0), str(path), ["k", "d"], 16)
+    assert contents(path) == after
+    with pytest.raises(Exception, match="repeat a key"):
+        stored.merge_buckets(load([(1, "x", 1), (1, "x", 2)]), str(path), ["k", "d"], 16)
+
+
+def test_merge_buckets_below_a_partition(spark, tmp_path):
+    path, schema = tmp_path / "t", "day string, k int, v int"
+    load = lambda values: spark.createDataFrame(values, schema)
+    rows_of = lambda: sorted(tuple(r) for r in stored.read_store(spark, str(path)).select("day", "k", "v").collect())
+    merge = lambda df, **more: stored.merge_buckets(df, str(path), ["day", "k"], 4, within=["day"], **more)
+    merge(load([("a", i, 1) for i in range(20)] + [("b", i, 1) for i in range(20)]))
+    before = contents(path)
+    merge(load([("b", 1, 2)]))
+    assert rows_of() == sorted([("a", i, 1) for i in range(20)] + [("b", i, 2 if i == 1 else 1) for i in range(20)])
+    assert sum(contents(path).get(p) == data for p, data in before.items()) == len(before) - 1
+    merge(load([("b", 1, 3), ("b", 1, 4)]), unique=False)  # a key of several rows
+    assert [r for r in rows_of() if r[:2] == ("b", 1)] == [("b", 1, 3), ("b", 1, 4)]
+    with pytest.raises(ValueError, match="rows without"):
+        merge(load([(None, 1, 1)]))
+    with pytest.raises(ValueError, match="part of the key"):
+        stored.merge_buckets(load([("a", 1, 1)]), str(path), ["k"], 4, within=["day"])
+
+
+def test_stored_snapshots_are_added_once(spark, tmp_path):
+    path, schema = tmp_path / "t", "stamp date, k int"
+    snap = lambda day, keys: spark.createDataFrame([(dt.date(2024, 1, day), k) for k in keys], schema)
+    stored.append_snapshot_stored(snap(1, range(9)), str(path), "stamp", ["stamp", "k"], 4)
+    before = contents(path)
+    stored.append_snapshot_stored(snap(1, [77]), str(path), "stamp", ["stamp", "k"], 4)  # the stamp is there
+    assert contents(path) == before
+    stored.append_snapshot_stored(snap(2, [1, None]), str(path), "stamp", ["stamp", "k"], 4)
+    assert stored.read_store(spark, str(path)).count() == 11 and contents(path).items() >= before.items()
+
+
+def test_history_only_adds_closed_versions(spark, tmp_path):
+    path, day = tmp_path / "h", lambda n: F.lit(f"2024-01-{n:02d}").cast("date")
+    version = spark.createDataFrame([], "k int, v string, valid_from date, valid_to date").schema
+    snap = lambda values: spark.createDataFrame(values, "k int, v string")
+    expected = spark.createDataFrame([], version)
+    loads = [
+        (1, [(i, "a") for i in range(50)]), (2, [(i, "a") for i in range(50)]), (3, [(i, "b" if i == 7 else "a") for i in range(50)] + [(60, None)]),
+        (3, [(i, "c" if i == 7 else "a") for i in range(50)] + [(60, None)]), (4, [(60, None)]), (5, [(60, "x"), (7, "a")]), (6, []),
+    ]
+    closed = {}
+    for n, values in loads:
+        for _ in range(2 if n in (3, 5) else 1):  # a run again changes nothing
+            stored.scd2_update(snap(values), str(path), "k", ["v"], day(n), buckets=8)
+        expected = spark.createDataFrame(incremental.scd2_next(expected, snap(values), "k", ["v"], day(n)).collect(), version)
+        got = stored.read_history(spark, str(path), version).select(version.names)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, expected.select(version.names).collect())))
+        now = contents(path / "closed")
+        assert {p: b for p, b in now.items() if f"valid_to=2024-01-{n:02d}" not in str(p)} == {
+            p: b for p, b in closed.items() if f"valid_to=2024-01-{n:02d}" not in str(p)
+        }
+        closed = now
+    assert not contents(path / "open")
 
 
 def test_geometry_without_parts_and_rows_without_key(spark):
@@ -181,8 +346,14 @@ def test_rules(spark, tmp_path):
     assert {r["status"]: r["n_rules"] for r in rules.summary(result).collect()} == {"fail": 4, "warn": 1, "pass": 3}
     with pytest.raises(RuntimeError, match="t.unique_id"):
         rules.raise_on_failure(result)
-    rules.store_failures(df, checks[1], str(tmp_path / "failed"))
-    assert spark.read.parquet(str(tmp_path / "failed")).count() == 1
+    row_rules = [c for c in checks if c.row_test is not None]
+    for _ in range(2):
+        found = rules.store_failures("t", df, row_rules, str(tmp_path / "failed"))
+    assert rows(found) == rows(rules.run_rules("t", df, row_rules))
+    failed = spark.read.parquet(str(tmp_path / "failed"))
+    assert {(r["rule"], r["id"], r["s"]) for r in failed.collect()} == {("not_null_s", 1, None), ("accepted_s", 2, "z"), ("positive", 1, None)}
+    with pytest.raises(ValueError, match="unique_id"):
+        rules.store_failures("t", df, checks, str(tmp_path / "failed"))
     with pytest.raises(ValueError):
         rules.check_columns(df, ["missing"])
 
