@@ -185,3 +185,47 @@ def extract_forms(
         F.when(F.col(f"_has_{i}"), f.typed(F.col(f.name))).alias(f.name) for i, listed in enumerate(forms.values()) for f in listed
     ]
     return per_key.select(*keys, *typed)
+
+
+@dataclass(frozen=True)
+class Form:
+    """A form to take from notes: its title, fields, which notes may hold it, and whether only the newest counts."""
+
+    title: str
+    fields: Sequence[Field]
+    where: Column | None = None
+    latest: bool = False
+    flag: str | None = None
+
+
+def pivot_forms(df: DataFrame, keys: Sequence[str], html: str, forms: Sequence[Form], order: Sequence[str]) -> DataFrame:
+    """One typed row per key from several forms, each note read and parsed once.
+
+    Field names are unique over all forms. Of a ``latest`` form the newest note by ``order`` counts,
+    equal ones are merged by maximum; of any other form all notes do. A key without notes of a
+    form has NULL in its fields and false in its flag; a key without any is not there.
+    """
+    keys, order = list(keys), list(order)
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    allowed = {f"_allowed_{i}": F.lit(True) if form.where is None else F.coalesce(form.where, F.lit(False)) for i, form in enumerate(forms)}
+    titles = list(dict.fromkeys(form.title for form in forms))
+    notes = note_fields(df.filter(present).withColumns(allowed), [*keys, *order, *allowed], html, wanted=titles)
+    holds = [(F.col("form_title") == form.title) & F.col(f"_allowed_{i}") for i, form in enumerate(forms)]
+    own = [F.when(held, f.of_note()).alias(f.name) for held, form in zip(holds, forms, strict=True) for f in form.fields]
+    rows = notes.select(*keys, *order, *[h.alias(f"_has_{i}") for i, h in enumerate(holds)], *own)
+    every = [f for form in forms for f in form.fields]
+    has = [F.bool_or(f"_has_{i}").alias(f"_has_{i}") for i in range(len(forms))]
+    per_note = rows.groupBy(*keys, *order).agg(*has, *[f.of_notes() for f in every])
+    picked = [
+        F.max_by(F.struct(*[f.name for f in form.fields]), F.when(F.col(f"_has_{i}"), F.struct(*order))).alias(f"_form_{i}")
+        if form.latest
+        else F.struct(*[f.of_notes() for f in form.fields]).alias(f"_form_{i}")
+        for i, form in enumerate(forms)
+    ]
+    per_key = per_note.groupBy(*keys).agg(*has, *picked)
+    typed = [F.when(F.col(f"_has_{i}"), f.typed(F.col(f"_form_{i}.{f.name}"))).alias(f.name) for i, form in enumerate(forms) for f in form.fields]
+    flags = [F.col(f"_has_{i}").alias(form.flag) for i, form in enumerate(forms) if form.flag]
+    held = F.exists(F.array(*[F.col(f"_has_{i}") for i in range(len(forms))]), lambda h: h)
+    return per_key.filter(held).select(*keys, *flags, *typed)

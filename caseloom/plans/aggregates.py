@@ -8,15 +8,17 @@ from caseloom.functions.codes import bands
 from caseloom.functions.dates import stay_days
 from caseloom.functions.documents import doc_digits, doc_status
 from caseloom.operators.capacity import occupancy
-from caseloom.operators.explode import bounded_text_list, explode_days
-from caseloom.operators.incremental import append_snapshot
+from caseloom.operators.bitmaps import id_bitmaps, id_counts, merged_bitmaps
+from caseloom.operators.explode import bounded_text_list
+from caseloom.operators.incremental import append_snapshot, overwrite_partitions
 from caseloom.operators.skew import attach_group, best_row, key_statistics, skew_join
-from caseloom.operators.timeline import group_total, track_interactions
+from caseloom.operators.timeline import group_total, occupancy_by_day, track_interactions
 from caseloom.functions.keys import surrogate_key
 from caseloom.plans.joins import cents
 from caseloom.models.marts import provider_unit_mart
 from caseloom.plans.projections import EVENTS_AS_OF, event_cycles
 from caseloom.plans.registry import query
+from caseloom.session import run_path
 from caseloom.sources.tables import table
 
 def count_rows(name: str):
@@ -81,6 +83,30 @@ def conditional_distinct_counts(spark, sf):
     )
 
 
+@query(
+    "stored_distinct_bitmaps",
+    """
+    SELECT year(o_orderdate) AS order_year, CAST(CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS INTEGER) AS half, count(DISTINCT o_custkey) AS n_people,
+           count(DISTINCT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END) AS n_urgent,
+           count(DISTINCT CASE WHEN o_totalprice > 200000 THEN o_custkey END) AS n_large
+    FROM orders GROUP BY 1, 2
+    """,
+)
+def stored_distinct_bitmaps(spark, sf):
+    """Monthly bitmaps, stored in two loads of which the second touches its own months only, merged to half years."""
+    path, names = run_path(spark, "bitmaps"), ["n_people", "n_urgent", "n_large"]
+    orders = table(spark, sf, "orders").withColumn("part_date", F.trunc(F.to_date("o_orderdate"), "month"))
+    tests = dict(zip(names, [F.lit(True), F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") > 200_000], strict=True))
+    later = F.col("part_date") >= F.lit("2000-01-01").cast("date")
+    for load in (orders.filter(~later), orders.filter(later)):
+        overwrite_partitions(id_bitmaps(load, ["part_date"], "o_custkey", tests), path, ["part_date"])
+    months = spark.read.parquet(path).withColumns(
+        {"order_year": F.year("part_date").cast("long"), "half": F.when(F.month("part_date") <= 6, 1).otherwise(2)}
+    )
+    group = ["order_year", "half"]
+    return id_counts(merged_bitmaps(months, group, names), group, names)
+
+
 @query(
     "max_by_latest",
     """
@@ -305,15 +331,11 @@ def date_spine_occupancy(spark, sf):
     stay = stay_days(F.col("start_day"), F.coalesce("end_day", F.lit(EVENTS_AS_OF).cast("date")))
     places = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     places = places.select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("place"))
-    # joined at cycle grain: the explosion to days comes after, inside the same stage as the count
     known = cycles.withColumn("band", bands(stay, limits, "over 28 days")).join(places, "user_id", "left")
-    daily = explode_days(known, "start_day", "end_day", EVENTS_AS_OF)
-    return daily.groupBy("ref_date", "event_type", F.coalesce("place", F.lit("unknown")).alias("place"), "band").agg(
-        count_rows("n_cycles"),
-        F.count_if(F.col("end_day").isNull()).alias("n_open"),
-        # a user has one cycle per type, so users are counted without a distinct
-        F.count("user_id").alias("n_users"),
-    )
+    known = known.withColumn("place", F.coalesce("place", F.lit("unknown")))
+    # a user has one cycle per type, so users are counted without a distinct
+    measures = {"n_cycles": F.lit(1), "n_open": F.when(F.col("end_day").isNull(), 1).otherwise(0), "n_users": F.when(F.col("user_id").isNotNull(), 1).otherwise(0)}
+    return occupancy_by_day(known, ["event_type", "place", "band"], "start_day", "end_day", EVENTS_AS_OF, measures)
 
 
 @query(

@@ -31,6 +31,7 @@ _NOTE = """
       '</b><br>Data: <b>', CASE WHEN event_id % 9 = 0 THEN 'sem data' ELSE CAST(CAST(ts AS DATE) AS STRING) END, '</b><br>Localizada: <b>',
       CASE WHEN event_id % 3 = 0 THEN 'Sim' ELSE 'Não' END, '</b><br>', CASE WHEN event_id % 5 = 0 THEN 'Interesse: <b>x</b>' ELSE '' END, '</p>',
       CASE WHEN event_id % 5 = 1 THEN concat('<p>Encaminhamentos - SMAS: <b>', CASE WHEN event_id % 2 = 0 THEN 'CRAS ' ELSE 'CAPS ' END, CAST(event_id % 6 AS STRING), '</b></p>') ELSE '' END,
+      CASE WHEN event_id % 5 = 2 THEN concat('<p>Encaminhamentos - Benefícios: <b>', CASE event_id % 3 WHEN 0 THEN 'Cadastro/Atualização Cadúnico' WHEN 1 THEN 'BPC - Idoso' ELSE 'Cesta' END, '</b></p>') ELSE '' END,
       CASE WHEN event_id % 7 = 1 THEN '<p>Encaminhamentos Órgãos: <b>CREAS centro</b></p>' ELSE '' END, '<p>Outros: <b>nada</b></p>') END
 """
 _NOTES = {
@@ -57,6 +58,12 @@ RAW: dict[str, list[tuple[str, str, dict[str, str]]]] = {
         "rights_codes": "CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ' n' ELSE concat(CAST(c_custkey % 4 AS STRING), ', ', CAST(c_custkey % 9 AS STRING), ',') END",
         "benefit_codes": "CASE c_custkey % 3 WHEN 0 THEN '' ELSE concat(CAST(c_custkey % 4 AS STRING), ',', CAST(c_custkey % 4 AS STRING)) END",
         "street": "c_custkey % 12 = 0",
+        "schooling": "CASE c_custkey % 12 WHEN 0 THEN NULL WHEN 1 THEN 'Nunca estudou' WHEN 2 THEN 'Alfabetizado' WHEN 3 THEN 'Nível médio incompleto (cursando)' "
+        "WHEN 4 THEN 'Superior completo' WHEN 5 THEN 'Superior incompleto (cursando)' WHEN 6 THEN 'Superior incompleto' ELSE 'outra' END",
+        "gets_benefit": "CASE c_custkey % 4 WHEN 0 THEN 'S' WHEN 1 THEN 'N' WHEN 2 THEN '' END",
+        "attends_school": "CASE c_custkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' END",
+        "works": "CASE WHEN c_custkey % 2 = 0 THEN 'S' ELSE 'N' END",
+        "district": "CASE WHEN c_custkey % 5 <> 0 THEN concat('B', CAST(c_custkey % 5 AS STRING)) END",
     })],
     "members": [
         ("customer", "true", {
@@ -84,6 +91,8 @@ RAW: dict[str, list[tuple[str, str, dict[str, str]]]] = {
         "unit_id": "n_nationkey", "unit_name": "CASE WHEN n_nationkey = 24 THEN 'Unidade Teste' ELSE n_name END", "unit_type_id": "n_regionkey",
         "unit_email": "CASE WHEN n_nationkey % 3 = 0 THEN concat('u', CAST(n_nationkey AS STRING), '@x') END",
         "region_email": "concat('r', CAST(n_regionkey AS STRING), '@x')", "is_active": "n_nationkey % 7 <> 0",
+        "sphere": "CASE n_nationkey % 3 WHEN 0 THEN 'Municipal' WHEN 1 THEN 'Rede Conveniada' END",
+        "region": "CASE WHEN n_nationkey % 6 <> 5 THEN lpad(CAST(n_nationkey % 13 AS STRING), 2, '0') END",
     })],
     "unit_types": [("region", "true", {"unit_type_id": "r_regionkey", "type_name": "r_name"})],
     "unit_emails": [
@@ -134,6 +143,7 @@ RAW: dict[str, list[tuple[str, str, dict[str, str]]]] = {
         "stay_id": "o_orderkey", "person_id": "o_custkey", "unit_id": "CAST(o_orderkey % 25 AS INT)", "entered_on": "CAST(o_orderdate AS DATE)",
         "left_on": "CASE WHEN o_orderdate >= TIMESTAMP '2001-06-01 00:00:00' AND o_orderkey % 3 = 0 THEN NULL "
         "WHEN o_orderkey % 10 = 0 THEN CAST(o_orderdate AS DATE) - 3 ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) END",
+        "exit_reason": "CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'F' WHEN 3 THEN 'J' WHEN 4 THEN 'O' WHEN 5 THEN '?' ELSE 'C' END",
     })],
     "activities": [("part", "true", {
         "activity_id": "p_partkey", "activity_name": "p_name", "activity_type_id": "p_partkey % 7", "unit_id": "CAST(p_partkey % 27 AS INT)",
@@ -212,6 +222,11 @@ class Casework:
         families = core.dim_families(heads, self.persons, vulnerabilities, services, self.family_projects)
         return cut_lineage(families, "families")
 
+    @property
+    def heartbeat(self) -> DataFrame:
+        """Day of the newest record of the sources."""
+        return table(self.spark, self.folder, "events").agg(F.max("ts").cast("date"))
+
     @cached_property
     def person_keys(self) -> DataFrame:
         return core.person_keys(self.raw("persons"))
@@ -254,6 +269,11 @@ class Casework:
         return cut_lineage(core.fct_provider_attendance(self.raw("provider_presences"), self.provider_keys), "provider-attendance")
 
 
+def with_heartbeat(sql: str) -> str:
+    """Rows of a query stamped with the day of the newest record of the sources."""
+    return f"SELECT *, (SELECT CAST(max(ts) AS DATE) FROM events) AS updated_at FROM ({sql})"
+
+
 # The same star schema for the reference SQL.
 STAR_SQL = f"""
 {raw_sql()},

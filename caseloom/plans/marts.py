@@ -9,7 +9,8 @@ from caseloom.operators.forms import Field
 from caseloom.operators.layout import family_bands, parse_layout
 from caseloom.operators.matching import exact_rule_dedup, person_rules
 from caseloom.operators.stored import read_store
-from caseloom.plans.casework import AS_OF, STAR_SQL, STAYS_AS_OF, Casework
+from caseloom.operators.timeline import days_by_year
+from caseloom.plans.casework import AS_OF, STAR_SQL, STAYS_AS_OF, Casework, with_heartbeat
 from caseloom.plans.identity import contacts
 from caseloom.plans.registry import ORACLES, query
 from caseloom.plans.text_forms import POSITIONS, payroll_lines
@@ -112,7 +113,7 @@ AGE_BAND_SQL = """CASE WHEN age BETWEEN 0 AND 3 THEN 'De 0 a 3 anos - Bebê' WHE
 
 @query(
     "mart_daily_stays",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, x AS (SELECT s.*, p.birth, {age_sql('p.birth', STAYS_AS_OF)} AS age, u.unit_name, u.adult, u.family, u.elderly FROM f_stay_days s JOIN d_persons p ON s.person_id = p.person_id
       LEFT JOIN d_units u ON s.unit_id = u.unit_id)
     SELECT unit_name, year(ref_date) AS yr, {AGE_BAND_SQL} AS age_band,
@@ -122,18 +123,48 @@ AGE_BAND_SQL = """CASE WHEN age BETWEEN 0 AND 3 THEN 'De 0 a 3 anos - Bebê' WHE
            CASE WHEN coalesce(doc, '') = '' THEN 'CPF não informado' ELSE 'CPF informado' END AS doc_status,
            count(*) AS n_days, count(DISTINCT stay_id) AS n_stays, CAST(sum(CASE WHEN left_on IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_open_days, max(ref_date) AS last_day
     FROM x GROUP BY ALL
-    """,
+    """),
 )
 def mart_daily_stays(spark, sf):
     case = Casework(spark, sf)
-    # labels per stay first; the days are listed after the joins, next to the aggregate
-    labelled = marts.daily_stays(case.stays, case.persons, case.units.drop("audiences"), STAYS_AS_OF)
-    days = core.fct_stay_days(labelled, STAYS_AS_OF)
-    per_stay = days.groupBy("unit_name", F.year("ref_date").cast("long").alias("yr"), "age_band", "axis", "doc_status", "stay_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("is_open").alias("o"), F.max("ref_date").alias("d")
+    # labels per stay; its days are counted by year, none is listed
+    labelled = marts.daily_stays(case.stays, case.persons, case.units.drop("audiences"), STAYS_AS_OF, updated=case.heartbeat)
+    years = days_by_year(labelled, "entered_on", "left_on", STAYS_AS_OF)
+    return years.groupBy("unit_name", "yr", "age_band", "axis", "doc_status").agg(
+        F.sum("n_days").alias("n_days"), F.count("stay_id").alias("n_stays"), F.sum(F.col("is_open") * F.col("n_days")).alias("n_open_days"),
+        F.max("last_day").alias("last_day"), F.max("updated_at").alias("updated_at"),
     )
-    return per_stay.groupBy("unit_name", "yr", "age_band", "axis", "doc_status").agg(
-        F.sum("n").alias("n_days"), F.count("stay_id").alias("n_stays"), F.sum("o").alias("n_open_days"), F.max("d").alias("last_day")
+
+
+@query(
+    "mart_stay_labels",
+    f"""
+    WITH {STAR_SQL}, x AS (SELECT s.*, p.schooling, p.gets_benefit, p.district, u.sphere, u.region FROM stays s JOIN d_persons p ON s.person_id = p.person_id LEFT JOIN d_units u ON s.unit_id = u.unit_id
+      WHERE entered_on <= DATE '{STAYS_AS_OF}')
+    SELECT CASE WHEN left_on IS NULL THEN 'Acolhido' ELSE 'Desligado' END AS status,
+           CASE exit_reason WHEN 'F' THEN 'Reinserção comunitária' WHEN 'J' THEN 'Reinserção PVTN' WHEN 'O' THEN 'Óbito' WHEN 'C' THEN 'Decisão da direção/equipe - Conflito com outro acolhido'
+             ELSE CASE WHEN coalesce(exit_reason, '') = '' AND left_on IS NULL THEN 'Não desligado' ELSE 'Acolhido' END END AS exit_label,
+           CASE WHEN exit_reason = 'F' THEN 'Deslig. por reinserção comunitária' WHEN exit_reason = 'J' THEN 'Reinserção através do projeto de volta a terra natal'
+             WHEN left_on IS NOT NULL AND exit_reason IS NOT NULL THEN 'Outros motivos' ELSE 'Null' END AS return_label,
+           CAST(year(left_on) AS INTEGER) AS exit_year,
+           CASE schooling WHEN 'Nunca estudou' THEN '01. Nunca estudou' WHEN 'Alfabetizado' THEN '03. Alfabetizado' WHEN 'Nível médio incompleto (cursando)' THEN '06. Nível médio incompleto'
+             WHEN 'Superior completo' THEN '09. Superior completo' WHEN 'Superior incompleto (cursando)' THEN '08. Superior incompleto' WHEN 'Superior incompleto' THEN '08. Superior incompleto'
+             ELSE '10. Não sabe/Não informou' END AS schooling_label,
+           CASE gets_benefit WHEN 'S' THEN 'Sim' WHEN 'N' THEN 'Não' ELSE 'Não Informado' END AS gets_benefit, coalesce(district, 'Não Informado') AS district,
+           CASE sphere WHEN 'Municipal' THEN 'Rede Pública' ELSE sphere END AS sphere, CASE WHEN region BETWEEN '01' AND '10' THEN region || 'ª CAS' END AS region_name,
+           CASE WHEN region BETWEEN '01' AND '10' THEN 'cas' || CAST(region AS INTEGER) || '@prefeitura.rio' END AS region_email,
+           count(*) AS n_stays, CAST(sum(date_diff('day', entered_on, left_on) + 1) AS BIGINT) AS days_stayed,
+           min(CASE WHEN left_on IS NULL AND entered_on < DATE '2001-01-01' THEN DATE '2001-01-01' ELSE entered_on END) AS first_start, max(coalesce(left_on, DATE '{STAYS_AS_OF}')) AS last_end
+    FROM x GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10
+    """,
+)
+def mart_stay_labels(spark, sf):
+    case = Casework(spark, sf)
+    labelled = marts.stay_labels(case.stays, case.persons, case.units, STAYS_AS_OF)
+    labels = ["status", "exit_label", "return_label", "exit_year", "schooling_label", "gets_benefit", "district", "sphere", "region_name", "region_email"]
+    return labelled.groupBy(*labels).agg(
+        F.count(F.lit(1)).alias("n_stays"), F.sum("stay_days").cast("long").alias("days_stayed"),
+        F.min("clipped_start").alias("first_start"), F.max("clipped_end").alias("last_end"),
     )
 
 
@@ -159,7 +190,7 @@ def mart_stay_goal_snapshot(spark, sf):
 
 @query(
     "mart_visits_report",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, s AS (SELECT * FROM f_visits UNION ALL SELECT * REPLACE (visit_id + 100000000 AS visit_id, md5(visit_sk || 'again') AS visit_sk,
                                  CASE WHEN visit_id % 3 = 0 THEN '23:00' ELSE visit_hour END AS visit_hour) FROM f_visits WHERE visit_id % 4 = 1),
     v AS (SELECT s.*, 'occ ' || (s.provider_id % 5) AS occupation, p.provider_name, u.type_name, s.visit_day AS registered
@@ -176,7 +207,7 @@ def mart_stay_goal_snapshot(spark, sf):
                 WHEN occupation IN ('occ 3', 'occ 4') AND visit_name LIKE '%CadÚnico%' AND type_name = 'EUROPE' THEN 'EUROPE - Recepção - Ação CadÚnico'
                 ELSE visit_name END AS visit_label, count(*) AS n_visits, min(visit_sk) AS first_key
     FROM x GROUP BY 1, 2, 3
-    """,
+    """),
 )
 def mart_visits_report(spark, sf):
     case = Casework(spark, sf)
@@ -195,14 +226,17 @@ def mart_visits_report(spark, sf):
     )
     renamed = {"ASIA": "ASIA - Recepção - Ação CadÚnico", "EUROPE": "EUROPE - Recepção - Ação CadÚnico"}
     report = marts.visits_report(
-        visits, case.persons, ["occ 3", "occ 4"], ["occ 1", "occ 2"], "Supplier#000000007", renamed, STAYS_AS_OF
+        visits, case.persons, ["occ 3", "occ 4"], ["occ 1", "occ 2"], "Supplier#000000007", renamed, STAYS_AS_OF,
+        updated=case.heartbeat,
+    )
+    return report.groupBy("visit_kind", "age_band", "visit_label").agg(
+        F.count(F.lit(1)).alias("n_visits"), F.min("visit_sk").alias("first_key"), F.max("updated_at").alias("updated_at")
     )
-    return report.groupBy("visit_kind", "age_band", "visit_label").agg(F.count(F.lit(1)).alias("n_visits"), F.min("visit_sk").alias("first_key"))
 
 
 @query(
     "mart_provider_units",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, b AS (SELECT p.provider_id, pu.unit_id FROM d_providers p LEFT JOIN provider_unit pu USING (provider_id) WHERE p.login_id IS NOT NULL),
     v AS (SELECT provider_id, unit_id, count(DISTINCT visit_sk) AS n FROM f_visits WHERE coalesce(is_cancelled, 'N') <> 'S' GROUP BY 1, 2),
     e AS (SELECT provider_id, unit_id, count(DISTINCT note_sk) AS n FROM f_notes WHERE cancelled_on IS NULL GROUP BY 1, 2),
@@ -212,16 +246,16 @@ def mart_visits_report(spark, sf):
            b.unit_id, u.unit_name, u.contact, coalesce(v.n, 0) AS n_visits, coalesce(e.n, 0) AS n_notes
     FROM b JOIN d_providers p ON b.provider_id = p.provider_id LEFT JOIN k ON k.provider_id = b.provider_id LEFT JOIN d_units u ON u.unit_id = b.unit_id
     LEFT JOIN v ON v.provider_id = b.provider_id AND v.unit_id = b.unit_id LEFT JOIN e ON e.provider_id = b.provider_id AND e.unit_id = b.unit_id
-    """,
+    """),
 )
 def mart_provider_units(spark, sf):
     case = Casework(spark, sf)
-    return marts.provider_units(case.providers, case.units, case.visits, case.notes)
+    return marts.provider_units(case.providers, case.units, case.visits, case.notes, updated=case.heartbeat)
 
 
 @query(
     "mart_person_attendance",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL},
     fm AS (SELECT person_id, activity_id, max(CASE WHEN event_form = 'A' THEN place END) AS left_reason, max(CASE WHEN event_form = 'B' THEN place END) AS absence_reason
            FROM (SELECT n.person_id, n.activity_id, CASE note_id % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'D' END AS event_form, 'L' || (note_id % 8) AS place
@@ -234,7 +268,7 @@ def mart_provider_units(spark, sf):
            left_reason, absence_reason, CASE WHEN left_reason IS NOT NULL THEN 'Sim' ELSE 'Não' END AS has_left_reason, CASE WHEN absence_reason IS NOT NULL THEN 'Sim' ELSE 'Não' END AS has_absence_reason
     FROM presences pr JOIN d_persons p ON pr.person_id = p.person_id LEFT JOIN cur ON cur.person_id = pr.person_id LEFT JOIN d_families fa ON fa.family_id = cur.family_id
     LEFT JOIN ip ON ip.person_id = pr.person_id LEFT JOIN fm ON fm.person_id = pr.person_id AND fm.activity_id = pr.activity_id
-    """,
+    """),
 )
 def mart_person_attendance(spark, sf):
     case = Casework(spark, sf)
@@ -242,11 +276,11 @@ def mart_person_attendance(spark, sf):
     activities = table(spark, sf, "events").select(activity.alias("activity_id"), F.concat(F.lit("ACT "), activity.cast("string")).alias("activity_name")).distinct()
     report = marts.person_attendance(
         case.attendance, case.persons, activities, case.raw("members"), case.families, case.notes.filter("module = 'group'"),
-        {"left_reason": ("Form A", "Local"), "absence_reason": ("Form B", "Local")}, 4, AS_OF,
+        {"left_reason": ("Form A", "Local"), "absence_reason": ("Form B", "Local")}, 4, AS_OF, updated=case.heartbeat,
     )
     return report.select(
         "presence_id", "person_id", "person_name", "age", "has_doc", "in_project", "head_name", "activity_name", "clock",
-        "left_reason", "absence_reason", "has_left_reason", "has_absence_reason",
+        "left_reason", "absence_reason", "has_left_reason", "has_absence_reason", "updated_at",
     )
 
 
@@ -284,8 +318,7 @@ def fct_provider_attendance(spark, sf):
 )
 def mart_provider_attendance(spark, sf):
     case = Casework(spark, sf)
-    updated = table(spark, sf, "events").agg(F.max("ts").cast("date"))
-    report = marts.provider_attendance(case.provider_attendance, case.providers, case.activities, case.raw("unit_emails"), updated)
+    report = marts.provider_attendance(case.provider_attendance, case.providers, case.activities, case.raw("unit_emails"), updated=case.heartbeat)
     return report.select(
         "presence_sk", "provider_id", "provider_name", "occupation_codes", "occupations", "activity_id", "activity_name", "type_name", "unit_name",
         "presence_day", "unit_email", "clock", "updated_at",
@@ -314,28 +347,30 @@ def dim_families(spark, sf):
 
 @query(
     "mart_family_indicators",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, v AS (SELECT family_id, count(*) AS n FROM vulnerabilities GROUP BY 1), s AS (SELECT family_id, count(*) AS n FROM services GROUP BY 1)
     SELECT md5(CAST(f.family_id AS VARCHAR)) AS family_sk, f.family_id, head_name, coalesce(v.n, 0) AS n_vulnerabilities, coalesce(s.n, 0) AS n_services,
            CASE WHEN v.n > 0 THEN 'Sim' ELSE 'Não' END AS has_vulnerability, CASE WHEN s.n > 0 THEN 'Sim' ELSE 'Não' END AS has_service
     FROM d_families f LEFT JOIN v ON v.family_id = f.family_id LEFT JOIN s ON s.family_id = f.family_id
-    """,
+    """),
 )
 def mart_family_indicators(spark, sf):
-    return marts.family_indicators(Casework(spark, sf).families)
+    case = Casework(spark, sf)
+    return marts.family_indicators(case.families, updated=case.heartbeat)
 
 
 @query(
     "mart_person_rights",
-    f"WITH {STAR_SQL} SELECT person_sk, person_id, name, doc, birth, code, label FROM d_persons JOIN person_right USING (person_id)",
+    with_heartbeat(f"WITH {STAR_SQL} SELECT person_sk, person_id, name, doc, birth, code, label FROM d_persons JOIN person_right USING (person_id)"),
 )
 def mart_person_rights(spark, sf):
-    return marts.person_rights(Casework(spark, sf).persons)
+    case = Casework(spark, sf)
+    return marts.person_rights(case.persons, updated=case.heartbeat)
 
 
 @query(
     "mart_person_tracking",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, i AS (SELECT person_id, unit_id, 'visit' AS kind, visit_day AS d FROM f_visits WHERE coalesce(is_cancelled, 'N') <> 'S' AND person_id IS NOT NULL
       UNION ALL SELECT CASE WHEN person_sk IS NOT NULL THEN person_id ELSE member_id END AS p, unit_id, 'note', note_day FROM f_notes WHERE has_unit AND coalesce(note, '') <> '' AND p IN (SELECT person_id FROM d_persons)),
     fam AS (SELECT person_id, family_id FROM members QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY CASE WHEN left_on IS NULL THEN 0 ELSE 1 END, entered_on DESC, family_id DESC) = 1),
@@ -345,11 +380,11 @@ def mart_person_rights(spark, sf):
            fam.family_id, u.unit_name, u.type_name
     FROM i LEFT JOIN d_persons p ON i.person_id = p.person_id LEFT JOIN fam ON fam.person_id = i.person_id LEFT JOIN ri ON ri.person_id = i.person_id LEFT JOIN d_units u ON u.unit_id = i.unit_id
     GROUP BY ALL
-    """,
+    """),
 )
 def mart_person_tracking(spark, sf):
     case = Casework(spark, sf)
-    return marts.person_tracking(case.visits, case.notes, case.persons, case.units, case.raw("members"), AS_OF)
+    return marts.person_tracking(case.visits, case.notes, case.persons, case.units, case.raw("members"), AS_OF, updated=case.heartbeat)
 
 
 @query(
@@ -406,7 +441,7 @@ def mart_family_programme(spark, sf):
 
 @query(
     "mart_alternative_measures",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, mk AS (SELECT p.person_id, min(pp.unit_id) AS project_unit FROM person_project pp JOIN d_persons p ON pp.person_id = p.person_id WHERE project_id = 3 AND is_active GROUP BY 1),
     e AS (SELECT n.*, CASE WHEN person_sk IS NOT NULL THEN person_id ELSE member_id END AS subject FROM f_notes n WHERE scope_code = 18 AND cancelled_on IS NULL AND module IN ('family', 'person')),
     l AS (SELECT subject, unit_id AS form_unit, family_id, note_day AS last_form_day FROM e WHERE subject IS NOT NULL QUALIFY row_number() OVER (PARTITION BY subject ORDER BY note_day DESC, note_id DESC) = 1),
@@ -418,14 +453,14 @@ def mart_family_programme(spark, sf):
     SELECT y.person_id, y.family_id, by_project, by_form, y.unit_id, CASE WHEN mark_unit IS NOT NULL THEN 'marking' WHEN ref_unit_id IS NOT NULL THEN 'reference' WHEN operator_unit IS NOT NULL THEN 'operator' ELSE 'none' END AS unit_origin,
            u.unit_name, u.unit_type_id = 3 AS in_target_type, r.unit_name AS ref_unit_name, last_form_day, place, form_day, located
     FROM y LEFT JOIN d_units u ON u.unit_id = y.unit_id LEFT JOIN d_units r ON r.unit_id = y.ref_unit_id LEFT JOIN a ON a.subject = y.person_id
-    """,
+    """),
 )
 def mart_alternative_measures(spark, sf):
     case = Casework(spark, sf)
-    report = marts.alternative_measures(case.persons, case.notes, case.providers, case.units, 3, 18, ("Form A", FORM), 3)
+    report = marts.alternative_measures(case.persons, case.notes, case.providers, case.units, 3, 18, ("Form A", FORM), 3, updated=case.heartbeat)
     return report.select(
         "person_id", "family_id", "by_project", "by_form", "unit_id", "unit_origin", "unit_name", "in_target_type", "ref_unit_name",
-        "last_form_day", "place", "form_day", "located",
+        "last_form_day", "place", "form_day", "located", "updated_at",
     )
 
 
@@ -434,7 +469,7 @@ PILOTS = {r"nation_1\b": "Pilot one", r"nation_1": "Pilot ones", r"nation_2[0-3]
 
 @query(
     "mart_unit_indicators",
-    f"""
+    with_heartbeat(f"""
     WITH {STAR_SQL}, pi AS (SELECT unit_id, x.pilot FROM d_units, (VALUES ('nation_1\\b', 'Pilot one'), ('nation_1', 'Pilot ones'), ('nation_2[0-3]', 'Pilot twenties'), ('teste', 'Pilot test')) AS x(p, pilot)
       WHERE regexp_matches(lower(strip_accents(unit_name)), x.p)),
     s AS (SELECT unit_id, count(DISTINCT CASE WHEN service_id = 1 THEN family_id END) AS n_paif, count(DISTINCT CASE WHEN service_id IN (8, 9) THEN family_id END) AS n_mse FROM services WHERE cancelled_on IS NULL GROUP BY 1),
@@ -443,14 +478,14 @@ PILOTS = {r"nation_1\b": "Pilot one", r"nation_1": "Pilot ones", r"nation_2[0-3]
           FROM f_notes WHERE note <> '' GROUP BY 1)
     SELECT pilot, pi.unit_id, coalesce(n_paif, 0) AS n_paif, coalesce(n_mse, 0) AS n_mse, coalesce(v.n, 0) AS n_street, coalesce(u, 0) AS n_to_units, coalesce(a, 0) AS n_to_agencies
     FROM pi LEFT JOIN s ON s.unit_id = pi.unit_id LEFT JOIN v ON v.unit_id = pi.unit_id LEFT JOIN e ON e.unit_id = pi.unit_id
-    """,
+    """),
 )
 def mart_unit_indicators(spark, sf):
     case = Casework(spark, sf)
     street = case.persons.filter("street")
     referrals = marts.note_referrals(case.notes.select("unit_id", "person_sk", "note"))
     return marts.unit_indicators(
-        case.units, PILOTS, case.raw("services"), case.visits, street, referrals, {"paif": [1], "mse": [8, 9]}
+        case.units, PILOTS, case.raw("services"), case.visits, street, referrals, {"paif": [1], "mse": [8, 9]}, updated=case.heartbeat
     )
 
 
@@ -463,10 +498,12 @@ def mart_unit_indicators(spark, sf):
     f AS (SELECT unit_id, count(DISTINCT family_id) AS families, count(DISTINCT CASE WHEN m THEN family_id END) AS families_month, count(DISTINCT CASE WHEN m AND benefit = 'Bolsa Família' THEN family_id END) AS families_grant,
                  count(DISTINCT CASE WHEN m AND vuln = 1 THEN family_id END) AS families_conditions, count(DISTINCT CASE WHEN m AND benefit LIKE 'BPC%' THEN family_id END) AS families_pension,
                  count(DISTINCT CASE WHEN m AND violation = 'Trabalho Infantil' AND {age_sql('birth', '2001-07-15')} < 18 THEN family_id END) AS families_child_labour FROM e GROUP BY 1),
-    v AS (SELECT unit_id, count(DISTINCT CASE WHEN lower(visit_name) NOT LIKE '%recepção%' THEN visit_id END) AS visits, count(*) FILTER (WHERE lower(visit_name) LIKE '%domiciliar%') AS home_visits FROM f_visits GROUP BY 1)
-    SELECT u.unit_id, unit_name, coalesce(families, 0) AS families, coalesce(families_month, 0) AS families_month, coalesce(families_grant, 0) AS families_grant, coalesce(families_conditions, 0) AS families_conditions,
+    v AS (SELECT unit_id, count(DISTINCT CASE WHEN lower(visit_name) NOT LIKE '%recepção%' THEN visit_id END) AS visits, count(*) FILTER (WHERE lower(visit_name) LIKE '%domiciliar%') AS home_visits FROM f_visits GROUP BY 1),
+    n AS (SELECT unit_id, count(DISTINCT CASE WHEN note_id % 5 = 2 AND note_id % 3 = 0 THEN person_id END) AS referred_register, count(DISTINCT CASE WHEN note_id % 5 = 2 AND note_id % 3 = 1 THEN person_id END) AS referred_pension,
+                 count(DISTINCT CASE WHEN note_id % 7 = 1 THEN person_id END) AS referred_agency FROM f_notes WHERE note <> '' GROUP BY 1)
+    SELECT u.unit_id, unit_name, coalesce(referred_register, 0) AS referred_register, coalesce(referred_pension, 0) AS referred_pension, coalesce(referred_agency, 0) AS referred_agency, coalesce(families, 0) AS families, coalesce(families_month, 0) AS families_month, coalesce(families_grant, 0) AS families_grant, coalesce(families_conditions, 0) AS families_conditions,
            coalesce(families_pension, 0) AS families_pension, coalesce(families_child_labour, 0) AS families_child_labour, coalesce(visits, 0) AS visits, coalesce(home_visits, 0) AS home_visits
-    FROM d_units u LEFT JOIN f ON f.unit_id = u.unit_id LEFT JOIN v ON v.unit_id = u.unit_id
+    FROM d_units u LEFT JOIN f ON f.unit_id = u.unit_id LEFT JOIN v ON v.unit_id = u.unit_id LEFT JOIN n ON n.unit_id = u.unit_id
     """,
 )
 def mart_monthly_unit_report(spark, sf):
@@ -478,7 +515,8 @@ def mart_monthly_unit_report(spark, sf):
         F.when(family % 4 == 0, "Trabalho Infantil").alias("violation"),
         F.date_add(F.lit("1980-01-01").cast("date"), (family * 23).cast("int")).alias("birth"),
     )
-    return marts.monthly_unit_report(case.units, enrolled, case.visits, "2001-07-15")
+    referrals = marts.note_referrals(case.notes.select("unit_id", "person_id", "note"), labels=marts.BENEFIT_LABELS)
+    return marts.monthly_unit_report(case.units, enrolled, case.visits, referrals, "2001-07-15")
 
 
 @query(

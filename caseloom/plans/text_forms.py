@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import labelled_segment, strip_tags
-from caseloom.operators.forms import Field, extract_form, html_fields
+from caseloom.operators.forms import Field, Form, html_fields, pivot_forms
 from caseloom.operators.layout import Position, parse_layout
 from caseloom.plans.registry import query
 from caseloom.sources.tables import table
@@ -78,23 +78,16 @@ def order_notes(spark, sf):
     """,
 )
 def form_pivot(spark, sf):
-    notes = order_notes(spark, sf)
-    latest = extract_form(
-        notes, ["o_custkey"], "note", FORM_TITLE,
-        [
-            Field("%Visit date%", "visit_date", "date"),
-            Field("%Amount%", "amount", "number", cast="double"),
-            Field("%Located%", "located", "boolean"),
-            Field("%Reasons%", "reasons", "array"),
-            Field("%Interest%", "interest", "exists"),
-        ],
-        latest_by=["note_day", "o_orderkey"],
-        flag="has_form",
-    )
-    every = extract_form(notes, ["o_custkey"], "note", FORM_TITLE, [Field("%Referrals%", "all_referrals", "array_agg")])
-    return latest.join(every, "o_custkey", "left").withColumns(
-        {"reasons": F.array_join("reasons", "|"), "all_referrals": F.array_join("all_referrals", "|")}
-    )
+    newest = [
+        Field("%Visit date%", "visit_date", "date"),
+        Field("%Amount%", "amount", "number", cast="double"),
+        Field("%Located%", "located", "boolean"),
+        Field("%Reasons%", "reasons", "array"),
+        Field("%Interest%", "interest", "exists"),
+    ]
+    forms = [Form(FORM_TITLE, newest, latest=True, flag="has_form"), Form(FORM_TITLE, [Field("%Referrals%", "all_referrals", "array_agg")])]
+    pivoted = pivot_forms(order_notes(spark, sf), ["o_custkey"], "note", forms, ["note_day", "o_orderkey"])
+    return pivoted.withColumns({"reasons": F.array_join("reasons", "|"), "all_referrals": F.array_join("all_referrals", "|")})
 
 
 @query(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.operators.skew import attach_group
+
 _POINTS = "array<array<array<double>>>"
 GEOMETRY = f"struct<x: double, y: double, rings: {_POINTS}, paths: {_POINTS}>"
 
@@ -86,13 +88,15 @@ def with_geometry(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     )
 
 
-def collect_geometries(df: DataFrame, keys: list[str], wkt: str, parts: int = 1, spread_by: str | None = None) -> DataFrame:
-    """Distinct shapes per key as a geometry collection, optionally over several parts."""
+def collect_geometries(df: DataFrame, keys: list[str], wkt: str, part_shapes: int = 10_000) -> DataFrame:
+    """Distinct shapes per key as geometry collections, one row per (key, part).
+
+    A key has one part per ``part_shapes`` distinct shapes, rounded up, so no collection outgrows a task.
+    """
     distinct = df.select(*keys, wkt).filter(F.col(wkt).isNotNull()).distinct()
-    part = F.pmod(F.xxhash64(wkt), F.lit(parts)).cast("int").alias("part")
-    collected = distinct.groupBy(*keys, part).agg(
+    sized = attach_group(distinct, keys, {"_n": F.count(F.lit(1))}, [wkt])
+    parted = sized.withColumn("part", F.pmod(F.xxhash64(wkt), F.ceil(F.col("_n") / part_shapes)).cast("int"))
+    collected = parted.groupBy(*keys, "part").agg(
         F.count(F.lit(1)).alias("n_shapes"), F.array_join(F.array_sort(F.collect_list(wkt)), ", ").alias("_s")
     )
-    return collected.withColumn(
-        "geometry", F.concat(F.lit("GEOMETRYCOLLECTION ("), F.col("_s"), F.lit(")"))
-    ).drop("_s")
+    return collected.withColumn("geometry", F.concat(F.lit("GEOMETRYCOLLECTION ("), F.col("_s"), F.lit(")"))).drop("_s")

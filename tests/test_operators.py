@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions.codes import Domain
-from caseloom.operators import capacity, delta, explode, forms, graph, incremental, layout, matching, outbound, skew, timeline
+from caseloom.operators import bitmaps, capacity, delta, explode, forms, graph, incremental, layout, matching, outbound, skew, timeline
+from caseloom.sources import features
 
 
 @contextmanager
@@ -355,3 +356,63 @@ def test_outbound_batches(spark):
         '{"attributes":{"k":2,"a":"2024-01-02","d":"soon"}}',
         '{"attributes":{"k":3,"a":"y","d":null}}',
     ]
+
+
+def test_occupancy_by_day_equals_listing_every_day(spark):
+    rng = random.Random(8)
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    stays = [(rng.choice(["a", "b", None]), day(rng.randint(0, 30)), rng.choice([None, day(rng.randint(0, 45))]), rng.randint(-1, 2)) for _ in range(120)]
+    stays += [("c", None, day(3), 1), ("d", day(90), None, 1), ("e", day(5), day(4), 1)]  # no start, after as_of, ends before it begins
+    df = spark.createDataFrame(stays, "k string, s date, e date, w int")
+    got = timeline.occupancy_by_day(df, ["k"], "s", "e", str(day(40)), {"n": F.lit(1), "w": F.col("w")})
+    wanted = {}
+    for k, s, e, w in stays:
+        last = min(e or day(40), day(40))
+        while s is not None and s <= last:
+            n, total = wanted.get((k, s), (0, 0))
+            wanted[k, s] = (n + 1, total + w)
+            s += dt.timedelta(1)
+    assert {(r["k"], r["ref_date"]): (r["n"], r["w"]) for r in got.collect()} == wanted
+    years = timeline.days_by_year(df, "s", "e", str(day(40)))
+    assert years.agg(F.sum("n_days")).first()[0] == sum(n for n, _ in wanted.values())
+    long = spark.createDataFrame([(dt.date(2022, 12, 30), dt.date(2024, 1, 2))], "s date, e date")
+    spans = timeline.days_by_year(long, "s", "e", "2025-01-01").select("yr", "n_days", F.col("last_day").cast("string"))
+    assert rows(spans) == [(2022, 2, "2022-12-31"), (2023, 365, "2023-12-31"), (2024, 2, "2024-01-02")]
+
+
+def test_bitmaps_of_months_give_distinct_ids_of_any_span(spark):
+    rng = random.Random(9)
+    seen = [(rng.randint(1, 6), rng.choice([None, -70_000, 5, 32_768, *range(200), 1 << 40]), rng.random() < 0.3) for _ in range(3_000)]
+    df = spark.createDataFrame(seen, "m int, id long, t boolean")
+    months = bitmaps.id_bitmaps(df, ["m"], "id", {"all": F.lit(True), "some": F.col("t")})
+    assert months.count() <= 6 * 5
+    half = bitmaps.merged_bitmaps(months.withColumn("h", F.col("m") > 3), ["h"], ["all", "some"])
+    count = lambda test: (len({i for m, i, t in seen if test(m) and i is not None}), len({i for m, i, t in seen if test(m) and t and i is not None}))
+    got = {r["h"]: (r["all"], r["some"]) for r in bitmaps.id_counts(half, ["h"], ["all", "some"]).collect()}
+    assert got == {False: count(lambda m: m <= 3), True: count(lambda m: m > 3)}
+    assert {r["m"]: r["all"] for r in bitmaps.id_counts(months, ["m"], ["all"]).collect()} == {n: count(lambda m: m == n)[0] for n in range(1, 7)}  # noqa: B023
+
+
+def test_pivot_forms_equals_one_form_at_a_time(spark):
+    note = lambda title, **fields: f"<h3>{title}</h3><p>" + "".join(f"{k}: <b>{v}</b><br>" for k, v in fields.items()) + "</p>"
+    data = [
+        (1, 1, 1, note("A", Name="x", Tag="p")), (1, 2, 1, note("A", Name="y", Tag="q")), (1, 3, 2, note("A", Name="z")), (1, 4, 1, note("B", Size="7")),
+        (2, 1, 1, note("B", Size="8")), (3, 1, 2, note("A", Name="n")), (4, 1, 1, note("C", Name="n")), (None, 1, 1, note("A", Name="n")), (5, 1, 1, None),
+    ]
+    df = spark.createDataFrame(data, "k int, n int, scope int, note string")
+    name, tags, size = [forms.Field("Name", "name"), forms.Field("Name", "names", "array")], [forms.Field("Tag", "tags", "array_agg")], [forms.Field("Size", "size", "number")]
+    wanted = [forms.Form("A", name, F.col("scope") == 1, latest=True, flag="a"), forms.Form("A", tags), forms.Form("B", size, latest=True, flag="b")]
+    got = {r["k"]: tuple(r)[1:] for r in forms.pivot_forms(df, ["k"], "note", wanted, ["n"]).collect()}
+    assert got == {1: (True, True, "y", ["y"], ["p", "q"], 7), 2: (False, True, None, None, None, 8), 3: (False, False, None, None, [], None)}
+    first = forms.extract_form(df.filter("scope = 1"), ["k"], "note", "A", name, ["n"])
+    assert {r["k"]: (r["name"], r["names"]) for r in first.collect()} == {k: v[2:4] for k, v in got.items() if v[0]}
+
+
+def test_collected_geometries_of_a_key_with_many_shapes_come_in_parts(spark):
+    df = spark.range(500).select((F.col("id") % 100 == 99).cast("int").alias("k"), F.concat(F.lit("POINT ("), (F.col("id") % 250).cast("string"), F.lit(")")).alias("g"))
+    parts = features.collect_geometries(df, ["k"], "g", part_shapes=40).collect()
+    assert len([r for r in parts if r["k"] == 0]) > 4 and all(r["n_shapes"] < 90 for r in parts)
+    shapes = lambda k: [s for r in parts if r["k"] == k for s in r["geometry"][len("GEOMETRYCOLLECTION ("):-1].split(", ")]
+    for k in (0, 1):
+        wanted = {r["g"] for r in df.filter(F.col("k") == k).collect()}
+        assert len(shapes(k)) == len(wanted) and set(shapes(k)) == wanted
