@@ -197,8 +197,8 @@ def person_rules(doc: str, name: str, mother: str, father: str, birth: str) -> l
     ]
 
 
-def exact_rule_edges(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequence[str] = ()) -> DataFrame:
-    """Edge from every row to the least id that shares a rule's key, all rules in one pass."""
+def rule_keys(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequence[str] = ()) -> DataFrame:
+    """``(id, *within, rule, key)``: the keys of every row, all rules in one pass."""
     keyed = [
         F.when(
             rule.valid,
@@ -206,11 +206,15 @@ def exact_rule_edges(df: DataFrame, id_col: str, rules: Sequence[KeyRule], withi
         )
         for n, rule in enumerate(rules)
     ]
-    long = df.select(
+    return df.select(
         F.col(id_col).alias("id"), *within, F.explode(F.filter(F.array(*keyed), lambda k: k.isNotNull())).alias("_k")
     ).select("id", *within, "_k.rule", "_k.key")
+
+
+def exact_rule_edges(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequence[str] = ()) -> DataFrame:
+    """Edge from every row to the least id that shares a rule's key, all rules in one pass."""
     # read three times below: to count, to reduce and to join
-    long = cut_lineage(long, "keys")
+    long = cut_lineage(rule_keys(df, id_col, rules, within), "keys")
     least = attach_group(long, [*within, "rule", "key"], {"least_id": F.min("id")}, ["id", "rule"])
     edges = least.filter(F.col("id") != F.col("least_id"))
     return edges.select(F.col("id").alias("id_a"), F.col("least_id").alias("id_b")).distinct()

@@ -92,6 +92,20 @@ def merge_buckets(
     _replace(merge_by_key(stored, incoming, key, unique), path, folders, touched)
 
 
+def rows_with_keys(keys: DataFrame, path: str, key: Sequence[str], schema: T.StructType, buckets: int = BUCKETS) -> DataFrame:
+    """Rows of a store of unique keys whose key occurs in ``keys``; only the buckets of these keys are read.
+
+    Keys are compared as they are, so NULL finds nothing. ``keys`` is read twice: pass a stored table.
+    """
+    keys, spark = keys.select(*key).distinct(), keys.sparkSession
+    make_folder(spark, path)
+    touched = _touched(keys.select(bucket_of(key, buckets).alias(BUCKET)), [BUCKET])
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    stored = spark.read.schema(full).parquet(path)
+    near = _in_folders(stored, [BUCKET], touched) if touched else stored.limit(0)
+    return near.drop(BUCKET).join(keys, list(key), "left_semi")
+
+
 def append_snapshot_stored(incoming: DataFrame, path: str, stamp: str, key: Sequence[str], buckets: int = BUCKETS) -> None:
     """Merge a stamped snapshot into a store unless its stamp is there; earlier snapshots keep their files.
 

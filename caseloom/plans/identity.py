@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import clean_name, digits_key, match_key, standard_name
+from caseloom.operators.linked import add_rows, stored_clusters
 from caseloom.operators.matching import (
     containment,
     exact_rule_dedup,
@@ -12,7 +13,8 @@ from caseloom.operators.matching import (
     person_rules,
     similar_name_counts,
 )
-from caseloom.plans.registry import query
+from caseloom.plans.registry import ORACLES, query
+from caseloom.session import run_path
 from caseloom.sources.tables import table
 
 CLEAN_SQL = r"trim(regexp_replace(regexp_replace(lower(strip_accents({c})), '[^a-z\s]', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -243,3 +245,13 @@ def exact_rules(spark, sf):
     people = contacts(spark, sf)
     rules = person_rules("doc", "name", "mother", "father", "birth")
     return exact_rule_dedup(people, "id", rules, within=["yr"]).select("id", "cluster_id", "cluster_size", "is_duplicate")
+
+
+@query("exact_rule_dedup_loads", ORACLES["exact_rule_dedup"])
+def exact_rules_in_loads(spark, sf):
+    """The same clusters from three loads into a store, the last of which brings rows again."""
+    people, path = contacts(spark, sf), run_path(spark, "matches")
+    rules = person_rules("doc", "name", "mother", "father", "birth")
+    for load in ("id % 5 < 3", "id % 5 = 3", "id % 5 > 2"):
+        add_rows(people.filter(load), "id", rules, path, within=["yr"])
+    return stored_clusters(people, "id", path).select("id", "cluster_id", "cluster_size", "is_duplicate")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions.codes import Domain
-from caseloom.operators import bitmaps, capacity, delta, explode, forms, graph, incremental, layout, matching, outbound, skew, timeline
+from caseloom.operators import bitmaps, capacity, delta, explode, forms, graph, incremental, layout, linked, matching, outbound, skew, timeline
 from caseloom.sources import features
 
 
@@ -416,3 +416,36 @@ def test_collected_geometries_of_a_key_with_many_shapes_come_in_parts(spark):
     for k in (0, 1):
         wanted = {r["g"] for r in df.filter(F.col("k") == k).collect()}
         assert len(shapes(k)) == len(wanted) and set(shapes(k)) == wanted
+
+
+def test_components_kept_between_loads_equal_those_of_one_load(spark, tmp_path):
+    rng = random.Random(10)
+    path = tmp_path / "links"
+    groups = lambda df: {r["node"]: r["component"] for r in df.collect()}
+    so_far = []
+    for load in range(5):
+        low = 200 - 40 * load  # later loads bring smaller ids, so components change their least node
+        new = [(rng.randint(low, low + 120), rng.randint(low, low + 120)) for _ in range(25)] + [(7, 7), (None, 3)]
+        so_far += new
+        frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+        for _ in range(2 if load == 3 else 1):
+            linked.add_edges(frame(new), "a", "b", str(path), buckets=8)
+        every = [p for p in so_far if None not in p and p[0] != p[1]]
+        wanted = groups(graph.connected_components(frame(every), "a", "b"))
+        assert groups(linked.components_so_far(spark, str(path), frame(new).schema["a"].dataType)) == wanted
+
+
+def test_rows_of_a_later_load_join_only_their_own_buckets(spark, tmp_path):
+    path, rules = tmp_path / "links", [matching.KeyRule(["doc"], F.col("doc") != ""), matching.KeyRule(["name"], F.col("name").isNotNull())]
+    load = lambda values: spark.createDataFrame(values, "id long, doc string, name string")
+    first = [(i, f"d{i // 2}", f"n{i}") for i in range(10, 210)]
+    linked.add_rows(load(first), "id", rules, str(path), buckets=32)
+    before = {p.relative_to(path): p.read_bytes() for p in path.rglob("*.parquet")}
+    second = [(5, "d6", "n99"), (6, "", None), (300, "new", None), (301, "new", "n99")]
+    linked.add_rows(load(second), "id", rules, str(path), buckets=32)
+    got = {r["id"]: (r["cluster_id"], r["cluster_size"]) for r in linked.stored_clusters(load(first + second), "id", str(path)).collect()}
+    wanted = {r["id"]: (r["cluster_id"], r["cluster_size"]) for r in matching.exact_rule_dedup(load(first + second), "id", rules).collect()}
+    assert got == wanted and got[301] == (5, 7) and got[6] == (6, 1)
+    after = {p.relative_to(path): p.read_bytes() for p in path.rglob("*.parquet")}
+    nodes = [p for p in before if p.parts[0] == "nodes"]
+    assert sum(after.get(p) == before[p] for p in nodes) > len(nodes) - 5
