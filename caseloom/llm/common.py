@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -52,13 +52,42 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """Position of a column as ``first_column`` finds it: the exact name first, then without regard to case."""
+    return df.columns.index(name) if name in df.columns else [c.lower() for c in df.columns].index(name.lower())
+
+
+def by_position(df: DataFrame) -> DataFrame:
+    """The same table with columns ``_0``, ``_1`` and so on, so that none clash."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
 def matching(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     """Semi or anti join on ``key``; the ids are broadcast only if they are few, else shuffled.
 
-    The result is the same either way. ``ids`` is read twice: pass a stored table.
+    The result is the same either way and has all columns of ``df``, whatever their
+    names. ``ids`` is read twice: pass a stored table.
     """
-    ids = ids.select(key).distinct()
-    return df.join(F.broadcast(ids) if bounded(ids) else ids, key, how)
+    ids = ids.select(key).distinct().toDF("_key")
+    rows, at = by_position(df), place_of(df, key)
+    joined = rows.join(F.broadcast(ids) if bounded(ids) else ids, F.col(f"_{at}") == F.col("_key"), how)
+    return joined.toDF(*df.columns)
+
+
+def kept_rows(df: DataFrame, make_test: Callable[[], Callable[[pa.RecordBatch], list[bool]]]) -> DataFrame:
+    """The rows that pass a test, all columns as they are, whatever their names; nothing is shuffled.
+
+    ``make_test`` is called once in a task and gives the test of a batch, whose columns are found by position.
+    """
+    on_workers(df.sparkSession)
+
+    def keep(batches):
+        test = make_test()
+        for batch in slices(batches):
+            yield batch.filter(pa.array(test(batch), pa.bool_()))
+
+    rows = by_position(df)
+    return rows.mapInArrow(keep, rows.schema).toDF(*df.columns)
 
 
 def first_column(df: DataFrame, *names: str) -> DataFrame:
@@ -72,9 +101,7 @@ def first_column(df: DataFrame, *names: str) -> DataFrame:
     folded = [c.lower() for c in df.columns]
     if len(set(folded)) == len(folded):
         return df.select(*names)
-    unique = df.toDF(*[f"_{i}" for i in range(len(folded))])
-    places = [df.columns.index(n) if n in df.columns else folded.index(n.lower()) for n in names]
-    return unique.select(*[F.col(f"_{i}").alias(n) for i, n in zip(places, names, strict=True)])
+    return by_position(df).select(*[F.col(f"_{place_of(df, n)}").alias(n) for n in names])
 
 
 def labelled_for_training(labels: DataFrame, label: str) -> DataFrame:

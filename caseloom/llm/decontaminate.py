@@ -18,6 +18,7 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
+from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import groupby
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import WordHashes, column, first_column, matching, mixed, odd_numbers, slices
+from caseloom.llm.common import WordHashes, column, first_column, kept_rows, mixed, odd_numbers, place_of, slices
 from caseloom.session import cut_lineage
 
 WORD = re.compile(r"\w+")
@@ -36,8 +37,8 @@ APART = (1, 2)
 PART_WORDS = 4_096
 #: Bits of a seed's hash that the first look-up goes by.
 LOOK_BITS = 20
-#: Test items broadcast at a time; with a hundred words each, below 10 MB.
-BLOCK_ITEMS = 2_000
+#: Test items broadcast at a time, and bytes of their texts.
+BLOCK_ITEMS, BLOCK_BYTES = 2_000, 4 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the score of a verbatim copy from which a passage counts as one.
 LEAST_SCORE = 0.5
@@ -216,31 +217,55 @@ def copies(item: list[str], stretches: list[tuple[int, list[str]]], least_score:
     return sorted(rows)
 
 
-def _blocks(benchmark: DataFrame, size: int):
-    """The items in blocks of at most ``size``, by ascending id, each block as a list."""
-    items = first_column(benchmark, "item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
-    items, last = cut_lineage(items, "items"), None
-    while True:
-        rest = items if last is None else items.filter(F.col("item_id") > last)
-        rows = rest.orderBy("item_id").limit(size).collect()
-        if not rows:
-            return
-        last = rows[-1]["item_id"]
-        yield [(r["item_id"], words_of(r["text"])) for r in rows]
+def _blocks(benchmark: DataFrame, size: int, size_bytes: int) -> Iterator[dict[int, tuple[int | None, list[str]]]]:
+    """The items in blocks of about ``size`` items and ``size_bytes`` bytes at most, each a dict of row number to (item_id, words).
+
+    Items are told apart by a stored row number: texts that share an id are items each, equal rows are one.
+    """
+    rows = first_column(benchmark, "item_id", "text").filter("text IS NOT NULL").distinct()
+    items = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()), "items")
+    n, total = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(-(-n // size), -(-total // size_bytes))
+    for block in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block)
+        found = {r["row"]: (r["item_id"], words_of(r["text"])) for r in part.collect()}
+        if found:
+            yield found
+
+
+class Search:
+    """Finds the copies of a block's items in texts."""
+
+    def __init__(self, items: dict[int, tuple[int | None, list[str]]], least_score: float, least_words: int):
+        self.items, self.least_score, self.least_words = items, least_score, least_words
+        self.seeds, self.hashes = Seeds([(row, words) for row, (_, words) in items.items()], least_score), WordHashes()
+
+    def __call__(self, text: str | None) -> Iterator[tuple[int | None, int, int, int, float]]:
+        """(item_id, first word, end, equal words, score) of every copy."""
+        words = words_of(text)
+        found = self.seeds.passages(words, self.hashes([w.encode() for w in words])) if words else []
+        for row, stretches in groupby(found, lambda p: p[0]):
+            item, wanted = self.items[row]
+            parts = [(first, part) for _, _, first, part, _ in stretches]
+            for copy in copies(wanted, parts, self.least_score, self.least_words):
+                yield item, *copy
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, least_words: int = LEAST_WORDS, block_items: int = BLOCK_ITEMS
-) -> DataFrame:
+    docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, least_words: int = LEAST_WORDS,
+    block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """``(doc_id, item_id, first_word, end_word, matched, score)``: passages that copy a test item.
 
     ``score`` is the alignment's share of a verbatim copy's. Null and empty texts and
-    items copy nothing; an item of a few words needs all of them; repeated rows give their
-    passages again; rows without id keep none; empty tables give no rows; further
-    columns are not looked at.
+    items copy nothing; an item of a few words needs all of them. Items that share an id are
+    searched for each by its own text, equal rows of an item once; items and documents without id
+    are searched, too, and their passages have none; repeated rows of a document give
+    its passages again. Very long texts are searched in parts that overlap by the longest copy.
+    Empty tables give no rows; further columns are not looked at.
     """
     out = None
-    for block in _blocks(benchmark, block_items):
+    for block in _blocks(benchmark, block_items, block_bytes):
         found = _in_block(first_column(docs, "doc_id", "text"), block, least_score, least_words)
         out = found if out is None else out.unionByName(found)
     if out is None:
@@ -248,28 +273,36 @@ def contaminated(
     return out
 
 
-def _in_block(docs: DataFrame, block: list[tuple[int, list[str]]], least_score: float, least_words: int) -> DataFrame:
+def _in_block(docs: DataFrame, block: dict[int, tuple[int | None, list[str]]], least_score: float, least_words: int) -> DataFrame:
     given = docs.sparkSession.sparkContext.broadcast(block)
 
-    def search(batches):
-        items, seeds, hashes = dict(given.value), Seeds(given.value, least_score), WordHashes()
+    def find(batches):
+        search = Search(given.value, least_score, least_words)
         for batch in slices(batches):
-            rows = []
-            for doc, text in zip(column(batch, "doc_id"), column(batch, "text"), strict=True):
-                if doc is None or not text:
-                    continue
-                words = words_of(text)
-                found = seeds.passages(words, hashes([w.encode() for w in words]))
-                for item, stretches in groupby(found, lambda p: p[0]):
-                    parts = [(first, part) for _, _, first, part, _ in stretches]
-                    rows += [(doc, item, *copy) for copy in copies(items[item], parts, least_score, least_words)]
+            rows = [(doc, *copy) for doc, text in zip(column(batch, "doc_id"), column(batch, "text"), strict=True) for copy in search(text)]
             columns = zip(*rows, strict=True) if rows else [[]] * len(SCORES)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES)
 
-    return docs.mapInArrow(search, "doc_id long, item_id long, first_word long, end_word long, matched long, score double")
+    return docs.mapInArrow(find, "doc_id long, item_id long, first_word long, end_word long, matched long, score double")
+
+
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, least_words: int = LEAST_WORDS,
+    block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` whose text copies no test item, all columns as they are; nothing is shuffled.
+
+    Each row is judged by its own text in the task that has it, so a row without id goes like any other
+    and a clean row stays beside another of its id. Otherwise as ``contaminated``; columns
+    whose names clash are kept.
+    """
+    place = place_of(docs, "text")
+    for block in _blocks(benchmark, block_items, block_bytes):
+        given = docs.sparkSession.sparkContext.broadcast(block)
 
+        def make_test(given=given):
+            search = Search(given.value, least_score, least_words)
+            return lambda batch: [next(search(text), None) is None for text in batch.column(place).to_pylist()]
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document copies no test item, all columns as they are."""
-    found = cut_lineage(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return matching(docs, found, "doc_id", "left_anti")
+        docs = kept_rows(docs, make_test)
+    return docs

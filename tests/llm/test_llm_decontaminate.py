@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import random
 
-from llm_frames import awkward, empty
+import pytest
+from llm_frames import AWKWARD, awkward, empty
 
 from caseloom.llm import decontaminate
 from caseloom.llm.common import WordHashes
@@ -56,7 +57,12 @@ def test_copies_are_found_and_clean_documents_left(spark):
 
 def test_awkward_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a row without id"), (2, "plain words on a line and another line"), (None, "x y z w")], "item_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward(spark), bench).collect()} == {(1, 2)}
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward(spark), bench).collect()}
+    assert found == {(1, 2), (None, 1)}  # the row without id copies an item, too
+    left = decontaminate.decontaminated(awkward(spark), bench)
+    assert left.columns == ["doc_id", "text", "doc_id", "text"] and left.count() == len(AWKWARD) - 2
+    assert decontaminate.decontaminated(empty(spark), bench).count() == 0
+    assert decontaminate.decontaminated(awkward(spark), empty(spark, "item_id long, text string")).count() == len(AWKWARD)
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
     assert decontaminate.contaminated(awkward(spark), empty(spark, "item_id long, text string")).count() == 0
 
@@ -152,3 +158,21 @@ def test_the_smallest_copies_and_items_are_found(spark):
     assert sorted((r.doc_id, r.item_id) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (5, 1), (6, 2), (7, 3)]
     assert all(r.score == score(item, texts[r.doc_id]) / 48 >= 0.5 for r in got if r.item_id == 0)
     assert {(r.doc_id, r.first_word, r.end_word) for r in got if r.item_id} == {(5, 1, 2), (5, 3, 4), (6, 0, 2), (7, 1, 4)}
+
+
+@pytest.mark.parametrize("limits", [{}, {"block_items": 1}, {"block_bytes": 200}])
+def test_items_and_documents_that_share_an_id_or_have_none(spark, limits):
+    """Against the full recurrence of every text with every item text."""
+    rng = random.Random(7)
+    item = lambda tag: " ".join(f"{tag}{j}" for j in range(25))
+    items = [(7, item("a")), (7, item("b")), (7, item("b")), (None, item("c")), (None, item("d")), (8, item("e")), (9, item("e"))]
+    bodies = [item(tag) for tag in "abcdefg"] + [" ".join(w for j, w in enumerate(item("b").split()) if j % 6) + " x y z"]
+    docs = [(rng.choice([1, 1, 2, 3, None]), f"{'pre ' * rng.randint(0, 5)}{body}") for body in bodies * 2]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    hits = lambda text: {(i, w) for i, w in items if score(w.split(), text.split()) >= 25}
+    wanted = sorted(str((d, i)) for d, text in docs for i, _ in hits(text))
+    got = decontaminate.contaminated(frame, bench, **limits).collect()
+    assert sorted(str((r.doc_id, r.item_id)) for r in got) == wanted
+    left = decontaminate.decontaminated(frame, bench, **limits).collect()
+    assert sorted(map(str, map(tuple, left))) == sorted(str(d) for d in docs if not hits(d[1])) and left
