@@ -187,9 +187,27 @@ def near_duplicates(
     at least ``percent`` in a hundred; ``component_id`` is the least doc_id reachable.
     Texts with equal sets form a class that is compared once. Null, empty and blank
     texts have no shingles and are linked with nothing; rows without id are linked
-    with nothing and have no component; repeated rows of an id share its result; an
+    with nothing and have no component; very long texts are taken whole; an
     empty table gives no rows; further columns are not looked at.
+
+    Repeated rows of an id all have its result, so all of them are kept or none. Of rows that
+    share an id but not their text the one with the least text hash speaks for it.
     """
+    rows = first_column(docs, "doc_id", "text")
+    hashed = rows.withColumn("_h", F.xxhash64("text"))
+    spread = hashed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_h").alias("_least"), F.max("_h").alias("_most"))
+    several = cut_lineage(spread.filter("_least <> _most").select(F.col("doc_id").alias("_id"), "_least"), "several")
+    if several.isEmpty():
+        return _near_duplicates(rows, percent, width, coordinates, miss)
+    marked = hashed.join(several, F.col("doc_id") == F.col("_id"), "left")
+    speaking = cut_lineage(marked.filter("_least IS NULL OR _h = _least").select("doc_id", "text"), "speaking")
+    found = cut_lineage(_near_duplicates(speaking, percent, width, coordinates, miss), "found")
+    of_several = matching(found, several.toDF("doc_id", "_least"), "doc_id", "left_semi").distinct()
+    return found.unionByName(marked.filter("_h <> _least").select("doc_id").join(of_several, "doc_id"))
+
+
+def _near_duplicates(docs: DataFrame, percent: int, width: int, coordinates: int, miss: float) -> DataFrame:
+    """The same where all rows of an id have one text."""
     matches = least_matches(coordinates, percent, miss)
     signed = cut_lineage(signatures(docs, coordinates, width), "signatures")
     prints = ["print_a", "print_b", "n_shingles"]
@@ -201,7 +219,6 @@ def near_duplicates(
     )
     postings = cut_lineage(prefix_postings(classes, matches), "postings")
     candidates = cut_lineage(postings.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
-    # an id may have rows with different texts: its least class speaks for it
     texts = matching(first_column(docs, "doc_id", "text"), candidates, "doc_id", "left_semi")
     sets = cut_lineage(shingle_sets(texts, width).dropDuplicates(["doc_id"]), "sets")
 

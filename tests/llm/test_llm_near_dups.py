@@ -63,3 +63,20 @@ def test_awkward_and_empty_tables(spark):
 def test_match_threshold_follows_the_similarity():
     assert near_dups.least_matches(32, 85) == 16 and near_dups.least_matches(32, 80) < 16
     assert near_dups.least_matches(32, 100) == 32
+
+
+def test_an_id_with_several_texts_has_one_result(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(40 * (k + 1), 40 * (k + 3))}" for _ in range(60)) for k in range(6)]
+    rows = [(rng.randrange(12), rng.choice(texts) + rng.choice(["", " end"])) for _ in range(60)] + [(3, None), (4, ""), (None, texts[0])]
+    schema = "doc_id long, text string"
+    hashed = spark.createDataFrame(rows, schema).selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()
+    speaks = {}
+    for r in hashed:
+        if r.doc_id is not None:
+            speaks[r.doc_id] = min(speaks.get(r.doc_id, (r.h, r.text)), (r.h, r.text), key=lambda x: x[0])
+    expected = brute_force([(d, t) for d, (_, t) in speaks.items()], 80)
+    for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame(rows[::-1], schema).repartition(5)):
+        got = near_dups.near_duplicates(frame, percent=80).collect()
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(d) for d, _ in rows)
+        assert all((r.n_shingles, r.component_id) == expected[r.doc_id] for r in got if r.doc_id is not None)
