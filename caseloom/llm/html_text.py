@@ -245,12 +245,7 @@ def choose(nodes: list[Node]) -> None:
     while node:
         path.append(node)
         node = node.parent
-    for node in path:  # an article is one piece
-        if node.tag in ARTICLE:
-            best = node
     best.kept = True
-    if best.tag in ARTICLE:
-        return
     threshold = min(n.density for n in path)
     work = [nodes[0]]
     while work:

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from llm_frames import empty
 
+from caseloom.llm import html_text
 from caseloom.llm.html_text import extract, main_text
 
 LONG = "Many words of running text that tell a story at some length, as articles do. "
@@ -45,3 +48,58 @@ def test_frames(spark):
         ((p or 0, u or "", main_text(h), len(main_text(h))) for p, u, h, _ in rows)
     )
     assert extract(empty(spark, "page_id long, url string, html string")).count() == 0
+
+
+def random_page(rng, depth=0):
+    inline = lambda: rng.choice(["<a href=/>{}</a>", "<b>{}</b>", "{}", "<i>{} </i>"]).format("word " * rng.randint(0, 12))
+    if depth > 4 or rng.random() < 0.3:
+        return f"<p>{''.join(inline() for _ in range(rng.randint(0, 4)))}</p>"
+    tag = rng.choice(["div", "section", "article", "main", "ul", "td"])
+    return f"<{tag}>" + "".join(random_page(rng, depth + 1) for _ in range(rng.randint(0, 4))) + f"</{tag}>"
+
+
+def test_choice_equals_brute_force_over_all_subtrees():
+    """The kept parts are those of the definition, whatever the tags are called."""
+    rng = random.Random(9)
+    chosen = 0
+    for _ in range(400):
+        nodes = html_text.parse("".join(random_page(rng) for _ in range(rng.randint(1, 4))))
+        html_text.weigh(nodes)
+        html_text.choose(nodes)
+        usable = [n for n in nodes if not n.out and n.chars and (n.tag in html_text.BLOCK or n.parent is None)]
+        if not usable:
+            continue
+        blocks = lambda n: [c for c in n.children if isinstance(c, html_text.Node) and not c.out and c.tag in html_text.BLOCK]
+        sums = {n: sum(c.density for c in blocks(n)) if blocks(n) else n.density for n in usable}
+        best = next(n for n in usable if sums[n] == max(sums.values()))  # the first of equals
+        path, node = [best], best
+        while node.parent:
+            node = node.parent
+            path.append(node)
+        threshold = min(n.density for n in path)
+
+        def within(node):
+            return [node, *(x for c in node.children if isinstance(c, html_text.Node) for x in within(c))]
+
+        reached = lambda n: all(x.density >= threshold for x in ancestors(n))
+        wanted = {best}
+        for n in usable:
+            if n.tag in html_text.BLOCK and reached(n):
+                own = [x for x in within(n) if x in sums]
+                wanted.add(next(x for x in own if sums[x] == max(sums[y] for y in own)))
+        assert {n for n in nodes if n.kept} == wanted
+        chosen += best.tag in ("article", "main") or len(wanted) > 1
+    assert chosen > 100
+
+
+def ancestors(node):
+    while node:
+        yield node
+        node = node.parent
+
+
+def test_article_tags_do_not_decide():
+    links = "".join(f"<li><a href=/{i}>A headline of some length {i}</a></li>" for i in range(20))
+    page = f"<body><div><{{t}}><ul>{links}</ul></{{t}}></div><div><p>{LONG * 3}</p><p>{LONG * 4}</p><p>{LONG * 2}</p></div></body>"
+    texts = {main_text(page.replace("{t}", tag)) for tag in ("article", "main", "div")}
+    assert len(texts) == 1 and "headline" not in texts.pop()
