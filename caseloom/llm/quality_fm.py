@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import CACHE_CHARS, CACHE_WORDS, column, first_column, labelled_for_training, on_workers, slices
+from caseloom.llm.common import CACHE_CHARS, CACHE_WORDS, column, first_column, kept_rows, labelled_for_training, place_of, slices
 from caseloom.session import cut_lineage
 
 #: Labelled rows that the model is fitted on at most, taken by a hash of their ids.
@@ -187,9 +187,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     return Model(edges, bias, linear.astype(np.float32), factors.astype(np.float32))
 
 
+def _states_length(docs: DataFrame) -> bool:
+    return "n_chars" in [c.lower() for c in docs.columns]
+
+
 def _given(docs: DataFrame) -> DataFrame:
     """``(doc_id, text, n_chars)``, the last null where the table has none."""
-    stated = ["n_chars"] if "n_chars" in docs.columns else []
+    stated = ["n_chars"] if _states_length(docs) else []
     rows = first_column(docs, "doc_id", "text", *stated)
     return rows if stated else rows.withColumn("n_chars", F.lit(None).cast("long"))
 
@@ -198,12 +202,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     """Fit on at most ``sample_rows`` labelled documents that are not held out.
 
     The sample is bounded, so one task fits the model; a megabyte comes to the driver.
-    Without documents of both kinds every score is the share of the label, 1 without any.
+    Without documents of both kinds every score is the share of the label, 1 without any;
+    rows without id are not learned from, repeated ids count once.
     """
     ids = labelled_for_training(labels, label)
     chosen = cut_lineage(ids.orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(sample_rows), "sample")
     texts = _given(docs).join(F.broadcast(chosen), "doc_id")  # at most sample_rows ids
-    texts = cut_lineage(texts.dropDuplicates(["doc_id"]).select("doc_id", "text", "n_chars", "label"), "sample")
+    # an id may have rows with different texts: the least by its hash speaks for it, however the rows are read
+    own = F.min_by(F.struct("text", "n_chars", "label"), F.struct(F.xxhash64("text"), "n_chars"))
+    texts = cut_lineage(texts.groupBy("doc_id").agg(own.alias("own")).select("doc_id", "own.*"), "sample")
 
     def learn(batches):
         features, rows, kinds = Features(), [], []
@@ -239,16 +246,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def with_quality(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that reach the threshold, all columns as they are; nothing is shuffled."""
-    on_workers(docs.sparkSession)
-    given = docs.sparkSession.sparkContext.broadcast(model.packed())
-    place, stated = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    """The rows of ``docs`` that reach the threshold, all columns as they are; nothing is shuffled.
+
+    Each row is judged by its own whole text, rows without id and repeated ones like any
+    other; null and empty texts have the statistics of an empty text; an empty table stays
+    empty; columns whose names clash are kept.
+    """
+    given, place = docs.sparkSession.sparkContext.broadcast(model.packed()), place_of(docs, "text")
+    stated = place_of(docs, "n_chars") if _states_length(docs) else None
 
-    def keep(batches):
+    def make_test():
         m, features = Model.unpacked(given.value), Features()
-        for batch in slices(batches):
+
+        def test(batch):
             lengths = [None] * batch.num_rows if stated is None else batch.column(stated).to_pylist()
-            good = [m.score(*features(t, n)) >= threshold for t, n in zip(batch.column(place).to_pylist(), lengths, strict=True)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            return [m.score(*features(t, n)) >= threshold for t, n in zip(batch.column(place).to_pylist(), lengths, strict=True)]
+
+        return test
 
-    return docs.mapInArrow(keep, docs.schema)
+    return kept_rows(docs, make_test)

@@ -198,4 +198,6 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predicted(scores: DataFrame, threshold: float) -> DataFrame:
-    return scores.withColumn("held_out", held_out("doc_id")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    more = [c for c in scores.columns if c not in ("doc_id", "score")]
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, *more)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import bounded, column, first_column, labelled_for_training, on_workers, slices
+from caseloom.llm.common import bounded, column, first_column, kept_rows, labelled_for_training, place_of, slices
 from caseloom.session import cut_lineage
 
 WORD = re.compile(r"\w+")
@@ -278,17 +278,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` below the threshold, all columns as they are; nothing is shuffled."""
-    on_workers(docs.sparkSession)
-    given = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index("text")
+    """The rows of ``docs`` below the threshold, all columns as they are; nothing is shuffled.
+
+    Each row is judged by its own whole text, rows without id and repeated ones like any
+    other; null and empty texts have the score of a text without a passage; an empty table
+    stays empty; columns whose names clash are kept.
+    """
+    given, place = docs.sparkSession.sparkContext.broadcast(model), place_of(docs, "text")
 
-    def keep(batches):
+    def make_test():
         m = given.value
-        for batch in slices(batches):
-            yield batch.filter(pa.array([m.score(t)[0] < threshold for t in batch.column(place).to_pylist()], pa.bool_()))
+        return lambda batch: [m.score(t)[0] < threshold for t in batch.column(place).to_pylist()]
 
-    return docs.mapInArrow(keep, docs.schema)
+    return kept_rows(docs, make_test)
 
 
 def passages(docs: DataFrame, model: Model) -> DataFrame:

@@ -33,7 +33,7 @@ def test_pipeline_over_awkward_rows(spark, tmp_path):
     item = " ".join(f"question{j}" for j in range(30))
     texts = [(i, t) for i, t in enumerate(good + bad + toxic)]
     texts += [(900, good[0] + " " + item), (901, good[1]), (902, good[1] + " more")] + [(2_000 + k, t) for k, (_, t) in enumerate(AWKWARD)]
-    texts += [(None, good[2])]
+    texts += [(None, good[2]), (None, good[5] + " " + item)]
     docs = spark.createDataFrame([(d, t, None, None, None) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     labels = [(i, int(not 24 <= i < 48), int(i >= 48)) for i in range(60)]
@@ -44,6 +44,7 @@ def test_pipeline_over_awkward_rows(spark, tmp_path):
         before, docs = docs, stage(spark, docs, str(tmp_path))
         assert docs.columns == before.columns
         kept[name] = {r.doc_id for r in docs.collect()}
+    assert not any(item in (r.text or "") for r in docs.collect())  # a copy without id goes, too
     assert not kept["toxicity"] & set(range(48, 60)) and set(range(24)) <= kept["toxicity"]
     assert not kept["quality"] & set(range(24, 48)) and set(range(24)) <= kept["quality"]
     groups = {r.doc_id for r in near_duplicates(before, percent=80).filter("kept").collect()}
@@ -51,3 +52,16 @@ def test_pipeline_over_awkward_rows(spark, tmp_path):
     assert 900 not in kept["decontamination"] and 5 in kept["decontamination"]
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.collect()} == kept["decontamination"]
+
+
+def test_pipeline_stages_take_empty_tables_and_clashing_names(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    clashing = docs.select("doc_id", "text", "lang", "source", "n_chars", docs["text"].alias("Text"), docs["doc_id"].alias("DOC_ID"))
+    again = clashing.toDF("doc_id", "text", "lang", "source", "n_chars", "text", "doc_id")
+    for name, stage in corpus_pipeline.STAGES:
+        plain = sorted(r.doc_id for r in stage(spark, docs, FOLDER).collect())
+        for frame in (clashing, again):
+            got = stage(spark, frame, FOLDER)
+            assert sorted(r[0] for r in got.collect()) == plain
+            assert name == "packing" or got.columns == frame.columns
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
