@@ -25,8 +25,10 @@ from caseloom.session import cut_lineage
 
 #: Segments per refinement; each level cuts the segments of the one before into equal parts.
 LEVELS = (4, 16, 32)
-#: Rows and anchors of a block: the least and the most, whatever the tables' size.
+#: Rows of a block, the least and the most, and anchors of a block, whatever the tables' size.
 ROW_BLOCK, ANCHOR_BLOCK = (2_048, 65_536), 4_096
+#: Components of a block at most, so that long vectors come in smaller blocks.
+COMPONENTS = 1 << 22
 #: Pairs whose bounds are held at a time, and pairs whose vectors are gathered at a time.
 PAIRS, GATHERED = 1 << 18, 1 << 14
 #: One pair in so many is left: from there on pairs are gathered one by one, before all are multiplied as blocks.
@@ -303,13 +305,13 @@ def _negatives_of(k: int, percent: int):
     return search
 
 
-def _met(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, search) -> DataFrame:
+def _met(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, dims: int, search) -> DataFrame:
     """``search`` over every pair of an anchor block and a row block, each pair a group of its own."""
     session = rows.sparkSession
     on_workers(session)
-    tasks = session.sparkContext.defaultParallelism
-    size = min(max(n_rows // (4 * tasks), ROW_BLOCK[0]), ROW_BLOCK[1])
-    row_blocks, anchor_blocks = max(1, -(-n_rows // size)), max(1, -(-n_anchors // ANCHOR_BLOCK))
+    tasks, most = session.sparkContext.defaultParallelism, max(1, COMPONENTS // max(dims, 1))
+    size = min(max(n_rows // (4 * tasks), ROW_BLOCK[0]), ROW_BLOCK[1], most)
+    row_blocks, anchor_blocks = max(1, -(-n_rows // size)), max(1, -(-n_anchors // min(ANCHOR_BLOCK, most)))
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = anchors.select(*[F.col(c).alias(c) for c in anchors.columns], dealt(anchor_blocks).alias("a"), every(row_blocks).alias("r"))
@@ -338,12 +340,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     """
     rows = stored_vectors(vectors)
     anchors = rows.filter(is_anchor)
-    n_rows, n_anchors = rows.count(), anchors.count()
-    near = _met(anchors, rows, n_anchors, n_rows, _positives_of(positives))
+    n_rows, n_anchors, dims = rows.agg(F.count(F.lit(1)), F.count_if(is_anchor), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    near = _met(anchors, rows, n_anchors, n_rows, dims, _positives_of(positives))
     chosen = cut_lineage(_first(near, ["anchor_id"], positives).select("anchor_id", "positive_id", "score"), "positives")
     given = chosen.filter("score >= 0").groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "score")).alias("positives"))
     asking = anchors.join(given, F.col("vec_id") == F.col("anchor_id")).drop("anchor_id")
-    scored = _met(asking, rows, n_anchors, n_rows, _negatives_of(negatives, percent))
+    scored = _met(asking, rows, n_anchors, n_rows, dims, _negatives_of(negatives, percent))
     found = _first(scored, ["anchor_id", "positive_id"], negatives)
     return found.join(chosen.withColumnRenamed("score", "positive_score"), ["anchor_id", "positive_id"]).select(
         "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")

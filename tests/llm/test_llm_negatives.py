@@ -50,6 +50,7 @@ def test_equals_brute_force_in_one_block_and_in_many(spark, monkeypatch):
             m.setattr(hn, "ROW_BLOCK", (40, 40))
             m.setattr(hn, "ANCHOR_BLOCK", 7)
             m.setattr(hn, "PAIRS", 64)
+            m.setattr(hn, "COMPONENTS", 60 * dims)
             assert found(spark, rows) == wanted
 
 
