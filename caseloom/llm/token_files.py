@@ -390,7 +390,11 @@ def write_tokens(docs: DataFrame, path: str, folder: str | None = None, end_id:
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids)`` of a folder: ``ids`` are little-endian 32-bit integers."""
+    """``(doc_id, start, n_tokens, ids)`` of a folder: ``ids`` are little-endian 32-bit integers.
+
+    A row per document that was written, repeated ones and those without id included, however long;
+    a folder of an empty table has none. Ids that fail their block's checksum are an error.
+    """
     manifest = spark.read.schema("part long, number long, file string, docs long, ids long").parquet(f"{folder}/manifest")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     files = manifest.withColumn("before", F.coalesce(F.sum("ids").over(before), F.lit(0))).select("file", "before")

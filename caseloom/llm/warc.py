@@ -49,14 +49,17 @@ FIELDS = {
     "refers_to_id": "warc-refers-to",
     "digest": "warc-payload-digest",
 }
+# Schemes that Hadoop and Arrow call by different names.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 SCHEMA = "record_type string, record_id string, target_uri string, refers_to_id string, digest string, http_length long, payload binary"
 ARROW = pa.schema([(n, pa.string()) for n in FIELDS] + [("http_length", pa.int64()), ("payload", pa.binary())])
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a local path or any URI that Arrow opens."""
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
+    """File system and path of a local path or any URI that Arrow opens; Hadoop's names of a scheme are known, too."""
+    scheme, mark, rest = path.partition("://")
+    if mark:
+        return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
     return pafs.LocalFileSystem(), path.removeprefix("file:")
 
 
@@ -274,7 +277,13 @@ def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFra
 
 
 def write_pages(pages: DataFrame, folder: str | None = None, least_bytes: int = REVISIT_BYTES) -> str:
-    """Write a record per row of ``pages``; the folder, by default a fresh one in the shared folder."""
+    """Write a record per row of ``pages``; the folder, by default a fresh one in the shared folder.
+
+    Null and empty pages have an empty payload; very long ones are one record each; missing ids and
+    addresses stay missing; repeated rows give a record each, all but one of them revisits if
+    they are long enough; an empty table gives an archive without records; further columns
+    are not looked at.
+    """
     register(pages.sparkSession)
     folder = folder or run_path(pages.sparkSession, "warc")
     with_revisits(pages, least_bytes).write.format("warc").mode("append").option("path", folder).save()

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import io
+from types import SimpleNamespace
 
+import pytest
 from llm_frames import empty
 from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
@@ -54,3 +56,17 @@ def test_files_of_lost_tasks_and_empty_tables(spark, tmp_path):
     (tmp_path / "w" / "pages-lost.warc").write_bytes(b"half a record")
     assert warc.read_pages(spark, folder).count() == 1
     assert warc.read_pages(spark, warc.write_pages(empty(spark, "page_id long, url string, html string"))).count() == 0
+
+
+def test_schemes_of_hadoop_are_opened_by_arrow(monkeypatch):
+    opened = []
+    monkeypatch.setattr(warc, "pafs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=opened.append), LocalFileSystem=warc.pafs.LocalFileSystem))
+    for uri in ("s3a://b/k", "s3n://b/k", "hdfs://h/p"):
+        warc.file_system(uri)
+    assert opened == ["s3://b/k", "s3://b/k", "hdfs://h/p"]
+    monkeypatch.undo()
+    assert warc.SCHEMES == {"s3a": "s3", "s3n": "s3"}
+    with pytest.raises(Exception, match="nosuchscheme|Unrecognized"):
+        warc.file_system("nosuchscheme://a/b")
+    fs, path = warc.file_system("file:///tmp/x")
+    assert path == "/tmp/x" and warc.file_system("/tmp/x")[1] == "/tmp/x"
