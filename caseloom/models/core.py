@@ -112,17 +112,10 @@ def dim_providers(
 
 def dim_persons(persons: DataFrame, rights: DataFrame, benefits: DataFrame, projects: DataFrame, races: Domain) -> DataFrame:
     """Persons without test records, with nested rights violations, benefits and projects."""
-    wide = (
-        persons.filter(~is_test_name(F.col("name")))
-        .join(rights, "person_id", "left")
-        .join(benefits, "person_id", "left")
-        .join(projects, "person_id", "left")
-    )
-    return (
-        wide.withColumn("race", map_domain(F.col("race_code"), races))
-        .withColumn("has_violation", yes_no(F.col("rights").isNotNull()))
-        .withColumn("person_sk", surrogate_key(F.col("person_id")))
-    )
+    wide = person_base(persons, races)
+    for part in (rights, benefits, projects):
+        wide = wide.join(part, "person_id", "left")
+    return wide.withColumn("has_violation", yes_no(F.col("rights").isNotNull()))
 
 
 def dim_families(
@@ -136,20 +129,22 @@ def dim_families(
     return wide.withColumn("family_sk", surrogate_key(F.col("family_id")))
 
 
-def person_keys(persons: DataFrame) -> DataFrame:
-    """Keys of ``dim_persons`` alone, for facts that need no more of it."""
-    return persons.filter(~is_test_name(F.col("name"))).select("person_id", "doc", surrogate_key(F.col("person_id")).alias("person_sk"))
+def person_base(persons: DataFrame, races: Domain) -> DataFrame:
+    """``dim_persons`` without its nested parts, for facts and marts that need none of them."""
+    known = persons.filter(~is_test_name(F.col("name")))
+    return known.withColumn("race", map_domain(F.col("race_code"), races)).withColumn("person_sk", surrogate_key(F.col("person_id")))
 
 
-def provider_keys(providers: DataFrame) -> DataFrame:
-    """Keys of ``dim_providers`` alone."""
+def provider_base(providers: DataFrame) -> DataFrame:
+    """Keys and names of ``dim_providers`` alone."""
     known = providers.filter(~is_test_name(F.col("provider_name")))
-    return known.select("provider_id", "login_id", surrogate_key(F.col("provider_id")).alias("provider_sk"))
+    return known.withColumn("provider_sk", surrogate_key(F.col("provider_id")))
 
 
-def unit_keys(units: DataFrame) -> DataFrame:
-    """Keys of ``dim_units`` alone."""
-    return units.filter(~is_test_name(F.col("unit_name"))).select("unit_id", surrogate_key(F.col("unit_id")).alias("unit_sk"))
+def unit_base(units: DataFrame, types: DataFrame) -> DataFrame:
+    """``dim_units`` without places and contact."""
+    known = units.filter(~is_test_name(F.col("unit_name")))
+    return known.join(types, "unit_type_id", "left").withColumn("unit_sk", surrogate_key(F.col("unit_id")))
 
 
 def fct_visits(visits: DataFrame, persons: DataFrame, providers: DataFrame, units: DataFrame) -> DataFrame:

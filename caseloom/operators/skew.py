@@ -5,9 +5,9 @@ sketch of frequent items per key, taken while the table is written or, for a tab
 there already, in a job of its own. Without a key above ``HEAVY_ROWS`` the plain join or window is
 used: one shuffle. Otherwise the values of the heaviest keys travel by broadcast and their rows
 are spread over many tasks in the shuffle join, where they match nothing. At most
-``MAX_HEAVY`` keys are ever broadcast; a key that the sketch loses track of holds a share of
-the rows so small that the plain shuffle can carry it. The result is the same whatever the
-statistics say.
+``MAX_HEAVY`` keys are ever broadcast; a key that the sketch loses track of holds about one in
+12,000 of the rows or fewer, which the plain shuffle carries, split by adaptive execution
+where it has to be. The result is the same whatever the statistics say.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 
 from caseloom.session import cut_lineage
 
-MAX_HEAVY = 50_000
+MAX_HEAVY = 8_192
 HEAVY_ROWS = 1_000_000
 SPREAD = 65_536
 #: Rows of a key that meet in one group of a many-to-many join.
 BLOCK_ROWS = 16_384
-#: Items a sketch keeps track of in a task.
-TRACKED = 200_000
+#: Items a sketch keeps track of: some 200 KB a task, which one task merges.
+TRACKED = 16_384
 
 
 @dataclass(frozen=True)

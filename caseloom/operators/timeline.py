@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.dates import as_date
-from caseloom.operators.skew import attach_group
+from caseloom.operators.skew import attach_group, skew_join
 
 
 def first_where(df: DataFrame, keys: Sequence[str], test: Column, by: Sequence[str], take: Sequence[str]) -> DataFrame:
@@ -32,9 +32,9 @@ def propagate_forward(
     """Own value if present, else the first event's value when it is not later than the row.
 
     ``values`` maps a row column to the first-event column that may fill it.
-    ``firsts`` has one row per key.
+    ``firsts`` has one row per key; rows of a key with very many are spread by ``when``.
     """
-    joined = rows.join(firsts, key, "left")
+    joined = skew_join(rows, firsts, [key], [when])
     reached = F.col(first_when) <= F.col(when)
     for own, first in values.items():
         joined = joined.withColumn(own, F.coalesce(F.col(own), F.when(reached, F.col(first))))

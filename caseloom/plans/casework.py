@@ -219,7 +219,7 @@ class Casework:
         heads = self.raw("members").groupBy("family_id").agg(F.min("person_id").alias("head_id"))
         vulnerabilities = core.family_items(self.raw("vulnerabilities"), ["vulnerability_id"], ["registered"], "vulnerabilities")
         services = core.family_items(self.raw("services"), ["service_id"], ["registered", "unit_id"], "services")
-        families = core.dim_families(heads, self.persons, vulnerabilities, services, self.family_projects)
+        families = core.dim_families(heads, self.person_base, vulnerabilities, services, self.family_projects)
         return cut_lineage(families, "families")
 
     @property
@@ -228,45 +228,45 @@ class Casework:
         return table(self.spark, self.folder, "events").agg(F.max("ts").cast("date"))
 
     @cached_property
-    def person_keys(self) -> DataFrame:
-        return core.person_keys(self.raw("persons"))
+    def person_base(self) -> DataFrame:
+        return core.person_base(self.raw("persons"), RACES)
 
     @cached_property
-    def provider_keys(self) -> DataFrame:
-        return core.provider_keys(self.raw("providers"))
+    def provider_base(self) -> DataFrame:
+        return core.provider_base(self.raw("providers"))
 
     @cached_property
-    def unit_keys(self) -> DataFrame:
-        return core.unit_keys(self.raw("units"))
+    def unit_base(self) -> DataFrame:
+        return core.unit_base(self.raw("units"), self.raw("unit_types"))
 
     @cached_property
     def visits(self) -> DataFrame:
-        visits = core.fct_visits(self.raw("visits"), self.person_keys, self.provider_keys, self.unit_keys)
+        visits = core.fct_visits(self.raw("visits"), self.person_base, self.provider_base, self.unit_base)
         return cut_lineage(visits, "visits")
 
     @cached_property
     def notes(self) -> DataFrame:
         notes = core.fct_notes(
             self.raw("notes_admin"), self.raw("notes_family"), self.raw("notes_person"), self.raw("notes_group"),
-            self.person_keys, self.provider_keys, self.unit_keys,
+            self.person_base, self.provider_base, self.unit_base,
         )
         return cut_lineage(notes, "notes")
 
     @cached_property
     def stays(self) -> DataFrame:
-        return core.fct_stays(self.raw("stays"), self.persons, self.units, STAYS_AS_OF)
+        return core.fct_stays(self.raw("stays"), self.person_base, self.units, STAYS_AS_OF)
 
     @cached_property
     def attendance(self) -> DataFrame:
-        return core.fct_attendance(self.raw("presences"), self.person_keys)
+        return core.fct_attendance(self.raw("presences"), self.person_base)
 
     @cached_property
     def activities(self) -> DataFrame:
-        return core.dim_activities(self.raw("activities"), self.raw("activity_types"), self.units)
+        return core.dim_activities(self.raw("activities"), self.raw("activity_types"), self.unit_base)
 
     @cached_property
     def provider_attendance(self) -> DataFrame:
-        return cut_lineage(core.fct_provider_attendance(self.raw("provider_presences"), self.provider_keys), "provider-attendance")
+        return cut_lineage(core.fct_provider_attendance(self.raw("provider_presences"), self.provider_base), "provider-attendance")
 
 
 def with_heartbeat(sql: str) -> str:

@@ -128,7 +128,7 @@ AGE_BAND_SQL = """CASE WHEN age BETWEEN 0 AND 3 THEN 'De 0 a 3 anos - Bebê' WHE
 def mart_daily_stays(spark, sf):
     case = Casework(spark, sf)
     # labels per stay; its days are counted by year, none is listed
-    labelled = marts.daily_stays(case.stays, case.persons, case.units.drop("audiences"), STAYS_AS_OF, updated=case.heartbeat)
+    labelled = marts.daily_stays(case.stays, case.person_base, case.units.drop("audiences"), STAYS_AS_OF, updated=case.heartbeat)
     years = days_by_year(labelled, "entered_on", "left_on", STAYS_AS_OF)
     return years.groupBy("unit_name", "yr", "age_band", "axis", "doc_status").agg(
         F.sum("n_days").alias("n_days"), F.count("stay_id").alias("n_stays"), F.sum(F.col("is_open") * F.col("n_days")).alias("n_open_days"),
@@ -160,7 +160,7 @@ def mart_daily_stays(spark, sf):
 )
 def mart_stay_labels(spark, sf):
     case = Casework(spark, sf)
-    labelled = marts.stay_labels(case.stays, case.persons, case.units, STAYS_AS_OF)
+    labelled = marts.stay_labels(case.stays, case.person_base, case.unit_base, STAYS_AS_OF)
     labels = ["status", "exit_label", "return_label", "exit_year", "schooling_label", "gets_benefit", "district", "sphere", "region_name", "region_email"]
     return labelled.groupBy(*labels).agg(
         F.count(F.lit(1)).alias("n_stays"), F.sum("stay_days").cast("long").alias("days_stayed"),
@@ -220,13 +220,13 @@ def mart_visits_report(spark, sf):
     })
     visits = (
         case.visits.unionByName(again)
-        .join(case.providers.select("provider_id", "provider_name"), "provider_id", "left")
-        .join(case.units.select("unit_id", "type_name"), "unit_id", "left")
+        .join(case.provider_base.select("provider_id", "provider_name"), "provider_id", "left")
+        .join(case.unit_base.select("unit_id", "type_name"), "unit_id", "left")
         .withColumns({"occupation": occupation, "registered": F.col("visit_day")})
     )
     renamed = {"ASIA": "ASIA - Recepção - Ação CadÚnico", "EUROPE": "EUROPE - Recepção - Ação CadÚnico"}
     report = marts.visits_report(
-        visits, case.persons, ["occ 3", "occ 4"], ["occ 1", "occ 2"], "Supplier#000000007", renamed, STAYS_AS_OF,
+        visits, case.person_base, ["occ 3", "occ 4"], ["occ 1", "occ 2"], "Supplier#000000007", renamed, STAYS_AS_OF,
         updated=case.heartbeat,
     )
     return report.groupBy("visit_kind", "age_band", "visit_label").agg(
@@ -384,7 +384,7 @@ def mart_person_rights(spark, sf):
 )
 def mart_person_tracking(spark, sf):
     case = Casework(spark, sf)
-    return marts.person_tracking(case.visits, case.notes, case.persons, case.units, case.raw("members"), AS_OF, updated=case.heartbeat)
+    return marts.person_tracking(case.visits, case.notes, case.persons, case.unit_base, case.raw("members"), AS_OF, updated=case.heartbeat)
 
 
 @query(
@@ -401,7 +401,7 @@ def mart_person_tracking(spark, sf):
 )
 def mart_service_followup(spark, sf):
     case = Casework(spark, sf)
-    return marts.service_followup(case.notes, case.families, case.raw("members"), case.units, 7, 1)
+    return marts.service_followup(case.notes, case.families, case.raw("members"), case.unit_base, 7, 1)
 
 
 FORM = [Field("Local", "place"), Field("%Data%", "form_day", "date", format="yyyy-MM-dd"), Field("%Localizada%", "located", "boolean")]
@@ -457,7 +457,7 @@ def mart_family_programme(spark, sf):
 )
 def mart_alternative_measures(spark, sf):
     case = Casework(spark, sf)
-    report = marts.alternative_measures(case.persons, case.notes, case.providers, case.units, 3, 18, ("Form A", FORM), 3, updated=case.heartbeat)
+    report = marts.alternative_measures(case.persons, case.notes, case.providers, case.unit_base, 3, 18, ("Form A", FORM), 3, updated=case.heartbeat)
     return report.select(
         "person_id", "family_id", "by_project", "by_form", "unit_id", "unit_origin", "unit_name", "in_target_type", "ref_unit_name",
         "last_form_day", "place", "form_day", "located", "updated_at",
@@ -482,10 +482,10 @@ PILOTS = {r"nation_1\b": "Pilot one", r"nation_1": "Pilot ones", r"nation_2[0-3]
 )
 def mart_unit_indicators(spark, sf):
     case = Casework(spark, sf)
-    street = case.persons.filter("street")
+    street = case.person_base.filter("street")
     referrals = marts.note_referrals(case.notes.select("unit_id", "person_sk", "note"))
     return marts.unit_indicators(
-        case.units, PILOTS, case.raw("services"), case.visits, street, referrals, {"paif": [1], "mse": [8, 9]}, updated=case.heartbeat
+        case.unit_base, PILOTS, case.raw("services"), case.visits, street, referrals, {"paif": [1], "mse": [8, 9]}, updated=case.heartbeat
     )
 
 
@@ -516,7 +516,7 @@ def mart_monthly_unit_report(spark, sf):
         F.date_add(F.lit("1980-01-01").cast("date"), (family * 23).cast("int")).alias("birth"),
     )
     referrals = marts.note_referrals(case.notes.select("unit_id", "person_id", "note"), labels=marts.BENEFIT_LABELS)
-    return marts.monthly_unit_report(case.units, enrolled, case.visits, referrals, "2001-07-15")
+    return marts.monthly_unit_report(case.unit_base, enrolled, case.visits, referrals, "2001-07-15")
 
 
 @query(
