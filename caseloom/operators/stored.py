@@ -138,6 +138,8 @@ def scd2_update(snapshot: DataFrame, path: str, key: str, cols: Sequence[str], a
     )
     both = marked(before, "old").join(marked(now, "new"), F.col("_old_key") == F.col("_new_key"), "full")
     changes = cut_lineage(both.filter(~F.col("_old_hash").eqNullSafe(F.col("_new_hash"))).select("_old", "_new"), "changes")
+    if changes.isEmpty():
+        return
     closed = changes.filter("_old IS NOT NULL").select("_old.*", as_of.cast("date").alias("valid_to"))
     make_folder(spark, ended)
     merge_stored(closed, ended, [key, "valid_from", "valid_to"], "valid_to")

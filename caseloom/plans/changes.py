@@ -171,7 +171,7 @@ def scd2_snapshot(spark, sf):
     path, columns = run_path(spark, "history"), ["segment", "nation"]
     day = lambda text: F.lit(text).cast("date")
     for load, as_of in ((before, "2024-01-01"), (before, "2024-01-15"), (after, "2024-02-01")):  # nothing changed in the second
-        scd2_update(load, path, "c_custkey", columns, day(as_of))
+        scd2_update(load, path, "c_custkey", columns, day(as_of), buckets=16)
     version = before.select("*", F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
     return read_history(spark, path, version.schema)
 
