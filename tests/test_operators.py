@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions.codes import Domain
+from caseloom.models import core
 from caseloom.operators import bitmaps, capacity, delta, explode, forms, graph, incremental, layout, linked, matching, outbound, skew, timeline
 from caseloom.sources import features
 
@@ -449,3 +450,25 @@ def test_rows_of_a_later_load_join_only_their_own_buckets(spark, tmp_path):
     after = {p.relative_to(path): p.read_bytes() for p in path.rglob("*.parquet")}
     nodes = [p for p in before if p.parts[0] == "nodes"]
     assert sum(after.get(p) == before[p] for p in nodes) > len(nodes) - 5
+
+
+def test_projects_of_persons_are_merged_without_listing_them(spark, monkeypatch):
+    monkeypatch.setattr(core, "FAMILIES_A_TASK", 40)
+    rng = random.Random(3)
+    day = lambda: rng.choice([None, *[dt.date(2020, 1, d) for d in (1, 2, 3)]])
+    members = [(rng.choice([None, *range(90)]), rng.choice([None, *range(25)]), rng.choice([None, None, dt.date(2021, 1, 1)])) for _ in range(300)]
+    held = [(rng.choice([None, *range(20)]), rng.choice([None, *range(6)]), rng.random() < 0.5, day(), rng.choice([None, 1, 2])) for _ in range(250)]
+    people = spark.createDataFrame(members, "person_id int, family_id int, left_on date")
+    projects = spark.createDataFrame(held, "family_id int, project_id int, is_active boolean, registered date, unit_id int")
+    items = core.family_items(projects, ["project_id", "is_active"], ["registered", "unit_id"], "projects")
+    merged = core.person_projects(people, items)
+    got = {r["person_id"]: [(p["project_id"], p["registered"], p["unit_id"], p["is_active"]) for p in r["projects"]] for r in merged.collect()}
+    order = lambda values: tuple((v is not None, v or 0 if not isinstance(v, dt.date) else v.toordinal()) for v in values)
+    wanted = {}
+    for person, family in {m[:2] for m in members if m[1] is not None and m[2] is None}:
+        for f, project, active, registered, unit in held:
+            if f == family:
+                best = wanted.setdefault(person, {})
+                best[project] = max(best.get(project, (registered, unit, active)), (registered, unit, active), key=order)
+    assert got == {p: [(k, *best[k]) for k in sorted(best, key=lambda k: order((k,)))] for p, best in wanted.items()}
+    assert "Generate" not in merged._jdf.queryExecution().toString()
