@@ -472,3 +472,13 @@ def test_projects_of_persons_are_merged_without_listing_them(spark, monkeypatch)
                 best[project] = max(best.get(project, (registered, unit, active)), (registered, unit, active), key=order)
     assert got == {p: [(k, *best[k]) for k in sorted(best, key=lambda k: order((k,)))] for p, best in wanted.items()}
     assert "Generate" not in merged._jdf.queryExecution().toString()
+
+
+def test_statistics_and_keys_of_a_stored_table_do_not_pass_the_driver(spark, tmp_path, monkeypatch):
+    spark.range(400_000).select(F.col("id").alias("person_id")).write.parquet(str(tmp_path / "persons"))
+    persons = spark.read.parquet(str(tmp_path / "persons")).withColumn("person_sk", F.md5(F.col("person_id").cast("string")))
+    monkeypatch.setattr(type(persons), "observe", None)
+    stored, known = skew.stored_with_statistics(spark.range(50).withColumnRenamed("id", "person_id"), "counted", ["person_id"])
+    # a file of 2 MB, of which 16 MB of keys are made
+    joined = skew.skew_join(stored, core.person_keys(persons), ["person_id"], ["person_id"], count_on=known)
+    assert joined.count() == 50 and "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
