@@ -29,14 +29,18 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     linked to the least neighbour until nothing changes. The number of rounds
     grows with the logarithm of the graph, not with its longest chain. Each round
     is two group steps that split hub nodes, and its result is written out, so a
-    lost executor costs one round at most.
+    lost executor costs one round at most. A node that is the least neighbour of none
+    takes no part in the rounds: it gets the component of its own least neighbour in the end.
     """
-    current = (
-        edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
-        .filter(F.col("hi") != F.col("lo"))
-        .distinct()
-    )
-    current, folder, before = _written(current)
+    ordered = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).filter(F.col("hi") != F.col("lo"))
+    given, given_folder, (size, _) = _written(ordered)
+    starred = cut_lineage(attach_group(given, ["hi"], {"m": F.min("lo")}, ["lo"], at_most=size), "starred")
+    remove_folder(edges.sparkSession, given_folder)
+    inner = starred.select(F.col("lo").alias("hi")).distinct().withColumn("inner", F.lit(True))
+    parents = cut_lineage(starred.select("hi", "m").distinct().join(inner, "hi", "left"), "parents")
+    linked = starred.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    core = linked.unionByName(parents.filter("inner").select("hi", F.col("m").alias("lo"))).distinct()
+    current, folder, before = _written(core)
     for _ in range(MAX_ROUNDS):
         size = 2 * before[0]
         stars = _large_star(current, size)
@@ -47,8 +51,12 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         remove_folder(edges.sparkSession, last)
         if after == before:
             labels = current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-            roots = labels.select(F.col("component").alias("node"), "component").distinct()
-            return labels.unionByName(roots)
+            of_parent = labels.toDF("m", "component")
+            leaves = parents.filter("inner is null").join(of_parent, "m", "left")
+            # read more than once by whoever joins it
+            found = labels.unionByName(leaves.select(F.col("hi").alias("node"), F.coalesce("component", "m").alias("component")))
+            found = cut_lineage(found, "components")
+            return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
         before = after
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
@@ -77,5 +85,7 @@ def label_rows(df: DataFrame, id_col: str, components: DataFrame) -> DataFrame:
     labels = components.select(F.col("node").alias(id_col), "component")
     joined = df.join(labels, id_col, "left")  # ids are unique on both sides
     clustered = joined.withColumn("cluster_id", F.coalesce("component", F.col(id_col))).drop("component")
-    sized = attach_group(clustered, ["cluster_id"], {"cluster_size": F.count(F.lit(1))}, [id_col])
+    # the sketch needs the components alone, not the rows joined to them
+    known = components.select(F.col("component").alias("cluster_id"))
+    sized = attach_group(clustered, ["cluster_id"], {"cluster_size": F.count(F.lit(1))}, [id_col], count_on=known)
     return sized.withColumn("is_duplicate", F.col("cluster_id") != F.col(id_col))

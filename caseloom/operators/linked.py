@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from caseloom.operators.graph import connected_components, label_rows
 from caseloom.operators.matching import KeyRule, rule_keys
-from caseloom.operators.skew import attach_group
+from caseloom.operators.skew import attach_group, key_hash
 from caseloom.operators.stored import BUCKETS, merge_buckets, read_store, rows_with_keys
 from caseloom.session import cut_lineage
 
@@ -71,7 +71,9 @@ def add_rows(df: DataFrame, id_col: str, rules: Sequence[KeyRule], path: str, wi
     long = cut_lineage(rule_keys(df, id_col, rules, within), "keys")
     schema = T.StructType([f for f in long.schema.fields if f.name != "id"] + [T.StructField("holder", long.schema["id"].dataType)])
     known = cut_lineage(rows_with_keys(long, f"{path}/keys", key, schema, buckets), "known-keys")
-    least = attach_group(long, key, {"least_id": F.min("id")}, ["id", "rule"])
+    # the hash first: rows are sorted by a number, texts are compared where it is equal
+    hashed = long.withColumn("_hash", key_hash(*key))
+    least = attach_group(hashed, ["_hash", *key], {"least_id": F.min("id")}, ["id", "rule"]).drop("_hash")
     linked = least.join(known, key, "left").withColumn("to", F.coalesce("holder", "least_id"))
     linked = cut_lineage(linked.select(*key, "id", "to", F.col("holder").isNull().alias("is_new")), "linked")
     add_edges(linked, "id", "to", path, buckets)

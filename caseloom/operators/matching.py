@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators.graph import connected_components, label_rows
-from caseloom.operators.skew import attach_group, block_join, skew_join
+from caseloom.operators.skew import attach_group, block_join, key_hash, skew_join
 from caseloom.session import cut_lineage
 
 
@@ -171,7 +171,7 @@ def fuzzy_dedup(
 
 @dataclass(frozen=True)
 class KeyRule:
-    """Columns that must agree, and a test a row must pass to take part."""
+    """Columns that must agree, and a test of these columns that a row must pass to take part."""
 
     columns: Sequence[str]
     valid: Column
@@ -198,10 +198,23 @@ def person_rules(doc: str, name: str, mother: str, father: str, birth: str) -> l
 
 
 def rule_keys(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequence[str] = ()) -> DataFrame:
-    """``(id, *within, rule, key)``: the keys of every row, all rules in one pass."""
+    """``(id, *within, rule, key)``: the keys that link a row, all rules in one pass.
+
+    Rows that agree in all columns of a rule agree in those of a rule with fewer of them, too.
+    Where a row passes the test of that one, its key there links the same rows and more, and the
+    longer key is left out.
+    """
+
+    def needed(n: int, rule: KeyRule) -> Column:
+        test = rule.valid
+        for i, other in enumerate(rules):
+            if set(other.columns) < set(rule.columns) or (i < n and set(other.columns) == set(rule.columns)):
+                test = test & ~F.coalesce(other.valid, F.lit(False))
+        return test
+
     keyed = [
         F.when(
-            rule.valid,
+            needed(n, rule),
             F.struct(F.lit(n).alias("rule"), F.array(*[F.col(c).cast("string") for c in rule.columns]).alias("key")),
         )
         for n, rule in enumerate(rules)
@@ -212,12 +225,14 @@ def rule_keys(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequ
 
 
 def exact_rule_edges(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequence[str] = ()) -> DataFrame:
-    """Edge from every row to the least id that shares a rule's key, all rules in one pass."""
+    """Edge from every row to the least id that shares a rule's key, all rules in one pass; an edge may come more than once."""
     # read three times below: to count, to reduce and to join
-    long = cut_lineage(rule_keys(df, id_col, rules, within), "keys")
-    least = attach_group(long, [*within, "rule", "key"], {"least_id": F.min("id")}, ["id", "rule"])
+    key = [*within, "rule", "key"]
+    long = cut_lineage(rule_keys(df, id_col, rules, within).withColumn("_hash", key_hash(*key)), "keys")
+    # the hash first: rows are sorted by a number, texts are compared where it is equal
+    least = attach_group(long, ["_hash", *key], {"least_id": F.min("id")}, ["id", "rule"])
     edges = least.filter(F.col("id") != F.col("least_id"))
-    return edges.select(F.col("id").alias("id_a"), F.col("least_id").alias("id_b")).distinct()
+    return edges.select(F.col("id").alias("id_a"), F.col("least_id").alias("id_b"))
 
 
 def exact_rule_dedup(df: DataFrame, id_col: str, rules: Sequence[KeyRule], within: Sequence[str] = ()) -> DataFrame:

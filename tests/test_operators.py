@@ -482,3 +482,21 @@ def test_statistics_and_keys_of_a_stored_table_do_not_pass_the_driver(spark, tmp
     # a file of 2 MB, of which 16 MB of keys are made
     joined = skew.skew_join(stored, core.person_keys(persons), ["person_id"], ["person_id"], count_on=known)
     assert joined.count() == 50 and "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_key_implied_by_a_shorter_one_is_left_out(spark):
+    born = dt.date(2000, 1, 1)
+    data = [(1, "12345678901", "n", "m", "f", born), (2, "99999999999", "n", "m", "f", born), (3, "1", "n", "", "f", None), (4, None, "n", "m", "f", born)]
+    df = spark.createDataFrame(data, "id int, doc string, nm string, mo string, fa string, born date")
+    keys = matching.rule_keys(df, "id", matching.person_rules("doc", "nm", "mo", "fa", "born"))
+    found = {i: sorted(r["rule"] for r in keys.filter(F.col("id") == i).collect()) for i in range(1, 5)}
+    assert found == {1: [0, 1, 4], 2: [1, 2, 3, 4, 5], 3: [], 4: [1, 4]}
+
+
+def test_leaves_take_no_part_in_the_rounds_of_components(spark, monkeypatch):
+    sizes, written = [], graph._written
+    monkeypatch.setattr(graph, "_written", lambda edges: sizes.append((found := written(edges))[2][0]) or found)
+    stars = [(hub, hub + i) for hub in range(0, 5_000, 1_000) for i in range(1, 200)] + [(0, 1_000), (2_000, 2_001)]
+    got = dict(rows(graph.connected_components(spark.createDataFrame(stars, "a int, b int"), "a", "b")))
+    assert got == union_find({n for e in stars for n in e}, stars)
+    assert sizes[0] == len(stars) and max(sizes[1:]) <= 1
