@@ -26,6 +26,31 @@ def test_parts_give_the_library_ids(path):
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_long_and_many_words_give_the_library_ids():
+    rng, library = random.Random(12), Tokenizer.from_file(WORDS)
+    word = lambda: "".join(rng.choice("abcéßñÅȳ0½'.,#") for _ in range(rng.choice([1, 3, 8, 9, 16, 23, 24, 25, 40, 300])))
+    texts = [" ".join(word() for _ in range(200)) for _ in range(60)] + ["a\0 a a\0b", "’ Éa Éa. é", "", " ", "\xa0É\x85", "Жук. жук"]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for limit in (50, 700_000):
+        encoder = Encoder(WORDS, limit=limit)
+        for size in (66, 7):  # known words the second time
+            got = [np.frombuffer(x, "<u4").tolist() for s in range(0, len(texts), size) for x in encoder.ids(texts[s : s + size])]
+            assert got == expected
+        assert max(map(len, encoder.table.wide), default=0) <= 64
+
+
+def test_the_library_is_asked_once_for_a_word(monkeypatch):
+    asked = []
+    for name in {"encode_parts", "encode_words"} & set(dir(Encoder)):
+        plain = getattr(Encoder, name)
+        monkeypatch.setattr(Encoder, name, lambda self, parts, *more, plain=plain: asked.extend(parts) or plain(self, parts, *more))
+    words = ["word", "größe", "wörtlich"]
+    texts = [f"{w}{a} {b}{w}{a} {w}{a}{w}" for w in words for a in (".", "!!", "...", '"', "##") for b in ("(", "[", "<<")]
+    library = Tokenizer.from_file(WORDS)
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(WORDS).ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted([*words, ".", "!!", "...", '"', "##", "(", "[", "<<"])
+
+
 def test_counts(spark):
     library = Tokenizer.from_file(BYTES)
     got = token_counts.count_tokens(awkward(spark), BYTES, limit=5, frequent=20).collect()
