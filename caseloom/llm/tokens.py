@@ -111,7 +111,8 @@ class PartTable:
         if 2 * (self.size + len(keys)) > len(self.keys):
             full = np.flatnonzero(self.keys[:, 0])
             keys, numbers = np.concatenate([self.keys[full], keys]), np.concatenate([self.numbers[full], numbers])
-            slots = 1 << (4 * len(keys) - 1).bit_length()
+            slots = 1 << (2 * len(keys)).bit_length()  # a quarter to a half of them are taken
+            self.keys = self.numbers = None  # not two tables at once
             self.keys, self.numbers, self.size = np.zeros((slots, 3), "<u8"), np.zeros(slots, np.int32), 0
         self.size += len(keys)
         at = self._slots(keys)
@@ -325,7 +326,7 @@ class Encoder:
         for p in b"\n".join(need).decode("utf-8", "surrogatepass").split("\n"):
             low = p.lower()
             if p.isascii() or not FAR.search(p + low):
-                near[p] = NEAR_WORDS.findall(low)
+                near[p] = [low] if low.isascii() and low.isalpha() else NEAR_WORDS.findall(low)
             elif len(p) > 1 and p[-1] in ".," and p[-2].lower()[-1].isalnum():
                 far[p] = [p[:-1], p[-1]]
             else:
@@ -346,9 +347,10 @@ class Encoder:
         raws = [w.encode("utf-8", "surrogatepass") for w in words]
         length = np.fromiter(map(len, raws), np.int64, len(raws))
         numbers = self.table.find(b"".join(raws) + bytes(PartTable.WIDTH), np.cumsum(length) - length, length)
-        missing = np.flatnonzero(numbers < 0)
-        for some, ids, counts in self._encoded(missing.tolist(), lambda at: encode([words[i] for i in at]), call):
-            numbers[some] = self.table.add([raws[i] for i in some], ids, counts)
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if missing:
+            _, ids, counts = zip(*self._encoded([words[i] for i in missing], encode, call), strict=True)
+            numbers[missing] = self.table.add([raws[i] for i in missing], np.concatenate(ids), np.concatenate(counts))
         return numbers
 
 

@@ -76,6 +76,13 @@ def test_blocks_round_trip(kind):
     assert sum(len(p) for _, p in token_files.encode_blocks(np.tile([7, 8, 9], 2_000).astype(np.int32), 8, 2_048)) < 1_500
 
 
+def test_blocks_are_written_as_before():
+    ids = np.repeat(np.arange(30_000) * 7_919 % 49_408, 1 + np.arange(30_000) % 3)[:40_000].astype(np.int32)
+    ids[::3] %= 11
+    payloads = b"".join(p for _, p in token_files.encode_blocks(ids, 8, 512))
+    assert (len(payloads), zlib.crc32(payloads)) == (75678, 2959022186)
+
+
 def test_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_IDS", 5_000)
     folder = token_files.write_tokens(awkward(spark), WORDS, str(tmp_path / "t"))
