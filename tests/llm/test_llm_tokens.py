@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -83,6 +84,17 @@ def test_blocks_are_written_as_before():
     assert (len(payloads), zlib.crc32(payloads)) == (75678, 2959022186)
 
 
+def test_few_calls_a_coded_id():
+    calls, ids = [], (np.arange(2_048) * 7_919 % 49_408).astype(np.int32)
+    sys.setprofile(lambda frame, event, arg: calls.append(event == "call"))
+    try:
+        blocks = token_files.encode_blocks(ids, 8)
+    finally:
+        sys.setprofile(None)
+    assert sum(calls) < 12 * len(ids)
+    assert (token_files.decode_blocks(blocks, 8) == ids).all()
+
+
 def test_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_IDS", 5_000)
     folder = token_files.write_tokens(awkward(spark), WORDS, str(tmp_path / "t"))
