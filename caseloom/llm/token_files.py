@@ -66,12 +66,14 @@ class Models:
         self.lane = np.arange(n)
         self.at = np.stack([self.lane * CELLS, self.lane * CELLS + ORDER1])
         self.at8 = np.stack([self.lane, self.lane + n]) * 8
-        self.table = np.zeros(n * CELLS, np.int32)  # id * 8 + confidence
+        held = np.zeros(n * (CELLS + TOP + TOP // 2) + 1, np.int32)  # one array: large ones get large pages
+        self.table, self.counts, begins = np.split(held, [n * CELLS, n * (CELLS + TOP)])  # id * 8 + confidence
+        self.counts = self.counts.reshape(n, TOP)
+        self.counts += 1
         self.right = np.repeat(RIGHT, n, axis=0).ravel()
         self.weight = np.full(n, 32768, np.int32)
-        self.counts = np.full((n, TOP), 1, np.int32)
         # where the order-0 interval of each value begins; modulo 65536 the last one's end is the next block's first
-        self.cumulative = np.zeros(n * TOP + 1, np.uint16)
+        self.cumulative = begins.view(np.uint16)[:-1]
         self.begins = self.cumulative[:-1].reshape(n, TOP)
         self.coarse = np.zeros((16, n), np.uint16)  # every sixteenth of them
         self.first, self.first16 = self.lane * TOP, self.lane * 16 - 1
@@ -227,11 +229,12 @@ class RangeCoder:
         self.words: list[np.ndarray] = []
         self.lanes: list[np.ndarray] = []
         self.ended: int | None = None  # place of the last lane at its end
+        self.word, self.short = np.empty((STEPS, 2, n), np.int64), np.empty((STEPS, 2, n), np.int64)
 
     def encode(self, start: np.ndarray, size: np.ndarray, bits: np.ndarray) -> None:
         """Intervals of 2 ** bits by step, number in the step, and lane; a size of 1 of 2 ** 0 changes nothing."""
         low, rng = self.low, self.range
-        words, short = np.empty(start.shape, np.int64), np.empty(start.shape, np.int64)
+        words, short = self.word[: len(start)], self.short[: len(start)]
         for step in np.ndindex(start.shape[:2]):
             rng >>= bits[step]
             low += rng * start[step]
@@ -248,7 +251,7 @@ class RangeCoder:
             rng <<= by
         if self.ended is not None:
             short[..., -1] = 0
-        at = np.flatnonzero(short)
+        at = np.flatnonzero(short.ravel() < 0)
         self.words.append(words.ravel().take(at).astype(np.int32))
         self.lanes.append((at % self.n).astype(np.uint16 if self.n <= 65_536 else np.int64))
 
@@ -350,16 +353,19 @@ def encode_blocks(ids: np.ndarray, bits: int, block: int = BLOCK) -> list[tuple[
     padded[:whole, 2:] = ids[: whole * block].reshape(whole, block)
     padded[whole:, 2 : 2 + len(ids) - whole * block] = ids[whole * block :]
     models, coder = Models(n), RangeCoder(n)
+    both = STEPS, 2, n
+    arrays = [np.empty(s, k) for s, k in ((both, np.int64), (both, np.int32), (both, np.int32), (both, np.int32), ((STEPS, n), np.int32), (both, np.int64), (both, np.int64))]
+    arrays.append(np.full(both, 16))
     for begin, end in spans(int(lengths[0]), int(lengths[-1])):
         some, m = np.ascontiguousarray(padded[:, begin : end + 2].T), end - begin
         got = some[2:]
-        at, e, id8 = np.empty((m, 2, n), np.int64), np.empty((m, 2, n), np.int32), got << 3
+        at, e, q, off, weight, start, size, places = (a[:m] for a in arrays)
+        id8 = got << 3
         models.contexts(some[1:-1] * np.int64(HASH1), some[:-2] * np.int64(HASH2), at)
         for step in range(m):
             models.entries(at[step], e[step])
             models.remember(at[step], e[step], id8[step])
         agree, hit = below(e[:, 0] ^ e[:, 1], 8), below(e ^ id8[:, None], 8)
-        q, off, weight = np.empty_like(e), np.empty_like(e), np.empty_like(got)
         np.add(e & 7, models.at8, out=at)
         for step in range(m):
             models.right.take(at[step], out=q[step], mode="clip")
@@ -371,7 +377,6 @@ def encode_blocks(ids: np.ndarray, bits: int, block: int = BLOCK) -> list[tuple[
         f1, f2 = frequencies(q, weight, agree)
         hit1, hit2, no1, no2 = hit[:, 0], hit[:, 1], ~hit[:, 0], ~hit[:, 1]
         # of each id the choice, then the id itself where neither order names it
-        start, size, places = np.empty((m, 2, n), np.int64), np.empty((m, 2, n), np.int64), np.full((m, 2, n), 16)
         start[:, 0] = no2 & (f2 + (no1 & f1))
         size[:, 0] = (hit2 & f2) + (no2 & ((hit1 & f1) + (no1 & (65536 - f2 - f1))))
         no1 &= no2

@@ -21,6 +21,8 @@ from caseloom.llm.common import CACHE_CHARS
 CACHE_PARTS = 700_000
 #: Ids of remembered parts, beyond which the table is emptied as well.
 CACHE_IDS = 8_000_000
+#: Words and parts that the table of a worker remembers: its slots are at most half taken, and as many as for ``CACHE_PARTS``.
+TABLE_PARTS = 1_000_000
 #: Words that the library encodes in a call; more at once takes longer for each.
 CALL_WORDS = 256
 
@@ -54,7 +56,13 @@ def cutting(spec: dict) -> str:
     return "whole"
 
 
-IS_SPACE = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
+#: Bytes: white space, letters, digits, other signs, and those that are not looked into.
+SPACES, LETTER, DIGIT, SIGN, OPAQUE = range(5)
+KINDS = np.full(256, SIGN, np.uint8)
+for _kind, _bytes in ((SPACES, b"\t\n\v\f\r "), (LETTER, bytes(range(97, 123))), (DIGIT, b"0123456789"), (OPAQUE, bytes([*range(65, 91), *range(128, 256)]))):
+    KINDS[list(_bytes)] = _kind
+#: Letters of an apostrophe's word, by the first of them; of two, the second as well.
+SHORT, LONG = np.isin(np.arange(256), list(b"stmd")), {b"r": b"e", b"v": b"e", b"l": b"l"}
 
 
 def windows(raw: bytes) -> np.ndarray:
@@ -62,6 +70,43 @@ def windows(raw: bytes) -> np.ndarray:
     return np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
 
 
+def cut_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and lengths of the words of ``raw``, as ``NEAR_WORDS`` cuts them; it begins with white space and is padded.
+
+    Parts (between white space) with capital or non-ASCII letters are left whole.
+    """
+    codes = np.frombuffer(raw, np.uint8)
+    kinds = KINDS.take(codes)
+    kinds[-PartTable.WIDTH :] = SPACES
+    opaque = np.flatnonzero(kinds == OPAQUE)
+    if len(opaque):
+        space = kinds == SPACES
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        part = np.searchsorted(edges, opaque, side="right") - 1
+        part = part[np.flatnonzero(np.diff(part, prepend=-1))]
+        level = np.zeros(len(kinds), np.int8)
+        level[edges[part]], level[edges[part + 1]] = 1, -1
+        kinds[np.cumsum(level, dtype=np.int8) > 0] = LETTER
+    edge = kinds[1:] != kinds[:-1]
+    edge |= kinds[1:] == DIGIT
+    edges = np.flatnonzero(edge) + 1
+    own = np.flatnonzero(kinds[edges] != SPACES)
+    start, length = edges[own], np.diff(edges, append=len(raw))[own]
+    # an apostrophe on its own takes the letters of 's, 're and the like from the next word
+    marks = np.flatnonzero((codes[start] == 39) & (length == 1) & (kinds[start] == SIGN) & (kinds[start + 1] == LETTER))
+    if len(marks):
+        one, two = codes[start[marks] + 1], codes[start[marks] + 2]
+        taken = SHORT[one].astype(np.int64)
+        for first, second in LONG.items():
+            taken[(one == ord(first)) & (two == ord(second))] = 2
+        length[marks] += taken
+        start[marks + 1] += taken
+        length[marks + 1] -= taken
+        kept = np.flatnonzero(length)
+        start, length = start[kept], length[kept]
+    return start, length
+
+
 class PartTable:
     """Parts of text (bytes) to numbers and to ids, looked up many at once.
 
@@ -97,13 +142,20 @@ class PartTable:
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of keys, -1 for unknown ones."""
-        at, out, left = self._slots(keys), np.full(len(keys), -1, np.int64), np.arange(len(keys))
-        while len(left):
-            there = self.keys[at]
-            same = (there == keys).all(axis=1)
-            out[left[same]] = self.numbers[at[same]]
+        at, left, out = self._slots(keys), None, np.empty(0, np.int64)
+        while left is None or len(left):
+            there = self.keys.take(at, axis=0, mode="clip")
+            same = there[:, 0] == keys[:, 0]
+            same &= there[:, 1] == keys[:, 1]
+            same &= there[:, 2] == keys[:, 2]
+            found = np.where(same, self.numbers.take(at, mode="clip"), -1)
             on = np.flatnonzero(~same & (there[:, 0] != 0))
-            left, keys, at = left[on], keys[on], (at[on] + 1) & (len(self.keys) - 1)
+            if left is None:
+                out, left = found.astype(np.int64), on
+            else:
+                out[left] = found
+                left = left[on]
+            keys, at = keys[on], (at[on] + 1) & (len(self.keys) - 1)
         return out
 
     def _put(self, keys: np.ndarray, numbers: np.ndarray) -> None:
@@ -179,6 +231,7 @@ class Encoder:
     def __init__(self, path: str, limit: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.limit, self.special, self.bare = limit, [], None
+        self.table_limit = TABLE_PARTS if limit == CACHE_PARTS else limit
         self.recent: dict[str, bytes] = {}
         self.table = PartTable()
         if path.endswith(".model"):
@@ -274,16 +327,13 @@ class Encoder:
             yield parts[start : start + call], *encode(parts[start : start + call])
 
     def _ids_of_words(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The same by the table: white space is found, and parts are looked up, in all texts at once."""
+        """The same by the table: words are cut, and looked up, in all texts at once."""
         table = self.table
-        if table.held > self.limit or table.used > CACHE_IDS:
+        if table.held > self.table_limit or table.used > CACHE_IDS:
             table.clear()
         plain = [self.plain(t) if t else b"" for t in texts]
         raw = b"\n%b\n%b" % (b"\n".join(filter(None, plain)), bytes(PartTable.WIDTH))
-        space = IS_SPACE[np.frombuffer(raw, np.uint8)]
-        space[-PartTable.WIDTH :] = True
-        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
-        start, length = edges[::2], edges[1::2] - edges[::2]
+        start, length = cut_words(raw)
         numbers = table.find(raw, start, length)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
@@ -306,7 +356,7 @@ class Encoder:
 
         Near characters are in lower case, as the normaliser would have them, so that fewer distinct parts remain.
         """
-        if any(s in text for s in self.special) or SEPARATORS.search(text) or "\0" in text:
+        if any(s in text for s in self.special) or any(c in text for c in "\x1c\x1d\x1e\x1f\0"):
             return None
         if text.isascii():
             return text.lower().encode()
@@ -321,9 +371,14 @@ class Encoder:
         stop or comma behind a letter or digit is a pre-token of its own, so only what is
         before it is encoded.
         """
+        bare = [p for p in need if p.isalpha() and p.islower()]  # as bytes: ASCII letters alone
+        if bare:
+            _, ids, counts = zip(*self._encoded(b"\n".join(bare).decode().split("\n"), self.encode_words, CALL_WORDS), strict=True)
+            self.table.add(bare, np.concatenate(ids), np.concatenate(counts))
+            need = [p for p in need if not (p.isalpha() and p.islower())]
         near: dict[str, list[str]] = {}
         far: dict[str, list[str]] = {}
-        for p in b"\n".join(need).decode("utf-8", "surrogatepass").split("\n"):
+        for p in b"\n".join(need).decode("utf-8", "surrogatepass").split("\n") if need else []:
             low = p.lower()
             if p.isascii() or not FAR.search(p + low):
                 near[p] = [low] if low.isascii() and low.isalpha() else NEAR_WORDS.findall(low)

@@ -52,6 +52,19 @@ def test_the_library_is_asked_once_for_a_word(monkeypatch):
     assert sorted(asked) == sorted([*words, ".", "!!", "...", '"', "##", "(", "[", "<<"])
 
 
+def test_only_words_are_remembered():
+    texts = [f"{w}{sign}" for w in ("word", "other", "it's") for sign in (".", ",", "!", "2024", ", it's", '"')]
+    encoder, library = Encoder(WORDS), Tokenizer.from_file(WORDS)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.table.held == len(["word", "other", "it", "'s", ".", ",", "!", "2", "0", "4", '"'])
+
+
+def test_apostrophes_give_the_library_ids():
+    rng, library = random.Random(14), Tokenizer.from_file(WORDS)
+    texts = ["".join(rng.choice(["'", "'", "s", "re", "ll", "l", "v", "e", "d", "M", "é", "Ж", "7", "!", " "]) for _ in range(rng.randint(1, 14))) for _ in range(4_000)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(WORDS).ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_counts(spark):
     library = Tokenizer.from_file(BYTES)
     got = token_counts.count_tokens(awkward(spark), BYTES, limit=5, frequent=20).collect()
